@@ -99,7 +99,7 @@ def clean_text(c: Column) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: all leading/trailing whitespace."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def nonblank(c: Column) -> Column:

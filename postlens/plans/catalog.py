@@ -12,9 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from ..operators import flags as FL
 from ..operators import keywords as K
-from ..sources.tables import SQL_DOCUMENT_POSTS, document_posts
+from ..operators import topics as TP
+from ..sources.tables import SQL_DOCUMENT_POSTS, document_posts, table
 from . import sql as S
+from .preprocess import preprocess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,3 +110,160 @@ WHERE rank <= 100""")
 def q_top_keywords(spark, sf_dir):
     k = _keyword_table(spark, sf_dir)
     return K.top_terms(k, "keywords", n=100, term_name="keyword").select("keyword", "count", "rank")
+
+
+# --------------------------------------------------------------------------
+# Cleaning and model-B terms
+# --------------------------------------------------------------------------
+
+@register("clean_documents", f"""
+SELECT doc_id, {S.clean_text('text')} AS cleaned_text FROM documents""")
+def q_clean_documents(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.clean_text(F.col("text")).alias("cleaned_text"))
+
+
+@register("clean_pages", f"""
+SELECT page_id, {S.clean_text("regexp_replace(html, '<[^>]+>', '', 'g')")} AS cleaned_text,
+       CAST(len(regexp_replace(html, '<[^>]+>', '', 'g')) AS BIGINT) AS text_chars
+FROM pages""")
+def q_clean_pages(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", T.strip_tags(F.col("html")).alias("t"))
+    return p.select("page_id", T.clean_text(F.col("t")).alias("cleaned_text"),
+                    F.length("t").cast("long").alias("text_chars"))
+
+
+@register("terms_model_b", f"""
+WITH p AS ({SQL_DOCUMENT_POSTS}),
+t AS (SELECT id AS post_id, subreddit,
+             coalesce(title, '') || CASE WHEN coalesce(body, '') <> '' THEN ' ' || body ELSE '' END AS t
+      FROM p)
+SELECT post_id, subreddit, array_to_string({S.hashtags_b('t')}, ',') AS hashtags,
+       array_to_string({S.mentions_b('t')}, ',') AS mentions,
+       CAST(len({S.hashtags_b('t')}) AS BIGINT) AS hashtag_count,
+       CAST(len({S.mentions_b('t')}) AS BIGINT) AS mention_count
+FROM t""")
+def q_terms_model_b(spark, sf_dir):
+    k = K.extract_terms_b(document_posts(spark, sf_dir))
+    return k.select("post_id", "subreddit", joined("hashtags").alias("hashtags"),
+                    joined("mentions").alias("mentions"),
+                    F.size("hashtags").cast("long").alias("hashtag_count"),
+                    F.size("mentions").cast("long").alias("mention_count"))
+
+
+# --------------------------------------------------------------------------
+# Preprocessing (C11 with the driver's language label), flags (C3, C4),
+# topics (C5)
+# --------------------------------------------------------------------------
+
+def _preprocessed(spark, sf_dir):
+    return preprocess(document_posts(spark, sf_dir), stamp="2024-01-01 00:00:00")
+
+
+_SQL_PRE = f"""
+pre AS (
+  SELECT id AS post_id, subreddit, title,
+         CASE WHEN {S.strip_ws('content')} = '' THEN 'unknown' ELSE coalesce(language, 'unknown') END
+           AS language_detected,
+         {S.strip_ws('content')} AS translated_text,
+         {S.clean_text(S.strip_ws('content'))} AS cleaned_text
+  FROM ({SQL_DOCUMENT_POSTS}))"""
+
+
+@register("preprocess_documents", f"""
+WITH {_SQL_PRE}
+SELECT post_id, subreddit, title, language_detected, translated_text, cleaned_text FROM pre""")
+def q_preprocess_documents(spark, sf_dir):
+    return _preprocessed(spark, sf_dir).select(
+        "post_id", "subreddit", "title", "language_detected", "translated_text", "cleaned_text")
+
+
+def _sql_flags(patterns, base: str) -> str:
+    """Flag table in SQL from a text CTE ``base(post_id, t)``."""
+    ms = []
+    for cat, pats in patterns:
+        counts = [f"len(regexp_extract_all(lc, {S.q('(?i)' + p)}))" for p in pats]
+        m = counts[0] if len(counts) == 1 else f"greatest({', '.join(counts)})"
+        ms.append(f"{m} AS m_{cat}")
+    scores = []
+    for cat, _ in patterns:
+        s = (f"round(CASE WHEN wc < {FL.SHORT_WORDS} THEN least(1.0, least({FL.CAP}, {FL.BASE} + m_{cat} * {FL.STEP}) + {FL.SHORT_BONUS}) "
+             f"ELSE least({FL.CAP}, {FL.BASE} + m_{cat} * {FL.STEP}) END, 2)")
+        thr = FL.THRESHOLDS.get(cat, 0.5)
+        scores.append(f"CAST(CASE WHEN NOT blank AND m_{cat} > 0 AND {s} >= {thr} THEN {s} END AS DOUBLE) AS score_{cat}")
+    cats = [c for c, _ in patterns]
+    spam = " OR ".join(f"score_{c} IS NOT NULL" for c in FL.SPAM_FROM if c in cats) or "false"
+    off = " OR ".join(f"score_{c} IS NOT NULL" for c in FL.OFFENSIVE_FROM if c in cats) or "false"
+    return f"""
+s0 AS (SELECT post_id, t, lower(t) AS lc, {S.word_count('t')} AS wc,
+              {S.strip_ws('t')} = '' AS blank FROM {base}),
+s1 AS (SELECT *, {', '.join(ms)} FROM s0),
+s2 AS (SELECT post_id, t, wc, blank, {', '.join(scores)} FROM s1)
+SELECT post_id,
+       (NOT blank AND ({spam})) AS spam,
+       (NOT blank AND ({off})) AS offensive,
+       (NOT blank AND ({spam})) AS promotional,
+       (NOT blank AND contains(t, '?')) AS question,
+       (NOT blank AND wc > {FL.DISCUSSION_WORDS}) AS discussion,
+       {', '.join('score_' + c for c in cats)}
+FROM s2"""
+
+
+def _flags_query(patterns):
+    def run(spark, sf_dir):
+        f = FL.behaviour_flags(_preprocessed(spark, sf_dir), patterns=patterns)
+        cats = [c for c, _ in patterns]
+        return f.select("post_id", *[F.col(f"flags.{b}").alias(b) for b in
+                                     ("spam", "offensive", "promotional", "question", "discussion")],
+                        *[F.col("detected_flags")[c].alias(f"score_{c}") for c in cats])
+    return run
+
+
+_SQL_FLAG_TEXT = """
+ft AS (SELECT post_id, coalesce(nullif(cleaned_text, ''), nullif(translated_text, ''), '') AS t FROM pre),"""
+
+register("behaviour_flags", f"WITH {_SQL_PRE},{_SQL_FLAG_TEXT}" + _sql_flags(FL.FLAG_PATTERNS, "ft"))(
+    _flags_query(FL.FLAG_PATTERNS))
+
+# A pattern lexicon made of frequent words of the driver's documents, so the
+# scoring arithmetic (counts, short-text bonus, caps, thresholds) is
+# exercised on every row rather than only on the fixtures.
+DATA_PATTERNS = (
+    ("toxicity", (r"\b(?:der|die)\b", r"\b(?:das|und)\s+(?:der|die)\b")),
+    ("spam", (r"\b(?:que|les)\b", r"\b(?:la|le)\b")),
+    ("threats", (r"\b(?:sch\w*)\b",)),
+    ("harassment", (r"\b(?:thin\w*|blee\w*)\b",)),
+    ("misinformation", (r"\b(?:eau\w*)\b",)),
+    ("bot_like", (r"\b(?:en|el)\b", r"\b(?:an|ea)\w+\b")),
+)
+register("behaviour_flags_data_lexicon",
+         f"WITH {_SQL_PRE},{_SQL_FLAG_TEXT}" + _sql_flags(DATA_PATTERNS, "ft"))(
+    _flags_query(DATA_PATTERNS))
+
+
+def _sql_topics(lexicon) -> str:
+    hs = []
+    for i, (label, kws) in enumerate(lexicon):
+        arr = "[" + ", ".join(S.q(k) for k in kws) + "]"
+        hs.append(f"CAST(len(list_filter({arr}, lambda k: contains(lc, k))) AS BIGINT) AS h{i}")
+    best = "greatest(" + ", ".join(f"h{i}" for i in range(len(lexicon))) + ")"
+    case = " ".join(f"WHEN h{i} = best THEN {S.q(label)}" for i, (label, _) in enumerate(lexicon))
+    max_len = max(len(k) for _, k in lexicon)
+    return f"""
+tt AS (SELECT id AS post_id, subreddit,
+              {S.strip_ws("concat_ws(' ', nullif(title, ''), nullif(body, ''))")} AS t FROM ({SQL_DOCUMENT_POSTS})),
+t1 AS (SELECT post_id, subreddit, lower(t) AS lc FROM tt WHERE t <> ''),
+t2 AS (SELECT post_id, subreddit, lc, {', '.join(hs)} FROM t1),
+t3 AS (SELECT *, {best} AS best FROM t2)
+SELECT post_id, subreddit,
+       CASE WHEN {S.strip_ws('lc')} = '' OR best = 0 THEN 'other' ELSE CASE {case} END END AS topic_label,
+       CASE WHEN {S.strip_ws('lc')} = '' OR best = 0 THEN 0.0
+            ELSE round(least(1.0, best / {float(max_len)}), 3) END AS topic_score
+FROM t3"""
+
+
+@register("topics", "WITH " + _sql_topics(TP.TOPIC_LEXICON))
+def q_topics(spark, sf_dir):
+    t = TP.topic_detect(document_posts(spark, sf_dir))
+    return t.select(F.col("id").alias("post_id"), "subreddit",
+                    F.col("topic.label").alias("topic_label"), F.col("topic.score").alias("topic_score"))
