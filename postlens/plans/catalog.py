@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import classify as CL
 from ..operators import flags as FL
 from ..operators import keywords as K
 from ..operators import topics as TP
@@ -267,3 +268,115 @@ def q_topics(spark, sf_dir):
     t = TP.topic_detect(document_posts(spark, sf_dir))
     return t.select(F.col("id").alias("post_id"), "subreddit",
                     F.col("topic.label").alias("topic_label"), F.col("topic.score").alias("topic_score"))
+
+
+# --------------------------------------------------------------------------
+# Classifiers (C7, C8, M1): Naive Bayes weight tables trained by Spark on
+# documents joined with labels.  Sentiment class: toxic -> Negative,
+# quality -> Positive, else Neutral.  Emotion proxy classes: toxic -> anger,
+# quality -> joy, else sadness.
+# --------------------------------------------------------------------------
+
+EMOTION_PROXY = ("joy", "sadness", "anger")
+
+
+def _sentiment_class(lab):
+    return (F.when(lab["toxic"] == 1, "Negative").when(lab["quality"] == 1, "Positive")
+             .otherwise("Neutral"))
+
+
+def _emotion_class(lab):
+    return F.when(lab["toxic"] == 1, "anger").when(lab["quality"] == 1, "joy").otherwise("sadness")
+
+
+def sentiment_table(spark, sf_dir):
+    pre = _preprocessed(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels")
+    train = (pre.select("post_id", T.tokens(CL.sentiment_text(pre)).alias("toks"))
+                .join(lab.select(F.col("doc_id").cast("string").alias("post_id"),
+                                 _sentiment_class(lab).alias("label")), "post_id"))
+    w = CL.fit_naive_bayes(train, "toks", "label", CL.SENTIMENT_LABELS)
+    return CL.sentiment(pre, w)
+
+
+def emotion_table(spark, sf_dir):
+    posts = document_posts(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels")
+    text = T.strip_ws(T.join_parts(F.col("title"), F.col("body")))
+    train = (posts.select("id", T.tokens(text).alias("toks"))
+                  .join(lab.select(F.col("doc_id").cast("string").alias("id"),
+                                   _emotion_class(lab).alias("label")), "id"))
+    w = CL.fit_naive_bayes(train, "toks", "label", EMOTION_PROXY)
+    return CL.emotion(posts.select("id", "subreddit", "title", "body"), w, EMOTION_PROXY, key="id")
+
+
+def _sql_nb(train: str, score: str, labels, decimals: int | None) -> str:
+    """Naive Bayes train + score in SQL: ``train(y int, toks)``,
+    ``score(post_id, toks)`` CTE names; returns CTEs ending in ``nb``."""
+    k = len(labels)
+    cs = ", ".join(f"count(*) FILTER (WHERE y = {i}) AS c{i}" for i in range(k))
+    ts = ", ".join(f"sum(c{i}) AS t{i}" for i in range(k))
+    ns = ", ".join(f"count(*) FILTER (WHERE y = {i}) AS n{i}" for i in range(k))
+    ws = ", ".join(f"ln(CAST(c{i} + 1 AS DOUBLE) / CAST(t{i} + v AS DOUBLE)) AS w{i}" for i in range(k))
+    bs = ", ".join(f"ln(CAST(n{i} AS DOUBLE) / CAST(n AS DOUBLE)) AS w{i}" for i in range(k))
+    ls = ", ".join(f"sum(w{i}) AS l{i}" for i in range(k))
+    mx = "greatest(" + ", ".join(f"l{i}" for i in range(k)) + ")"
+    es = ", ".join(f"exp(l{i} - {mx}) AS e{i}" for i in range(k))
+    tot = " + ".join(f"e{i}" for i in range(k))
+    ps = ", ".join(f"e{i} / ({tot}) AS p{i}" for i in range(k))
+    best = "greatest(" + ", ".join(f"p{i}" for i in range(k)) + ")"
+    case = " ".join(f"WHEN p{i} = {best} THEN {S.q(lab)}" for i, lab in enumerate(labels))
+
+    def r(x):
+        return f"round({x}, {decimals})" if decimals is not None else x
+    outs = ", ".join(f"{r(f'p{i}')} AS p_{lab.lower()}" for i, lab in enumerate(labels))
+    return f"""
+tk AS (SELECT y, unnest(toks) AS term FROM {train}),
+cnt AS (SELECT term, {cs} FROM tk WHERE term IS NOT NULL AND term <> '' GROUP BY term),
+tot AS (SELECT count(*) AS v, {ts} FROM cnt),
+pri AS (SELECT count(*) AS n, {ns} FROM {train}),
+w AS (SELECT term, {ws} FROM cnt, tot UNION ALL SELECT '' AS term, {bs} FROM pri),
+sc AS (SELECT post_id, unnest(list_prepend('', toks)) AS term FROM {score}),
+ag AS (SELECT post_id, {ls} FROM sc JOIN w USING (term) GROUP BY post_id),
+ex AS (SELECT post_id, {es} FROM ag),
+pr AS (SELECT post_id, {ps} FROM ex),
+nb AS (SELECT post_id, CASE {case} END AS label, {r(best)} AS score, {outs} FROM pr)"""
+
+
+_SQL_SENT_BASE = f"""WITH {_SQL_PRE},
+st AS (SELECT post_id, coalesce(nullif(cleaned_text, ''), {S.strip_ws("coalesce(title, '')")}) AS t FROM pre),
+stt AS (SELECT post_id, t, {S.tokens('t')} AS toks FROM st WHERE length(t) >= 3),
+trn AS (SELECT CASE WHEN l.toxic = 1 THEN 0 WHEN l.quality = 1 THEN 2 ELSE 1 END AS y, {S.tokens('st.t')} AS toks
+        FROM st JOIN labels l ON st.post_id = CAST(l.doc_id AS VARCHAR)),
+{_sql_nb('trn', 'stt', CL.SENTIMENT_LABELS, None)}"""
+
+
+@register("sentiment", _SQL_SENT_BASE + """
+SELECT stt.post_id, substr(stt.t, 1, 500) AS text_analyzed, nb.label, round(nb.score, 4) AS score,
+       round(p_negative, 4) AS p_negative, round(p_neutral, 4) AS p_neutral, round(p_positive, 4) AS p_positive
+FROM stt JOIN nb USING (post_id)""")
+def q_sentiment(spark, sf_dir):
+    s = sentiment_table(spark, sf_dir)
+    return s.select("post_id", "text_analyzed", F.col("sentiment.label").alias("label"),
+                    F.round("sentiment.score", 4).alias("score"),
+                    *[F.round(F.col("sentiment.scores")[x], 4).alias(f"p_{x.lower()}")
+                      for x in CL.SENTIMENT_LABELS])
+
+
+_SQL_EMO_BASE = f"""WITH et AS (
+  SELECT id AS post_id, subreddit,
+         {S.strip_ws("concat_ws(' ', nullif(title, ''), nullif(body, ''))")} AS t FROM ({SQL_DOCUMENT_POSTS})),
+ett AS (SELECT post_id, subreddit, t, {S.tokens('t')} AS toks FROM et WHERE {S.word_count('t')} >= 3),
+etr AS (SELECT CASE WHEN l.toxic = 1 THEN 2 WHEN l.quality = 1 THEN 0 ELSE 1 END AS y, {S.tokens('et.t')} AS toks
+        FROM et JOIN labels l ON et.post_id = CAST(l.doc_id AS VARCHAR)),
+{_sql_nb('etr', 'ett', EMOTION_PROXY, 4)}"""
+
+
+@register("emotion", _SQL_EMO_BASE + """
+SELECT ett.post_id, ett.subreddit, nb.label, nb.score, p_joy, p_sadness, p_anger
+FROM ett JOIN nb USING (post_id)""")
+def q_emotion(spark, sf_dir):
+    e = emotion_table(spark, sf_dir)
+    return e.select(F.col("id").alias("post_id"), "subreddit", F.col("emotion.label").alias("label"),
+                    F.col("emotion.score").alias("score"),
+                    *[F.col("emotion.scores")[x].alias(f"p_{x}") for x in EMOTION_PROXY])
