@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import classify as CL
+from ..operators import entities as EN
 from ..operators import flags as FL
 from ..operators import keywords as K
 from ..operators import topics as TP
 from ..sources.tables import SQL_DOCUMENT_POSTS, document_posts, table
 from . import sql as S
+from ..session import cut_lineage
 from .preprocess import preprocess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,8 +48,8 @@ def _keyword_table(spark, sf_dir):
     return K.enrich_keywords(document_posts(spark, sf_dir))
 
 
-_SQL_KEYWORDS = f"""
-WITH p AS ({SQL_DOCUMENT_POSTS}),
+KW_CTES = f"""
+p AS ({SQL_DOCUMENT_POSTS}),
 c AS (SELECT id, subreddit, title, body, {S.build_content('title', 'body')} AS content FROM p),
 t AS (SELECT id, {S.tokens('content')} AS toks FROM c),
 u AS (SELECT id, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos FROM t),
@@ -61,6 +63,7 @@ kt AS (
          kw.keywords
   FROM c LEFT JOIN kw ON kw.id = c.id)
 """
+_SQL_KEYWORDS = "WITH " + KW_CTES
 
 
 @register("keywords_per_post", _SQL_KEYWORDS + """
@@ -199,15 +202,15 @@ def _sql_flags(patterns, base: str) -> str:
 s0 AS (SELECT post_id, t, lower(t) AS lc, {S.word_count('t')} AS wc,
               {S.strip_ws('t')} = '' AS blank FROM {base}),
 s1 AS (SELECT *, {', '.join(ms)} FROM s0),
-s2 AS (SELECT post_id, t, wc, blank, {', '.join(scores)} FROM s1)
-SELECT post_id,
+s2 AS (SELECT post_id, t, wc, blank, {', '.join(scores)} FROM s1),
+fl AS (SELECT post_id,
        (NOT blank AND ({spam})) AS spam,
        (NOT blank AND ({off})) AS offensive,
        (NOT blank AND ({spam})) AS promotional,
        (NOT blank AND contains(t, '?')) AS question,
        (NOT blank AND wc > {FL.DISCUSSION_WORDS}) AS discussion,
        {', '.join('score_' + c for c in cats)}
-FROM s2"""
+FROM s2)"""
 
 
 def _flags_query(patterns):
@@ -223,7 +226,8 @@ def _flags_query(patterns):
 _SQL_FLAG_TEXT = """
 ft AS (SELECT post_id, coalesce(nullif(cleaned_text, ''), nullif(translated_text, ''), '') AS t FROM pre),"""
 
-register("behaviour_flags", f"WITH {_SQL_PRE},{_SQL_FLAG_TEXT}" + _sql_flags(FL.FLAG_PATTERNS, "ft"))(
+FLAG_CTES = _SQL_FLAG_TEXT + _sql_flags(FL.FLAG_PATTERNS, "ft")
+register("behaviour_flags", f"WITH {_SQL_PRE},{FLAG_CTES} SELECT * FROM fl")(
     _flags_query(FL.FLAG_PATTERNS))
 
 # A pattern lexicon made of frequent words of the driver's documents, so the
@@ -238,7 +242,7 @@ DATA_PATTERNS = (
     ("bot_like", (r"\b(?:en|el)\b", r"\b(?:an|ea)\w+\b")),
 )
 register("behaviour_flags_data_lexicon",
-         f"WITH {_SQL_PRE},{_SQL_FLAG_TEXT}" + _sql_flags(DATA_PATTERNS, "ft"))(
+         f"WITH {_SQL_PRE},{_SQL_FLAG_TEXT}" + _sql_flags(DATA_PATTERNS, "ft") + " SELECT * FROM fl")(
     _flags_query(DATA_PATTERNS))
 
 
@@ -255,15 +259,18 @@ tt AS (SELECT id AS post_id, subreddit,
               {S.strip_ws("concat_ws(' ', nullif(title, ''), nullif(body, ''))")} AS t FROM ({SQL_DOCUMENT_POSTS})),
 t1 AS (SELECT post_id, subreddit, lower(t) AS lc FROM tt WHERE t <> ''),
 t2 AS (SELECT post_id, subreddit, lc, {', '.join(hs)} FROM t1),
-t3 AS (SELECT *, {best} AS best FROM t2)
-SELECT post_id, subreddit,
+t3 AS (SELECT *, {best} AS best FROM t2),
+tp AS (SELECT post_id, subreddit,
        CASE WHEN {S.strip_ws('lc')} = '' OR best = 0 THEN 'other' ELSE CASE {case} END END AS topic_label,
        CASE WHEN {S.strip_ws('lc')} = '' OR best = 0 THEN 0.0
             ELSE round(least(1.0, best / {float(max_len)}), 3) END AS topic_score
-FROM t3"""
+FROM t3)"""
+
 
+TOPIC_CTES = _sql_topics(TP.TOPIC_LEXICON)
 
-@register("topics", "WITH " + _sql_topics(TP.TOPIC_LEXICON))
+
+@register("topics", f"WITH {TOPIC_CTES} SELECT * FROM tp")
 def q_topics(spark, sf_dir):
     t = TP.topic_detect(document_posts(spark, sf_dir))
     return t.select(F.col("id").alias("post_id"), "subreddit",
@@ -290,7 +297,9 @@ def _emotion_class(lab):
 
 
 def sentiment_table(spark, sf_dir):
-    pre = _preprocessed(spark, sf_dir)
+    # the preprocessed table feeds both training and scoring: materialise it
+    # once in the shared checkpoint directory
+    pre = cut_lineage(_preprocessed(spark, sf_dir))
     lab = table(spark, sf_dir, "labels")
     train = (pre.select("post_id", T.tokens(CL.sentiment_text(pre)).alias("toks"))
                 .join(lab.select(F.col("doc_id").cast("string").alias("post_id"),
@@ -310,9 +319,10 @@ def emotion_table(spark, sf_dir):
     return CL.emotion(posts.select("id", "subreddit", "title", "body"), w, EMOTION_PROXY, key="id")
 
 
-def _sql_nb(train: str, score: str, labels, decimals: int | None) -> str:
+def _sql_nb(train: str, score: str, labels, decimals: int | None, x: str = "") -> str:
     """Naive Bayes train + score in SQL: ``train(y int, toks)``,
-    ``score(post_id, toks)`` CTE names; returns CTEs ending in ``nb``."""
+    ``score(post_id, toks)`` CTE names; returns CTEs (names prefixed by
+    ``x``) ending in ``{x}nb``."""
     k = len(labels)
     cs = ", ".join(f"count(*) FILTER (WHERE y = {i}) AS c{i}" for i in range(k))
     ts = ", ".join(f"sum(c{i}) AS t{i}" for i in range(k))
@@ -331,30 +341,32 @@ def _sql_nb(train: str, score: str, labels, decimals: int | None) -> str:
         return f"round({x}, {decimals})" if decimals is not None else x
     outs = ", ".join(f"{r(f'p{i}')} AS p_{lab.lower()}" for i, lab in enumerate(labels))
     return f"""
-tk AS (SELECT y, unnest(toks) AS term FROM {train}),
-cnt AS (SELECT term, {cs} FROM tk WHERE term IS NOT NULL AND term <> '' GROUP BY term),
-tot AS (SELECT count(*) AS v, {ts} FROM cnt),
-pri AS (SELECT count(*) AS n, {ns} FROM {train}),
-w AS (SELECT term, {ws} FROM cnt, tot UNION ALL SELECT '' AS term, {bs} FROM pri),
-sc AS (SELECT post_id, unnest(list_prepend('', toks)) AS term FROM {score}),
-ag AS (SELECT post_id, {ls} FROM sc JOIN w USING (term) GROUP BY post_id),
-ex AS (SELECT post_id, {es} FROM ag),
-pr AS (SELECT post_id, {ps} FROM ex),
-nb AS (SELECT post_id, CASE {case} END AS label, {r(best)} AS score, {outs} FROM pr)"""
-
-
-_SQL_SENT_BASE = f"""WITH {_SQL_PRE},
+{x}tk AS (SELECT y, unnest(toks) AS term FROM {train}),
+{x}cnt AS (SELECT term, {cs} FROM {x}tk WHERE term IS NOT NULL AND term <> '' GROUP BY term),
+{x}tot AS (SELECT count(*) AS v, {ts} FROM {x}cnt),
+{x}pri AS (SELECT count(*) AS n, {ns} FROM {train}),
+{x}w AS (SELECT term, {ws} FROM {x}cnt, {x}tot UNION ALL SELECT '' AS term, {bs} FROM {x}pri),
+{x}sc AS (SELECT post_id, unnest(list_prepend('', toks)) AS term FROM {score}),
+{x}ag AS (SELECT post_id, {ls} FROM {x}sc JOIN {x}w USING (term) GROUP BY post_id),
+{x}ex AS (SELECT post_id, {es} FROM {x}ag),
+{x}pr AS (SELECT post_id, {ps} FROM {x}ex),
+{x}nb AS (SELECT post_id, CASE {case} END AS label, {r(best)} AS score, {outs} FROM {x}pr)"""
+
+
+SENT_CTES = f"""
 st AS (SELECT post_id, coalesce(nullif(cleaned_text, ''), {S.strip_ws("coalesce(title, '')")}) AS t FROM pre),
 stt AS (SELECT post_id, t, {S.tokens('t')} AS toks FROM st WHERE length(t) >= 3),
 trn AS (SELECT CASE WHEN l.toxic = 1 THEN 0 WHEN l.quality = 1 THEN 2 ELSE 1 END AS y, {S.tokens('st.t')} AS toks
         FROM st JOIN labels l ON st.post_id = CAST(l.doc_id AS VARCHAR)),
-{_sql_nb('trn', 'stt', CL.SENTIMENT_LABELS, None)}"""
+{_sql_nb('trn', 'stt', CL.SENTIMENT_LABELS, None, 's_')},
+sent AS (SELECT stt.post_id, substr(stt.t, 1, 500) AS text_analyzed, s_nb.label, s_nb.score,
+                p_negative, p_neutral, p_positive FROM stt JOIN s_nb USING (post_id))"""
 
 
-@register("sentiment", _SQL_SENT_BASE + """
-SELECT stt.post_id, substr(stt.t, 1, 500) AS text_analyzed, nb.label, round(nb.score, 4) AS score,
+@register("sentiment", f"WITH {_SQL_PRE}, {SENT_CTES}" + """
+SELECT post_id, text_analyzed, label, round(score, 4) AS score,
        round(p_negative, 4) AS p_negative, round(p_neutral, 4) AS p_neutral, round(p_positive, 4) AS p_positive
-FROM stt JOIN nb USING (post_id)""")
+FROM sent""")
 def q_sentiment(spark, sf_dir):
     s = sentiment_table(spark, sf_dir)
     return s.select("post_id", "text_analyzed", F.col("sentiment.label").alias("label"),
@@ -363,20 +375,72 @@ def q_sentiment(spark, sf_dir):
                       for x in CL.SENTIMENT_LABELS])
 
 
-_SQL_EMO_BASE = f"""WITH et AS (
+EMO_CTES = f"""
+et AS (
   SELECT id AS post_id, subreddit,
          {S.strip_ws("concat_ws(' ', nullif(title, ''), nullif(body, ''))")} AS t FROM ({SQL_DOCUMENT_POSTS})),
 ett AS (SELECT post_id, subreddit, t, {S.tokens('t')} AS toks FROM et WHERE {S.word_count('t')} >= 3),
 etr AS (SELECT CASE WHEN l.toxic = 1 THEN 2 WHEN l.quality = 1 THEN 0 ELSE 1 END AS y, {S.tokens('et.t')} AS toks
         FROM et JOIN labels l ON et.post_id = CAST(l.doc_id AS VARCHAR)),
-{_sql_nb('etr', 'ett', EMOTION_PROXY, 4)}"""
+{_sql_nb('etr', 'ett', EMOTION_PROXY, 4, 'e_')},
+emo AS (SELECT ett.post_id, ett.subreddit, e_nb.label, e_nb.score, p_joy, p_sadness, p_anger
+        FROM ett JOIN e_nb USING (post_id))"""
 
 
-@register("emotion", _SQL_EMO_BASE + """
-SELECT ett.post_id, ett.subreddit, nb.label, nb.score, p_joy, p_sadness, p_anger
-FROM ett JOIN nb USING (post_id)""")
+@register("emotion", f"WITH {EMO_CTES}" + """
+SELECT post_id, subreddit, label, score, p_joy, p_sadness, p_anger FROM emo""")
 def q_emotion(spark, sf_dir):
     e = emotion_table(spark, sf_dir)
     return e.select(F.col("id").alias("post_id"), "subreddit", F.col("emotion.label").alias("label"),
                     F.col("emotion.score").alias("score"),
                     *[F.col("emotion.scores")[x].alias(f"p_{x}") for x in EMOTION_PROXY])
+
+
+# --------------------------------------------------------------------------
+# Entities (C12-C14): gazetteer and KB derived from driver tables --
+# benchmark passages (their first three words, WORK_OF_ART), nations (GPE),
+# regions (LOC), part names (PRODUCT).
+# --------------------------------------------------------------------------
+
+def gazetteer_and_kb(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark")
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"\S+"), 0)
+    bench = b.select(F.array_join(F.slice(words, 1, 3), " ").alias("alias"),
+                     F.lit("WORK_OF_ART").alias("type"),
+                     F.concat(F.lit("B"), F.col("item_id").cast("string")).alias("kb_id"),
+                     F.array_join(F.slice(words, 1, 5), " ").alias("title"),
+                     F.col("item_id").alias("page_id"), F.col("text").alias("snippet"))
+    n = table(spark, sf_dir, "nation")
+    nat = n.select(F.col("n_name").alias("alias"), F.lit("GPE").alias("type"),
+                   F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("kb_id"),
+                   F.col("n_name").alias("title"), F.col("n_nationkey").cast("long").alias("page_id"),
+                   F.concat(F.lit("<b>"), F.col("n_name"), F.lit("</b> nation")).alias("snippet"))
+    r = table(spark, sf_dir, "region")
+    reg = r.select(F.col("r_name").alias("alias"), F.lit("LOC").alias("type"),
+                   F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("kb_id"),
+                   F.col("r_name").alias("title"), F.col("r_regionkey").cast("long").alias("page_id"),
+                   F.concat(F.lit("<b>"), F.col("r_name"), F.lit("</b> region")).alias("snippet"))
+    p = table(spark, sf_dir, "part")
+    prt = p.select(F.col("p_name").alias("alias"), F.lit("PRODUCT").alias("type"),
+                   F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("kb_id"),
+                   F.col("p_name").alias("title"), F.col("p_partkey").alias("page_id"),
+                   F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("snippet"))
+    allr = bench.unionByName(nat).unionByName(reg).unionByName(prt)
+    gaz = allr.select("alias", "type", "kb_id")
+    kb = allr.select("kb_id", F.col("alias").alias("name"), F.lit(1).alias("rank"), "title",
+                     "page_id", "snippet")
+    return gaz, kb
+
+
+def entities_table(spark, sf_dir):
+    gaz, kb = gazetteer_and_kb(spark, sf_dir)
+    return EN.entity_table(_preprocessed(spark, sf_dir), gaz, kb)
+
+
+@register("entities")
+def q_entities(spark, sf_dir):
+    e = entities_table(spark, sf_dir)
+    return e.select("post_id", "subreddit", "entity_count", "linked_entity_count",
+                    F.array_join(F.transform("linked_entities", lambda x: F.concat_ws(
+                        "|", x["entity"], x["type"], x["start"].cast("string"), x["end"].cast("string"),
+                        x["wikipedia"]["url"])), ",").alias("linked"))
