@@ -17,10 +17,12 @@ from ..operators import classify as CL
 from ..operators import entities as EN
 from ..operators import flags as FL
 from ..operators import keywords as K
+from ..operators import stats as ST
 from ..operators import topics as TP
-from ..sources.tables import SQL_DOCUMENT_POSTS, document_posts, table
+from ..sources.tables import SQL_DOCUMENT_POSTS, SQL_EVENT_POSTS, document_posts, event_posts, table
 from . import sql as S
 from ..session import cut_lineage
+from . import reporting as RP
 from .preprocess import preprocess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -444,3 +446,222 @@ def q_entities(spark, sf_dir):
                     F.array_join(F.transform("linked_entities", lambda x: F.concat_ws(
                         "|", x["entity"], x["type"], x["start"].cast("string"), x["end"].cast("string"),
                         x["wikipedia"]["url"])), ",").alias("linked"))
+
+
+# --------------------------------------------------------------------------
+# Statistics over the enrichment tables (G1-G6, G9-G14, G16, G19, G20) and
+# the per-post join (JN1).
+# --------------------------------------------------------------------------
+
+def topics_table(spark, sf_dir):
+    return TP.topic_detect(document_posts(spark, sf_dir))
+
+
+def flags_table(spark, sf_dir):
+    return FL.behaviour_flags(_preprocessed(spark, sf_dir))
+
+
+def _sql_label_stats(src: str, label: str, score: str | None, group: list[str] = (),
+                     avg_labels=None, decimals: int = 3, dominant: bool = False) -> str:
+    g = ", ".join(group)
+    gsel = (g + ", ") if group else ""
+    part = f"PARTITION BY {g}" if group else ""
+    sm = f", sum(coalesce({score}, 0.0)) AS sm" if score else ""
+    avg = ""
+    if score:
+        a = f"round(sm / count, {decimals})"
+        if avg_labels:
+            a = f"CASE WHEN label IN ({', '.join(S.q(x) for x in avg_labels)}) THEN {a} END"
+        avg = f", {a} AS average_confidence"
+    dom = ""
+    if dominant:
+        dom = (f", first(label ORDER BY count DESC, label) OVER ({part} ORDER BY count DESC, label "
+               f"ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS dominant")
+    return f"""
+la AS (SELECT {gsel}coalesce({label}, 'Unknown') AS label, count(*) AS count{sm} FROM {src} GROUP BY ALL),
+lb AS (SELECT *, CAST(sum(count) OVER ({part}) AS BIGINT) AS total FROM la)
+SELECT {gsel}label, count, round(count / total * 100, 2) AS percentage, total{avg}{dom} FROM lb"""
+
+
+def _label_query(table_fn, label, score, group=(), avg_labels=None, dominant=False):
+    def run(spark, sf_dir):
+        df = table_fn(spark, sf_dir)
+        st = ST.label_stats(df, F.col(label), F.col(score) if score else None, group=list(group),
+                            avg_labels=avg_labels)
+        if dominant:
+            st = st.join(ST.dominant(st, list(group)), list(group))
+        return st
+    return run
+
+
+register("overview_sentiment",
+         f"WITH {_SQL_PRE}, {SENT_CTES}, " + _sql_label_stats("sent", "label", "score", avg_labels=CL.SENTIMENT_LABELS))(
+    _label_query(sentiment_table, "sentiment.label", "sentiment.score", avg_labels=CL.SENTIMENT_LABELS))
+register("overview_emotion", f"WITH {EMO_CTES}, " + _sql_label_stats("emo", "label", "score"))(
+    _label_query(emotion_table, "emotion.label", "emotion.score"))
+register("overview_topics", f"WITH {TOPIC_CTES}, " + _sql_label_stats("tp", "topic_label", None))(
+    _label_query(topics_table, "topic.label", None))
+register("community_sentiment",
+         f"WITH {_SQL_PRE}, {SENT_CTES}, sent2 AS (SELECT sent.*, pre.subreddit FROM sent JOIN pre USING (post_id)), "
+         + _sql_label_stats("sent2", "label", "score", ["subreddit"], CL.SENTIMENT_LABELS, dominant=True))(
+    _label_query(lambda s, d: sentiment_table(s, d), "sentiment.label", "sentiment.score", ["subreddit"],
+                 CL.SENTIMENT_LABELS, dominant=True))
+register("community_emotion",
+         f"WITH {EMO_CTES}, " + _sql_label_stats("emo", "label", "score", ["subreddit"], dominant=True))(
+    _label_query(emotion_table, "emotion.label", "emotion.score", ["subreddit"], dominant=True))
+register("community_topics",
+         f"WITH {TOPIC_CTES}, " + _sql_label_stats("tp", "topic_label", None, ["subreddit"], dominant=True))(
+    _label_query(topics_table, "topic.label", None, ["subreddit"], dominant=True))
+
+
+def _sql_flag_stats(group: list[str] = ()) -> str:
+    g = ", ".join(group)
+    gsel = (g + ", ") if group else ""
+    gby = f"GROUP BY {g}" if group else ""
+    cnts = ", ".join(f"count(*) FILTER (WHERE {f}) AS {f}" for f in ST.FLAG_NAMES)
+    un = " UNION ALL ".join(f"SELECT {gsel}'{f}' AS flag, {f} AS count, total FROM fa" for f in ST.FLAG_NAMES)
+    return f"""
+fa AS (SELECT {gsel}count(*) AS total, {cnts} FROM flx {gby}),
+fu AS ({un})
+SELECT {gsel}flag, count, round(count / total * 100, 2) AS percentage, total FROM fu"""
+
+
+@register("overview_flags", f"WITH {_SQL_PRE},{FLAG_CTES}, flx AS (SELECT * FROM fl), " + _sql_flag_stats())
+def q_overview_flags(spark, sf_dir):
+    return ST.flag_stats(flags_table(spark, sf_dir))
+
+
+@register("community_flags",
+          f"WITH {_SQL_PRE},{FLAG_CTES}, flx AS (SELECT fl.*, pre.subreddit FROM fl JOIN pre USING (post_id)), "
+          + _sql_flag_stats(["subreddit"]))
+def q_community_flags(spark, sf_dir):
+    return ST.flag_stats(flags_table(spark, sf_dir), group=["subreddit"])
+
+
+@register("flags_first_5000",
+          f"WITH {_SQL_PRE},{FLAG_CTES}, flx AS (SELECT * FROM fl ORDER BY post_id LIMIT 5000), " + _sql_flag_stats())
+def q_flags_first_5000(spark, sf_dir):
+    f = flags_table(spark, sf_dir)
+    return ST.flag_stats(f.orderBy("post_id").limit(5000))
+
+
+def _sql_term_totals(group: list[str] = ()) -> str:
+    g = ", ".join(group)
+    gsel = (g + ", ") if group else ""
+    gby = f"GROUP BY {g}" if group else ""
+    return f"""
+ta AS (SELECT {gsel}count(*) AS total_posts, CAST(sum(coalesce(len(keywords), 0)) AS BIGINT) AS total_keywords,
+              CAST(sum(coalesce(len(hashtags), 0)) AS BIGINT) AS total_hashtags FROM kt {gby})
+SELECT {gsel}total_posts, total_keywords, total_hashtags,
+       round(total_keywords / total_posts, 2) AS avg_keywords_per_post,
+       round(total_hashtags / total_posts, 2) AS avg_hashtags_per_post FROM ta"""
+
+
+@register("overview_keywords", f"WITH {KW_CTES}, " + _sql_term_totals())
+def q_overview_keywords(spark, sf_dir):
+    return ST.term_totals(_keyword_table(spark, sf_dir))
+
+
+@register("community_keyword_totals", f"WITH {KW_CTES}, " + _sql_term_totals(["subreddit"]))
+def q_community_keyword_totals(spark, sf_dir):
+    return ST.term_totals(_keyword_table(spark, sf_dir), group=["subreddit"])
+
+
+@register("community_metadata", f"""
+WITH e AS ({SQL_EVENT_POSTS}),
+a AS (SELECT subreddit, count(*) AS total_posts,
+             count(DISTINCT CASE WHEN author <> '' THEN author END) AS unique_authors,
+             sum(coalesce(score, 0)) AS total_score, CAST(0 AS BIGINT) AS total_comments
+      FROM e GROUP BY subreddit)
+SELECT subreddit, 'r/' || subreddit AS subreddit_name, total_posts, unique_authors,
+       round(total_score / total_posts, 2) AS avg_score, round(total_comments / total_posts, 2) AS avg_comments,
+       round(total_score, 2) AS total_score, total_comments FROM a""")
+def q_community_metadata(spark, sf_dir):
+    m = ST.community_metadata(event_posts(spark, sf_dir))
+    return m.withColumn("total_score", F.round("total_score", 2))
+
+
+def core_post_summaries(spark, sf_dir):
+    """JN1 over the six SQL-checkable parts (entities excluded)."""
+    return RP.post_summaries(
+        _preprocessed(spark, sf_dir), sentiment=sentiment_table(spark, sf_dir),
+        emotion=emotion_table(spark, sf_dir), keywords=_keyword_table(spark, sf_dir),
+        topics=topics_table(spark, sf_dir), flags=flags_table(spark, sf_dir))
+
+
+def full_post_summaries(spark, sf_dir):
+    return RP.post_summaries(
+        _preprocessed(spark, sf_dir), sentiment=sentiment_table(spark, sf_dir),
+        entities=entities_table(spark, sf_dir), emotion=emotion_table(spark, sf_dir),
+        keywords=_keyword_table(spark, sf_dir), topics=topics_table(spark, sf_dir),
+        flags=flags_table(spark, sf_dir))
+
+
+def _flat_summary(ps):
+    n = "nlp_results"
+    return ps.select(
+        "post_id", "title", "subreddit", "author", F.col("score").cast("long").alias("score"),
+        F.col("num_comments").cast("long").alias("num_comments"), "permalink", "url",
+        F.col(f"{n}.sentiment_analysis.label").alias("sentiment_label"),
+        F.round(f"{n}.sentiment_analysis.confidence", 4).alias("sentiment_confidence"),
+        F.col(f"{n}.emotion_detection.label").alias("emotion_label"),
+        F.col(f"{n}.emotion_detection.confidence").alias("emotion_confidence"),
+        F.col(f"{n}.keywords_hashtags.keyword_count").cast("long").alias("keyword_count"),
+        F.col(f"{n}.keywords_hashtags.hashtag_count").cast("long").alias("hashtag_count"),
+        F.col(f"{n}.topic_classification.label").alias("topic_label"),
+        F.col(f"{n}.topic_classification.confidence").alias("topic_confidence"),
+        *[F.col(f"{n}.behavior_flags.{f}").alias(f) for f in ST.FLAG_NAMES])
+
+
+CORE_PS_CTES = f"""{_SQL_PRE}, {SENT_CTES}, {EMO_CTES}, {KW_CTES}, {TOPIC_CTES}, {FLAG_CTES},
+ps AS (
+  SELECT pre.post_id, coalesce(pre.title, 'N/A') AS title, coalesce(pre.subreddit, 'unknown') AS subreddit,
+         'unknown' AS author, CAST(0 AS BIGINT) AS score, CAST(0 AS BIGINT) AS num_comments,
+         '' AS permalink, '' AS url,
+         sent.label AS sentiment_label, round(sent.score, 4) AS sentiment_confidence,
+         emo.label AS emotion_label, emo.score AS emotion_confidence,
+         CAST(CASE WHEN kt.post_id IS NOT NULL THEN coalesce(len(kt.keywords), 0) END AS BIGINT) AS keyword_count,
+         CAST(CASE WHEN kt.post_id IS NOT NULL THEN coalesce(len(kt.hashtags), 0) END AS BIGINT) AS hashtag_count,
+         tp.topic_label, tp.topic_score AS topic_confidence,
+         {', '.join('fl.' + f for f in ST.FLAG_NAMES)}
+  FROM pre LEFT JOIN sent USING (post_id) LEFT JOIN emo USING (post_id)
+           LEFT JOIN kt USING (post_id) LEFT JOIN tp USING (post_id) LEFT JOIN fl USING (post_id))"""
+
+
+@register("post_summaries_core", f"WITH {CORE_PS_CTES} SELECT * FROM ps")
+def q_post_summaries_core(spark, sf_dir):
+    return _flat_summary(core_post_summaries(spark, sf_dir))
+
+
+@register("post_summaries")
+def q_post_summaries(spark, sf_dir):
+    ps = full_post_summaries(spark, sf_dir)
+    return _flat_summary(ps).join(ps.select(
+        "post_id", F.col("nlp_results.named_entities.entity_count").cast("long").alias("entity_count"),
+        F.col("nlp_results.named_entities.linked_count").cast("long").alias("linked_count")), "post_id")
+
+
+def _map_str(c):
+    return F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit(":"),
+                                                                           e["value"].cast("string"))), ",")
+
+
+def _sql_top5(col: str) -> str:
+    return (f"(SELECT string_agg(label || ':' || CAST(n AS VARCHAR), ',' ORDER BY n DESC, label) FROM "
+            f"(SELECT coalesce({col}, 'Unknown') AS label, count(*) AS n FROM ps GROUP BY 1 "
+            f"ORDER BY n DESC, label LIMIT 5))")
+
+
+@register("dashboard_stats", f"""WITH {CORE_PS_CTES}
+SELECT (SELECT count(*) FROM ps) AS total_posts,
+       {_sql_top5('sentiment_label')} AS sentiment_distribution,
+       {_sql_top5('emotion_label')} AS emotion_distribution,
+       {_sql_top5('topic_label')} AS topic_distribution,
+       (SELECT count(*) FILTER (WHERE coalesce(spam, false)) FROM ps) AS spam_count,
+       (SELECT count(*) FILTER (WHERE coalesce(offensive, false)) FROM ps) AS offensive_count""")
+def q_dashboard_stats(spark, sf_dir):
+    d = RP.dashboard_stats(core_post_summaries(spark, sf_dir))
+    return d.select("total_posts", _map_str(F.col("sentiment_distribution")).alias("sentiment_distribution"),
+                    _map_str(F.col("emotion_distribution")).alias("emotion_distribution"),
+                    _map_str(F.col("topic_distribution")).alias("topic_distribution"),
+                    "spam_count", "offensive_count")

@@ -113,19 +113,16 @@ def sort_summaries(ps: DataFrame) -> DataFrame:
 def dashboard_stats(ps: DataFrame, k: int = 5) -> DataFrame:
     """One row -- total posts, top-5 sentiment / emotion / topic labels
     (missing part -> 'Unknown'), spam and offensive counts."""
-    def top(label):
-        return (ps.select(F.coalesce(label, F.lit(ST.UNKNOWN_LABEL)).alias("label"))
-                  .groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-                  .withColumn("__r", F.row_number().over(
-                      Window.partitionBy(F.lit(1)).orderBy(F.col("n").desc(), F.col("label").asc())))
-                  .where(F.col("__r") <= k)
-                  .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("__r", "label", "n"))).cast(
-                      "array<struct<r:int,label:string,n:bigint>>")).alias("m")))
-
     def mapped(label, name):
-        t = top(label)
-        return t.select(F.map_from_entries(F.transform(F.map_values(F.col("m")),
-                                                       lambda x: F.struct(x["label"], x["n"]))).alias(name))
+        ranked = (ps.select(F.coalesce(label, F.lit(ST.UNKNOWN_LABEL)).alias("label"))
+                    .groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("r", F.row_number().over(
+                        Window.partitionBy(F.lit(1)).orderBy(F.col("n").desc(), F.col("label").asc())))
+                    .where(F.col("r") <= k))
+        return ranked.agg(F.map_from_entries(F.transform(
+            F.array_sort(F.collect_list(F.struct("r", "label", "n"))),
+            lambda x: F.struct(x["label"], x["n"]))).alias(name))
+
     tot = ps.agg(F.count(F.lit(1)).alias("total_posts"),
                  F.count_if(F.coalesce(F.col("nlp_results.behavior_flags.spam"), F.lit(False))).alias("spam_count"),
                  F.count_if(F.coalesce(F.col("nlp_results.behavior_flags.offensive"), F.lit(False))).alias("offensive_count"))
