@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import classify as CL
+from ..operators import eda as EDA
 from ..operators import entities as EN
 from ..operators import flags as FL
 from ..operators import keywords as K
@@ -665,3 +666,113 @@ def q_dashboard_stats(spark, sf_dir):
                     _map_str(F.col("emotion_distribution")).alias("emotion_distribution"),
                     _map_str(F.col("topic_distribution")).alias("topic_distribution"),
                     "spam_count", "offensive_count")
+
+
+# --------------------------------------------------------------------------
+# Exploratory statistics on events (author = user, community = event type,
+# score = value) and documents
+# --------------------------------------------------------------------------
+
+@register("dataset_profile", f"""WITH e AS ({SQL_EVENT_POSTS})
+SELECT strftime(min(created_utc), '%Y-%m-%dT%H:%M:%SZ') AS first_post,
+       strftime(max(created_utc), '%Y-%m-%dT%H:%M:%SZ') AS last_post,
+       count(DISTINCT subreddit) AS unique_communities, count(DISTINCT author) AS unique_authors,
+       count(*) AS total_posts FROM e""")
+def q_dataset_profile(spark, sf_dir):
+    p = EDA.dataset_profile(event_posts(spark, sf_dir))
+    return p.select(EDA.iso_z(F.col("first_post")).alias("first_post"),
+                    EDA.iso_z(F.col("last_post")).alias("last_post"),
+                    "unique_communities", "unique_authors", "total_posts")
+
+
+@register("posts_by_community", f"""WITH e AS ({SQL_EVENT_POSTS})
+SELECT subreddit, count(*) AS count FROM e GROUP BY subreddit ORDER BY count DESC, subreddit LIMIT 10""")
+def q_posts_by_community(spark, sf_dir):
+    return EDA.counts_by(event_posts(spark, sf_dir), "subreddit", "subreddit", k=10)
+
+
+@register("top_authors", f"""WITH e AS ({SQL_EVENT_POSTS})
+SELECT author, count(*) AS count FROM e GROUP BY author ORDER BY count DESC, author LIMIT 15""")
+def q_top_authors(spark, sf_dir):
+    return EDA.counts_by(event_posts(spark, sf_dir), "author", "author", k=15)
+
+
+@register("posts_by_hour", f"""WITH e AS ({SQL_EVENT_POSTS})
+SELECT CAST(hour(created_utc) AS BIGINT) AS hour, count(*) AS count FROM e GROUP BY 1""")
+def q_posts_by_hour(spark, sf_dir):
+    e = EDA.time_parts(event_posts(spark, sf_dir))
+    return EDA.counts_by(e, "hour", "hour")
+
+
+@register("posts_by_weekday", f"""WITH e AS ({SQL_EVENT_POSTS}),
+c AS (SELECT dayname(created_utc) AS day_of_week, count(*) AS count FROM e GROUP BY 1),
+axis AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{d}')" for i, d in enumerate(EDA.WEEKDAYS))}) AS v(day_index, day_of_week))
+SELECT CAST(day_index AS INTEGER) AS day_index, axis.day_of_week, c.count FROM axis LEFT JOIN c USING (day_of_week)""")
+def q_posts_by_weekday(spark, sf_dir):
+    return EDA.weekday_counts(spark, event_posts(spark, sf_dir))
+
+
+@register("event_time_parts", f"""WITH e AS ({SQL_EVENT_POSTS}),
+s AS (SELECT id, strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS iso,
+             CAST(epoch(date_trunc('second', created_utc)) AS BIGINT) AS secs FROM e)
+SELECT id, iso, CAST(hour(CAST(iso[1:19] AS TIMESTAMP)) AS BIGINT) AS hour,
+       dayname(CAST(iso[1:19] AS TIMESTAMP)) AS day_of_week,
+       (to_timestamp(secs) AT TIME ZONE 'UTC') = CAST(iso[1:19] AS TIMESTAMP) AS same_instant FROM s""")
+def q_event_time_parts(spark, sf_dir):
+    e = event_posts(spark, sf_dir).select("id", EDA.iso_z(F.col("created_utc")).alias("iso"),
+                                          F.unix_timestamp(F.col("created_utc").cast("timestamp")).alias("secs"))
+    p = e.select("id", "iso", EDA.parse_time(F.col("iso")).alias("t1"),
+                 EDA.parse_time(F.col("secs")).alias("t2"))
+    return p.select("id", "iso", F.hour("t1").cast("long").alias("hour"),
+                    F.date_format("t1", "EEEE").alias("day_of_week"),
+                    (F.col("t1") == F.col("t2")).alias("same_instant"))
+
+
+@register("text_length_histogram", f"""WITH p AS ({SQL_DOCUMENT_POSTS}),
+x AS (SELECT CAST(coalesce(length(title), 0) + coalesce(length(body), 0) AS DOUBLE) AS x FROM p),
+c AS (SELECT quantile_cont(x, 0.95) AS cut FROM x),
+k AS (SELECT x FROM x, c WHERE x < cut),
+r AS (SELECT min(x) AS mn, max(x) AS mx, avg(x) AS mean FROM k),
+b AS (SELECT CASE WHEN mx = mn THEN 0 ELSE least(49, CAST(floor((x - mn) * 50.0 / (mx - mn)) AS INTEGER)) END AS bin,
+             mn, mx, mean FROM k, r)
+SELECT CAST(bin AS BIGINT) AS bin, round(mn + bin * ((mx - mn) / 50), 6) AS lower,
+       round(mn + (bin + 1) * ((mx - mn) / 50), 6) AS upper, count(*) AS count, round(mean, 6) AS mean
+FROM b GROUP BY bin, mn, mx, mean""")
+def q_text_length_histogram(spark, sf_dir):
+    p = document_posts(spark, sf_dir).select(EDA.text_length(F.col("title"), F.col("body")).alias("len"))
+    return EDA.trimmed_histogram(p, "len")
+
+
+@register("score_histogram", f"""WITH x AS (SELECT CAST(value AS DOUBLE) AS x FROM events WHERE value IS NOT NULL),
+c AS (SELECT quantile_cont(x, 0.95) AS cut FROM x),
+k AS (SELECT x FROM x, c WHERE x < cut),
+r AS (SELECT min(x) AS mn, max(x) AS mx, avg(x) AS mean FROM k),
+b AS (SELECT CASE WHEN mx = mn THEN 0 ELSE least(49, CAST(floor((x - mn) * 50.0 / (mx - mn)) AS INTEGER)) END AS bin,
+             mn, mx, mean FROM k, r)
+SELECT CAST(bin AS BIGINT) AS bin, round(mn + bin * ((mx - mn) / 50), 6) AS lower,
+       round(mn + (bin + 1) * ((mx - mn) / 50), 6) AS upper, count(*) AS count, round(mean, 6) AS mean
+FROM b GROUP BY bin, mn, mx, mean""")
+def q_score_histogram(spark, sf_dir):
+    return EDA.trimmed_histogram(table(spark, sf_dir, "events"), "value")
+
+
+@register("title_word_frequencies", f"""WITH p AS ({SQL_DOCUMENT_POSTS}),
+w AS (SELECT unnest({S.tokens('title')}) AS word FROM p),
+n AS (SELECT word, count(*) AS count FROM w WHERE word <> '' GROUP BY word)
+SELECT word, count, rank FROM (SELECT *, row_number() OVER (ORDER BY count DESC, word) AS rank FROM n)
+WHERE rank <= 100""")
+def q_title_word_frequencies(spark, sf_dir):
+    p = document_posts(spark, sf_dir).select(T.tokens(F.col("title")).alias("w"))
+    return K.top_terms(p, "w", n=100, term_name="word").select("word", "count", "rank")
+
+
+@register("community_sentiment_means", f"""WITH {_SQL_PRE}, {SENT_CTES}
+SELECT pre.subreddit, round(avg(p_positive), 4) AS avg_positive, round(avg(p_negative), 4) AS avg_negative,
+       count(*) AS count
+FROM sent JOIN pre USING (post_id) GROUP BY pre.subreddit""")
+def q_community_sentiment_means(spark, sf_dir):
+    s = sentiment_table(spark, sf_dir)
+    return s.groupBy("subreddit").agg(
+        F.round(F.avg(F.col("sentiment.scores")["Positive"]), 4).alias("avg_positive"),
+        F.round(F.avg(F.col("sentiment.scores")["Negative"]), 4).alias("avg_negative"),
+        F.count(F.lit(1)).alias("count")).orderBy(F.col("avg_positive").desc(), "subreddit")
