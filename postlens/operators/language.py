@@ -57,11 +57,12 @@ def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang",
 def detect_language(df: DataFrame, model: PipelineModel, text: str = "text",
                     out: str = "language_detected") -> DataFrame:
     """Predicted language code; blank text -> ``unknown``."""
-    scored = model.transform(df.withColumn("__chars", char_trigrams(F.col(text)))
-                               .withColumn("__lang", F.lit(None).cast("string")))
+    # the first stage indexes training labels; scoring starts after it
+    scorer = PipelineModel(stages=model.stages[1:])
+    scored = scorer.transform(df.withColumn("__chars", char_trigrams(F.col(text))))
     blank = F.coalesce(T.strip_ws(F.col(text)), F.lit("")) == ""
     res = scored.withColumn(out, F.when(blank, F.lit(UNKNOWN)).otherwise(F.col("__lang_pred")))
-    return res.drop("__chars", "__lang", "__grams", "__features", "__raw", "__prob", "__pred",
+    return res.drop("__chars", "__grams", "__features", "__raw", "__prob", "__pred",
                     "__lang_pred", "__label")
 
 

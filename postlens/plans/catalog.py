@@ -17,12 +17,18 @@ from ..operators import classify as CL
 from ..operators import eda as EDA
 from ..operators import entities as EN
 from ..operators import flags as FL
+from ..operators import ingest as IN
 from ..operators import keywords as K
+from ..operators import language as LG
+from ..operators import search as SR
 from ..operators import stats as ST
 from ..operators import topics as TP
 from ..sources.tables import SQL_DOCUMENT_POSTS, SQL_EVENT_POSTS, document_posts, event_posts, table
 from . import sql as S
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
+from ..sources import files as FS
+from ..sources import sinks as SK
+from ..streaming import ingest as STREAM
 from . import reporting as RP
 from .preprocess import preprocess
 
@@ -776,3 +782,160 @@ def q_community_sentiment_means(spark, sf_dir):
         F.round(F.avg(F.col("sentiment.scores")["Positive"]), 4).alias("avg_positive"),
         F.round(F.avg(F.col("sentiment.scores")["Negative"]), 4).alias("avg_negative"),
         F.count(F.lit(1)).alias("count")).orderBy(F.col("avg_positive").desc(), "subreddit")
+
+
+# --------------------------------------------------------------------------
+# Search over the post summaries (F6, L5, L8), keyed writes (K1, K3, K4),
+# incremental ingest (S7, G30), streaming (ST1), file round trip (S1, K5),
+# language identification
+# --------------------------------------------------------------------------
+
+SEARCHES = {  # kind -> query text (frequent fragments of the driver data)
+    "all": "eau", "keyword": "tion", "hashtag": "#th", "spam": "", "offensive": "",
+    "sentiment": "pos", "emotion": "joy", "topic": "tech",
+}
+
+
+def _search_query(kind: str, q: str):
+    def run(spark, sf_dir):
+        page, total = SR.search_page(core_post_summaries(spark, sf_dir), q, kind)
+        return page.select("post_id", "title", "subreddit", "sentiment_label", "sentiment_confidence",
+                           "emotion_label", "emotion_confidence", "topic",
+                           F.array_join("keywords", ",").alias("keywords"),
+                           F.array_join("hashtags", ",").alias("hashtags"),
+                           F.lit(total).cast("long").alias("total_hits"))
+    return run
+
+
+def _sql_search(kind: str, q: str) -> str:
+    ql = S.q(q.lower())
+    kwl = "list_filter(coalesce(kt.keywords, []), lambda x: contains(lower(x), {q}))"
+    pred = {
+        "all": f"(contains(lower(ps.title), {ql}) OR len({kwl.format(q=ql)}) > 0 OR "
+               f"len(list_filter(coalesce(kt.hashtags, []), lambda x: contains(lower(x), {ql}))) > 0)",
+        "keyword": f"len({kwl.format(q=ql)}) > 0",
+        "hashtag": f"len(list_filter(coalesce(kt.hashtags, []), lambda x: contains(lower(x), {ql}))) > 0",
+        "spam": "coalesce(ps.spam, false)", "offensive": "coalesce(ps.offensive, false)",
+        "sentiment": f"contains(lower(coalesce(ps.sentiment_label, '')), {ql})",
+        "emotion": f"contains(lower(coalesce(ps.emotion_label, '')), {ql})",
+        "topic": f"contains(lower(coalesce(ps.topic_label, '')), {ql})",
+    }[kind]
+    return f"""WITH {CORE_PS_CTES},
+hits AS (SELECT ps.*, kt.keywords AS kws, kt.hashtags AS hts FROM ps LEFT JOIN kt USING (post_id) WHERE {pred}),
+tot AS (SELECT count(*) AS total_hits FROM hits)
+SELECT post_id, title, subreddit, coalesce(sentiment_label, 'N/A') AS sentiment_label,
+       round(coalesce(sentiment_confidence, 0.0) * 100, 1) AS sentiment_confidence,
+       coalesce(emotion_label, 'N/A') AS emotion_label,
+       round(coalesce(emotion_confidence, 0.0) * 100, 1) AS emotion_confidence,
+       coalesce(topic_label, 'N/A') AS topic,
+       array_to_string(coalesce(kws, [])[1:10], ',') AS keywords,
+       array_to_string(coalesce(hts, [])[1:5], ',') AS hashtags, tot.total_hits
+FROM hits, tot ORDER BY subreddit, title, post_id LIMIT 100"""
+
+
+for _kind, _q in SEARCHES.items():
+    register(f"search_{_kind}", _sql_search(_kind, _q))(_search_query(_kind, _q))
+
+
+@register("upsert_customers", """
+WITH u AS (SELECT c_custkey, 'DEBTOR' AS c_mktsegment, CAST(NULL AS DOUBLE) AS c_acctbal
+           FROM customer WHERE c_acctbal < 0
+           UNION ALL
+           SELECT s_suppkey + 1000000000 AS c_custkey, 'SUPPLIER' AS c_mktsegment, s_acctbal AS c_acctbal
+           FROM supplier)
+SELECT coalesce(c.c_custkey, u.c_custkey) AS c_custkey, c.c_name, c.c_nationkey,
+       CASE WHEN u.c_custkey IS NOT NULL THEN u.c_acctbal ELSE c.c_acctbal END AS c_acctbal,
+       CASE WHEN u.c_custkey IS NOT NULL THEN u.c_mktsegment ELSE c.c_mktsegment END AS c_mktsegment
+FROM customer c FULL OUTER JOIN u ON c.c_custkey = u.c_custkey""")
+def q_upsert_customers(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    s = table(spark, sf_dir, "supplier")
+    upd = (c.where(F.col("c_acctbal") < 0)
+            .select("c_custkey", F.lit("DEBTOR").alias("c_mktsegment"), F.lit(None).cast("double").alias("c_acctbal"))
+            .unionByName(s.select((F.col("s_suppkey") + F.lit(1_000_000_000)).alias("c_custkey"),
+                                  F.lit("SUPPLIER").alias("c_mktsegment"), F.col("s_acctbal").alias("c_acctbal"))))
+    return SK.upsert(c, upd, "c_custkey", ["c_acctbal", "c_mktsegment"])
+
+
+@register("replace_suppliers", """
+WITH u AS (SELECT s_suppkey, upper(s_name) AS s_name, s_nationkey, round(s_acctbal, 0) AS s_acctbal
+           FROM supplier WHERE s_nationkey < 5)
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, false AS updated FROM supplier
+WHERE s_suppkey NOT IN (SELECT s_suppkey FROM u)
+UNION ALL SELECT *, true AS updated FROM u""")
+def q_replace_suppliers(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    u = s.where(F.col("s_nationkey") < 5).select("s_suppkey", F.upper("s_name").alias("s_name"),
+                                                 "s_nationkey", F.round("s_acctbal", 0).alias("s_acctbal"))
+    r = SK.replace_by_key(s, u, "s_suppkey", stamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return r.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal",
+                    F.col("last_updated").isNotNull().alias("updated"))
+
+
+INGEST_COMMUNITIES = ["click", "purchase", "signup"]
+
+
+def _ingest(spark, sf_dir):
+    ev = event_posts(spark, sf_dir)
+    mid = F.lit("2024-01-04 00:00:00").cast("timestamp_ntz")
+    existing = ev.where(F.col("created_utc") < mid)      # already stored before this run
+    cut = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    return IN.incremental_ingest(ev, existing, cut, INGEST_COMMUNITIES)
+
+
+_SQL_INGEST = f"""WITH ev AS ({SQL_EVENT_POSTS}),
+ex AS (SELECT id FROM ev WHERE created_utc < TIMESTAMP '2024-01-04 00:00:00'),
+fd AS (SELECT * FROM ev WHERE subreddit IN ('click', 'purchase', 'signup')
+       AND created_utc >= TIMESTAMP '2024-01-02 00:00:00'),
+mk AS (SELECT fd.*, ex.id AS known FROM fd LEFT JOIN ex ON fd.id = ex.id)"""
+
+
+@register("ingest_new_posts", _SQL_INGEST + """
+SELECT id, author, subreddit, score FROM mk WHERE known IS NULL""")
+def q_ingest_new_posts(spark, sf_dir):
+    rows, _ = _ingest(spark, sf_dir)
+    return rows.select("id", "author", "subreddit", "score")
+
+
+@register("ingest_counters", _SQL_INGEST + """
+SELECT subreddit, count(*) AS scanned, count(*) FILTER (WHERE known IS NULL) AS kept,
+       count(*) FILTER (WHERE known IS NULL) AS inserted, count(*) FILTER (WHERE known IS NOT NULL) AS skipped,
+       round(count(*) FILTER (WHERE known IS NOT NULL) * 100.0 / greatest(count(*), 1), 1) AS pct_skipped
+FROM mk GROUP BY subreddit""")
+def q_ingest_counters(spark, sf_dir):
+    _, c = _ingest(spark, sf_dir)
+    return c
+
+
+@register("stream_ingest_events")
+def q_stream_ingest_events(spark, sf_dir):
+    return STREAM.ingest_events_stream(spark, sf_dir)
+
+
+@register("json_roundtrip_documents", """
+SELECT doc_id, source, CAST(length(text) AS BIGINT) AS chars FROM documents""")
+def q_json_roundtrip_documents(spark, sf_dir):
+    path = scratch_path(spark, "documents-json")
+    SK.write_json(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path)
+    schema = "doc_id long, source string, text string"
+    from pyspark.sql.types import _parse_datatype_string
+    d = FS.read_posts(spark, path, _parse_datatype_string(schema), array=False)
+    return d.select("doc_id", "source", F.length("text").cast("long").alias("chars"))
+
+
+@register("language_trigram_counts", f"""
+WITH t AS (SELECT lang, ' ' || regexp_replace(lower(text), '\\s+', ' ', 'g') || ' ' AS t FROM documents),
+g AS (SELECT lang, substr(t, i, 3) AS gram FROM (SELECT lang, t, unnest(range(1, length(t) - 1)) AS i FROM t))
+SELECT lang, gram, count(*) AS count FROM g GROUP BY lang, gram""")
+def q_language_trigram_counts(spark, sf_dir):
+    return LG.trigram_counts(table(spark, sf_dir, "documents"))
+
+
+@register("language_detect")
+def q_language_detect(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    model = LG.fit_language_model(d.where(F.xxhash64("doc_id") % 5 != 0))  # train on ~80 %
+    scored = LG.detect_language(d, model)
+    return scored.select("doc_id", "lang", "language_detected",
+                         (F.col("lang") == F.col("language_detected")).alias("correct"),
+                         (F.xxhash64("doc_id") % 5 == 0).alias("held_out"))

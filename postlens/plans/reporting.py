@@ -15,6 +15,18 @@ from pyspark.sql.window import Window
 
 from ..operators import stats as ST
 
+_SCORED = "struct<label:string,confidence:double,all_scores:map<string,double>>"
+PART_TYPES = {
+    "sentiment_analysis": _SCORED,
+    "named_entities": ("struct<entity_count:int,linked_count:int,entities:array<struct<entity:string,"
+                       "type:string,wikipedia_title:string,wikipedia_url:string,snippet:string>>>"),
+    "emotion_detection": _SCORED,
+    "keywords_hashtags": "struct<keywords:array<string>,hashtags:array<string>,keyword_count:int,hashtag_count:int>",
+    "topic_classification": "struct<label:string,confidence:double>",
+    "behavior_flags": "struct<spam:boolean,offensive:boolean,promotional:boolean,question:boolean,discussion:boolean>",
+    "generated_summary": "string",
+}
+
 
 def last_by_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """One row per ``key``; the later record wins ("later" = larger values
@@ -67,7 +79,7 @@ def post_summaries(base: DataFrame, sentiment: DataFrame | None = None,
     def attach(df, kcol, name, value, stamp=None):
         nonlocal out
         if df is None:
-            parts.append(F.lit(None).alias(name))
+            parts.append(F.lit(None).cast(PART_TYPES[name]).alias(name))
             return
         p = last_by_key(df.withColumn("__k", F.col(kcol).cast("string")), "__k", stamp) \
             .select(F.col("__k").alias("post_id"), value.alias(f"__p_{name}"))
@@ -81,7 +93,7 @@ def post_summaries(base: DataFrame, sentiment: DataFrame | None = None,
     attach(entities, key, "named_entities", F.struct(
         F.coalesce(F.col("entity_count"), F.lit(0)).alias("entity_count"),
         F.coalesce(F.col("linked_entity_count"), F.lit(0)).alias("linked_count"),
-        F.transform(F.coalesce(F.col("linked_entities"), F.array()), lambda e: F.struct(
+        F.transform(F.col("linked_entities"), lambda e: F.struct(
             e["entity"].alias("entity"), e["type"].alias("type"),
             e["wikipedia"]["title"].alias("wikipedia_title"), e["wikipedia"]["url"].alias("wikipedia_url"),
             e["wikipedia"]["snippet"].alias("snippet"))).alias("entities")), ["processed_at"])
