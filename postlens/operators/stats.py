@@ -117,9 +117,10 @@ def community_metadata(df: DataFrame, group: str = "subreddit") -> DataFrame:
     cols = df.columns
     score = F.coalesce(F.col("score"), F.lit(0)) if "score" in cols else F.lit(0)
     comments = F.coalesce(F.col("num_comments"), F.lit(0)) if "num_comments" in cols else F.lit(0)
+    author = F.col("author") if "author" in cols else F.lit(None).cast("string")
     agg = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("total_posts"),
-        F.count_distinct(F.when(F.col("author") != "", F.col("author"))).alias("unique_authors"),
+        F.count_distinct(F.when(author != "", author)).alias("unique_authors"),
         F.sum(score).alias("total_score"), F.sum(comments).cast("long").alias("total_comments"))
     return agg.select(group, F.concat(F.lit("r/"), F.col(group)).alias("subreddit_name"),
                       "total_posts", "unique_authors",

@@ -939,3 +939,30 @@ def q_language_detect(spark, sf_dir):
     return scored.select("doc_id", "lang", "language_detected",
                          (F.col("lang") == F.col("language_detected")).alias("correct"),
                          (F.xxhash64("doc_id") % 5 == 0).alias("held_out"))
+
+
+@register("overview")
+def q_overview(spark, sf_dir):
+    o = RP.overview(_preprocessed(spark, sf_dir), sentiment_table(spark, sf_dir), emotion_table(spark, sf_dir),
+                    topics_table(spark, sf_dir), flags_table(spark, sf_dir), _keyword_table(spark, sf_dir),
+                    entities_table(spark, sf_dir), generated_at="2024-01-01 00:00:00")
+    return o.select("pipeline_version", F.array_join("data_sources", ",").alias("data_sources"),
+                    "total_posts_in_dataset", _map_str(F.col("sentiment_distribution")).alias("sentiment_distribution"),
+                    _map_str(F.col("emotion_distribution")).alias("emotion_distribution"),
+                    _map_str(F.col("topic_distribution")).alias("topic_distribution"),
+                    _map_str(F.col("behavior_flag_counts")).alias("behavior_flag_counts"),
+                    "keywords_total_keywords", "entities_total_entities_found", "entities_link_success_rate")
+
+
+@register("community_summaries")
+def q_community_summaries(spark, sf_dir):
+    c = RP.community_summaries(_preprocessed(spark, sf_dir), sentiment_table(spark, sf_dir),
+                               emotion_table(spark, sf_dir), topics_table(spark, sf_dir),
+                               flags_table(spark, sf_dir), _keyword_table(spark, sf_dir),
+                               entities_table(spark, sf_dir))
+    return c.select("subreddit", F.col("metadata.total_posts").alias("total_posts"),
+                    F.col("sentiment_analysis.dominant").alias("dominant_sentiment"),
+                    F.col("emotion_detection.dominant").alias("dominant_emotion"),
+                    F.col("topic_detection.dominant").alias("dominant_topic"),
+                    F.col("keywords_hashtags.total_keywords").alias("total_keywords"),
+                    F.col("named_entity_linking.total_entities_found").alias("total_entities"))
