@@ -9,9 +9,9 @@ Recognition is per row: words with their character offsets come from one
 ``regexp_extract_all`` pair; token n-grams (1..longest alias) are looked
 up in the gazetteer; the longest leftmost non-overlapping matches win.  A
 gazetteer of at most ``GAZETTEER_MAP_MAX`` aliases (checked by count) is
-looked up as an in-expression map, so recognition never shuffles; a
-larger one is equi-joined on the n-gram (candidates exploded, matches
-regrouped per post).  Linking is an equi-join on ``kb_id`` against the
+looked up as an in-expression map (no shuffle); a larger one is
+hash-joined on the n-gram -- broadcast up to ``GAZETTEER_BROADCAST_MAX``
+aliases -- and the (few) matches are regrouped per post.  Linking is an equi-join on ``kb_id`` against the
 best-ranked KB row per id, broadcast when the KB is small.
 """
 
@@ -28,7 +28,10 @@ MIN_TEXT_CHARS = 3
 MIN_JOB_TEXT_CHARS = 10
 MIN_ENTITY_CHARS = 2
 LINK_URL_PREFIX = "https://en.wikipedia.org/?curid="
-GAZETTEER_MAP_MAX = 20_000
+# Spark map lookups scan the keys linearly, so only tiny gazetteers are
+# compiled into the expression; larger ones are hash-joined.
+GAZETTEER_MAP_MAX = 64
+GAZETTEER_BROADCAST_MAX = 2_000_000
 KB_BROADCAST_MAX = 1_000_000
 
 WORD_RE = r"(\s*)(\S+)"
@@ -142,7 +145,8 @@ def extract_entities(df: DataFrame, text: str, gazetteer: DataFrame, key: str,
     # large gazetteer: candidates equi-joined on the n-gram, regrouped per post
     cand = df.select(key, F.explode_outer(cands).alias("c")).where(F.col("c").isNotNull()) \
         .select(key, "c.i", "c.n", F.col("c.gram").alias("gram"))
-    m = cand.join(gaz, "gram").groupBy(key).agg(
+    g = F.broadcast(gaz) if n_alias <= GAZETTEER_BROADCAST_MAX else gaz
+    m = cand.join(g, "gram").groupBy(key).agg(
         F.collect_list(F.struct("i", "n", "type", "kb_id")).alias("__m"))
     df = df.join(m, key, "left").withColumn(
         "__m", F.coalesce(F.col("__m"), F.array().cast("array<struct<i:int,n:int,type:string,kb_id:string>>")))
