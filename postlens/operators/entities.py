@@ -17,6 +17,8 @@ best-ranked KB row per id, broadcast when the KB is small.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,15 +60,15 @@ def _with_words(df: DataFrame, text: str) -> DataFrame:
 
 def _candidates(n: int) -> Column:
     """Array of struct(i, n, gram) for all n-grams of normalised words
-    without empty words."""
+    without empty words (direct element access, no per-gram sub-arrays)."""
     size = F.size(F.col("__nw"))
-    grams = F.transform(
-        F.sequence(F.lit(0), size - n),
-        lambda i: F.struct(i.alias("i"), F.lit(n).alias("n"),
-                           F.slice(F.col("__nw"), i + 1, n).alias("ws")))
-    grams = F.filter(grams, lambda g: ~F.array_contains(g["ws"], ""))
-    grams = F.transform(grams, lambda g: F.struct(g["i"].alias("i"), g["n"].alias("n"),
-                                                  F.array_join(g["ws"], " ").alias("gram")))
+
+    def gram(i):
+        parts = [F.get(F.col("__nw"), i + k) for k in range(n)]
+        ok = reduce(lambda a, b: a & b, [p != "" for p in parts])
+        return F.struct(i.alias("i"), F.lit(n).alias("n"),
+                        F.when(ok, F.concat_ws(" ", *parts) if n > 1 else parts[0]).alias("gram"))
+    grams = F.filter(F.transform(F.sequence(F.lit(0), size - n), gram), lambda g: g["gram"].isNotNull())
     return F.when(size >= n, grams).otherwise(F.array().cast("array<struct<i:int,n:int,gram:string>>"))
 
 
