@@ -133,3 +133,10 @@ def top_k_labels(df: DataFrame, label: Column, k: int = 5) -> DataFrame:
     """G19 helper: top-k label counts (missing -> 'Unknown')."""
     c = df.select(F.coalesce(label, F.lit(UNKNOWN_LABEL)).alias("label")).groupBy("label").count()
     return c.orderBy(F.col("count").desc(), F.col("label").asc()).limit(k)
+
+
+def daily_trend(df: DataFrame, ts: str, score: Column, group: list[str] = (), decimals: int = 4) -> DataFrame:
+    """Per calendar date (UTC) mean of a score and number of posts."""
+    group = list(group)
+    return df.groupBy(*group, F.to_date(ts).alias("date")).agg(
+        F.round(F.avg(score), decimals).alias("mean_score"), F.count(F.lit(1)).alias("count"))

@@ -101,3 +101,17 @@ def test_lemmatize_small_table(spark):
     df = spark.createDataFrame([(1, "Games  played")], "id long, t string")
     lem = spark.createDataFrame([("games", "game"), ("played", "play")], "token string, lemma string")
     assert TP.lemmatize(df, "t", lem, key="id").first()["lemmatized"] == "game play"
+
+
+def test_daily_trend_and_label_stats(spark):
+    from postlens.operators import stats as ST
+    df = spark.createDataFrame(
+        [("2024-01-01 10:00:00", "Positive", 0.9), ("2024-01-01 23:00:00", "Negative", 0.5),
+         ("2024-01-02 01:00:00", "Positive", 0.7)], "ts string, label string, score double") \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {str(r["date"]): (r["mean_score"], r["count"]) for r in ST.daily_trend(df, "ts", F.col("score")).collect()}
+    assert got == {"2024-01-01": (0.7, 2), "2024-01-02": (0.7, 1)}
+    st = {r["label"]: r for r in ST.label_stats(df, F.col("label"), F.col("score"),
+                                                  avg_labels=("Positive", "Neutral", "Negative")).collect()}
+    assert st["Positive"]["count"] == 2 and st["Positive"]["percentage"] == 66.67
+    assert st["Positive"]["average_confidence"] == 0.8 and st["Negative"]["percentage"] == 33.33
