@@ -965,3 +965,12 @@ def q_community_summaries(spark, sf_dir):
                     F.col("topic_detection.dominant").alias("dominant_topic"),
                     F.col("keywords_hashtags.total_keywords").alias("total_keywords"),
                     F.col("named_entity_linking.total_entities_found").alias("total_entities"))
+
+
+# Summary statistics; assistant turns of `conversations` stand in
+# for the (externally produced) summaries table, grouped by role for G15.
+@register("summary_stats_conversations", f"""
+SELECT role, count(*) AS total_summaries, round(avg({S.word_count('text')}), 2) AS avg_summary_length_words
+FROM conversations GROUP BY role""")
+def q_summary_stats_conversations(spark, sf_dir):
+    return ST.summary_stats(table(spark, sf_dir, "conversations"), "text", group=["role"])
