@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -303,7 +304,7 @@ def decode(ids: Column, vocab: str) -> Column:
     """The bytes that ids (binary, as ``encode`` makes them) stand for."""
 
     @F.pandas_udf("binary")
-    def back(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
+    def back(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = ranks_of(vocab).bytes_of
         for s in batches:
             yield s.map(lambda x: b"".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())),
