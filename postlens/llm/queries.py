@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import prefix_bpe
+from . import prefix_bpe, token_file
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,8 @@ def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return prefix_bpe.digests(read(spark, sf_dir, "documents"),
                               "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN)
+
+
+@register
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.digests(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=2)
