@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import prefix_bpe, token_file
+from . import config_packing, prefix_bpe, token_file
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,9 @@ def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.digests(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=2)
+
+
+@register
+def op10_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config_packing.pack_documents(read(spark, sf_dir, "documents"), "word_bpe_49k.json",
+                                         end_id=0, capacity=2048)
