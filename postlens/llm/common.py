@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
@@ -30,20 +32,37 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from one batch to named columns."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    out = to_arrow_schema(StructType.fromDDL(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols = fn(batch)
-            yield pa.RecordBatch.from_arrays(
-                [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)
-                 for f, c in ((f, cols[f.name]) for f in out)], schema=out)
-
+@functools.cache
+def _package_file(application: str) -> str:
+    """This package as a zip file that Spark can hand to Python workers."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    name = __name__.split(".")[0]
+    path = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{name}.zip")
+    with zipfile.ZipFile(path, "w") as file:
+        for folder, _, files in os.walk(os.path.join(root, name)):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    file.write(full, os.path.relpath(full, root))
+    return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark send this package's code to its Python workers, wherever
+    they run."""
+    context = spark.sparkContext
+    path = _package_file(context.applicationId)
+    if path not in _sent:
+        context.addPyFile(path)
+        _sent.add(path)
+
+
+_sent: set[str] = set()
+
+
+def map_in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -56,12 +75,3 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
-
-
-def row_count_partitions(rows: int, per_partition: int, least: int) -> int:
-    """Partitions that hold about ``per_partition`` rows each."""
-    return max(least, -(-rows // per_partition))
-
-
-def null_safe(left: str, right: str):
-    return F.col(left).eqNullSafe(F.col(right))

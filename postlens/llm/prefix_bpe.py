@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import texts, vocabulary
+from .common import map_in_arrow, texts, vocabulary
 
 NEVER = 1 << 62
 FITS_ENTRIES = 1_000_000    # remembered answers of Ranks.fits
@@ -297,7 +297,7 @@ def encode(df: DataFrame, text: str, out: str, vocab: str, pattern: str) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in names), ids], names=[*names, out])
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 def decode(ids: Column, vocab: str) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .chunked import byte_level
-from .common import texts
+from .common import map_in_arrow, texts
 
 BLOCK_TOKENS = 1 << 21
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
@@ -104,7 +104,7 @@ def encode(docs: DataFrame, vocab: str, end_id: int, files: int) -> DataFrame:
                      pa.array([_narrow(x) for x in ids], pa.binary())],
                     names=["file", "doc_id", "ids"])
 
-    return docs.mapInArrow(run, "file int, doc_id bigint, ids binary")
+    return map_in_arrow(docs, run, "file int, doc_id bigint, ids binary")
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -150,8 +150,8 @@ def write(docs: DataFrame, path: str, vocab: str, end_id: int, files: int | None
     spark = docs.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = encode(docs, vocab, end_id, files).repartitionById(files, F.col("file"))
-    (dealt.sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), F.crc32("ids"))
-     .mapInArrow(_blocks, BLOCK_SCHEMA)
+    ordered = dealt.sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), F.crc32("ids"))
+    (map_in_arrow(ordered, _blocks, BLOCK_SCHEMA)
      .write.option("compression", "uncompressed").parquet(path))
 
 
@@ -178,7 +178,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
                                   pa.binary())],
                         names=["file", "block", "in_block", "doc_id", "ids"])
 
-    return spark.read.schema(BLOCK_SCHEMA).parquet(path).mapInArrow(run, DOCUMENT_SCHEMA)
+    return map_in_arrow(spark.read.schema(BLOCK_SCHEMA).parquet(path), run, DOCUMENT_SCHEMA)
 
 
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
