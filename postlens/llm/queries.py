@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config_packing, prefix_bpe, token_file
+from . import config_packing, golay_simhash, prefix_bpe, token_file
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config_packing.pack_documents(read(spark, sf_dir, "documents"), "word_bpe_49k.json",
                                          end_id=0, capacity=2048)
+
+
+@register
+def op7_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay_simhash.digests(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
