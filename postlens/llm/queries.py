@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config_packing, golay_simhash, minimax_shards, prefix_bpe, token_file
+from . import config_packing, golay_simhash, line_quality, minimax_shards, prefix_bpe, token_file
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op7_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minimax_shards.digests(read(spark, sf_dir, "documents"), shards=8)
+
+
+@register
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.digests(read(spark, sf_dir, "documents"))
