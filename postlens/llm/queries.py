@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config_packing, golay_simhash, line_quality, minimax_shards, prefix_bpe, token_file
+from . import config_packing, golay_simhash, line_dedup, line_quality, minimax_shards, prefix_bpe, token_file
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,9 @@ def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.digests(read(spark, sf_dir, "documents"))
+
+
+@register
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_removed_chunks", "n_removed_lines")
