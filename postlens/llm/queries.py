@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config_packing, golay_simhash, line_dedup, line_quality, minimax_shards, prefix_bpe, token_file
+from . import config_packing, golay_simhash, line_dedup, line_quality, minimax_shards, pivot_topk, prefix_bpe, token_file
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,28 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(read(spark, sf_dir, "documents")).select(
         "doc_id", "text", "n_removed_chunks", "n_removed_lines")
+
+
+@register
+def op5_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.search_table(read(spark, sf_dir, "embeddings"), k=20, factor=64, every=20)
+
+
+ORACLE["op5_pivot_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
