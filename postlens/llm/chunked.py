@@ -3,7 +3,7 @@
 Both vocabularies split a text before any merge, and never across the
 places where this module cuts it.  A chunk therefore has the same ids alone
 as inside its text, and each worker encodes a chunk it has met before by a
-dictionary lookup.  The memo is bounded: it is emptied when full.
+dictionary lookup.  The memo is bounded.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 
 from .common import vocabulary
 
-MEMO_ENTRIES = 400_000      # chunks kept by one worker
+MEMO_ENTRIES = 400_000      # chunks in one of a worker's two generations
 MEMO_CHUNK_CHARS = 64       # longer chunks are encoded each time they occur
 
 _HARD_SPACE = re.compile(r" (?=\s|\Z)")
@@ -37,26 +37,60 @@ def white_space_chunks(text: str) -> list[str]:
 
 
 class ChunkEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    The memo has two generations: when the younger one is full it becomes
+    the older one, and what is met again moves back.  New chunks are encoded
+    many to a text and their ids cut apart again (``join`` and ``cut``)."""
 
     def __init__(self, file: str, split):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(file)
         self.model.encode_special_tokens = True
         self.split = split
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def joins(self, chunk: str) -> bool:
+        """Whether the chunk can be encoded together with others."""
+        raise NotImplementedError
+
+    def join(self, chunks: list[str]) -> str | None:
+        """One text of the chunks, None if they can't be told apart in it."""
+        raise NotImplementedError
+
+    def cut(self, ids: np.ndarray) -> list[np.ndarray]:
+        """The ids of ``join``'s text, chunk by chunk."""
+        raise NotImplementedError
+
+    def _encode(self, new: list[str]) -> None:
+        together = [c for c in new if len(c) <= MEMO_CHUNK_CHARS and self.joins(c)]
+        for at in range(0, len(together), 1000):
+            part = together[at:at + 1000]
+            text = self.join(part)
+            if text is not None:
+                self.memo.update(zip(part, [x.tobytes() for x in self.cut(self.ids(text))], strict=True))
+        for c in new:
+            if c not in self.memo:
+                self.memo[c] = self.ids(c).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
-            self.memo = {}
+            self.memo, self.older = {}, self.memo
         split = [self.split(t) for t in texts]
-        new = list({c for parts in split for c in parts}.difference(self.memo))
+        new = {c for parts in split for c in parts}.difference(self.memo)
         known = self.memo
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for c, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                known[c] = np.asarray(e.ids, "<u4").tobytes()
+        for c in new.intersection(self.older):
+            known[c] = self.older[c]
+        new.difference_update(known)
+        self._encode(list(new))
         out = [b"".join(map(known.__getitem__, parts)) for parts in split]
         for c in new:
             if len(c) > MEMO_CHUNK_CHARS:
@@ -64,11 +98,57 @@ class ChunkEncoder:
         return out
 
 
+class ByteLevel(ChunkEncoder):
+    """Chunks that hold their only space in front are written one after the
+    other; a token with a space in front begins the next."""
+
+    def __init__(self, file: str):
+        super().__init__(file, byte_level_chunks)
+        names = self.model.get_vocab()
+        self.begins = np.zeros(max(names.values()) + 1, bool)
+        self.begins[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+
+    def joins(self, chunk: str) -> bool:
+        return chunk[:1] == " " and " " not in chunk[1:] and chunk[1:2].strip() != ""
+
+    def join(self, chunks: list[str]) -> str | None:
+        return "".join(chunks)
+
+    def cut(self, ids: np.ndarray) -> list[np.ndarray]:
+        return np.split(ids, np.flatnonzero(self.begins[ids])[1:])
+
+
+class WordLevel(ChunkEncoder):
+    """Chunks are written with a symbol between them that none of them has."""
+
+    SYMBOLS = "~^|"      # no other character is normalised to one of these
+
+    def __init__(self, file: str):
+        super().__init__(file, white_space_chunks)
+
+    def joins(self, chunk: str) -> bool:
+        return chunk != ""
+
+    def join(self, chunks: list[str]) -> str | None:
+        text = "\n".join(chunks)
+        for symbol in self.SYMBOLS:
+            own = self.ids(symbol)
+            if symbol not in text and len(own) == 1:
+                self.between = own[0]
+                return text.replace("\n", f" {symbol} ")
+        return None
+
+    def cut(self, ids: np.ndarray) -> list[np.ndarray]:
+        at = np.flatnonzero(ids == self.between)
+        parts = np.split(ids, at)
+        return [parts[0], *(p[1:] for p in parts[1:])]
+
+
 @functools.cache
 def byte_level(name: str) -> ChunkEncoder:
-    return ChunkEncoder(vocabulary(name), byte_level_chunks)
+    return ByteLevel(vocabulary(name))
 
 
 @functools.cache
 def word_level(name: str) -> ChunkEncoder:
-    return ChunkEncoder(vocabulary(name), white_space_chunks)
+    return WordLevel(vocabulary(name))

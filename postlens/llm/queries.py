@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config_packing, golay_simhash, line_dedup, line_quality, minimax_shards, pivot_topk, prefix_bpe, token_file, url_filter
+from . import config_packing, golay_simhash, hmm_lm, line_dedup, line_quality, minimax_shards, pivot_topk, prefix_bpe, token_file, url_filter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @register
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+@register
+def op9_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score(read(spark, sf_dir, "documents"))
