@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,37 +124,42 @@ def removals(docs: DataFrame) -> DataFrame:
         "doc_id", "text_hash", "line", "chunk_hash", "stays"), "repeated")
     wanted = rows.where("stays").dropDuplicates(["chunk_hash"]).groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("line", "chunk_hash")).alias("wanted"))
-    held = _chunk_at(_beside(docs, wanted, "inner"))
+    held = _chunk_at(_beside(_named(docs, F.col("text_hash")), wanted, "inner"))
     return rows.where("NOT stays").join(held, "chunk_hash").groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("line", "chunk")).alias("parts"))
 
 
+#: Names of the join columns beside a user's own columns.
+OWN_HASH, OWN_ID = "__text_hash", "__id"
+
+
+def _named(docs: DataFrame, text_hash: Column) -> DataFrame:
+    """``docs`` with the join columns; a null id is a value of its own."""
+    return docs.withColumn(OWN_HASH, text_hash).withColumn(
+        OWN_ID, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+
+
 def _beside(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
-    """``docs`` with the other columns of ``more`` by (doc_id, text_hash).
-    A null id meets a null id."""
-    key = lambda d: F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    left = docs.withColumn("_key", key(docs))
-    right = more.withColumn("_key", key(more)).drop("doc_id")
-    return left.join(right, ["_key", "text_hash"], how).drop("_key")
+    """``docs`` (with join columns) and the other columns of ``more``, whose
+    key is (doc_id, text_hash)."""
+    return docs.join(_named(more, F.col("text_hash")).drop("doc_id", "text_hash"), [OWN_ID, OWN_HASH], how)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated chunks of their texts, and the columns
     ``n_removed_chunks`` and ``n_removed_lines`` (int)."""
     names = docs.columns
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    narrow = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                         F.col("_text_hash").alias("text_hash"), "text")
-    lost = removals(narrow).withColumnsRenamed({"text_hash": "_text_hash", "parts": "_parts"})
-    joined = _beside(rows.withColumnRenamed("_text_hash", "text_hash"),
-                     lost.withColumnRenamed("_text_hash", "text_hash"), "left")
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                         F.xxhash64("text").alias("text_hash"), "text")
+    lost = removals(narrow).withColumnRenamed("parts", "__parts")
+    joined = _beside(_named(docs, F.xxhash64("text")), lost, "left")
     schema = T.StructType([docs.schema[n] for n in names]).add("n_removed_chunks", T.IntegerType()).add(
         "n_removed_lines", T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out, n_chunks, n_lines = [], [], []
-            for text, parts in zip(b.column("text").to_pylist(), b.column("_parts").to_pylist()):
+            for text, parts in zip(b.column("text").to_pylist(), b.column("__parts").to_pylist()):
                 keep, gone, gone_lines = [], 0, 0
                 if parts:
                     stays = {p["line"]: p["chunk"] for p in parts}
@@ -172,7 +177,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [cols[n] if n in cols else b.column(n) for n in schema.names], names=schema.names)
 
-    return map_in_arrow(joined.select(*names, "_parts"), run, schema)
+    return map_in_arrow(joined.select(*names, "__parts"), run, schema)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
