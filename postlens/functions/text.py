@@ -33,10 +33,8 @@ STOPWORDS = (
     "be", "or", "at", "we", "me", "my", "he", "she", "his", "her", "if", "about", "into",
     "over", "under", "no", "yes", "do", "did", "done", "just", "than", "then", "too", "very",
 )
-# Text caps: sentiment input, stored snippet, translation input, link snippet
-SENTIMENT_MAX_CHARS = 5000
+# Stored snippets: of a text, of a link
 SNIPPET_CHARS = 500
-TRANSLATE_MAX_CHARS = 4999
 LINK_SNIPPET_CHARS = 200
 # Letters with no canonical decomposition, and one-to-many transliterations
 TRANSLIT_MULTI = (
@@ -76,9 +74,15 @@ def remove_emoji(c: Column) -> Column:
     return F.regexp_replace(c, EMOJI_CLASS, "")
 
 
+# Unicode spaces, which become plain ones
+UNICODE_SPACES = "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def transliterate(c: Column) -> Column:
-    """Latin-script transliteration to ASCII (accents, ß, æ, ...)."""
+    """Latin-script transliteration to ASCII (accents, ß, æ, ...);
+    Unicode spaces become plain ones."""
     src, dst = _translit_one_to_one()
+    src, dst = src + UNICODE_SPACES, dst + " " * len(UNICODE_SPACES)
     out = F.translate(c, src, dst)
     for a, b in TRANSLIT_MULTI:
         out = F.replace(out, F.lit(a), F.lit(b))
@@ -179,12 +183,6 @@ def icontains(c: Column, q: str) -> Column:
     return F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(q.lower()))
 
 
-def sentiment_input(c: Column) -> Column:
-    """T5: newlines to spaces, stripped, capped at 5,000 characters."""
-    return F.substring(strip_ws(F.translate(F.coalesce(c, F.lit("")), "\n\r", "  ")), 1,
-                       SENTIMENT_MAX_CHARS)
-
-
 def snippet(c: Column, n: int = SNIPPET_CHARS) -> Column:
     """First ``n`` characters."""
     return F.substring(c, 1, n)
@@ -193,8 +191,3 @@ def snippet(c: Column, n: int = SNIPPET_CHARS) -> Column:
 def strip_tags(c: Column) -> Column:
     """Remove HTML tags."""
     return F.regexp_replace(c, r"<[^>]+>", "")
-
-
-def round_half_up(c: Column, scale: int) -> Column:
-    """Spark's ``round`` (HALF_UP on the decimal value)."""
-    return F.round(c, scale)

@@ -1,12 +1,9 @@
 """Text classifiers as term-weight tables.
 
 The reference calls a pretrained transformer once per post.  Here a model
-is a *table* ``weights(term string, w array<double>)`` aligned to a label
-list, with one bias row under the empty term.  Scoring is: tokens of each
-post (plus the bias term) -> equi-join on term -> per-post sum of weight
-vectors -> softmax -> arg-max.  Tokens of one post live in one partition,
-so the per-post sum is combined map-side and only one small row per post
-crosses the shuffle.
+is a *table* ``weights(term, w0, w1, ...)`` aligned to a label list, and the
+class priors.  Scoring is: counted terms of each post -> equi-join on term
+-> per-post sums by hash aggregation -> priors added -> softmax -> arg-max.
 
 ``fit_naive_bayes`` builds such a table from labelled posts with Spark
 aggregations (multinomial Naive Bayes, Laplace smoothing).
@@ -20,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut_lineage
 
 # Fixed label sets of the reference: sentiment classes in index order, and
 # the seven emotion classes.
@@ -27,59 +25,54 @@ SENTIMENT_LABELS = ("Negative", "Neutral", "Positive")
 EMOTION_LABELS = ("joy", "sadness", "anger", "fear", "surprise", "disgust", "neutral")
 SHORT_TEXT_CHARS = 3
 MIN_EMOTION_WORDS = 3
-BIAS_TERM = ""
-# Weight tables up to this many rows are broadcast (size checked by count).
-BROADCAST_MAX_ROWS = 500_000
+
+
+# term weights (term, w0, w1, ...) and the class priors
+Model = tuple[DataFrame, list[float]]
 
 
 def fit_naive_bayes(train: DataFrame, toks: str, label: str, labels: tuple[str, ...],
-                    smoothing: float = 1.0) -> DataFrame:
-    """Multinomial Naive Bayes weight table from ``train(toks array<string>,
-    label string)``: ``w[i] = log((n(term, i) + a) / (N_i + a * V))`` and a
-    bias row ``log(docs_i / docs)``.  The per-term counts are one grouped
+                    smoothing: float = 1.0) -> Model:
+    """Multinomial Naive Bayes model from ``train(toks array<string>,
+    label string)``: ``w[i] = log((n(term, i) + a) / (N_i + a * V))`` and the
+    priors ``log(docs_i / docs)``.  The per-term counts are one grouped
     aggregation; the per-class totals are k+2 scalars."""
     k = len(labels)
     idx = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label)) - 1
     t = train.select(idx.alias("y"), F.col(toks).alias("toks")).where(F.col("y") >= 0)
     terms = (t.select("y", F.explode_outer("toks").alias("term"))
-              .where(F.col("term").isNotNull() & (F.col("term") != BIAS_TERM)))
-    counts = terms.groupBy("term").agg(*[F.count_if(F.col("y") == i).alias(f"c{i}") for i in range(k)])
-    counts = counts.persist()
+              .where(F.col("term").isNotNull()))
+    counts = cut_lineage(terms.groupBy("term").agg(
+        *[F.count_if(F.col("y") == i).alias(f"c{i}") for i in range(k)]))
     tot = counts.agg(F.count(F.lit(1)).alias("v"),
                      *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"t{i}") for i in range(k)]).first()
     docs = t.agg(F.count(F.lit(1)).alias("n"),
                  *[F.count_if(F.col("y") == i).alias(f"n{i}") for i in range(k)]).first()
     v = tot["v"]
-    w = counts.select("term", F.array(*[
-        F.log((F.col(f"c{i}") + F.lit(smoothing)) / F.lit(float(tot[f"t{i}"] + smoothing * v)))
-        for i in range(k)]).alias("w"))
+    w = counts.select("term", *[
+        F.log((F.col(f"c{i}") + F.lit(smoothing)) / F.lit(float(tot[f"t{i}"] + smoothing * v))).alias(f"w{i}")
+        for i in range(k)])
     prior = [math.log(docs[f"n{i}"] / docs["n"]) if docs[f"n{i}"] else -1e9 for i in range(k)]
-    bias = train.sparkSession.createDataFrame([(BIAS_TERM, prior)], "term string, w array<double>")
-    return w.unionByName(bias)
+    return w, prior
 
 
-def score_terms(df: DataFrame, toks: str, weights: DataFrame, labels: tuple[str, ...],
-                key: str, carry: list[str] = (), out: str = "logits") -> DataFrame:
-    """Per-post logit vector: sum of weight vectors of the post's tokens
-    (with multiplicity) plus the bias row; unknown terms are skipped.
+def score_terms(df: DataFrame, toks: str, model: Model, key: str, out: str = "logits") -> DataFrame:
+    """Per-post logit vector: sum of the weights of the post's tokens (with
+    multiplicity) plus the class priors; unknown terms are skipped.
 
-    One pass over the posts: ``carry`` columns ride along (``first`` per
-    key; keys are unique) so the posts are not scanned twice.  The bias
-    term gives every post at least one joined row.  A weight table within
-    ``BROADCAST_MAX_ROWS`` (counted) is broadcast; a larger one is
-    shuffle-joined on term (AQE splits hot terms).
+    Only ``(key, term)`` rows are exploded and counted; the numeric sums are
+    hash aggregates, and the other columns of ``df`` are joined back on the
+    key (which is unique).  A post without known terms has the priors.
     """
-    k = len(labels)
-    carry = [c for c in carry if c != key]
-    ex = df.select(key, *carry, F.explode(F.concat(
-        F.array(F.lit(BIAS_TERM)), F.coalesce(F.col(toks), F.array().cast("array<string>"))))
-        .alias("term"))
-    n = weights.count()
-    w = F.broadcast(weights) if n <= BROADCAST_MAX_ROWS else weights
-    j = ex.join(w, "term")
-    sums = j.groupBy(key).agg(*[F.first(c).alias(c) for c in carry],
-                              *[F.sum(F.col("w")[i]).alias(f"__l{i}") for i in range(k)])
-    return sums.select(key, *carry, F.array(*[F.col(f"__l{i}") for i in range(k)]).alias(out))
+    weights, prior = model
+    k = len(prior)
+    terms = df.select(key, F.explode(toks).alias("term")).groupBy(key, "term").agg(
+        F.count(F.lit(1)).alias("times"))
+    sums = terms.join(weights, "term").groupBy(key).agg(
+        *[F.sum(F.col("times") * F.col(f"w{i}")).alias(f"__l{i}") for i in range(k)])
+    return df.drop(toks).join(sums, key, "left").withColumn(out, F.array(*[
+        F.coalesce(F.col(f"__l{i}"), F.lit(0.0)) + F.lit(float(prior[i])) for i in range(k)])).drop(
+        *[f"__l{i}" for i in range(k)])
 
 
 def with_softmax(df: DataFrame, logits: str, labels: tuple[str, ...], out: str,
@@ -109,7 +102,7 @@ def sentiment_text(df: DataFrame) -> Column:
     return T.pick_text([c("cleaned_text")], c("title"), c("body"), c("content"))
 
 
-def sentiment(df: DataFrame, weights: DataFrame, key: str = "post_id",
+def sentiment(df: DataFrame, model: Model, key: str = "post_id",
               labels: tuple[str, ...] = SENTIMENT_LABELS) -> DataFrame:
     """Sentiment struct per post.  Posts whose text is shorter than 3
     characters are dropped; the whole text is scored (no prefix cap)."""
@@ -119,12 +112,12 @@ def sentiment(df: DataFrame, weights: DataFrame, key: str = "post_id",
         .where(F.length(F.col("__t")) >= SHORT_TEXT_CHARS) \
         .select(*keep, T.snippet(F.col("__t")).alias("text_analyzed"),
                 T.tokens(F.col("__t")).alias("__toks"))
-    out = score_terms(base, "__toks", weights, labels, key, carry=keep + ["text_analyzed"])
+    out = score_terms(base, "__toks", model, key)
     out = with_softmax(out, "logits", labels, "sentiment")
     return out.select(*keep, "text_analyzed", "sentiment")
 
 
-def emotion(df: DataFrame, weights: DataFrame, labels: tuple[str, ...], key: str = "id",
+def emotion(df: DataFrame, model: Model, labels: tuple[str, ...], key: str = "id",
             title: str = "title", body: str = "body") -> DataFrame:
     """Emotion struct (4 decimals) per post; text = title + ' ' + body;
     posts with fewer than 3 words are dropped (P13 passthrough)."""
@@ -132,6 +125,5 @@ def emotion(df: DataFrame, weights: DataFrame, labels: tuple[str, ...], key: str
                                                         F.coalesce(F.col(body), F.lit("")))))
     base = base.where(T.word_count(F.col("__t")) >= MIN_EMOTION_WORDS) \
         .withColumn("__toks", T.tokens(F.col("__t"))).drop("__t")
-    carry = [c for c in base.columns if c != "__toks"]
-    out = score_terms(base, "__toks", weights, labels, key, carry=carry)
+    out = score_terms(base, "__toks", model, key)
     return with_softmax(out, "logits", labels, "emotion", decimals=4).drop("logits")

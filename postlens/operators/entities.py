@@ -30,11 +30,6 @@ MIN_TEXT_CHARS = 3
 MIN_JOB_TEXT_CHARS = 10
 MIN_ENTITY_CHARS = 2
 LINK_URL_PREFIX = "https://en.wikipedia.org/?curid="
-# Spark map lookups scan the keys linearly, so only tiny gazetteers are
-# compiled into the expression; larger ones are hash-joined.
-GAZETTEER_MAP_MAX = 64
-GAZETTEER_BROADCAST_MAX = 2_000_000
-KB_BROADCAST_MAX = 1_000_000
 
 WORD_RE = r"(\s*)(\S+)"
 EDGE_RE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
@@ -119,40 +114,30 @@ def prepare_gazetteer(gazetteer: DataFrame) -> DataFrame:
         .select("gram", F.col("v.type").alias("type"), F.col("v.kb_id").alias("kb_id"))
 
 
-def extract_entities(df: DataFrame, text: str, gazetteer: DataFrame, key: str,
+def extract_entities(df: DataFrame, text: str, gazetteer: DataFrame,
                      out: str = "entities") -> DataFrame:
     """``out`` = array of struct(entity, type, start, end, kb_id) with
-    0-based character offsets (end exclusive), in text order."""
+    0-based character offsets (end exclusive), in text order.
+
+    The entities depend on the text alone: candidates of distinct texts are
+    equi-joined with the gazetteer on the n-gram, and the matches regrouped
+    and joined back by a digest of the text, so repeated or null post keys
+    cannot mix posts.  Spark picks a broadcast join by the gazetteer's size.
+    """
     gaz = prepare_gazetteer(gazetteer)
-    stats = gaz.agg(F.count(F.lit(1)).alias("n"),
-                    F.max(F.size(F.split("gram", " "))).alias("max_n")).first()
-    n_alias, max_n = stats["n"], stats["max_n"] or 0
-    df = _with_words(df, text)
-    if n_alias == 0:
-        df = df.withColumn("__m", F.array().cast("array<struct<i:int,n:int,type:string,kb_id:string>>"))
-        return _resolve(df, text, out)
-    cands = F.flatten(F.array(*[_candidates(n) for n in range(1, max_n + 1)]))
-    if n_alias <= GAZETTEER_MAP_MAX:
-        rows = gaz.collect()
-        gmap = F.create_map(*[x for r in rows for x in
-                              (F.lit(r["gram"]), F.struct(F.lit(r["type"]).alias("type"),
-                                                          F.lit(r["kb_id"]).alias("kb_id")))])
-        df = df.withColumn("__c", cands)
-        hits = F.filter(F.col("__c"), lambda c: F.map_contains_key(gmap, c["gram"]))
-        df = df.withColumn("__m", F.transform(hits, lambda c: F.struct(
-            c["i"].alias("i"), c["n"].alias("n"),
-            F.element_at(gmap, c["gram"])["type"].alias("type"),
-            F.element_at(gmap, c["gram"])["kb_id"].alias("kb_id")))).drop("__c")
-        return _resolve(df, text, out)
-    # large gazetteer: candidates equi-joined on the n-gram, regrouped per post
-    cand = df.select(key, F.explode_outer(cands).alias("c")).where(F.col("c").isNotNull()) \
-        .select(key, "c.i", "c.n", F.col("c.gram").alias("gram"))
-    g = F.broadcast(gaz) if n_alias <= GAZETTEER_BROADCAST_MAX else gaz
-    m = cand.join(g, "gram").groupBy(key).agg(
+    max_n = gaz.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 0
+    df = df.withColumn("__digest", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    distinct = df.select("__digest", F.col(text).alias("__text")).dropDuplicates(["__digest"])
+    worded = _with_words(distinct, "__text")
+    empty = F.array().cast("array<struct<i:int,n:int,gram:string>>")
+    cands = F.flatten(F.array(empty, *[_candidates(n) for n in range(1, max_n + 1)]))
+    cand = worded.select("__digest", F.explode(cands).alias("c")).select(
+        "__digest", "c.i", "c.n", F.col("c.gram").alias("gram"))
+    matches = cand.join(gaz, "gram").groupBy("__digest").agg(
         F.collect_list(F.struct("i", "n", "type", "kb_id")).alias("__m"))
-    df = df.join(m, key, "left").withColumn(
-        "__m", F.coalesce(F.col("__m"), F.array().cast("array<struct<i:int,n:int,type:string,kb_id:string>>")))
-    return _resolve(df, text, out)
+    found = _resolve(worded.join(matches, "__digest"), "__text", "__found").select("__digest", "__found")
+    return df.join(found, "__digest", "left").withColumn(
+        out, F.coalesce(F.col("__found"), F.array().cast(f"array<{ENTITY_TYPE}>"))).drop("__digest", "__found")
 
 
 def dedup_entities(ents: Column) -> Column:
@@ -178,13 +163,11 @@ def link_entities(df: DataFrame, ents: str, kb: DataFrame, key: str,
                   carry: list[str] | None = None, out: str = "linked_entities") -> DataFrame:
     """Link each entity through the KB; unlinked entities and posts
     without any linked entity are dropped.  The entities of one post are
-    exploded, joined (broadcast when the KB is small, checked by count) and
+    exploded, joined and
     regrouped in the same partition, so partial aggregation leaves one row
     per post for the shuffle; ``carry`` columns ride along (keys unique)."""
     carry = [c for c in (carry if carry is not None else df.columns) if c not in (key, ents)]
-    kbb = best_kb(kb)
-    n = kbb.count()
-    kbj = F.broadcast(kbb) if n <= KB_BROADCAST_MAX else kbb
+    kbj = best_kb(kb)
     ex = df.select(key, *carry, F.explode_outer(F.col(ents)).alias("e")).where(F.col("e").isNotNull())
     linked = ex.join(kbj, F.col("e.kb_id") == kbj["kb_id"]).groupBy(key).agg(
         *[F.first(c).alias(c) for c in carry],
@@ -207,7 +190,7 @@ def entity_table(posts: DataFrame, gazetteer: DataFrame, kb: DataFrame, key: str
     text = T.pick_text([c("translated_text"), c("cleaned_text")], c("title"), c("body"), c("content"))
     keep = [x for x in ("_id", key, "subreddit", "author", "created_utc", "permalink", "title") if x in cols]
     base = posts.select(*keep, text.alias("__t")).where(F.length("__t") >= MIN_JOB_TEXT_CHARS)
-    base = extract_entities(base, "__t", gazetteer, key, out="__e")
+    base = extract_entities(base, "__t", gazetteer, out="__e")
     base = base.select(*keep, T.snippet(F.col("__t")).alias("text_analyzed"),
                        F.size("__e").cast("int").alias("entity_count"),
                        dedup_entities(F.col("__e")).alias("__d"))

@@ -47,6 +47,34 @@ def search_predicate(q: str, kind: str = "all") -> Column:
     return T.icontains(F.col(f"{N}.{part}.label"), ql)
 
 
+def labelled(df: DataFrame, part: str, label: str | None = None, least: float | None = None,
+             community: str | None = None, group: str = "subreddit") -> DataFrame:
+    """F8: rows of an enrichment whose struct ``part`` has this label, at
+    least this score, in this community (each where given)."""
+    if label is not None:
+        df = df.where(F.col(f"{part}.label") == label)
+    if least is not None:
+        df = df.where(F.col(f"{part}.score") >= least)
+    if community is not None:
+        df = df.where(F.col(group) == community)
+    return df
+
+
+def mentioned(df: DataFrame, type_: str | None = None, pattern: str | None = None,
+              ents: str = "linked_entities") -> DataFrame:
+    """posts with an entity of this type and of a text that matches the
+    regular expression, upper and lower case alike (each where given)."""
+    def fits(e):
+        ok = F.lit(True)
+        if type_ is not None:
+            ok = ok & (e["type"] == type_)
+        if pattern is not None:
+            ok = ok & e["entity"].rlike(f"(?i){pattern}")
+        return ok
+
+    return df.where(F.exists(F.col(ents), fits))
+
+
 def check_query(q: str | None, kind: str) -> str:
     """trimmed query; empty is rejected except for flag searches."""
     q = (q or "").strip()

@@ -24,6 +24,16 @@ def _w(group):
     return Window.partitionBy(*group) if group else Window.partitionBy(F.lit(1))
 
 
+def _with_absent(agg: DataFrame, group: list[str], labels: tuple[str, ...]) -> DataFrame:
+    """Add rows with count 0 for the labels that a group does not have."""
+    spread = agg.groupBy(*group).agg(F.first("total").alias("total"),
+                                     F.collect_set("label").alias("__has"))
+    absent = spread.select(*group, "total", F.explode(F.array_except(
+        F.array(*[F.lit(x) for x in labels]), "__has")).alias("label"))
+    return agg.unionByName(absent.select(*group, "label", F.lit(0).cast("bigint").alias("count"),
+                                         F.lit(0.0).alias("__sum"), "total"))
+
+
 def label_stats(df: DataFrame, label: Column, score: Column | None = None,
                 group: list[str] = (), avg_labels: tuple[str, ...] | None = None,
                 decimals: int = 3) -> DataFrame:
@@ -40,6 +50,8 @@ def label_stats(df: DataFrame, label: Column, score: Column | None = None,
     avg = F.round(F.col("__sum") / F.col("count"), decimals)
     if avg_labels is not None:
         avg = F.when(F.col("label").isin(*avg_labels), avg)
+        agg = _with_absent(agg, group, avg_labels)
+        avg = F.when(F.col("count") == 0, F.lit(0.0)).otherwise(avg)
     extra = [avg.alias("average_confidence")] if score is not None else []
     return agg.select(*group, "label", "count",
                       F.round(F.col("count") / F.col("total") * 100, 2).alias("percentage"),
@@ -129,12 +141,6 @@ def community_metadata(df: DataFrame, group: str = "subreddit") -> DataFrame:
                       "total_score", "total_comments")
 
 
-def top_k_labels(df: DataFrame, label: Column, k: int = 5) -> DataFrame:
-    """G19 helper: top-k label counts (missing -> 'Unknown')."""
-    c = df.select(F.coalesce(label, F.lit(UNKNOWN_LABEL)).alias("label")).groupBy("label").count()
-    return c.orderBy(F.col("count").desc(), F.col("label").asc()).limit(k)
-
-
 def daily_trend(df: DataFrame, ts: str, score: Column, group: list[str] = (), decimals: int = 4) -> DataFrame:
     """Per calendar date (UTC) mean of a score and number of posts."""
     group = list(group)

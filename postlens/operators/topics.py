@@ -41,8 +41,6 @@ TOPIC_LEXICON: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 NO_TOPIC = "other"
 SCORE_DECIMALS = 3
-# Lexicons larger than this are not compiled into one expression.
-MAX_COMPILED_KEYWORDS = 20_000
 # ---------------------------------------------------------------------------
 
 
@@ -56,10 +54,6 @@ def with_topic(df: DataFrame, text: str, lexicon=TOPIC_LEXICON, out: str = "topi
     The lower-cased text and the winning candidate are projected columns,
     so lambdas and the CASE branches only reference attributes.
     """
-    n_kw = sum(len(k) for _, k in lexicon)
-    if n_kw > MAX_COMPILED_KEYWORDS:
-        raise ValueError(f"topic lexicon has {n_kw} keywords; above {MAX_COMPILED_KEYWORDS} "
-                         "use a token-join classifier instead")
     lc, best = f"__{out}_lc", f"__{out}_best"
     df = df.withColumn(lc, F.lower(F.coalesce(F.col(text), F.lit(""))))
     max_len = max(len(k) for _, k in lexicon)
@@ -81,8 +75,7 @@ def with_topic(df: DataFrame, text: str, lexicon=TOPIC_LEXICON, out: str = "topi
 
 
 def topic_detect(posts: DataFrame, title: str = "title", body: str = "body",
-                 lexicon=TOPIC_LEXICON, lemmas: DataFrame | None = None,
-                 key: str = "id") -> DataFrame:
+                 lexicon=TOPIC_LEXICON, lemmas: DataFrame | None = None) -> DataFrame:
     """Topic job: text = title + ' ' + body (non-empty parts); posts with
     empty text are dropped; the post is passed through with a ``topic``
     struct (P13).  With a lemma table the text is lemmatised first (C6)."""
@@ -90,37 +83,28 @@ def topic_detect(posts: DataFrame, title: str = "title", body: str = "body",
                                    F.coalesce(F.col(body), F.lit(""))))
     df = posts.withColumn("__text", text).where(F.col("__text") != "")
     if lemmas is not None:
-        df = lemmatize(df, "__text", lemmas, key=key, out="__text")
+        df = lemmatize(df, "__text", lemmas, out="__text")
     return with_topic(df, "__text", lexicon).drop("__text")
 
 
-def lemmatize(df: DataFrame, text: str, lemmas: DataFrame, key: str = "id",
-              out: str = "lemmatized", map_limit: int = 10_000) -> DataFrame:
+def lemmatize(df: DataFrame, text: str, lemmas: DataFrame, out: str = "lemmatized") -> DataFrame:
     """Lower-case, split on whitespace, replace each token by its lemma
-    (``lemmas(token, lemma)``), re-join with single spaces.
+    (``lemmas(token, lemma)``, the smallest lemma of a repeated token),
+    re-join with single spaces.
 
-    A lemma table of at most ``map_limit`` rows (size checked with a count)
-    is shipped inside the expression as a map, so the rewrite is per row
-    with no shuffle.  A larger table is joined: tokens are exploded with
-    their positions, joined on token, and re-assembled per document.
+    The result depends on the text alone, so distinct texts are looked up,
+    by a digest of the text: repeated or null post keys cannot mix posts,
+    and copies of one text are exploded once.
     """
-    words = F.split(T.strip_ws(F.lower(F.coalesce(F.col(text), F.lit("")))), r"\s+")
-    n = lemmas.count()
-    if n <= map_limit:
-        pairs = lemmas.select("token", "lemma").dropDuplicates(["token"]).collect()
-        if not pairs:
-            return df.withColumn(out, F.array_join(F.filter(words, lambda w: w != ""), " "))
-        m = F.create_map(*[x for p in pairs for x in (F.lit(p["token"]), F.lit(p["lemma"]))])
-        return df.withColumn(out, F.array_join(
-            F.transform(F.filter(words, lambda w: w != ""),
-                        lambda w: F.coalesce(F.element_at(m, w), w)), " "))
-    lem = lemmas.select(F.col("token").alias("__tok"), F.col("lemma").alias("__lem")) \
-        .dropDuplicates(["__tok"])
-    toks = df.select(key, F.posexplode_outer(words).alias("__pos", "__tok"))
-    rebuilt = (toks.join(lem, "__tok", "left")
-                   .where(F.col("__tok") != "")
-                   .groupBy(key)
-                   .agg(F.array_join(F.transform(
-                       F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__lem", "__tok").alias("w")))),
-                       lambda s: s["w"]), " ").alias(out)))
-    return df.drop(out).join(rebuilt, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    df = df.withColumn("__digest", digest)
+    lem = lemmas.groupBy(F.col("token").alias("__tok")).agg(F.min("lemma").alias("__lem"))
+    words = F.split(T.strip_ws(F.lower(F.coalesce(F.col("__text"), F.lit("")))), r"\s+")
+    toks = (df.select("__digest", F.col(text).alias("__text")).dropDuplicates(["__digest"])
+              .select("__digest", F.posexplode(words).alias("__pos", "__tok"))
+              .where(F.col("__tok") != ""))
+    rebuilt = toks.join(lem, "__tok", "left").groupBy("__digest").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("__lem", "__tok").alias("w")))),
+        lambda s: s["w"]), " ").alias("__out"))
+    return df.join(rebuilt, "__digest", "left").withColumn(
+        out, F.coalesce("__out", F.lit(""))).drop("__digest", "__out")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text as T
 from ..operators import classify as CL
@@ -305,10 +306,10 @@ def _emotion_class(lab):
     return F.when(lab["toxic"] == 1, "anger").when(lab["quality"] == 1, "joy").otherwise("sadness")
 
 
-def sentiment_table(spark, sf_dir):
+def sentiment_table(spark, sf_dir, pre=None):
     # the preprocessed table feeds both training and scoring: materialise it
     # once in the shared checkpoint directory
-    pre = cut_lineage(_preprocessed(spark, sf_dir))
+    pre = pre if pre is not None else cut_lineage(_preprocessed(spark, sf_dir))
     lab = table(spark, sf_dir, "labels")
     train = (pre.select("post_id", T.tokens(CL.sentiment_text(pre)).alias("toks"))
                 .join(lab.select(F.col("doc_id").cast("string").alias("post_id"),
@@ -441,9 +442,9 @@ def gazetteer_and_kb(spark, sf_dir):
     return gaz, kb
 
 
-def entities_table(spark, sf_dir):
+def entities_table(spark, sf_dir, pre=None):
     gaz, kb = gazetteer_and_kb(spark, sf_dir)
-    return EN.entity_table(_preprocessed(spark, sf_dir), gaz, kb)
+    return EN.entity_table(pre if pre is not None else _preprocessed(spark, sf_dir), gaz, kb)
 
 
 @register("entities")
@@ -464,8 +465,20 @@ def topics_table(spark, sf_dir):
     return TP.topic_detect(document_posts(spark, sf_dir))
 
 
-def flags_table(spark, sf_dir):
-    return FL.behaviour_flags(_preprocessed(spark, sf_dir))
+def flags_table(spark, sf_dir, pre=None):
+    return FL.behaviour_flags(pre if pre is not None else _preprocessed(spark, sf_dir))
+
+
+def stored_parts(spark, sf_dir, entities: bool = False) -> dict[str, DataFrame]:
+    """Every enrichment, run once and written to the shared checkpoint
+    folder; the reports read these tables as often as they need."""
+    pre = cut_lineage(_preprocessed(spark, sf_dir))
+    parts = {"base": pre, "sentiment": sentiment_table(spark, sf_dir, pre),
+             "emotion": emotion_table(spark, sf_dir), "topics": topics_table(spark, sf_dir),
+             "flags": flags_table(spark, sf_dir, pre), "keywords": _keyword_table(spark, sf_dir)}
+    if entities:
+        parts["entities"] = entities_table(spark, sf_dir, pre)
+    return {name: df if name == "base" else cut_lineage(df) for name, df in parts.items()}
 
 
 def _sql_label_stats(src: str, label: str, score: str | None, group: list[str] = (),
@@ -478,14 +491,23 @@ def _sql_label_stats(src: str, label: str, score: str | None, group: list[str] =
     if score:
         a = f"round(sm / count, {decimals})"
         if avg_labels:
-            a = f"CASE WHEN label IN ({', '.join(S.q(x) for x in avg_labels)}) THEN {a} END"
+            a = (f"CASE WHEN count = 0 THEN 0.0 WHEN label IN ({', '.join(S.q(x) for x in avg_labels)}) "
+                 f"THEN {a} END")
         avg = f", {a} AS average_confidence"
     dom = ""
     if dominant:
         dom = (f", first(label ORDER BY count DESC, label) OVER ({part} ORDER BY count DESC, label "
                f"ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS dominant")
+    absent = ""
+    if score and avg_labels:
+        axis = ", ".join(f"({S.q(x)})" for x in avg_labels)
+        on = " AND ".join([f"h.{c} = d.{c}" for c in group] + ["h.label = x.label"])
+        absent = (f" UNION ALL SELECT {''.join('d.' + c + ', ' for c in group)}x.label, 0 AS count, 0.0 AS sm "
+                  f"FROM (SELECT DISTINCT {g or '1 AS one'} FROM lh) d CROSS JOIN (VALUES {axis}) x(label) "
+                  f"WHERE NOT EXISTS (SELECT 1 FROM lh h WHERE {on})")
     return f"""
-la AS (SELECT {gsel}coalesce({label}, 'Unknown') AS label, count(*) AS count{sm} FROM {src} GROUP BY ALL),
+lh AS (SELECT {gsel}coalesce({label}, 'Unknown') AS label, count(*) AS count{sm} FROM {src} GROUP BY ALL),
+la AS (SELECT * FROM lh{absent}),
 lb AS (SELECT *, CAST(sum(count) OVER ({part}) AS BIGINT) AS total FROM la)
 SELECT {gsel}label, count, round(count / total * 100, 2) AS percentage, total{avg}{dom} FROM lb"""
 
@@ -545,11 +567,14 @@ def q_community_flags(spark, sf_dir):
     return ST.flag_stats(flags_table(spark, sf_dir), group=["subreddit"])
 
 
-@register("flags_first_5000",
-          f"WITH {_SQL_PRE},{FLAG_CTES}, flx AS (SELECT * FROM fl ORDER BY post_id LIMIT 5000), " + _sql_flag_stats())
-def q_flags_first_5000(spark, sf_dir):
-    f = flags_table(spark, sf_dir)
-    return ST.flag_stats(f.orderBy("post_id").limit(5000))
+@register("flag_counts", f"WITH {_SQL_PRE},{FLAG_CTES}" + """
+SELECT count(*) AS total_posts, count(*) FILTER (WHERE spam) AS spam_count,
+       count(*) FILTER (WHERE offensive) AS offensive_count FROM fl""")
+def q_flag_counts(spark, sf_dir):
+    """G20 over the whole table."""
+    return flags_table(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("total_posts"), F.count_if("flags.spam").alias("spam_count"),
+        F.count_if("flags.offensive").alias("offensive_count"))
 
 
 def _sql_term_totals(group: list[str] = ()) -> str:
@@ -590,21 +615,14 @@ def q_community_metadata(spark, sf_dir):
 
 def core_post_summaries(spark, sf_dir):
     """JN1 over the six SQL-checkable parts (entities excluded)."""
-    return RP.post_summaries(
-        _preprocessed(spark, sf_dir), sentiment=sentiment_table(spark, sf_dir),
-        emotion=emotion_table(spark, sf_dir), keywords=_keyword_table(spark, sf_dir),
-        topics=topics_table(spark, sf_dir), flags=flags_table(spark, sf_dir))
+    return cut_lineage(RP.post_summaries(**stored_parts(spark, sf_dir)))
 
 
 def full_post_summaries(spark, sf_dir):
-    return RP.post_summaries(
-        _preprocessed(spark, sf_dir), sentiment=sentiment_table(spark, sf_dir),
-        entities=entities_table(spark, sf_dir), emotion=emotion_table(spark, sf_dir),
-        keywords=_keyword_table(spark, sf_dir), topics=topics_table(spark, sf_dir),
-        flags=flags_table(spark, sf_dir))
+    return RP.post_summaries(**stored_parts(spark, sf_dir, entities=True))
 
 
-def _flat_summary(ps):
+def _flat_summary(ps, *more):
     n = "nlp_results"
     return ps.select(
         "post_id", "title", "subreddit", "author", F.col("score").cast("long").alias("score"),
@@ -617,7 +635,7 @@ def _flat_summary(ps):
         F.col(f"{n}.keywords_hashtags.hashtag_count").cast("long").alias("hashtag_count"),
         F.col(f"{n}.topic_classification.label").alias("topic_label"),
         F.col(f"{n}.topic_classification.confidence").alias("topic_confidence"),
-        *[F.col(f"{n}.behavior_flags.{f}").alias(f) for f in ST.FLAG_NAMES])
+        *[F.col(f"{n}.behavior_flags.{f}").alias(f) for f in ST.FLAG_NAMES], *more)
 
 
 CORE_PS_CTES = f"""{_SQL_PRE}, {SENT_CTES}, {EMO_CTES}, {KW_CTES}, {TOPIC_CTES}, {FLAG_CTES},
@@ -642,10 +660,10 @@ def q_post_summaries_core(spark, sf_dir):
 
 @register("post_summaries")
 def q_post_summaries(spark, sf_dir):
-    ps = full_post_summaries(spark, sf_dir)
-    return _flat_summary(ps).join(ps.select(
-        "post_id", F.col("nlp_results.named_entities.entity_count").cast("long").alias("entity_count"),
-        F.col("nlp_results.named_entities.linked_count").cast("long").alias("linked_count")), "post_id")
+    named = "nlp_results.named_entities"
+    return _flat_summary(full_post_summaries(spark, sf_dir),
+                         F.col(f"{named}.entity_count").cast("long").alias("entity_count"),
+                         F.col(f"{named}.linked_count").cast("long").alias("linked_count"))
 
 
 def _map_str(c):
@@ -707,7 +725,30 @@ def q_top_authors(spark, sf_dir):
 SELECT CAST(hour(created_utc) AS BIGINT) AS hour, count(*) AS count FROM e GROUP BY 1""")
 def q_posts_by_hour(spark, sf_dir):
     e = EDA.time_parts(event_posts(spark, sf_dir))
-    return EDA.counts_by(e, "hour", "hour")
+    return EDA.counts_by(e, "hour", "hour").orderBy("hour")
+
+
+@register("daily_trend", f"""WITH e AS ({SQL_EVENT_POSTS})
+SELECT CAST(created_utc AS DATE) AS date, round(avg(score), 4) AS mean_score, count(*) AS count
+FROM e GROUP BY 1""")
+def q_daily_trend(spark, sf_dir):
+    return ST.daily_trend(event_posts(spark, sf_dir), "created_utc", F.col("score"))
+
+
+@register("sentiment_confident_positive", f"WITH {_SQL_PRE}, {SENT_CTES}" + """
+SELECT post_id, label, round(score, 4) AS score FROM sent WHERE label = 'Positive' AND score >= 0.9""")
+def q_sentiment_confident_positive(spark, sf_dir):
+    hits = SR.labelled(sentiment_table(spark, sf_dir), "sentiment", label="Positive", least=0.9)
+    return hits.select("post_id", F.col("sentiment.label").alias("label"),
+                       F.round("sentiment.score", 4).alias("score"))
+
+
+@register("community_negative_posts", f"WITH {_SQL_PRE}, {SENT_CTES}" + """
+SELECT post_id, subreddit, label FROM sent JOIN pre USING (post_id)
+WHERE subreddit = 'src0' AND label = 'Negative'""")
+def q_community_negative_posts(spark, sf_dir):
+    hits = SR.labelled(sentiment_table(spark, sf_dir), "sentiment", label="Negative", community="src0")
+    return hits.select("post_id", "subreddit", F.col("sentiment.label").alias("label"))
 
 
 @register("posts_by_weekday", f"""WITH e AS ({SQL_EVENT_POSTS}),
@@ -907,7 +948,9 @@ def q_ingest_counters(spark, sf_dir):
     return c
 
 
-@register("stream_ingest_events")
+@register("stream_ingest_events", """
+SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS turn FROM events) WHERE turn = 1""")
 def q_stream_ingest_events(spark, sf_dir):
     return STREAM.ingest_events_stream(spark, sf_dir)
 
@@ -918,8 +961,7 @@ def q_json_roundtrip_documents(spark, sf_dir):
     path = scratch_path(spark, "documents-json")
     SK.write_json(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path)
     schema = "doc_id long, source string, text string"
-    from pyspark.sql.types import _parse_datatype_string
-    d = FS.read_posts(spark, path, _parse_datatype_string(schema), array=False)
+    d = FS.read_posts(spark, path, StructType.fromDDL(schema), array=False)
     return d.select("doc_id", "source", F.length("text").cast("long").alias("chars"))
 
 
@@ -942,9 +984,8 @@ def q_language_detect(spark, sf_dir):
 
 @register("overview")
 def q_overview(spark, sf_dir):
-    o = RP.overview(_preprocessed(spark, sf_dir), sentiment_table(spark, sf_dir), emotion_table(spark, sf_dir),
-                    topics_table(spark, sf_dir), flags_table(spark, sf_dir), _keyword_table(spark, sf_dir),
-                    entities_table(spark, sf_dir), generated_at="2024-01-01 00:00:00")
+    parts = stored_parts(spark, sf_dir, entities=True)
+    o = RP.overview(parts.pop("base"), **parts, generated_at="2024-01-01 00:00:00")
     return o.select("pipeline_version", F.array_join("data_sources", ",").alias("data_sources"),
                     "total_posts_in_dataset", _map_str(F.col("sentiment_distribution")).alias("sentiment_distribution"),
                     _map_str(F.col("emotion_distribution")).alias("emotion_distribution"),
@@ -955,10 +996,8 @@ def q_overview(spark, sf_dir):
 
 @register("community_summaries")
 def q_community_summaries(spark, sf_dir):
-    c = RP.community_summaries(_preprocessed(spark, sf_dir), sentiment_table(spark, sf_dir),
-                               emotion_table(spark, sf_dir), topics_table(spark, sf_dir),
-                               flags_table(spark, sf_dir), _keyword_table(spark, sf_dir),
-                               entities_table(spark, sf_dir))
+    parts = stored_parts(spark, sf_dir, entities=True)
+    c = RP.community_summaries(parts.pop("base"), **parts)
     return c.select("subreddit", F.col("metadata.total_posts").alias("total_posts"),
                     F.col("sentiment_analysis.dominant").alias("dominant_sentiment"),
                     F.col("emotion_detection.dominant").alias("dominant_emotion"),

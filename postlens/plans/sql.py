@@ -21,7 +21,7 @@ def strip_ws(x: str) -> str:
 
 
 def transliterate(x: str) -> str:
-    out = x
+    out = f"translate({x}, {q(T.UNICODE_SPACES)}, {q(' ' * len(T.UNICODE_SPACES))})"
     for a, b in T.TRANSLIT_MULTI:
         out = f"replace({out}, {q(a)}, {q(b)})"
     return f"strip_accents({out})"

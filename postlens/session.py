@@ -9,6 +9,7 @@ only when it is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,6 +33,7 @@ def local_session(cpus: int | str = "*", app: str = "postlens",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.postlens.balanceScans", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -40,13 +42,15 @@ def local_session(cpus: int | str = "*", app: str = "postlens",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting a scratch one only
-    when the session has none (local runs and tests)."""
+    """Return the shared checkpoint directory.  A local session without one
+    gets a scratch folder; on a cluster that is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = current.get() if current.isDefined() else None
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="postlens-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -19,10 +19,13 @@ def with_key(df: DataFrame, out: str = "key") -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """Duplicate update keys: the later record (by ``order``) wins."""
-    if not order:
-        return df.dropDuplicates([key])
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    """Duplicate update keys: the later record (by ``order``) wins, and among
+    equally late ones that with the largest hash of its fields, so the choice
+    is reproducible."""
+    rest = [c for c in df.columns if c != key]
+    tie = [F.xxhash64(*rest).desc()] if rest else []
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order or []],
+                                        *(tie or [F.col(key)]))
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
@@ -46,9 +49,11 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, set_cols: list[str],
     return j.select(*cols, *extra)
 
 
-def replace_by_key(target: DataFrame, updates: DataFrame, key: str, stamp: Column | None = None) -> DataFrame:
-    """K3: whole-row replace by key, with a ``last_updated`` stamp."""
-    u = updates.withColumn("last_updated", stamp if stamp is not None else F.current_timestamp())
+def replace_by_key(target: DataFrame, updates: DataFrame, key: str, stamp: Column | None = None,
+                   order: list[str] | None = None) -> DataFrame:
+    """K3: whole-row replace by key, with a ``last_updated`` stamp; of the
+    updates of one key the latest (by ``order``) is taken."""
+    u = latest_per_key(updates, key, order).withColumn("last_updated", stamp if stamp is not None else F.current_timestamp())
     return target.join(u.select(key), key, "left_anti").unionByName(u, allowMissingColumns=True)
 
 

@@ -28,9 +28,9 @@ TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 def balance(df: DataFrame) -> DataFrame:
     """Spread rows over the cluster when the scan yields fewer partitions
-    than there are task slots (e.g. one large row group).  Decided at
-    planning time from the scan's split count: on a large input the scan
-    already has thousands of splits and no exchange is added."""
+    than there are task slots.  Only for local tests and the bench, whose
+    tables have one row group (``spark.postlens.balanceScans``, which
+    ``local_session`` sets); elsewhere a scan is left as it is."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
@@ -39,7 +39,9 @@ def balance(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return balance(df) if name in TEXT_TABLES else df
+    if name in TEXT_TABLES and spark.conf.get("spark.postlens.balanceScans", "false") == "true":
+        return balance(df)
+    return df
 
 
 def _first_line(text: Column) -> Column:

@@ -4,19 +4,19 @@ New post drops land as files; the stream keeps posts not older than the
 watermark (the feed's look-back window, 720 hours by default), drops
 repeated ids within the watermark, and merges each micro-batch into the
 stored table with a left anti-join on the key, so a re-run batch inserts
-nothing twice (exactly-once per id).  Enrichment stages are stateless per
-row and apply unchanged to the streaming DataFrame (ST2).
+nothing twice (exactly-once per id).  ``enriched`` applies the stateless
+preprocessing and flag stages to the streaming DataFrame (ST2).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.flags import behaviour_flags
 from ..operators.ingest import DEFAULT_SINCE_HOURS
+from ..plans.preprocess import preprocess
 from ..session import scratch_path
 
 
@@ -32,23 +32,34 @@ def stream_posts(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return df.withWatermark(ts, f"{since_hours} hours").dropDuplicatesWithinWatermark([key])
 
 
-def merge_batch(batch: DataFrame, table_path: str, key: str) -> None:
-    """foreachBatch sink: insert rows whose key is not stored yet."""
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the stored table has been created.  Only its absence means a
+    first batch; any other error is raised."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def merge_batch(batch: DataFrame, table_path: str, key: str, ts: str | None = None) -> None:
+    """foreachBatch sink: insert rows whose key is not stored yet.  With a
+    time column only stored rows as recent as the batch's oldest are read."""
     spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(table_path).select(key)
-        new = batch.join(stored, key, "left_anti")
-    except Exception:  # noqa: BLE001 -- first batch, table not created yet
-        new = batch
+    new = batch
+    if table_exists(spark, table_path):
+        stored = spark.read.parquet(table_path)
+        if ts is not None:
+            oldest = batch.agg(F.min(ts)).first()[0]
+            stored = stored.where(F.col(ts) >= F.lit(oldest)) if oldest is not None else stored
+        new = batch.join(stored.select(key), key, "left_anti")
     new.write.mode("append").parquet(table_path)
 
 
 def run_ingest(stream: DataFrame, table_path: str, key: str = "id",
-               checkpoint: str | None = None) -> str:
+               checkpoint: str | None = None, ts: str | None = None) -> str:
     """Drain the available files once (``availableNow``) into the table."""
     spark = stream.sparkSession
     ck = checkpoint or scratch_path(spark, "ingest-checkpoint")
-    q = (stream.writeStream.foreachBatch(lambda b, _id: merge_batch(b, table_path, key))
+    q = (stream.writeStream.foreachBatch(lambda b, _id: merge_batch(b, table_path, key, ts))
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     return table_path
@@ -61,8 +72,11 @@ def ingest_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     s = stream_posts(spark, sf_dir, schema, glob="events.parquet", ts="ts", key="event_id")
     out = run_ingest(s.select("event_id", "ts", "user_id", "event_type", "value"),
-                     scratch_path(spark, "events-ingested"), key="event_id")
+                     scratch_path(spark, "events-ingested"), key="event_id", ts="ts")
     return spark.read.parquet(out)
 
 
-__all__ = ["stream_posts", "merge_batch", "run_ingest", "ingest_events_stream", "os"]
+def enriched(posts: DataFrame) -> DataFrame:
+    """ST2: preprocessing and behaviour flags, per row, on a stream (or
+    batch) of posts with ``id``, ``title``, ``body``, ``content``."""
+    return behaviour_flags(preprocess(posts))

@@ -91,7 +91,7 @@ def test_entities_match_brute_force(spark):
     df = spark.createDataFrame(texts, "id long, t string")
     g = spark.createDataFrame([(a, ty, a.upper()) for a, ty in gaz.items()], "alias string, type string, kb_id string")
     got = {r["id"]: [(e["entity"], e["type"], e["start"], e["end"]) for e in r["entities"]]
-           for r in EN.extract_entities(df, "t", g, "id").collect()}
+           for r in EN.extract_entities(df, "t", g).collect()}
     for i, t in texts:
         want = _brute_entities(t, gaz) if len(t.strip()) >= 3 else []
         assert got[i] == want, (i, got[i], want)
@@ -100,7 +100,7 @@ def test_entities_match_brute_force(spark):
 def test_lemmatize_small_table(spark):
     df = spark.createDataFrame([(1, "Games  played")], "id long, t string")
     lem = spark.createDataFrame([("games", "game"), ("played", "play")], "token string, lemma string")
-    assert TP.lemmatize(df, "t", lem, key="id").first()["lemmatized"] == "game play"
+    assert TP.lemmatize(df, "t", lem).first()["lemmatized"] == "game play"
 
 
 def test_daily_trend_and_label_stats(spark):
@@ -115,3 +115,87 @@ def test_daily_trend_and_label_stats(spark):
                                                   avg_labels=("Positive", "Neutral", "Negative")).collect()}
     assert st["Positive"]["count"] == 2 and st["Positive"]["percentage"] == 66.67
     assert st["Positive"]["average_confidence"] == 0.8 and st["Negative"]["percentage"] == 33.33
+
+
+def test_entities_with_many_aliases_and_repeated_or_null_keys(spark):
+    gaz = {f"word{i} city": "GPE" for i in range(90)} | {"acme": "ORG"}
+    rows = [(1, "In Word7 city and word80 City"), (1, "acme, word3"), (None, "ACME acme"), (None, "word5 city"),
+            (2, None), (3, "acme")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    g = spark.createDataFrame([(a, ty, a.upper()) for a, ty in gaz.items()], "alias string, type string, kb_id string")
+    got = [(r["id"], r["t"], [(e["entity"], e["type"], e["start"], e["end"]) for e in r["entities"]])
+           for r in EN.extract_entities(df, "t", g).collect()]
+    want = [(i, t, _brute_entities(t, gaz) if t and len(t.strip()) >= 3 else []) for i, t in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    none = EN.extract_entities(df, "t", g.where("false")).collect()
+    assert len(none) == len(rows) and all(r["entities"] == [] for r in none)
+
+
+def test_lemmatize_repeated_and_null_keys(spark):
+    rows = [(1, "Games  Played"), (1, "cats run"), (None, "dogs RAN"), (None, None), (2, " ")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    lem = spark.createDataFrame([("games", "game"), ("cats", "cat"), ("ran", "run"), ("dogs", "dog"),
+                                 *((f"w{i}", f"v{i}") for i in range(12000))], "token string, lemma string")
+    got = sorted((str(r["id"]), r["lemmatized"]) for r in TP.lemmatize(df, "t", lem).collect())
+    assert got == sorted([("1", "game played"), ("1", "cat run"), ("None", "dog run"), ("None", ""), ("2", "")])
+
+
+def test_replace_takes_the_latest_of_repeated_updates(spark):
+    t = spark.createDataFrame([("a", 1), ("c", 9)], "k string, x int")
+    u = spark.createDataFrame([("a", 2), ("a", 3), ("b", 4)], "k string, x int")
+    got = sorted((r["k"], r["x"]) for r in SK.replace_by_key(t, u, "k", order=["x"]).collect())
+    assert got == [("a", 3), ("b", 4), ("c", 9)]
+
+
+def test_ingest_inserts_an_id_once(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.operators import ingest as IN
+
+    new = spark.createDataFrame([("p", 5, "x"), ("p", 7, "x"), ("q", 6, "x"), ("r", 1, "x")],
+                                "id string, created_utc int, subreddit string")
+    old = spark.createDataFrame([("q", 6)], "id string, created_utc int")
+    rows, counters = IN.incremental_ingest(new, old, F.lit(3))
+    assert [(r["id"], r["created_utc"]) for r in rows.collect()] == [("p", 7)]
+    c = counters.first()
+    assert (c["scanned"], c["kept"], c["skipped"]) == (2, 1, 1)
+
+
+def test_absent_labels_report_zero(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.operators import stats as ST
+
+    df = spark.createDataFrame([("Positive", 0.5), ("Positive", 0.7)], "label string, score double")
+    got = {r["label"]: (r["count"], r["average_confidence"]) for r in ST.label_stats(
+        df, F.col("label"), F.col("score"), avg_labels=("Positive", "Neutral", "Negative")).collect()}
+    assert got == {"Positive": (2, 0.6), "Neutral": (0, 0.0), "Negative": (0, 0.0)}
+
+
+def test_clean_text_takes_unicode_spaces_for_spaces(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.functions import text as TX
+
+    df = spark.createDataFrame([("a\u00a0b http://x.y\u00a0next \u3000word",)], "t string")
+    assert df.select(TX.clean_text(F.col("t"))).first()[0] == "a b next word"
+
+
+def test_entity_filter(spark):
+    from postlens.operators import search as SR
+
+    df = spark.sql("""SELECT 1 AS id, array(named_struct('entity', 'New York', 'type', 'GPE')) AS linked_entities
+        UNION ALL SELECT 2, array(named_struct('entity', 'Acme', 'type', 'ORG'))""")
+    assert [r["id"] for r in SR.mentioned(df, type_="GPE").collect()] == [1]
+    assert [r["id"] for r in SR.mentioned(df, pattern="^acm").collect()] == [2]
+
+
+def test_stream_merge_is_idempotent_and_raises_real_errors(spark, tmp_path):
+    from postlens.streaming import ingest as ST
+
+    path = str(tmp_path / "table")
+    batch = spark.createDataFrame([(1, 10), (2, 20)], "k int, ts int")
+    for _ in range(2):
+        ST.merge_batch(batch, path, "k", "ts")
+    ST.merge_batch(spark.createDataFrame([(2, 20), (3, 30)], "k int, ts int"), path, "k", "ts")
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
