@@ -66,10 +66,10 @@ def op5_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op5_pivot_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
