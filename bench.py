@@ -22,6 +22,7 @@ HEADLINE = [
     "community_top_keywords", "keywords_per_post", "clean_documents", "preprocess_documents",
     "behaviour_flags", "topics", "sentiment", "emotion", "entities", "post_summaries",
     "overview_sentiment", "community_metadata", "posts_by_hour", "search_all", "ingest_counters",
+    "dashboard_stats", "overview", "community_summaries", "score_histogram",
 ]
 
 
@@ -31,6 +32,8 @@ def main() -> None:
     names = [n for n in HEADLINE if n in catalog.QUERIES]
     spark = local_session(cpus=cpus, app="postlens-bench")
     times: dict[str, float] = {}
+    # one run that is not timed, so that no query carries the start of the JVM
+    catalog.QUERIES["posts_by_hour"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in names:
         t0 = time.time()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

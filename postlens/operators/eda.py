@@ -1,13 +1,15 @@
 """Exploratory statistics.
 
 Counts are grouped aggregations; the weekday axis is a seven-row table
-joined to at most seven counts; the trimmed histogram uses Spark's exact
-``percentile`` (its buffer holds one counter per *distinct* value, merged
-map-side) and then a single grouped count over bin numbers.
+joined to at most seven counts; the trimmed histogram finds its exact
+quantile by a few rounds of bounded aggregations over ever narrower value
+ranges, and then takes a single grouped count over bin numbers.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,14 +75,53 @@ def text_length(title: Column, body: Column) -> Column:
     return (F.coalesce(F.length(title), F.lit(0)) + F.coalesce(F.length(body), F.lit(0))).cast("long")
 
 
+def order_statistic(x: DataFrame, col: str, rank: int, parts: int = 4096) -> float:
+    """The value at place ``rank`` (from 0) in ascending order, exactly.
+
+    The range of the values is cut into ``parts`` bins, the bin that holds
+    the place is cut again, and so on until it holds one value.  Each round
+    is one aggregation with at most ``parts`` rows, however many values
+    there are."""
+    v = F.col(col)
+    inside, low, high = x, None, None
+    while True:
+        if low is None:
+            bin_ = F.lit(0)
+        else:
+            inside = x.where((v >= F.lit(low)) & (v <= F.lit(high)))
+            bin_ = F.least(F.lit(parts - 1), F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(parts)).cast("int"))
+        rows = inside.groupBy(bin_.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).collect()
+        for r in sorted(rows, key=lambda r: r["bin"]):
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        low, high = r["low"], r["high"]
+        if low == high:
+            return low
+
+
+def quantile(x: DataFrame, col: str, q: float) -> float | None:
+    """Exact quantile with linear interpolation; null without values."""
+    n = x.count()
+    if not n:
+        return None
+    place = q * (n - 1)
+    below, above = math.floor(place), math.ceil(place)
+    low = order_statistic(x, col, below)
+    if below == above:
+        return low
+    return (above - place) * low + (place - below) * order_statistic(x, col, above)
+
+
 def trimmed_histogram(df: DataFrame, col: str, q: float = TRIM_QUANTILE, bins: int = HIST_BINS) -> DataFrame:
     """Drop values >= the exact q-quantile (linear interpolation),
     then ``bins`` equal-width bins over [min, max] of the rest (last bin
     closed) with counts, plus the trimmed mean on every row.  The cut and
-    the range are scalar aggregates (two small jobs); the binning is one
+    the range are scalar aggregates of a few small jobs; the binning is one
     grouped count."""
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    cut = x.agg(F.percentile("x", F.lit(q)).alias("cut")).first()["cut"]
+    cut = quantile(x, "x", q)
     if cut is None:
         return df.sparkSession.createDataFrame(
             [], "bin long, lower double, upper double, count long, mean double")
