@@ -92,3 +92,50 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score(read(spark, sf_dir, "documents"))
+
+
+_SPACE = "[\\x20\\x09-\\x0D]+"
+
+ORACLE["op6_line_quality"] = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}'), lambda w: w <> '') AS words
+  FROM documents
+), grams AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM d)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1
+), cover AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated CROSS JOIN range(8) x(k) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, source, t, line,
+         trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '{_SPACE}', ' ', 'g')) AS form
+  FROM (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM d)
+), spoken AS (SELECT * FROM lines WHERE form <> ''),
+hosts AS (SELECT source, count(DISTINCT t) AS documents FROM d GROUP BY source),
+often AS (
+  SELECT s.source, s.form FROM spoken s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
+  GROUP BY s.source, s.form, h.documents
+  HAVING count(DISTINCT s.t) > {line_quality.LINE_DOCUMENTS}
+     AND count(DISTINCT s.t) > {line_quality.LINE_SHARE} * h.documents
+), lost AS (
+  SELECT s.doc_id, sum(len(string_split(s.form, ' '))) AS n
+  FROM spoken s JOIN often o ON s.form = o.form AND s.source IS NOT DISTINCT FROM o.source
+  GROUP BY s.doc_id
+), dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM spoken GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, lost.n AS lost
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN cover USING (doc_id) LEFT JOIN lost USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (lost IS NULL OR (n_words - lost >= 20
+         AND n_words - lost >= {line_quality.LEFT_SHARE} * n_words)) AS kept
+FROM judged
+"""
