@@ -15,7 +15,7 @@ import numpy as np
 
 from .common import vocabulary
 
-MEMO_ENTRIES = 400_000      # chunks in one of a worker's two generations
+MEMO_ENTRIES = 600_000      # chunks in one of a worker's two generations
 MEMO_CHUNK_CHARS = 64       # longer chunks are encoded each time they occur
 
 _HARD_SPACE = re.compile(r" (?=\s|\Z)")
@@ -23,11 +23,14 @@ _WORD_SPACE = re.compile(r" (?=\S)")
 
 
 def byte_level_chunks(text: str) -> list[str]:
-    """Chunks that start at a space followed by a visible character.  The
-    byte-level split pattern begins a match at each such space, since it
-    takes a single space only together with what follows it."""
+    """Keys of chunks that start at a space followed by a visible character.
+    The byte-level split pattern begins a match at each such space, since it
+    takes a single space only together with what follows it.  A key is the
+    chunk without that space; the text's first chunk, which has none, has
+    one as its key."""
     parts = text.split(" ") if not _HARD_SPACE.search(text) else _WORD_SPACE.split(text)
-    return [parts[0], *(" " + p for p in parts[1:])]
+    parts[0] = " " + parts[0]
+    return parts
 
 
 def white_space_chunks(text: str) -> list[str]:
@@ -41,7 +44,7 @@ class ChunkEncoder:
 
     The memo has two generations: when the younger one is full it becomes
     the older one, and what is met again moves back.  New chunks are encoded
-    many to a text and their ids cut apart again (``join`` and ``cut``)."""
+    many to a text and their ids cut apart again (``join`` and ``ends``)."""
 
     def __init__(self, file: str, split):
         import os
@@ -58,39 +61,47 @@ class ChunkEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.asarray(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def joins(self, chunk: str) -> bool:
-        """Whether the chunk can be encoded together with others."""
+    def text(self, key: str) -> str:
+        """The chunk of a key."""
         raise NotImplementedError
 
-    def join(self, chunks: list[str]) -> str | None:
+    def together(self, keys: list[str]) -> list[str]:
+        """Those of the keys whose chunks can be encoded with others."""
+        raise NotImplementedError
+
+    def join(self, keys: list[str]) -> str | None:
         """One text of the chunks, None if they can't be told apart in it."""
         raise NotImplementedError
 
-    def cut(self, ids: np.ndarray) -> list[np.ndarray]:
-        """The ids of ``join``'s text, chunk by chunk."""
+    def ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each chunk's ids begin and end among those of ``join``."""
         raise NotImplementedError
 
-    def _encode(self, new: list[str]) -> None:
-        together = [c for c in new if len(c) <= MEMO_CHUNK_CHARS and self.joins(c)]
-        for at in range(0, len(together), 1000):
-            part = together[at:at + 1000]
+    def _encode(self, new: set[str]) -> None:
+        memo = self.memo
+        some = self.together([c for c in new if len(c) <= MEMO_CHUNK_CHARS])
+        for at in range(0, len(some), 2000):
+            part = some[at:at + 2000]
             text = self.join(part)
             if text is not None:
-                self.memo.update(zip(part, [x.tobytes() for x in self.cut(self.ids(text))], strict=True))
-        for c in new:
-            if c not in self.memo:
-                self.memo[c] = self.ids(c).tobytes()
+                ids = self.ids(text)
+                first, last = self.ends(ids)
+                raw = ids.tobytes()
+                for key, a, b in zip(part, (4 * first).tolist(), (4 * last).tolist(), strict=True):
+                    memo[key] = raw[a:b]
+        for c in new.difference(memo):
+            memo[c] = self.ids(self.text(c)).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo, self.older = {}, self.memo
+        known, older = self.memo, self.older
         split = [self.split(t) for t in texts]
-        new = {c for parts in split for c in parts}.difference(self.memo)
-        known = self.memo
-        for c in new.intersection(self.older):
-            known[c] = self.older[c]
-        new.difference_update(known)
-        self._encode(list(new))
+        new = set().union(*split).difference(known)
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        new -= again
+        self._encode(new)
         out = [b"".join(map(known.__getitem__, parts)) for parts in split]
         for c in new:
             if len(c) > MEMO_CHUNK_CHARS:
@@ -108,14 +119,18 @@ class ByteLevel(ChunkEncoder):
         self.begins = np.zeros(max(names.values()) + 1, bool)
         self.begins[[i for name, i in names.items() if name.startswith("\u0120")]] = True
 
-    def joins(self, chunk: str) -> bool:
-        return chunk[:1] == " " and " " not in chunk[1:] and chunk[1:2].strip() != ""
+    def text(self, key: str) -> str:
+        return key[1:] if key[0] == " " else " " + key
 
-    def join(self, chunks: list[str]) -> str | None:
-        return "".join(chunks)
+    def together(self, keys: list[str]) -> list[str]:
+        return [k for k in keys if " " not in k]
 
-    def cut(self, ids: np.ndarray) -> list[np.ndarray]:
-        return np.split(ids, np.flatnonzero(self.begins[ids])[1:])
+    def join(self, keys: list[str]) -> str | None:
+        return " " + " ".join(keys)
+
+    def ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(self.begins[ids])
+        return first, np.append(first[1:], len(ids))
 
 
 class WordLevel(ChunkEncoder):
@@ -125,12 +140,16 @@ class WordLevel(ChunkEncoder):
 
     def __init__(self, file: str):
         super().__init__(file, white_space_chunks)
+        self.between = 0
+
+    def text(self, key: str) -> str:
+        return key
 
-    def joins(self, chunk: str) -> bool:
-        return chunk != ""
+    def together(self, keys: list[str]) -> list[str]:
+        return [k for k in keys if k]
 
-    def join(self, chunks: list[str]) -> str | None:
-        text = "\n".join(chunks)
+    def join(self, keys: list[str]) -> str | None:
+        text = "\n".join(keys)
         for symbol in self.SYMBOLS:
             own = self.ids(symbol)
             if symbol not in text and len(own) == 1:
@@ -138,10 +157,9 @@ class WordLevel(ChunkEncoder):
                 return text.replace("\n", f" {symbol} ")
         return None
 
-    def cut(self, ids: np.ndarray) -> list[np.ndarray]:
+    def ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(ids == self.between)
-        parts = np.split(ids, at)
-        return [parts[0], *(p[1:] for p in parts[1:])]
+        return np.append(0, at + 1), np.append(at, len(ids))
 
 
 @functools.cache
