@@ -1,6 +1,7 @@
 """What the tests of this folder share."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,3 +58,11 @@ def texts_of(df):
 def by_row(rows):
     """Sorted, nulls first, for comparing multisets of tuples."""
     return sorted(rows, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def same(got, want):
+    """The same rows, in any order; a short message if not (long texts make
+    pytest's own comparison very slow)."""
+    a, b = Counter(got), Counter(want)
+    if a != b:
+        pytest.fail(f"too many: {str(list((a - b).items())[:3])[:600]}\ntoo few: {str(list((b - a).items())[:3])[:600]}")
