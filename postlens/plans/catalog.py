@@ -1013,3 +1013,34 @@ SELECT role, count(*) AS total_summaries, round(avg({S.word_count('text')}), 2)
 FROM conversations GROUP BY role""")
 def q_summary_stats_conversations(spark, sf_dir):
     return ST.summary_stats(table(spark, sf_dir, "conversations"), "text", group=["role"])
+
+
+# Documents as raw feed posts: every other one a link post,
+# every seventh without a title, every eleventh with hashtags in its title.
+SITE = "https://forum.example"
+
+
+def _raw_posts(spark, sf_dir):
+    d = document_posts(spark, sf_dir)
+    n = F.col("doc_id")
+    title = F.when(n % 11 == 0, F.concat(F.lit("#Tag and #two "), "title")).otherwise(F.col("title"))
+    return d.select("id", F.when(n % 3 == 0, F.col("language")).alias("author"),
+                    F.when(n % 7 != 0, title).alias("title"), F.col("body").alias("selftext"),
+                    (n % 2 == 0).alias("is_self"), F.concat(F.lit("/c/"), "id").alias("permalink"),
+                    "subreddit", F.timestamp_seconds(n * 3600).alias("created_utc"))
+
+
+@register("normalize_documents", f"""WITH p AS ({SQL_DOCUMENT_POSTS}),
+r AS (SELECT id, CASE WHEN doc_id % 3 = 0 THEN language END AS author, doc_id,
+             CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 = 0 THEN '#Tag and #two ' || title ELSE title END AS title,
+             CASE WHEN doc_id % 2 = 0 THEN body ELSE '' END AS body, doc_id % 2 = 0 AS is_self FROM p),
+t AS (SELECT *, list_sort(list_distinct(list_concat({S.hashtags_a('title')}, {S.hashtags_a('body')}))) AS tags FROM r)
+SELECT id, author, title, {S.build_content('title', 'body')} AS content,
+       CASE WHEN len(tags) > 0 THEN array_to_string(tags, ',') END AS hashtags,
+       strftime(to_timestamp(doc_id * 3600) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS created_utc,
+       CASE WHEN is_self THEN body END AS body, '{SITE}/c/' || id AS permalink
+FROM t""")
+def q_normalize_documents(spark, sf_dir):
+    n = IN.normalize_posts(_raw_posts(spark, sf_dir), SITE)
+    return n.select(IN.post_key("_id", "id").alias("id"), "author", "title", "content",
+                    F.array_join("hashtags", ",").alias("hashtags"), "created_utc", "body", "permalink")

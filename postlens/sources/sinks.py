@@ -68,6 +68,16 @@ def append_snapshot(df: DataFrame, path: str, prefix: str, at: Column) -> None:
       .write.mode("append").parquet(path)
 
 
+def latest_snapshot(snapshots: DataFrame) -> DataFrame:
+    """K4: the newest snapshot, with a null ``error``; without any, one row
+    that has nothing but the error."""
+    newest = snapshots.orderBy(F.col("saved_at").desc(), F.col("_id").desc()).limit(1)
+    message = F.lit("no snapshot has been saved")
+    one = snapshots.sparkSession.range(1).select(F.lit(1).alias("__one"))
+    return one.join(newest.withColumn("__one", F.lit(1)), "__one", "left").select(
+        *snapshots.columns, F.when(F.col("_id").isNull(), message).alias("error"))
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """K5: JSON lines, UTF-8, non-ASCII kept as is."""
     df.write.mode("overwrite").json(path)

@@ -199,3 +199,26 @@ def test_stream_merge_is_idempotent_and_raises_real_errors(spark, tmp_path):
         ST.merge_batch(batch, path, "k", "ts")
     ST.merge_batch(spark.createDataFrame([(2, 20), (3, 30)], "k int, ts int"), path, "k", "ts")
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_latest_snapshot(spark):
+    s = spark.sql("SELECT 'a_1' AS _id, timestamp'2024-01-01' AS saved_at, 1 AS x "
+                  "UNION ALL SELECT 'a_2', timestamp'2024-01-02', 2")
+    r = SK.latest_snapshot(s).collect()
+    assert [(x["_id"], x["x"], x["error"]) for x in r] == [("a_2", 2, None)]
+    r = SK.latest_snapshot(s.where("false")).collect()
+    assert len(r) == 1 and r[0]["x"] is None and r[0]["error"]
+
+
+def test_stream_enrichment_is_the_batch_one(spark, tmp_path):
+    from postlens.streaming import ingest as ST
+
+    posts = spark.sql("""SELECT '1' AS id, 'Is this #fun?' AS title, 'why not, buy now' AS body,
+        'Is this #fun? why not, buy now' AS content, 'c' AS subreddit""")
+    path = str(tmp_path / "posts")
+    posts.write.parquet(path)
+    stream = ST.enriched(spark.readStream.schema(posts.schema).parquet(path))
+    out = str(tmp_path / "out")
+    stream.select("post_id", "flags").writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(out).awaitTermination()
+    assert spark.read.parquet(out).collect() == ST.enriched(posts).select("post_id", "flags").collect()
