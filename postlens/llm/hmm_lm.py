@@ -212,7 +212,7 @@ class Lanes:
         import heapq
 
         sizes = np.array([len(s) for s in sequences])
-        steps = max(int(sizes.max()), 4096)
+        steps = max(int(sizes.max()), SEGMENT)
         n = max(1, -(-int(sizes.sum()) // steps))
         heap = [(0, k) for k in range(n)]
         held: list[list[int]] = [[] for _ in range(n)]
@@ -240,22 +240,26 @@ class Lanes:
 
 def forward(model: Model, lanes: Lanes, keep: bool):
     """Scales of every step and lane; with ``keep`` also the scaled forward
-    variables."""
-    scale = np.ones(lanes.symbols.shape)
-    kept = np.zeros((*lanes.symbols.shape, STATES)) if keep else None
-    a = np.zeros((lanes.symbols.shape[1], STATES))
-    for t in range(lanes.steps):
+    variables.  States are rows here, so that every operation runs along the
+    lanes."""
+    steps, n = lanes.symbols.shape
+    scale = np.ones((steps, n))
+    kept = np.zeros((steps, STATES, n)) if keep else None
+    move, start = np.ascontiguousarray(model.move.T), model.start[:, None]
+    emit = np.ascontiguousarray(model.emit.T)
+    a = np.zeros((STATES, n))
+    for t in range(steps):
         n = lanes.running[t]
-        a = a[:n] @ model.move
+        a = move @ a[:, :n]
         first = lanes.begins[t, :n]
-        if first.any():
-            a[first] = model.start
-        a *= model.emit[lanes.symbols[t, :n]]
-        s = a.sum(1)
-        a /= s[:, None]
+        a *= ~first
+        a += start * first
+        a *= emit.take(lanes.symbols[t, :n], axis=1)
+        s = a.sum(0)
+        a /= s
         scale[t, :n] = s
         if keep:
-            kept[t, :n] = a
+            kept[t, :, :n] = a
     return scale, kept
 
 
@@ -270,27 +274,30 @@ def expected_counts(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Forward and backward: rows for symbols, moves and starts."""
     lanes = Lanes(sequences)
     scale, a = forward(model, lanes, True)
-    out = np.zeros((ALL + STATES + 1, STATES))
+    emit = np.ascontiguousarray(model.emit.T)
     moves = np.zeros((STATES, STATES))
-    b = np.ones((0, STATES))
+    b = np.ones((STATES, 0))
     for t in range(lanes.steps - 1, -1, -1):
-        n, later = lanes.running[t], len(b)
-        here = np.ones((n, STATES))
+        n, later = lanes.running[t], b.shape[1]
+        here = np.ones((STATES, n))
         if later:
-            ahead = model.emit[lanes.symbols[t + 1, :later]] * b / scale[t + 1, :later, None]
-            ahead[lanes.begins[t + 1, :later]] = 0
-            moves += a[t, :later].T @ ahead
-            back = ahead @ model.move.T
             goes_on = ~lanes.begins[t + 1, :later]
-            here[:later][goes_on] = back[goes_on]
+            ahead = emit.take(lanes.symbols[t + 1, :later], axis=1)
+            ahead *= b
+            ahead *= goes_on / scale[t + 1, :later]
+            moves += a[t, :, :later] @ ahead.T
+            here[:, :later] = model.move @ ahead
+            here[:, :later] += ~goes_on
         b = here
-        a[t, :n] *= b        # now the state probabilities
+        a[t, :, :n] *= b        # now the state probabilities
+    out = np.zeros((ALL + STATES + 1, STATES))
     running = np.arange(lanes.symbols.shape[1]) < lanes.running[:, None]
-    symbols, state = lanes.symbols[running], a[running]
+    symbols = lanes.symbols[running]
     for k in range(STATES):
-        out[:ALL, k] = np.bincount(symbols, state[:, k], ALL)
+        state = a[:, k]
+        out[:ALL, k] = np.bincount(symbols, state[running], ALL)
+        out[ALL + STATES, k] = state[lanes.begins[:-1]].sum()
     out[ALL:ALL + STATES] = moves * model.move
-    out[ALL + STATES] = a[lanes.begins[:-1]].sum(0)
     return out
 
 
