@@ -55,7 +55,7 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(read(spark, sf_dir, "documents")).select(
+    return line_dedup.dedup(read(spark, sf_dir, "documents"), line_dedup.SETS).select(
         "doc_id", "text", "n_removed_chunks", "n_removed_lines")
 
 

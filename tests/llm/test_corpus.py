@@ -72,6 +72,63 @@ def test_chunks_with_equal_hashes_are_compared(spark, monkeypatch):
     assert [x for x in line_dedup.chunks(removed[1]) if "\n".join(lines[x[0]:x[1]]) == stays.get(x[0])] == []
 
 
+def shared_lines(docs):
+    """{doc_id: lines of runs of two or more lines that another document with
+    a smaller id has too}, by brute force over adjacent lines."""
+    first = {}
+    for d, t in sorted(docs):
+        lines = t.split("\n")
+        for pair in zip(lines, lines[1:]):
+            first.setdefault(pair, d)
+    out = {}
+    for d, t in docs:
+        lines = t.split("\n")
+        out[d] = {i + k for i, pair in enumerate(zip(lines, lines[1:])) if first[pair] < d for k in (0, 1)}
+    return out
+
+
+def test_short_passages_between_own_lines_are_removed(spark):
+    """Passages of 2 to 5 lines in two texts each, between lines of their own."""
+    def own(d, k):
+        return [f"line {d} {k} {i} of its own" for i in range(4)]
+
+    rows = []
+    for p in range(100):
+        passage = [f"passage {p} line {i} which two texts share" for i in range(2 + p % 4)]
+        rows += [(d, "\n".join([*own(d, 0), *passage, *own(d, 1)])) for d in (p, 1000 + p)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = dict(texts_of(line_dedup.deduplicated(docs)))
+    want = shared_lines(rows)
+    gone = {}
+    for d, t in rows:
+        stays = Counter(left[d].split("\n"))
+        gone[d] = {i for i, x in enumerate(t.split("\n")) if not stays[x]}
+        assert gone[d] <= want[d]
+    assert all(left[d] == t for d, t in rows if d < 1000)
+    assert sum(bool(x) for x in gone.values()) >= 95
+    assert sum(map(len, gone.values())) >= 0.95 * sum(map(len, want.values()))
+
+
+def test_each_repeated_chunk_stays_whole(spark):
+    """Overlapping passages with different keepers, in random texts."""
+    r = np.random.default_rng(3)
+    pool = [f"shared line {i} of a long row of lines" for i in range(40)]
+    rows = []
+    for d in range(80):
+        a = int(r.integers(0, 36))
+        rows.append((d, "\n".join([f"own {d} a", *pool[a:a + int(r.integers(2, 8))], f"own {d} b"])))
+    left = dict(texts_of(line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string"))))
+    count, per_set = Counter(), defaultdict(set)
+    for d, t in rows:
+        for k in range(line_dedup.SETS):
+            per_set[d] |= {(a, b, c) for a, b, c in line_dedup.repeatable(t, k)}
+        count.update(c for _, _, c in per_set[d])
+    whole = "\n\n".join(left.values())
+    often = [c for c, n in count.items() if n > 1]
+    assert len(often) > 50 and all(c in whole for c in often)
+    assert sum(map(len, left.values())) < 0.8 * sum(len(t) for _, t in rows)
+
+
 # -- sharding --------------------------------------------------------------------
 
 def least_capacity(sizes, shards):
