@@ -238,6 +238,19 @@ def test_one_host_and_one_line_for_a_third_of_the_rows(spark):
     same(map(tuple, line_quality.digests(docs).collect()), quality_by_hand(rows))
 
 
+def test_the_line_limit_does_not_grow_with_the_host(spark):
+    """30 documents with one line are 1 % of the large host, all of the small."""
+    def text(h, i):
+        own = " ".join(f"{h}{'x' * (i % 50)}y{'z' * (i // 50)}{chr(97 + k)}" for k in range(25))
+        return own + "\nThis notice stands in thirty documents" * (i < 30)
+
+    rows = [(100 * (h == "large") + i, text(h, i), h) for h, n in (("large", 3000), ("small", 30)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert sorted(r["host"] for r in line_quality.boilerplate(docs, "source").collect()) == ["=large", "=small"]
+    assert line_quality.cleaned(docs).where("text LIKE '%notice%'").count() == 0
+    assert line_quality.cleaned(docs).count() == len(rows)
+
+
 # -- SimHash ----------------------------------------------------------------------------
 
 def fingerprint_by_hand(text):
