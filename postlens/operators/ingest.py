@@ -21,17 +21,20 @@ DEFAULT_SINCE_HOURS = 720
 
 def incremental_ingest(new: DataFrame, existing: DataFrame, cutoff: Column,
                        communities: list[str] | None = None, key: str = "id",
-                       ts: str = "created_utc", group: str = "subreddit") -> tuple[DataFrame, DataFrame]:
+                       ts: str = "created_utc", group: str = "subreddit",
+                       fixed_time: bool = False) -> tuple[DataFrame, DataFrame]:
     """Returns (rows to insert, per-community counters).  ``scanned`` counts
     the drop's posts at or after the cutoff (an id that the drop repeats is
     one post, the latest record), ``skipped`` those already stored, ``kept`` =
-    ``inserted`` the new ones.  A stored post older than the cutoff cannot
-    meet a kept one, so the stored table is pruned by it."""
+    ``inserted`` the new ones.  All stored keys are compared, unless the caller
+    asserts by ``fixed_time`` that an id's time never changes: then a stored
+    post older than the cutoff cannot meet a kept one, and the stored table
+    is pruned by it."""
     feed = new
     if communities is not None:
         feed = feed.where(F.col(group).isin(*communities))
     feed = latest_per_key(feed.where(F.col(ts) >= cutoff), key, [ts])
-    known = existing.where(F.col(ts) >= cutoff) if ts in existing.columns else existing
+    known = existing.where(F.col(ts) >= cutoff) if fixed_time and ts in existing.columns else existing
     known = known.select(F.col(key).alias("__known")).distinct()
     marked = feed.join(known, feed[key] == known["__known"], "left")
     rows = marked.where(F.col("__known").isNull()).drop("__known")

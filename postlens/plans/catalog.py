@@ -921,7 +921,8 @@ def _ingest(spark, sf_dir):
     mid = F.lit("2024-01-04 00:00:00").cast("timestamp_ntz")
     existing = ev.where(F.col("created_utc") < mid)      # already stored before this run
     cut = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
-    return IN.incremental_ingest(ev, existing, cut, INGEST_COMMUNITIES)
+    # an event's time is fixed
+    return IN.incremental_ingest(ev, existing, cut, INGEST_COMMUNITIES, fixed_time=True)
 
 
 _SQL_INGEST = f"""WITH ev AS ({SQL_EVENT_POSTS}),

@@ -4,7 +4,8 @@ New post drops land as files; the stream keeps posts not older than the
 watermark (the feed's look-back window, 720 hours by default), drops
 repeated ids within the watermark, and merges each micro-batch into the
 stored table with a left anti-join on the key, so a re-run batch inserts
-nothing twice (exactly-once per id).  ``enriched`` applies the stateless
+nothing twice (exactly-once per id; where ``ts`` is given, only if an id's
+time never changes, see ``merge_batch``).  ``enriched`` applies the stateless
 preprocessing and flag stages to the streaming DataFrame (ST2).
 """
 
@@ -42,7 +43,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def merge_batch(batch: DataFrame, table_path: str, key: str, ts: str | None = None) -> None:
     """foreachBatch sink: insert rows whose key is not stored yet.  With a
-    time column only stored rows as recent as the batch's oldest are read."""
+    time column ``ts`` the caller asserts that a key's time never changes;
+    only stored rows as recent as the batch's oldest are read then, and a
+    stored key that comes with a later time would be inserted again."""
     spark = batch.sparkSession
     new = batch
     if table_exists(spark, table_path):

@@ -161,6 +161,17 @@ def test_ingest_inserts_an_id_once(spark):
     assert (c["scanned"], c["kept"], c["skipped"]) == (2, 1, 1)
 
 
+def test_a_stored_id_with_a_later_time_is_skipped(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.operators import ingest as IN
+
+    new = spark.createDataFrame([("p", 5, "x"), ("q", 6, "x")], "id string, created_utc int, subreddit string")
+    old = spark.createDataFrame([("q", 1)], "id string, created_utc int")
+    rows, counters = IN.incremental_ingest(new, old, F.lit(3))
+    assert [r["id"] for r in rows.collect()] == ["p"] and counters.first()["skipped"] == 1
+
+
 def test_absent_labels_report_zero(spark):
     from pyspark.sql import functions as F
 
