@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config_packing, golay_simhash, hmm_lm, line_dedup, line_quality, minimax_shards, pivot_topk, prefix_bpe, token_file, url_filter
+from . import (config_packing, golay_simhash, hmm_lm, line_dedup, line_quality, merkle_manifest, minimax_shards, pivot_topk, prefix_bpe,
+               token_file, url_filter)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +140,71 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          AND n_words - lost >= {line_quality.LEFT_SHARE} * n_words)) AS kept
 FROM judged
 """
+
+
+@register
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.digests(read(spark, sf_dir, "documents"))
+
+
+def _sql_leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# crc32 bit by bit; a tree level by level; the proofs by the nodes' places
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce('=' || lang, '') AS grp,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+               list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+               lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295) AS crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, grp, pos, {_sql_leaf('text')} AS leaf,
+         CASE WHEN crc % 3 = 0 THEN {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+         END AS told
+  FROM d
+), up AS (
+  SELECT 0 AS level, grp, pos, leaf AS node FROM leaves
+  UNION ALL
+  SELECT level + 1, grp, pos // 8, sha256(string_agg(node, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM up) WHERE n > 1 GROUP BY level, grp, pos // 8
+), depth AS (SELECT grp, max(level) AS deep FROM up GROUP BY grp),
+subroots AS (
+  SELECT grp, node, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos
+  FROM up JOIN depth USING (grp) WHERE level = deep
+), top AS (
+  SELECT 0 AS level, pos, node FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM top) WHERE n > 1 GROUP BY level, pos // 8
+), place AS (
+  SELECT l.doc_id, l.grp, l.pos, coalesce(told, leaf) AS node, deep + s.pos * 0 AS deep, s.pos AS spot
+  FROM leaves l JOIN depth USING (grp) JOIN subroots s USING (grp)
+), own AS (
+  SELECT p.grp, p.pos, u.level, CAST(floor(p.pos / power(8, u.level)) AS BIGINT) AS mine, u.pos AS other, u.node
+  FROM place p JOIN up u ON u.grp = p.grp AND u.level < p.deep
+   AND u.pos // 8 = CAST(floor(p.pos / power(8, u.level + 1)) AS BIGINT)
+  UNION ALL
+  SELECT p.grp, p.pos, p.deep + t.level, CAST(floor(p.spot / power(8, t.level)) AS BIGINT), t.pos, t.node
+  FROM place p JOIN top t ON t.level < (SELECT max(level) FROM top)
+   AND t.pos // 8 = CAST(floor(p.spot / power(8, t.level + 1)) AS BIGINT)
+), flank AS (
+  SELECT grp, pos, level, coalesce(string_agg(node, '' ORDER BY other) FILTER (WHERE other < mine), '') AS lft,
+         coalesce(string_agg(node, '' ORDER BY other) FILTER (WHERE other > mine), '') AS rgt
+  FROM own GROUP BY grp, pos, level
+), proof AS (SELECT grp, pos, sha256(string_agg(lft || rgt, '' ORDER BY level)) AS proof FROM flank GROUP BY grp, pos),
+folded AS (
+  SELECT grp, pos, 0 AS level, node FROM place
+  UNION ALL
+  SELECT grp, pos, level + 1, sha256(lft || folded.node || rgt) FROM folded JOIN flank USING (grp, pos, level)
+), ends AS (SELECT grp, pos, arg_max(node, level) AS folded_root FROM folded GROUP BY grp, pos),
+root AS (SELECT arg_max(node, level) AS root FROM top)
+SELECT l.doc_id, l.leaf, s.node AS subroot, root.root,
+       coalesce(proof.proof, sha256('')) AS proof_sha256, folded_root, folded_root = root.root AS verified
+FROM leaves l JOIN subroots s USING (grp) JOIN ends e ON e.grp = l.grp AND e.pos = l.pos CROSS JOIN root
+LEFT JOIN proof ON proof.grp = l.grp AND proof.pos = l.pos
+"""
