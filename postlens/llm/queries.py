@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (config_packing, golay_simhash, hmm_lm, line_dedup, line_quality, merkle_manifest, minimax_shards, pivot_topk, prefix_bpe,
+from . import (config_packing, gnat_codes, golay_simhash, hmm_lm, line_dedup, line_quality, merkle_manifest, minimax_shards, pivot_topk, prefix_bpe,
                token_file, url_filter)
 from .common import read
 
@@ -208,3 +208,47 @@ SELECT l.doc_id, l.leaf, s.node AS subroot, root.root,
 FROM leaves l JOIN subroots s USING (grp) JOIN ends e ON e.grp = l.grp AND e.pos = l.pos CROSS JOIN root
 LEFT JOIN proof ON proof.grp = l.grp AND proof.pos = l.pos
 """
+
+
+@register
+def op13_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat_codes.digests(read(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, factor=256).drop(
+        "n_distances")
+
+
+def _sql_codes(rounds: int) -> str:
+    """Rounds of nearest entries (distance and index in one number) and floors
+    of means, component by component."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""
+a{k} AS (SELECT rid, p, min(d * 64 + e) AS k FROM (
+  SELECT rid, p, e, CAST(sum((x.val - b{k}.val) * (x.val - b{k}.val)) AS BIGINT) AS d
+  FROM x JOIN b{k} USING (p, c) GROUP BY rid, p, e) GROUP BY rid, p)""")
+        if k < rounds:
+            out.append(f"""
+s{k} AS (SELECT p, k % 64 AS e, c, CAST(sum(val) AS BIGINT) AS s, count(*) AS n
+  FROM a{k} JOIN x USING (rid, p) GROUP BY ALL),
+b{k + 1} AS (SELECT p, e, c, coalesce((s - ((s % n) + n) % n) // n, val) AS val FROM b{k} LEFT JOIN s{k} USING (p, e, c))""")
+    return ",".join(out)
+
+
+ORACLE["op13_gnat_codes"] = f"""
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS rid, embedding
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS (
+  SELECT rid, CAST(floor(i * 16 / n) AS INTEGER) AS p, i % (n // 16) AS c,
+         CAST(floor(256 * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS val
+  FROM (SELECT rid, embedding, len(embedding) AS n, unnest(range(len(embedding))) AS i FROM v)
+), b0 AS (SELECT p, rid AS e, c, val FROM x WHERE rid < 64),{_sql_codes(2)},
+books AS (SELECT sha256(string_agg(CAST(val AS VARCHAR), ',' ORDER BY p, e, c)) AS codebooks_sha256 FROM b2),
+coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', CAST(k % 64 AS BIGINT)), '' ORDER BY p) AS code,
+         CAST(sum(k // 64) AS BIGINT) AS error
+  FROM a2 JOIN v USING (rid) GROUP BY rid, vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded CROSS JOIN books
+"""
