@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (config_packing, gnat_codes, golay_simhash, hmm_lm, line_dedup, line_quality, merkle_manifest, minimax_shards, pivot_topk, prefix_bpe,
+from . import (config_packing, gnat_codes, golay_simhash, hmm_lm, jaccard_join, line_dedup, line_quality, merkle_manifest, minimax_shards, pivot_topk, prefix_bpe,
                token_file, url_filter)
 from .common import read
 
@@ -252,3 +252,34 @@ coded AS (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
 FROM coded CROSS JOIN books
 """
+
+
+@register
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read(spark, sf_dir, "documents"), words=5, percent=80)
+
+
+ORACLE["op12_jaccard_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}'), lambda w: w <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5
+           THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+           ELSE [array_to_string(w, ' ')] END)) AS g
+  FROM d WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), linked AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN linked l ON l.x = r.y
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
