@@ -9,17 +9,23 @@ documents, but fewer of them often enough to be compared.  Two documents are
 compared if they share as many prefix shingles as the smaller of their two
 demands asks for.
 
-Order: the shingles in the lowest quarter of the hash range come first, by
-the number of rows that have them and then by hash; all others follow by
-hash.  The quarter holds nearly every prefix, so only it is counted, and the
-rare shingles of it come first; a shingle that one row alone has is never
-put out.
+Order: first the rare shingles in the lowest quarter of the hash range, by the
+number of rows that have them and then by hash; the quarter is counted over
+all rows.  A document whose prefix this fills needs no other shingle.  The
+others, which have few rare shingles there, are *open*: their other shingles
+are counted among the open ones, and follow in the order, the rare ones
+first.  Frequent shingles of both kinds come last.  A shingle that one row
+alone has takes its place and is never put out.
 
 Equal sets are one node.  Nodes meet first with one node per shingle, the
-shingle's centre; the links found make components.  Then all nodes that meet
-and lie in different components are compared, popular shingles in pairs of
-blocks of bounded size.  Comparisons inside a component are left out, since
-they cannot change it: no link between components is lost.
+shingle's centre; the links found make components.  The first centre is the
+node whose shingles are the commonest on average, which in a family of edited
+copies is close to their original; later ones, several for a popular shingle,
+are drawn by hash, while many pairs across components are left.  Then all nodes that meet and lie in
+different components are compared, popular shingles in pairs of blocks of
+bounded size, if the last shared place leaves room for enough shared
+shingles.  Comparisons inside a component are left out, since they cannot
+change it: no link between components is lost.
 
 Hashes stand for shingles: two different shingles of a compared pair count as
 one with a probability of 2^-64.
@@ -37,18 +43,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_in_arrow, materialize, texts
 from .golay_simhash import star_forest
 
-COUNTED = 1 << 62               # hashes below are counted: a quarter of all
-SPARE = 3                       # shingles put out beyond the shortest prefix, at least
+COUNTED = 1 << 62               # hashes below are counted over all rows: a quarter
+RARE = 32                       # rows that a rare shingle has at most
 MOST = 16                       # longest demand for shared prefix shingles
 COMPARE = 16                    # a comparison costs one meeting per so many shingles
 BLOCK = 256                     # nodes of a popular shingle compared at once
-ROUNDS = 2                      # rounds with centres before the rest
+ROUNDS = 8                      # rounds with centres before the rest, at most
+FEW = 2                         # pairs per prefix row that need no more such rounds
+GAIN = 0.9                      # nor if a round leaves more than this of the pairs
+CENTRES = 16                    # centres of a popular shingle in later rounds
 WORDS = 200_000                 # memo of word hashes in a worker
 
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -100,10 +109,10 @@ def shared_least(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def shingled(docs: DataFrame, words: int) -> DataFrame:
     """One row per document: id, digest of the text, digest of the set (two
-    longs), its size, how many of its hashes are counted, and the hashes that
-    any prefix may need, in order.  ``row`` numbers the rows."""
+    longs), its size, and those of its hashes that are counted, ascending.
+    ``row`` numbers the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -112,27 +121,23 @@ def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
-                made, n, counted, ends, tokens = [], [], [], [0], []
+                made, n, ends, tokens = [], [], [0], []
                 for t in texts(b.column("text")):
                     s = shingler.of(t)
-                    c = int(np.searchsorted(s, COUNTED))
-                    out = max(c, min(len(s), len(s) - shared_least(len(s), percent) + 1 + SPARE))
+                    tokens.append(s[:np.searchsorted(s, COUNTED)])
                     made.append(xxhash.xxh3_128_digest(s.tobytes()))
                     n.append(len(s))
-                    counted.append(c)
-                    tokens.append(s[:out])
-                    ends.append(ends[-1] + out)
+                    ends.append(ends[-1] + len(tokens[-1]))
                 digests = np.frombuffer(b"".join(made), "<i8").reshape(-1, 2)
                 flat = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("text_key"), pa.array(digests[:, 0].copy()),
-                     pa.array(digests[:, 1].copy()), pa.array(n, pa.int32()), pa.array(counted, pa.int32()),
+                     pa.array(digests[:, 1].copy()), pa.array(n, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                    names=["doc_id", "text_key", "a", "b", "n", "counted", "tokens"])
+                    names=["doc_id", "text_key", "a", "b", "n", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    made = map_in_arrow(rows, run, "doc_id bigint, text_key bigint, a bigint, b bigint, n int, counted int, "
-                                   "tokens array<bigint>")
+    made = map_in_arrow(rows, run, "doc_id bigint, text_key bigint, a bigint, b bigint, n int, tokens array<bigint>")
     return materialize(made.withColumn("row", F.monotonically_increasing_id()), "shingled")
 
 
@@ -142,7 +147,7 @@ def distinct_sets(rows: DataFrame) -> DataFrame:
     first = F.min_by(F.struct("doc_id", "text_key"), "row")
     found = rows.where("n > 0").groupBy("a", "b").agg(
         F.min("row").alias("node"), first.alias("first"), F.min("doc_id").alias("least"),
-        F.min("n").alias("n"), F.min("counted").alias("counted"))
+        F.min("n").alias("n"), F.min(F.size("tokens")).alias("counted"))
     return materialize(found.select("a", "b", "node", "least", "n", "counted", F.col("first.doc_id").alias("doc_id"),
                                     F.col("first.text_key").alias("text_key")), "sets")
 
@@ -161,65 +166,172 @@ def demand(n: int, places: np.ndarray, met: np.ndarray, known: int, percent: int
     return int(asked[np.argmin(meetings * (1 + n / (COMPARE * asked)))])
 
 
-def prefixes(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, asked, n): every node's prefix, without the shingles
-    that only one row has."""
-    put_out = rows.select("row", "counted", F.posexplode("tokens").alias("at", "token")).select(
-        "row", "token", F.when(F.col("at") >= F.col("counted"), F.col("at")).otherwise(-1).alias("place"))
+def _placed(alone: int, rows: np.ndarray, tokens: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shared shingles by rows and hash, with their places behind those that
+    one row alone has."""
+    order = np.lexsort((tokens, rows))
+    return start + alone + np.arange(len(rows)), rows[order], tokens[order]
+
+
+def _shared(put_out: DataFrame, key: str, into: str) -> DataFrame:
+    """(key, into): the shingles that more than one row puts out, with the
+    number of rows."""
     often = put_out.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
-    known = nodes.select(F.col("node").alias("row"), "n", "counted")
-    shared = put_out.join(often, "token").groupBy("row").agg(
-        F.collect_list(F.struct("place", "rows", "token")).alias("items")).join(known, "row")
+    return put_out.join(often, "token").groupBy(key).agg(F.collect_list(F.struct("rows", "token")).alias(into))
+
+
+def _lists(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, tokens) of each row of an array of structs."""
+    ends = np.r_[0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+    rows, tokens = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in column.flatten().flatten())
+    return [(rows[a:b], tokens[a:b]) for a, b in zip(ends, ends[1:])]
+
+
+PREFIX_ROWS = "token bigint, node bigint, asked int, n int, at int, earlier int, weight double"
+
+
+class _Prefixes:
+    """Prefix rows gathered as columns."""
+
+    def __init__(self):
+        self.columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+
+    def add(self, node: int, n: int, known: int, weight: float, places, rows, tokens, percent: int) -> None:
+        asked = demand(n, places, rows - 1, known, percent)
+        m = int(np.searchsorted(places, n - shared_least(n, percent) + asked))
+        for x, v in zip(self.columns, (tokens[:m], np.full(m, node), np.full(m, asked), np.full(m, n), places[:m],
+                                       np.arange(m), np.full(m, weight))):
+            x.append(v)
+
+    def batch(self) -> pa.RecordBatch:
+        kinds = (*[pa.int64()] * 2, *[pa.int32()] * 4, pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(x) if x else np.zeros(0), kind) for x, kind in zip(self.columns, kinds)],
+            names=["token", "node", "asked", "n", "at", "earlier", "weight"])
+
+
+def _rare(counted: int, items: tuple[np.ndarray, np.ndarray]) -> int:
+    """How many rare counted shingles a set has."""
+    return counted - int((items[0] > RARE).sum())
+
+
+def _weight(counted: int, rows: np.ndarray) -> float:
+    """Mean number of rows of a set's counted shingles."""
+    return (float(rows.sum()) + counted - len(rows)) / max(counted, 1)
+
+
+def counted_sets(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Nodes with their shared counted shingles, and whether they are open;
+    nodes that are neither open nor share any of the first places are left
+    out."""
+    shared = _shared(rows.select("row", F.explode("tokens").alias("token")), "row", "items")
+    known = nodes.select(F.col("node").alias("row"), "n", "counted", "doc_id", "text_key").join(shared, "row", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            items = b.column("items")
-            ends = np.r_[0, np.cumsum(items.value_lengths().to_numpy())]
-            place, often, token = (x.to_numpy() for x in items.flatten().flatten())
-            for i, (row, n, counted) in enumerate(zip(*(b.column(c).to_pylist() for c in ("row", "n", "counted")))):
-                part = slice(ends[i], ends[i + 1])
-                p, r, t = place[part].astype(np.int64), often[part], token[part]
-                # counted ones by rows and hash, behind those of this row alone
-                order = np.lexsort((t, np.where(p < 0, r, 0), p))
-                p, r, t = p[order], r[order], t[order]
-                k = int((p < 0).sum())
-                p[:k] = counted - k + np.arange(k)
-                at_hand = max(counted, min(n, n - shared_least(n, percent) + 1 + SPARE))
-                asked = demand(n, p, r - 1, at_hand, percent)
-                m = int(np.searchsorted(p, n - shared_least(n, percent) + asked))
-                for x, v in zip(out, (t[:m], *(np.full(m, v) for v in (row, asked, n)))):
-                    x.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), kind)
-                 for x, kind in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-                names=["token", "node", "asked", "n"])
-
-    return materialize(map_in_arrow(shared, run, "token bigint, node bigint, asked int, n int"), "prefixes")
+            is_open, needed = [], []
+            for n, c, items in zip(*(b.column(x).to_pylist() for x in ("n", "counted")), _lists(b.column("items"))):
+                shortest = n - shared_least(n, percent) + 1
+                is_open.append(_rare(c, items) < shortest)
+                needed.append(is_open[-1] or (len(items[0]) > 0 and c - len(items[0]) < shortest + MOST - 1))
+            yield b.append_column("open", pa.array(is_open, pa.bool_())).filter(pa.array(needed, pa.bool_()))
 
+    schema = "row bigint, n int, counted int, doc_id bigint, text_key bigint, items array<struct<rows:bigint,token:bigint>>"
+    made = map_in_arrow(known, run, schema + ", open boolean")
+    return materialize(made.withColumnRenamed("row", "node"), "counted")
 
-# -- candidates -----------------------------------------------------------------------
 
-def _comparable(percent: int):
-    """Sizes that allow the similarity."""
-    return (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
+def closed_prefixes(counted: DataFrame, percent: int) -> DataFrame:
+    """Prefixes of the nodes that are not open: rare counted shingles alone."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = _Prefixes()
+            for node, n, c, (rows, tokens) in zip(*(b.column(x).to_pylist() for x in ("node", "n", "counted")),
+                                                  _lists(b.column("items"))):
+                few = rows <= RARE
+                out.add(node, n, _rare(c, (rows, tokens)), _weight(c, rows),
+                        *_placed(c - len(rows), rows[few], tokens[few], 0), percent)
+            yield out.batch()
+
+    return map_in_arrow(counted.where("NOT open").select("node", "n", "counted", "items"), run, PREFIX_ROWS)
+
+
+def open_prefixes(counted: DataFrame, whole: DataFrame, words: int, percent: int) -> DataFrame:
+    """Prefixes of the open nodes, whose other shingles are put out and
+    counted among them."""
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, 512):
+                b = whole_batch.slice(at, 512)
+                sets = [s[np.searchsorted(s, COUNTED):] for s in map(shingler.of, b.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(b.column("node").to_numpy(), [len(s) for s in sets])),
+                     pa.array(np.concatenate(sets).view(np.int64))], names=["node", "token"])
+
+    asked = counted.where("open").select("node", "n", "counted", "items")
+    put_out = map_in_arrow(whole.join(asked.select("node"), "node", "left_semi").select("node", "text"), others,
+                           "node bigint, token bigint")
+    both = asked.join(_shared(put_out, "node", "others"), "node", "left")
 
-def _often_enough(meetings: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v), u > v, that meet as often as the lesser demand asks."""
-    pair = meetings.where(_comparable(percent)).select(
-        F.greatest("node", "node2").alias("u"), F.least("node", "node2").alias("v"),
-        F.least("asked", "asked2").alias("asked"))
-    return pair.groupBy("u", "v").agg(F.count("*").alias("k"), F.min("asked").alias("asked")).where(
-        "k >= asked").select("u", "v")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = _Prefixes()
+            for node, n, c, (r, t), (r2, t2) in zip(*(b.column(x).to_pylist() for x in ("node", "n", "counted")),
+                                                    _lists(b.column("items")), _lists(b.column("others"))):
+                few, few2 = r <= RARE, r2 <= RARE
+                first = _placed(c - len(r), r[few], t[few], 0)
+                start = c - len(r) + len(first[0])
+                then = _placed(n - c - len(r2), r2[few2], t2[few2], start)
+                start += n - c - len(r2) + len(then[0])
+                last = _placed(0, np.r_[r[~few], r2[~few2]], np.r_[t[~few], t2[~few2]], start)
+                out.add(node, n, n, _weight(c, r), *(np.concatenate(x) for x in zip(first, then, last)), percent)
+            yield out.batch()
+
+    return map_in_arrow(both, run, PREFIX_ROWS)
 
 
-def with_centres(prefix: DataFrame, rooted: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each node with the centres of its shingles."""
-    first = F.min_by(F.struct("node", "asked", "n", "root"), F.xxhash64("node", F.lit(turn)))
-    centre = rooted.groupBy("token").agg(first.alias("c")).select("token", *[
-        F.col(f"c.{c}").alias(f"{c}2") for c in ("node", "asked", "n", "root")])
-    return _often_enough(rooted.join(centre, "token").where("node != node2 AND root != root2"), percent)
+# -- candidates -----------------------------------------------------------------------
+
+PREFIX = ("node", "asked", "n", "at", "earlier", "root")
+
+
+def _pairs(met: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Pairs (u, v), u > v, that meet as often as the lesser demand asks.  At
+    each meeting the shingles put out before and all those behind must suffice
+    for the similarity (two sets share no other before it); if ``met`` has every
+    meeting, so must the meetings and the shingles behind the last one."""
+    behind = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+    enough = (F.least("earlier", "earlier2") + behind) * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
+    met = met.where(enough & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent))
+    swap = F.col("node") < F.col("node2")
+
+    def of(c: str, greater: bool):
+        one, other = (f"{c}2", c) if greater else (c, f"{c}2")
+        return F.when(swap, F.col(one)).otherwise(F.col(other))
+
+    pair = met.select(
+        of("node", True).alias("u"), of("node", False).alias("v"), F.least("asked", "asked2").alias("asked"),
+        (of("n", True) - of("at", True) - 1).alias("left_u"), (of("n", False) - of("at", False) - 1).alias("left_v"),
+        (F.col("n") + F.col("n2")).alias("both"))
+    found = pair.groupBy("u", "v").agg(F.count("*").alias("k"), F.min("asked").alias("asked"), F.min("left_u").alias("left_u"),
+                                       F.min("left_v").alias("left_v"), F.min("both").alias("both")).where("k >= asked")
+    if every:
+        most = F.col("k") + F.least("left_u", "left_v")
+        found = found.where(most * (100 + percent) >= F.col("both") * percent)
+    return found.select("u", "v")
+
+
+def with_centres(rooted: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each node with the centres of its popular shingles."""
+    order = [F.desc("weight") if turn == 0 else F.xxhash64("node", F.lit(turn)), F.col("node")]
+    first = Window.partitionBy("token").orderBy(*order)
+    centre = rooted.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= (CENTRES if turn else 1))
+    popular = rooted.groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > CENTRES)
+    centre = centre.join(popular, "token", "left_semi").select("token", *[F.col(c).alias(f"{c}2") for c in PREFIX])
+    return _pairs(rooted.join(centre, "token").where("node != node2 AND root != root2"), percent, every=False)
 
 
 def across(rooted: DataFrame, percent: int) -> DataFrame:
@@ -227,12 +339,20 @@ def across(rooted: DataFrame, percent: int) -> DataFrame:
     many nodes is dealt into blocks, and each pair of blocks is a group."""
     size = rooted.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = rooted.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = dealt.select("token", "node", "asked", "n", "root", F.col("own").alias("x"),
+    left = dealt.select("token", *PREFIX, F.col("own").alias("x"),
                         F.explode(F.sequence("own", F.col("blocks") - 1)).alias("y"))
-    right = dealt.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "asked", "n", "root")],
+    right = dealt.select("token", *[F.col(c).alias(f"{c}2") for c in PREFIX],
                          F.explode(F.sequence(F.lit(0), "own")).alias("x"), F.col("own").alias("y"))
     met = left.join(right, ["token", "x", "y"]).where("root != root2 AND (x < y OR node < node2)")
-    return _often_enough(met, percent)
+    return _pairs(met, percent, every=True)
+
+
+def open_pairs(rooted: DataFrame) -> tuple[int, int]:
+    """Meetings of nodes in different components, and prefix rows."""
+    of_root = rooted.groupBy("token", "root").agg(F.count("*").cast("double").alias("k"))
+    per_token = of_root.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
+    return tuple(per_token.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2), F.lit(0.0)),
+                               F.coalesce(F.sum("k"), F.lit(0.0))).first())
 
 
 def similar(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> DataFrame:
@@ -258,22 +378,31 @@ def similar(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> Dat
 
 # -- components -------------------------------------------------------------------------
 
-def _texts_of(docs: DataFrame, prefix: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that share a prefix shingle with another."""
-    met = prefix.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
-    asked = prefix.join(met, "token", "left_semi").select("node").distinct()
-    asked = materialize(asked.join(nodes.select("node", "doc_id", "text_key"), "node"), "asked")
+def _texts_of(docs: DataFrame, counted: DataFrame) -> DataFrame:
+    """(node, text) of the nodes that may have prefix shingles to put out."""
+    asked = counted.select("node", "doc_id", "text_key")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     same = rows["doc_id"].eqNullSafe(asked["doc_id"]) & (rows["text_key"] == asked["text_key"])
     return materialize(rows.join(asked, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
 
+def prefixes(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(token, node, asked, n, at, earlier, weight): every node's prefix with
+    the places in it, without the shingles that only one row has; and the texts
+    of the nodes.  ``earlier`` counts the shingles before that are put out,
+    ``weight`` is the mean number of rows of the node's counted
+    shingles."""
+    counted = counted_sets(rows, nodes, percent)
+    whole = _texts_of(docs, counted)
+    return materialize(closed_prefixes(counted, percent).unionByName(
+        open_prefixes(counted, whole, words, percent)), "prefixes"), whole
+
+
 def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """A forest over the nodes: (u, v) names the smallest node of u's
     component."""
-    prefix = prefixes(rows, nodes, percent)
-    whole = _texts_of(docs, prefix, nodes)
-    prefix = prefix.join(whole.select("node"), "node", "left_semi")
+    prefix, whole = prefixes(docs, rows, nodes, words, percent)
+    before = float("inf")
     found = forest = None
     for turn in range(ROUNDS + 1):
         rooted = prefix.withColumn("root", F.col("node"))
@@ -283,17 +412,20 @@ def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int, percen
         # shingles all of whose nodes are in one component have nothing left
         mixed = rooted.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p != q")
         rooted = materialize(rooted.join(mixed, "token", "left_semi"), "rooted")
-        pairs = with_centres(prefix, rooted, turn, percent) if turn < ROUNDS else across(rooted, percent)
-        pairs = materialize(pairs, "pairs")
+        pairs_left, rows_left = open_pairs(rooted)
+        last = turn == ROUNDS or pairs_left <= FEW * rows_left or pairs_left > GAIN * before
+        before = pairs_left
+        pairs = materialize(across(rooted, percent) if last else with_centres(rooted, turn, percent), "pairs")
         new = similar(pairs, whole, words, percent)
         found = materialize(new if found is None else new.unionByName(forest), "found")
         forest = star_forest(found)
-    return forest
+        if last:
+            return forest
 
 
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id)."""
-    rows = shingled(docs, words, percent)
+    rows = shingled(docs, words)
     nodes = distinct_sets(rows)
     forest = links(docs, rows, nodes, words, percent)
     rooted = nodes.join(forest.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select(
