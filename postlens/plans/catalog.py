@@ -19,6 +19,7 @@ from ..operators import eda as EDA
 from ..operators import entities as EN
 from ..operators import flags as FL
 from ..operators import ingest as IN
+from ..operators import keyphrases as KP
 from ..operators import keywords as K
 from ..operators import language as LG
 from ..operators import search as SR
@@ -126,6 +127,15 @@ def q_top_keywords(spark, sf_dir):
     return K.top_terms(k, "keywords", n=100, term_name="keyword").select("keyword", "count", "rank")
 
 
+@register("keyphrases_per_post")
+def q_keyphrases_per_post(spark, sf_dir):
+    """C2 over title and body; compared with brute force in the tests."""
+    posts = document_posts(spark, sf_dir).withColumn("t", T.join_parts(F.col("title"), F.col("body")))
+    k = KP.keyphrases(posts.select(F.col("id").alias("post_id"), "subreddit", "t"), "t")
+    return k.select("post_id", "subreddit", F.array_join(F.transform("keyphrases", lambda x: x["phrase"]), ",").alias("keyphrases"),
+                    F.round(F.get("keyphrases", 0)["score"], 6).alias("best_score"), F.size("keyphrases").alias("n"))
+
+
 # --------------------------------------------------------------------------
 # Cleaning and model-B terms
 # --------------------------------------------------------------------------
