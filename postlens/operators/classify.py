@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
 # Fixed label sets of the reference: sentiment classes in index order, and
 # the seven emotion classes.
@@ -56,23 +56,26 @@ def fit_naive_bayes(train: DataFrame, toks: str, label: str, labels: tuple[str,
     return w, prior
 
 
-def score_terms(df: DataFrame, toks: str, model: Model, key: str, out: str = "logits") -> DataFrame:
+def score_terms(df: DataFrame, toks: str, model: Model, out: str = "logits") -> DataFrame:
     """Per-post logit vector: sum of the weights of the post's tokens (with
     multiplicity) plus the class priors; unknown terms are skipped.
 
-    Only ``(key, term)`` rows are exploded and counted; the numeric sums are
-    hash aggregates, and the other columns of ``df`` are joined back on the
-    key (which is unique).  A post without known terms has the priors.
+    The rows are numbered and written once, so their texts are parsed once and
+    repeated or null post keys cannot mix posts.  Only ``(row, term)`` is
+    exploded and counted; the numeric sums are hash aggregates, and the other
+    columns are joined back on the row's number.  A post without known terms
+    has the priors.
     """
     weights, prior = model
     k = len(prior)
-    terms = df.select(key, F.explode(toks).alias("term")).groupBy(key, "term").agg(
+    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "scored")
+    terms = rows.select("__row", F.explode(toks).alias("term")).groupBy("__row", "term").agg(
         F.count(F.lit(1)).alias("times"))
-    sums = terms.join(weights, "term").groupBy(key).agg(
+    sums = terms.join(weights, "term").groupBy("__row").agg(
         *[F.sum(F.col("times") * F.col(f"w{i}")).alias(f"__l{i}") for i in range(k)])
-    return df.drop(toks).join(sums, key, "left").withColumn(out, F.array(*[
+    return rows.drop(toks).join(sums, "__row", "left").withColumn(out, F.array(*[
         F.coalesce(F.col(f"__l{i}"), F.lit(0.0)) + F.lit(float(prior[i])) for i in range(k)])).drop(
-        *[f"__l{i}" for i in range(k)])
+        "__row", *[f"__l{i}" for i in range(k)])
 
 
 def with_softmax(df: DataFrame, logits: str, labels: tuple[str, ...], out: str,
@@ -112,18 +115,18 @@ def sentiment(df: DataFrame, model: Model, key: str = "post_id",
         .where(F.length(F.col("__t")) >= SHORT_TEXT_CHARS) \
         .select(*keep, T.snippet(F.col("__t")).alias("text_analyzed"),
                 T.tokens(F.col("__t")).alias("__toks"))
-    out = score_terms(base, "__toks", model, key)
+    out = score_terms(base, "__toks", model)
     out = with_softmax(out, "logits", labels, "sentiment")
     return out.select(*keep, "text_analyzed", "sentiment")
 
 
-def emotion(df: DataFrame, model: Model, labels: tuple[str, ...], key: str = "id",
-            title: str = "title", body: str = "body") -> DataFrame:
+def emotion(df: DataFrame, model: Model, labels: tuple[str, ...], title: str = "title",
+            body: str = "body") -> DataFrame:
     """Emotion struct (4 decimals) per post; text = title + ' ' + body;
     posts with fewer than 3 words are dropped (P13 passthrough)."""
     base = df.withColumn("__t", T.strip_ws(T.join_parts(F.coalesce(F.col(title), F.lit("")),
                                                         F.coalesce(F.col(body), F.lit("")))))
     base = base.where(T.word_count(F.col("__t")) >= MIN_EMOTION_WORDS) \
         .withColumn("__toks", T.tokens(F.col("__t"))).drop("__t")
-    out = score_terms(base, "__toks", model, key)
+    out = score_terms(base, "__toks", model)
     return with_softmax(out, "logits", labels, "emotion", decimals=4).drop("logits")

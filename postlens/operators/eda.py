@@ -81,7 +81,8 @@ def order_statistic(x: DataFrame, col: str, rank: int, parts: int = 4096) -> flo
     The range of the values is cut into ``parts`` bins, the bin that holds
     the place is cut again, and so on until it holds one value.  Each round
     is one aggregation with at most ``parts`` rows, however many values
-    there are."""
+    there are; the least and the greatest value of a range fall into
+    different bins, so every round narrows it.  The values must be finite."""
     v = F.col(col)
     inside, low, high = x, None, None
     while True:
@@ -89,7 +90,10 @@ def order_statistic(x: DataFrame, col: str, rank: int, parts: int = 4096) -> flo
             bin_ = F.lit(0)
         else:
             inside = x.where((v >= F.lit(low)) & (v <= F.lit(high)))
-            bin_ = F.least(F.lit(parts - 1), F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(parts)).cast("int"))
+            # halves, where the width itself is beyond a double
+            half = 1.0 if math.isfinite(high - low) else 0.5
+            share = (v * half - F.lit(low * half)) / F.lit(high * half - low * half)
+            bin_ = F.least(F.lit(parts - 1), F.floor(share * F.lit(parts)).cast("int"))
         rows = inside.groupBy(bin_.alias("bin")).agg(
             F.count(F.lit(1)).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).collect()
         for r in sorted(rows, key=lambda r: r["bin"]):
@@ -114,13 +118,18 @@ def quantile(x: DataFrame, col: str, q: float) -> float | None:
     return (above - place) * low + (place - below) * order_statistic(x, col, above)
 
 
+def _finite(df: DataFrame, col: str) -> DataFrame:
+    x = df.select(F.col(col).cast("double").alias("x"))
+    return x.where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < F.lit(float("inf"))))
+
+
 def trimmed_histogram(df: DataFrame, col: str, q: float = TRIM_QUANTILE, bins: int = HIST_BINS) -> DataFrame:
     """Drop values >= the exact q-quantile (linear interpolation),
     then ``bins`` equal-width bins over [min, max] of the rest (last bin
     closed) with counts, plus the trimmed mean on every row.  The cut and
     the range are scalar aggregates of a few small jobs; the binning is one
-    grouped count."""
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    grouped count.  Null, NaN and infinite values are left out."""
+    x = _finite(df, col)
     cut = quantile(x, "x", q)
     if cut is None:
         return df.sparkSession.createDataFrame(

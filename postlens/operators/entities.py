@@ -3,26 +3,25 @@
 
 Re-aimed from a per-row NER model and one web search per entity to two
 tables: a gazetteer ``(alias, type, kb_id)`` and a knowledge base
-``(kb_id, name, rank, title, page_id, snippet)``.
-
-Recognition is per row: words with their character offsets come from one
-``regexp_extract_all`` pair; token n-grams (1..longest alias) are looked
-up in the gazetteer; the longest leftmost non-overlapping matches win.  A
-gazetteer of at most ``GAZETTEER_MAP_MAX`` aliases (checked by count) is
-looked up as an in-expression map (no shuffle); a larger one is
-hash-joined on the n-gram -- broadcast up to ``GAZETTEER_BROADCAST_MAX``
-aliases -- and the (few) matches are regrouped per post.  Linking is an equi-join on ``kb_id`` against the
-best-ranked KB row per id, broadcast when the KB is small.
+``(name, rank, title, page_id, snippet)``.
+
+Recognition numbers the rows and writes them once.  The words of a text meet
+the index of the aliases' first words (first word, longest alias); only at the
+words that start some alias are n-grams built, up to that length, and looked
+up in the gazetteer by an equi-join.  The longest leftmost non-overlapping
+matches win.  Texts without such a word never leave their partition, the
+others move once, and what is regrouped afterwards is a few short spans.
+Linking is an equi-join of the entity's normal form with the knowledge base's
+names.  Spark picks broadcast joins by size.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stored
 
 # Fixed values of the reference: minimum text length for recognition and
 # for the entity job, minimum entity length, link URL format, snippet cap.
@@ -45,6 +44,12 @@ def normalize_alias(c: Column) -> Column:
     return F.array_join(F.filter(words, lambda w: w != ""), " ")
 
 
+def _normal_words(text: Column) -> Column:
+    """The words of a text in normal form ('' for punctuation alone)."""
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\S+"), 0),
+                       lambda w: F.lower(F.regexp_replace(w, EDGE_RE, "")))
+
+
 def _with_words(df: DataFrame, text: str) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn("__ws", F.regexp_extract_all(t, F.lit(WORD_RE), 1)) \
@@ -53,57 +58,44 @@ def _with_words(df: DataFrame, text: str) -> DataFrame:
              .withColumn("__span", F.transform(F.col("__w"), lambda w, j: F.length(F.get(F.col("__ws"), j)) + F.length(w)))
 
 
-def _candidates(n: int) -> Column:
-    """Array of struct(i, n, gram) for all n-grams of normalised words
-    without empty words (direct element access, no per-gram sub-arrays)."""
-    size = F.size(F.col("__nw"))
-
-    def gram(i):
-        parts = [F.get(F.col("__nw"), i + k) for k in range(n)]
-        ok = reduce(lambda a, b: a & b, [p != "" for p in parts])
-        return F.struct(i.alias("i"), F.lit(n).alias("n"),
-                        F.when(ok, F.concat_ws(" ", *parts) if n > 1 else parts[0]).alias("gram"))
-    grams = F.filter(F.transform(F.sequence(F.lit(0), size - n), gram), lambda g: g["gram"].isNotNull())
-    return F.when(size >= n, grams).otherwise(F.array().cast("array<struct<i:int,n:int,gram:string>>"))
-
-
-def _resolve(df: DataFrame, text: str, out: str) -> DataFrame:
-    """From ``__m`` (array of struct(i, n, type, kb_id)) keep the longest
-    leftmost non-overlapping matches and turn them into entity spans with
-    character offsets into ``text``."""
-    srt = F.array_sort(F.transform(F.col("__m"), lambda m: F.struct(
-        m["i"].alias("i"), (-m["n"]).alias("neg_n"), m["type"].alias("type"), m["kb_id"].alias("kb_id"))))
-    df = df.withColumn("__ms", srt)
-    picked = F.aggregate(
-        F.col("__ms"),
-        F.struct(F.array().cast("array<struct<i:int,neg_n:int,type:string,kb_id:string>>").alias("keep"),
-                 F.lit(-1).alias("end")),
-        lambda acc, m: F.when(m["i"] > acc["end"],
-                              F.struct(F.concat(acc["keep"], F.array(m)).alias("keep"),
-                                       (m["i"] - m["neg_n"] - 1).alias("end")))
-        .otherwise(acc),
+def _hits_with_offsets() -> Column:
+    """``__hits`` with the characters before each, summed as one goes on."""
+    span = F.col("__span")
+    first = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("upto"),
+                     F.array().cast("array<struct<i:int,longest:int,chars:int>>").alias("out"))
+
+    def step(acc, h):
+        chars = F.aggregate(F.slice(span, acc["upto"] + 1, h["i"] - acc["upto"]), acc["chars"], lambda a, n: a + n)
+        return F.struct(chars.alias("chars"), h["i"].alias("upto"), F.concat(acc["out"], F.array(F.struct(
+            h["i"].alias("i"), h["longest"].alias("longest"), chars.alias("chars")))).alias("out"))
+    return F.aggregate("__hits", first, step, lambda acc: acc["out"])
+
+
+def _candidates() -> Column:
+    """All n-grams that start at ``__at`` (i, longest, chars), with their span
+    in the text and their surface form."""
+    def at_hit(h):
+        def gram(n):
+            words = F.slice(F.col("__nw"), h["i"] + 1, n)
+            raw = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.concat(
+                F.when(k > 0, F.get(F.col("__ws"), h["i"] + k)).otherwise(""), F.get(F.col("__w"), h["i"] + k))), "")
+            lead = F.length(F.regexp_extract(F.get(F.col("__w"), h["i"]), r"^[^\p{L}\p{N}]*", 0))
+            return F.when(~F.array_contains(words, ""), F.struct(
+                h["i"].alias("i"), n.alias("n"), F.array_join(words, " ").alias("gram"),
+                (h["chars"] + F.length(F.get(F.col("__ws"), h["i"])) + lead).alias("start"),
+                F.regexp_replace(raw, EDGE_RE, "").alias("entity")))
+        return F.transform(F.sequence(F.lit(1), F.least(h["longest"], F.size("__nw") - h["i"])), gram)
+    return F.filter(F.flatten(F.transform(F.col("__at"), at_hit)), lambda c: c.isNotNull())
+
+
+def _longest_leftmost(matches: Column) -> Column:
+    """Of matches sorted by (i, -n) those that overlap none before them."""
+    kind = "array<struct<i:int,neg_n:int,type:string,kb_id:string,entity:string,start:int>>"
+    return F.aggregate(
+        matches, F.struct(F.array().cast(kind).alias("keep"), F.lit(-1).alias("end")),
+        lambda acc, m: F.when(m["i"] > acc["end"], F.struct(F.concat(acc["keep"], F.array(m)).alias("keep"),
+                                                            (m["i"] - m["neg_n"] - 1).alias("end"))).otherwise(acc),
         lambda acc: acc["keep"])
-    df = df.withColumn("__pk", picked)
-
-    def span(m):
-        i, n = m["i"], -m["neg_n"]
-        first = F.get(F.col("__w"), i)
-        last = F.get(F.col("__w"), i + n - 1)
-        before = F.aggregate(F.slice(F.col("__span"), 1, i), F.lit(0), lambda a, b: a + b)
-        lead = F.length(F.regexp_extract(first, r"^[^\p{L}\p{N}]*", 0))
-        trail = F.length(F.regexp_extract(last, r"[^\p{L}\p{N}]*$", 0))
-        start = before + F.length(F.get(F.col("__ws"), i)) + lead
-        end = F.aggregate(F.slice(F.col("__span"), 1, i + n), F.lit(0), lambda a, b: a + b) - trail
-        return F.struct(
-            F.substring(F.coalesce(F.col(text), F.lit("")), start + 1, end - start).alias("entity"),
-            m["type"].alias("type"), start.cast("int").alias("start"), end.cast("int").alias("end"),
-            m["kb_id"].alias("kb_id"))
-
-    ents = F.filter(F.transform(F.col("__pk"), span),
-                    lambda e: F.length(T.strip_ws(e["entity"])) >= MIN_ENTITY_CHARS)
-    blank = F.length(T.strip_ws(F.coalesce(F.col(text), F.lit("")))) < MIN_TEXT_CHARS
-    df = df.withColumn(out, F.when(blank, F.array().cast(f"array<{ENTITY_TYPE}>")).otherwise(ents))
-    return df.drop("__ws", "__w", "__nw", "__span", "__m", "__ms", "__pk")
 
 
 def prepare_gazetteer(gazetteer: DataFrame) -> DataFrame:
@@ -114,67 +106,73 @@ def prepare_gazetteer(gazetteer: DataFrame) -> DataFrame:
         .select("gram", F.col("v.type").alias("type"), F.col("v.kb_id").alias("kb_id"))
 
 
+def first_words(gaz: DataFrame) -> DataFrame:
+    """(first, longest): the words that start an alias, with the length in
+    words of the longest alias that they start."""
+    words = F.split("gram", " ")
+    return gaz.groupBy(F.get(words, 0).alias("first")).agg(F.max(F.size(words)).alias("longest"))
+
+
+def recognise(rows: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
+    """(key, entities) of the rows that have any; ``key`` is unique."""
+    gaz = prepare_gazetteer(gazetteer)
+    words = rows.where(F.length(T.strip_ws(F.col(text))) >= MIN_TEXT_CHARS).select(
+        key, F.posexplode(_normal_words(F.col(text))).alias("i", "first")).where(F.col("first") != "")
+    hits = words.join(first_words(gaz), "first").groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("i", "longest"))).alias("__hits"))
+    met = _with_words(rows.select(key, text).join(hits, key), text).withColumn("__at", _hits_with_offsets())
+    cand = met.select(key, F.explode(_candidates()).alias("c")).select(key, "c.*")
+    matches = cand.join(gaz, "gram").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
+        "i", (-F.col("n")).alias("neg_n"), "type", "kb_id", "entity", "start"))).alias("__m"))
+    kept = F.filter(_longest_leftmost(F.col("__m")), lambda m: F.length(m["entity"]) >= MIN_ENTITY_CHARS)
+    return matches.select(key, F.transform(kept, lambda m: F.struct(
+        m["entity"].alias("entity"), m["type"].alias("type"), m["start"].alias("start"),
+        (m["start"] + F.length(m["entity"])).alias("end"), m["kb_id"].alias("kb_id"))).alias("entities"))
+
+
 def extract_entities(df: DataFrame, text: str, gazetteer: DataFrame,
                      out: str = "entities") -> DataFrame:
     """``out`` = array of struct(entity, type, start, end, kb_id) with
-    0-based character offsets (end exclusive), in text order.
+    0-based character offsets (end exclusive), in text order.  Rows are
+    numbered, so repeated or null post keys cannot mix posts."""
+    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "posts")
+    found = recognise(rows, "__row", text, gazetteer).withColumnRenamed("entities", "__found")
+    return rows.join(found, "__row", "left").withColumn(
+        out, F.coalesce(F.col("__found"), F.array().cast(f"array<{ENTITY_TYPE}>"))).drop("__row", "__found")
 
-    The entities depend on the text alone: candidates of distinct texts are
-    equi-joined with the gazetteer on the n-gram, and the matches regrouped
-    and joined back by a digest of the text, so repeated or null post keys
-    cannot mix posts.  Spark picks a broadcast join by the gazetteer's size.
-    """
-    gaz = prepare_gazetteer(gazetteer)
-    max_n = gaz.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 0
-    df = df.withColumn("__digest", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    distinct = df.select("__digest", F.col(text).alias("__text")).dropDuplicates(["__digest"])
-    worded = _with_words(distinct, "__text")
-    empty = F.array().cast("array<struct<i:int,n:int,gram:string>>")
-    cands = F.flatten(F.array(empty, *[_candidates(n) for n in range(1, max_n + 1)]))
-    cand = worded.select("__digest", F.explode(cands).alias("c")).select(
-        "__digest", "c.i", "c.n", F.col("c.gram").alias("gram"))
-    matches = cand.join(gaz, "gram").groupBy("__digest").agg(
-        F.collect_list(F.struct("i", "n", "type", "kb_id")).alias("__m"))
-    found = _resolve(worded.join(matches, "__digest"), "__text", "__found").select("__digest", "__found")
-    return df.join(found, "__digest", "left").withColumn(
-        out, F.coalesce(F.col("__found"), F.array().cast(f"array<{ENTITY_TYPE}>"))).drop("__digest", "__found")
-
-
-def dedup_entities(ents: Column) -> Column:
-    """First occurrence of each case-folded entity text.  ``ents`` must
-    be an attribute in text order (as ``extract_entities`` produces)."""
-    return F.filter(ents, lambda e, i: ~F.exists(F.slice(ents, 1, i),
-                                                   lambda p: F.lower(p["entity"]) == F.lower(e["entity"])))
+
+def dedup_entities(df: DataFrame, ents: str, out: str) -> DataFrame:
+    """The first occurrence of each case-folded entity text, in text
+    order: sorted by text inside the row, so no pair of entities is compared."""
+    z = f"__{out}_sorted"
+    df = df.withColumn(z, F.array_sort(F.transform(ents, lambda e: F.struct(
+        F.lower(e["entity"]).alias("name"), e["start"].alias("start"), e.alias("e")))))
+    first = F.filter(F.col(z), lambda x, i: F.coalesce(F.get(F.col(z), i - 1)["name"] != x["name"], F.lit(True)))
+    by_place = F.array_sort(F.transform(first, lambda x: F.struct(x["start"].alias("start"), x["e"].alias("e"))))
+    return df.withColumn(out, F.transform(by_place, lambda x: x["e"])).drop(z)
 
 
 def best_kb(kb: DataFrame) -> DataFrame:
-    """Best-ranked KB row per kb_id, with the linked fields."""
-    best = kb.groupBy("kb_id").agg(F.min_by(F.struct("title", "page_id", "snippet"),
-                                            F.struct("rank", "page_id")).alias("b"))
+    """Best-ranked KB row per normalised name, with the linked fields."""
+    best = kb.groupBy(normalize_alias(F.col("name")).alias("__name")).agg(F.min_by(
+        F.struct("title", "page_id", "snippet"), F.struct("rank", "page_id")).alias("b")).where(F.col("__name") != "")
     return best.select(
-        "kb_id",
+        "__name",
         F.struct(F.col("b.title").alias("title"),
                  F.concat(F.lit(LINK_URL_PREFIX), F.col("b.page_id").cast("string")).alias("url"),
                  F.substring(T.strip_tags(F.col("b.snippet")), 1, T.LINK_SNIPPET_CHARS).alias("snippet"))
         .alias("wikipedia"))
 
 
-def link_entities(df: DataFrame, ents: str, kb: DataFrame, key: str,
-                  carry: list[str] | None = None, out: str = "linked_entities") -> DataFrame:
-    """Link each entity through the KB; unlinked entities and posts
-    without any linked entity are dropped.  The entities of one post are
-    exploded, joined and
-    regrouped in the same partition, so partial aggregation leaves one row
-    per post for the shuffle; ``carry`` columns ride along (keys unique)."""
-    carry = [c for c in (carry if carry is not None else df.columns) if c not in (key, ents)]
-    kbj = best_kb(kb)
-    ex = df.select(key, *carry, F.explode_outer(F.col(ents)).alias("e")).where(F.col("e").isNotNull())
-    linked = ex.join(kbj, F.col("e.kb_id") == kbj["kb_id"]).groupBy(key).agg(
-        *[F.first(c).alias(c) for c in carry],
-        F.array_sort(F.collect_list(F.struct(
-            F.col("e.start").alias("start"), F.col("e.entity").alias("entity"),
-            F.col("e.type").alias("type"), F.col("e.end").alias("end"), "wikipedia"))).alias("__l"))
-    return linked.select(key, *carry, F.transform("__l", lambda x: F.struct(
+def link_entities(found: DataFrame, ents: str, kb: DataFrame, key: str, out: str = "linked_entities") -> DataFrame:
+    """(key, out): the entities of each row that a knowledge-base name
+    equals in normal form; unlinked entities and rows without any linked one
+    are dropped.  ``key`` is unique."""
+    ex = found.select(key, F.explode(ents).alias("e")).withColumn("__name", normalize_alias(F.col("e.entity")))
+    linked = ex.join(best_kb(kb), "__name").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
+        F.col("e.start").alias("start"), F.col("e.entity").alias("entity"),
+        F.col("e.type").alias("type"), F.col("e.end").alias("end"), "wikipedia"))).alias("__l"))
+    return linked.select(key, F.transform("__l", lambda x: F.struct(
         x["entity"].alias("entity"), x["type"].alias("type"), x["start"].alias("start"),
         x["end"].alias("end"), x["wikipedia"].alias("wikipedia"))).alias(out))
 
@@ -182,7 +180,8 @@ def link_entities(df: DataFrame, ents: str, kb: DataFrame, key: str,
 def entity_table(posts: DataFrame, gazetteer: DataFrame, kb: DataFrame, key: str = "post_id") -> DataFrame:
     """C14: text chain translated -> cleaned -> title + body/content (at
     least 10 chars); entities (count before dedup), first occurrence per
-    case-folded text, linked only; posts without a linked entity dropped."""
+    case-folded text, linked only; posts without a linked entity dropped.
+    Posts that share a key, or have none, stay posts of their own."""
     cols = posts.columns
 
     def c(name):
@@ -190,11 +189,10 @@ def entity_table(posts: DataFrame, gazetteer: DataFrame, kb: DataFrame, key: str
     text = T.pick_text([c("translated_text"), c("cleaned_text")], c("title"), c("body"), c("content"))
     keep = [x for x in ("_id", key, "subreddit", "author", "created_utc", "permalink", "title") if x in cols]
     base = posts.select(*keep, text.alias("__t")).where(F.length("__t") >= MIN_JOB_TEXT_CHARS)
-    base = extract_entities(base, "__t", gazetteer, out="__e")
-    base = base.select(*keep, T.snippet(F.col("__t")).alias("text_analyzed"),
-                       F.size("__e").cast("int").alias("entity_count"),
-                       dedup_entities(F.col("__e")).alias("__d"))
-    out = link_entities(base, "__d", kb, key, carry=[x for x in keep if x != key] + ["text_analyzed", "entity_count"])
-    return out.select(*keep, "text_analyzed", "entity_count",
-                      F.size("linked_entities").cast("int").alias("linked_entity_count"),
-                      "linked_entities")
+    rows = stored(base.withColumn("__row", F.monotonically_increasing_id()), "posts")
+    found = recognise(rows, "__row", "__t", gazetteer)
+    linked = link_entities(dedup_entities(found, "entities", "__d"), "__d", kb, "__row")
+    both = found.select("__row", F.size("entities").cast("int").alias("entity_count")).join(linked, "__row")
+    return rows.select(*keep, "__row", T.snippet(F.col("__t")).alias("text_analyzed")).join(both, "__row").select(
+        *keep, "text_analyzed", "entity_count",
+        F.size("linked_entities").cast("int").alias("linked_entity_count"), "linked_entities")

@@ -68,3 +68,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     the shared directory, never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint directory and
+    read it back: the lineage is cut, and later readers prune columns and push
+    filters down."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -233,3 +233,63 @@ def test_stream_enrichment_is_the_batch_one(spark, tmp_path):
     stream.select("post_id", "flags").writeStream.format("parquet").option(
         "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(out).awaitTermination()
     assert spark.read.parquet(out).collect() == ST.enriched(posts).select("post_id", "flags").collect()
+
+
+def test_entities_of_repeated_and_null_keys(spark):
+    """Posts that share a key, or have none, stay apart."""
+    g = spark.createDataFrame([("new york", "GPE", "1"), ("acme", "ORG", "2"), ("nowhere", "LOC", "3")],
+                              "alias string, type string, kb_id string")
+    kb = spark.createDataFrame([("New  York", 2, "NY b", 8, "x"), ("new york", 1, "NY a", 9, "<b>y</b>"),
+                                ("ACME", 1, "Acme", 7, "z")],
+                               "name string, rank int, title string, page_id long, snippet string")
+    texts = [("a", "New York and ACME, then acme again"), ("a", "only (New York) here"), (None, "to Nowhere and acme"),
+             (None, "acme acme acme!"), ("b", "Nowhere is not linked"), ("c", None), ("d", "acme")]
+    posts = spark.createDataFrame(texts, "post_id string, cleaned_text string")
+    got = sorted((str(r["post_id"]), r["entity_count"], r["linked_entity_count"],
+                  [(e["entity"], e["start"], e["end"], e["wikipedia"]["title"]) for e in r["linked_entities"]])
+                 for r in EN.entity_table(posts, g, kb).collect())
+    assert got == [("None", 2, 1, [("acme", 15, 19, "Acme")]), ("None", 3, 1, [("acme", 0, 4, "Acme")]),
+                   ("a", 1, 1, [("New York", 6, 14, "NY a")]),
+                   ("a", 3, 2, [("New York", 0, 8, "NY a"), ("ACME", 13, 17, "Acme")])]
+
+
+def test_entities_of_documents_match_brute_force(spark):
+    """The registered gazetteer over a whole table."""
+    from postlens.plans import catalog
+    from postlens.sources.tables import document_posts
+    small = "/root/testdata/sf0.001"
+    gaz, _ = catalog.gazetteer_and_kb(spark, small)
+    plain = {r["gram"]: r["type"] for r in EN.prepare_gazetteer(gaz).collect()}
+    posts = document_posts(spark, small).select("id", "content")
+    rows = EN.extract_entities(posts, "content", gaz).collect()
+    assert len(rows) == posts.count() and sum(len(r["entities"]) for r in rows) > 3
+    for r in rows:
+        t = r["content"] or ""
+        want = _brute_entities(t, plain) if len(t.strip()) >= 3 else []
+        assert [(e["entity"], e["type"], e["start"], e["end"]) for e in r["entities"]] == want
+
+
+def test_scores_of_repeated_and_null_keys(spark):
+    """Classifiers score each row by its own text."""
+    from postlens.operators import classify as CL
+    w = spark.createDataFrame([("good", -2.0, -1.0, 0.0), ("bad", 0.0, -1.0, -2.0)], "term string, w0 double, w1 double, w2 double")
+    model = (w, [0.0, 0.0, 0.0])
+    posts = spark.createDataFrame([("a", "good good"), ("a", "bad bad bad"), (None, "good"), (None, "bad"), ("b", "zzz yyy"),
+                                   ("c", "  "), ("a", "good good")], "post_id string, cleaned_text string")
+    got = sorted((str(r["post_id"]), r["text_analyzed"], r["sentiment"]["label"]) for r in CL.sentiment(posts, model).collect())
+    assert got == [("None", "bad", "Negative"), ("None", "good", "Positive"), ("a", "bad bad bad", "Negative"),
+                   ("a", "good good", "Positive"), ("a", "good good", "Positive"), ("b", "zzz yyy", "Negative")]
+    same = spark.createDataFrame([("k", "good good good", ""), ("k", "bad bad", "bad"), (None, "good good", "good")],
+                                 "id string, title string, body string")
+    got = sorted((r["title"], r["emotion"]["label"]) for r in CL.emotion(same, model, ("x", "y", "z")).collect())
+    assert got == [("bad bad", "x"), ("good good", "z"), ("good good good", "z")]
+
+
+def test_histogram_of_values_that_are_not_finite(spark):
+    values = [float(i) for i in range(20)] + [float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = EDA.trimmed_histogram(df, "x").collect()
+    assert sum(r["count"] for r in rows) == 19 and rows[0]["mean"] == 9.0
+    assert EDA.trimmed_histogram(df.where("isnan(x)"), "x").count() == 0
+    wide = spark.createDataFrame([(-1.7e308,), (0.0,), (1.0,), (1.7e308,)], "x double")
+    assert [EDA.order_statistic(wide, "x", k) for k in range(4)] == [-1.7e308, 0.0, 1.0, 1.7e308]
