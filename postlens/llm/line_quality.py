@@ -39,9 +39,6 @@ WINDOW = 8
 # ask for, or less than this share of its words.
 LINE_DOCUMENTS = 20
 LEFT_SHARE = 0.2
-# Of the DuckDB SQL alone, which also asks for this share: the same verdicts
-# on hosts of up to LINE_DOCUMENTS / LINE_SHARE = 1,000 distinct documents.
-LINE_SHARE = 0.02
 
 
 def _without(text: Column, characters: str) -> Column:

@@ -114,12 +114,8 @@ WITH d AS (
          trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '{_SPACE}', ' ', 'g')) AS form
   FROM (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM d)
 ), spoken AS (SELECT * FROM lines WHERE form <> ''),
-hosts AS (SELECT source, count(DISTINCT t) AS documents FROM d GROUP BY source),
 often AS (
-  SELECT s.source, s.form FROM spoken s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
-  GROUP BY s.source, s.form, h.documents
-  HAVING count(DISTINCT s.t) > {line_quality.LINE_DOCUMENTS}
-     AND count(DISTINCT s.t) > {line_quality.LINE_SHARE} * h.documents
+  SELECT source, form FROM spoken GROUP BY source, form HAVING count(DISTINCT t) > {line_quality.LINE_DOCUMENTS}
 ), lost AS (
   SELECT s.doc_id, sum(len(string_split(s.form, ' '))) AS n
   FROM spoken s JOIN often o ON s.form = o.form AND s.source IS NOT DISTINCT FROM o.source

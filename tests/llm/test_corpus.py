@@ -41,15 +41,41 @@ def dedup_by_hand(docs):
     return out
 
 
-def test_line_dedup(awkward, none):
-    rows = line_dedup.dedup(awkward)
+def dedup_by_all_sets(docs):
+    """{(doc_id, text): text left} by all boundary sets: the lines of repeated
+    chunks go, but for those that a chunk which stays here has too."""
+    found = {}
+    for doc, text in set(docs):
+        found[doc, text] = sorted({x for k in range(line_dedup.SETS) for x in line_dedup.repeatable(text, k)})
+    count, keeper = Counter(), {}
+    for (doc, _), chunks in found.items():
+        for _, _, chunk in chunks:
+            count[chunk] += 1
+            keeper[chunk] = min(keeper.get(chunk, (True, 0)), (doc is None, doc or 0))
+    out = {}
+    for (doc, text), chunks in found.items():
+        seen, lost, held = set(), set(), set()
+        for a, b, chunk in chunks:
+            if count[chunk] > 1:
+                stays = keeper[chunk] == (doc is None, doc or 0) and chunk not in seen
+                (held if stays else lost).update(range(a, b))
+            seen.add(chunk)
+        lines = text.split("\n")
+        lost -= held
+        out[doc, text] = "\n".join(x for i, x in enumerate(lines) if i not in lost) if lost else text
+    return out
+
+
+@pytest.mark.parametrize("sets", [1, line_dedup.SETS])
+def test_line_dedup(awkward, none, sets):
+    rows = line_dedup.dedup(awkward, sets)
     assert rows.columns == [*awkward.columns, "n_removed_chunks", "n_removed_lines"]
     docs = texts_of(awkward)
-    want = dedup_by_hand(docs)
+    want = dedup_by_hand(docs) if sets == 1 else dedup_by_all_sets(docs)
     same(texts_of(rows), ((d, want[d, t]) for d, t in docs))
     assert rows.agg(F.sum("n_removed_chunks")).first()[0] > 10
     assert awkward.where("text IS NULL").count() == rows.where("text IS NULL").count()
-    assert line_dedup.dedup(none).count() == 0
+    assert line_dedup.dedup(none, sets).count() == 0
 
 
 def test_chunk_boundaries_resist_shifts():
@@ -61,15 +87,13 @@ def test_chunk_boundaries_resist_shifts():
 
 
 def test_chunks_with_equal_hashes_are_compared(spark, monkeypatch):
-    """All chunks share one hash: nothing that differs may be removed."""
-    monkeypatch.setattr(xxhash, "xxh3_128_digest", lambda x: b"same")
+    """All chunks share one hash: only what equals the chunk that stays goes."""
+    found = line_dedup.occurrences
+    monkeypatch.setattr(line_dedup, "occurrences",
+                        lambda docs, sets: found(docs, sets).withColumn("chunk_hash", F.lit(bytearray(b"same"))))
     a, b = "one line here\nanother line", "quite other\nlines these"
-    docs = [(1, a), (2, b), (3, a)]
-    left = [tuple(r)[:2] for r in spark.createDataFrame(docs, "doc_id bigint, text string").collect()]
-    removed = dict(left)
-    stays = {0: b}
-    lines = removed[1].split("\n")
-    assert [x for x in line_dedup.chunks(removed[1]) if "\n".join(lines[x[0]:x[1]]) == stays.get(x[0])] == []
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a), (4, b)], "doc_id bigint, text string")
+    assert dict(texts_of(line_dedup.deduplicated(docs))) == {1: a, 2: b, 3: "", 4: b}
 
 
 def shared_lines(docs):
@@ -186,9 +210,8 @@ def quality_by_hand(rows):
     def norm(line):
         return " ".join(re.findall(WORD, re.sub("[1-9]", "0", line.lower())))
 
-    seen, size = defaultdict(set), defaultdict(set)
+    seen = defaultdict(set)
     for _, t, h in rows:
-        size[h].add(t or "")
         for x in (t or "").split("\n"):
             seen[h, norm(x)].add(t or "")
     out = []
@@ -201,8 +224,7 @@ def quality_by_hand(rows):
             if count[g] > 1:
                 cover.update(range(k, k + 8))
         lines = [x for x in t.split("\n") if re.search(WORD, x)]
-        often = [x for x in lines if len(seen[h, norm(x)]) > line_quality.LINE_DOCUMENTS
-                 and len(seen[h, norm(x)]) > line_quality.LINE_SHARE * len(size[h])]
+        often = [x for x in lines if len(seen[h, norm(x)]) > line_quality.LINE_DOCUMENTS]
         left = len(w) - sum(len(re.findall(WORD, x)) for x in often)
         base = len(w) < 20 or 100 * len(cover) > 30 * len(w)
         kept = not base and (not often or (left >= 20 and left >= line_quality.LEFT_SHARE * len(w)))
@@ -246,6 +268,7 @@ def test_the_line_limit_does_not_grow_with_the_host(spark):
 
     rows = [(100 * (h == "large") + i, text(h, i), h) for h, n in (("large", 3000), ("small", 30)) for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    same(map(tuple, line_quality.digests(docs).collect()), quality_by_hand(rows))
     assert sorted(r["host"] for r in line_quality.boilerplate(docs, "source").collect()) == ["=large", "=small"]
     assert line_quality.cleaned(docs).where("text LIKE '%notice%'").count() == 0
     assert line_quality.cleaned(docs).count() == len(rows)
@@ -402,7 +425,7 @@ def test_pipeline_stages(spark):
     assert 0.7 * len(before) < len(want) < len(before)
     kept = kept.checkpoint()
     less = dedup(spark, kept, SF_SMALL).checkpoint()
-    by_hand = dedup_by_hand(texts_of(kept))
+    by_hand = dedup_by_all_sets(texts_of(kept))
     assert less.columns == columns
     same(texts_of(less), ((d, by_hand[d, t]) for d, t in texts_of(kept)))
     assert less.where("n_chars != length(text)").count() == 0
