@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +34,10 @@ from pyspark.sql import types as T
 from .common import map_in_arrow, texts, vocabulary
 
 NEVER = 1 << 62
-FITS_ENTRIES = 1_000_000    # remembered answers of Ranks.fits
-MEMO_ENTRIES = 500_000      # remembered chunks and pieces, emptied when full
-MEMO_CHUNK_CHARS = 64
+FITS_ENTRIES = 300_000      # remembered answers of Ranks.fits
+MEMO_ENTRIES = 150_000      # remembered chunks and pieces each, emptied when full
+MEMO_CHUNK_CHARS = 64       # longer ones are not remembered
+SLICE_CHARS = 1 << 21       # characters of texts encoded at once
 
 _HARD_SPACE = re.compile(r" (?=\s|\Z)")
 _WORD_SPACE = re.compile(r" (?=\S)")
@@ -313,12 +316,41 @@ def decode(ids: Column, vocab: str) -> Column:
     return back(ids)
 
 
+def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """(first, length) of runs of texts of at most ``SLICE_CHARS`` together,
+    or of one longer text."""
+    at, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > at and held + n > SLICE_CHARS:
+            yield at, i - at
+            at, held = i, 0
+        held += n
+    if at < len(sizes):
+        yield at, len(sizes) - at
+
+
 def digests(df: DataFrame, vocab: str, pattern: str) -> DataFrame:
     """Per document: the number of ids, the SHA-256 of the ids and that of
-    the bytes decoded from them."""
-    coded = encode(df.select("doc_id", "text"), "text", "ids", vocab, pattern)
-    decoded = coded.select("doc_id", "ids", decode(F.col("ids"), vocab).alias("decoded"))
-    return decoded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    the bytes decoded from them.  Ids and bytes stay in the worker that made
+    them, which has one table for both ways."""
+    schema = T.StructType([df.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(vocab, pattern)
+        table = enc.ranks.bytes_of
+        for b in batches:
+            lengths = [n or 0 for n in pc.utf8_length(b.column("text")).to_pylist()]
+            for at, n in _slices(lengths):
+                part = b.slice(at, n)
+                counts, hashes, back = [], [], []
+                for ids in enc(texts(part.column("text"))):
+                    tokens = np.frombuffer(ids, "<u4")
+                    counts.append(len(tokens))
+                    hashes.append(hashlib.sha256(ids).hexdigest())
+                    back.append(hashlib.sha256(b"".join(map(table.__getitem__, tokens.tolist()))).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(back)],
+                    names=schema.names)
+
+    return map_in_arrow(df.select("doc_id", "text"), run, schema)
