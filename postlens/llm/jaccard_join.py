@@ -54,10 +54,10 @@ RARE = 32                       # rows that a rare shingle has at most
 MOST = 16                       # longest demand for shared prefix shingles
 COMPARE = 16                    # a comparison costs one meeting per so many shingles
 BLOCK = 256                     # nodes of a popular shingle compared at once
-ROUNDS = 8                      # rounds with centres before the rest, at most
+ROUNDS = 4                      # rounds with centres before the rest, at most
 FEW = 2                         # pairs per prefix row that need no more such rounds
 GAIN = 0.9                      # nor if a round leaves more than this of the pairs
-CENTRES = 16                    # centres of a popular shingle in later rounds
+CENTRES = 16                    # centres of a shingle in later rounds; more nodes make it popular
 WORDS = 200_000                 # memo of word hashes in a worker
 
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -325,12 +325,11 @@ def _pairs(met: DataFrame, percent: int, every: bool) -> DataFrame:
 
 
 def with_centres(rooted: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each node with the centres of its popular shingles."""
+    """Pairs of each node with the centres of its shingles."""
     order = [F.desc("weight") if turn == 0 else F.xxhash64("node", F.lit(turn)), F.col("node")]
     first = Window.partitionBy("token").orderBy(*order)
-    centre = rooted.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= (CENTRES if turn else 1))
-    popular = rooted.groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > CENTRES)
-    centre = centre.join(popular, "token", "left_semi").select("token", *[F.col(c).alias(f"{c}2") for c in PREFIX])
+    centre = rooted.withColumn("turn", F.row_number().over(first)).where(
+        F.col("turn") <= (CENTRES if turn else 1)).select("token", *[F.col(c).alias(f"{c}2") for c in PREFIX])
     return _pairs(rooted.join(centre, "token").where("node != node2 AND root != root2"), percent, every=False)
 
 
@@ -402,25 +401,42 @@ def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int, percen
     """A forest over the nodes: (u, v) names the smallest node of u's
     component."""
     prefix, whole = prefixes(docs, rows, nodes, words, percent)
-    before = float("inf")
+    popular = prefix.groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > CENTRES)
+    hot = prefix.join(popular, "token", "left_semi")
     found = forest = None
-    for turn in range(ROUNDS + 1):
-        rooted = prefix.withColumn("root", F.col("node"))
-        if forest is not None:
-            named = forest.select(F.col("u").alias("node"), F.col("v").alias("root"))
-            rooted = prefix.join(named, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # shingles all of whose nodes are in one component have nothing left
-        mixed = rooted.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p != q")
-        rooted = materialize(rooted.join(mixed, "token", "left_semi"), "rooted")
-        pairs_left, rows_left = open_pairs(rooted)
-        last = turn == ROUNDS or pairs_left <= FEW * rows_left or pairs_left > GAIN * before
+    before = float("inf")
+    for turn in range(ROUNDS):
+        hot = materialize(_undecided(_rooted(hot, forest)), "popular")
+        pairs_left, rows_left = open_pairs(hot)
+        if pairs_left <= FEW * rows_left or pairs_left > GAIN * before:
+            break
         before = pairs_left
-        pairs = materialize(across(rooted, percent) if last else with_centres(rooted, turn, percent), "pairs")
-        new = similar(pairs, whole, words, percent)
-        found = materialize(new if found is None else new.unionByName(forest), "found")
-        forest = star_forest(found)
-        if last:
-            return forest
+        found, forest = _linked(with_centres(hot, turn, percent), found, forest, whole, words, percent)
+    rest = materialize(_undecided(_rooted(prefix, forest)), "rooted")
+    return _linked(across(rest, percent), found, forest, whole, words, percent)[1]
+
+
+def _rooted(prefix: DataFrame, forest: DataFrame | None) -> DataFrame:
+    """``prefix`` with the root of each node's component."""
+    if forest is None:
+        return prefix.withColumn("root", F.col("node"))
+    named = forest.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return prefix.drop("root").join(named, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _undecided(rooted: DataFrame) -> DataFrame:
+    """Without the shingles all of whose nodes are in one component: they have
+    nothing left to link, now or later."""
+    mixed = rooted.groupBy("token").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p != q")
+    return rooted.join(mixed, "token", "left_semi")
+
+
+def _linked(pairs: DataFrame, found: DataFrame | None, forest: DataFrame | None, whole: DataFrame, words: int,
+            percent: int) -> tuple[DataFrame, DataFrame]:
+    """The links found so far and their forest, with those among ``pairs``."""
+    new = similar(materialize(pairs, "pairs"), whole, words, percent)
+    found = materialize(new if found is None else new.unionByName(forest), "found")
+    return found, star_forest(found)
 
 
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
