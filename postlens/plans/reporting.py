@@ -47,7 +47,9 @@ def post_summaries(base: DataFrame, sentiment: DataFrame | None = None,
                    key: str = "post_id", posts: DataFrame | None = None) -> DataFrame:
     """JN1: one row per post of ``base`` (the preprocessed table) with the
     seven optional result parts under ``nlp_results``; an absent part is a
-    null struct.  ``posts`` (raw, keyed by ``id``) supplies score,
+    null struct.  Of several records of a part for one post the one with the
+    latest stamp (``processed_at``, ``enriched_at``) wins, any one where the
+    part has no stamp.  ``posts`` (raw, keyed by ``id``) supplies score,
     comments and url, which the preprocessed table does not carry."""
     b = last_by_key(base, key, ["preprocessed_at"])
     cols = b.columns
@@ -100,7 +102,7 @@ def post_summaries(base: DataFrame, sentiment: DataFrame | None = None,
     attach(emotion, "id" if emotion is not None and "id" in emotion.columns else key, "emotion_detection",
            F.struct(F.coalesce(F.col("emotion.label"), F.lit("N/A")).alias("label"),
                     F.coalesce(F.col("emotion.score"), F.lit(0.0)).alias("confidence"),
-                    F.col("emotion.scores").alias("all_scores")))
+                    F.col("emotion.scores").alias("all_scores")), ["processed_at"])
     attach(keywords, key, "keywords_hashtags", F.struct(
         F.coalesce(F.col("keywords"), F.array().cast("array<string>")).alias("keywords"),
         F.coalesce(F.col("hashtags"), F.array().cast("array<string>")).alias("hashtags"),
@@ -108,10 +110,10 @@ def post_summaries(base: DataFrame, sentiment: DataFrame | None = None,
         F.coalesce(F.size("hashtags"), F.lit(0)).alias("hashtag_count")), ["enriched_at"])
     attach(topics, "id" if topics is not None and "id" in topics.columns else key, "topic_classification",
            F.struct(F.coalesce(F.col("topic.label"), F.lit("N/A")).alias("label"),
-                    F.coalesce(F.col("topic.score"), F.lit(0.0)).alias("confidence")))
-    attach(flags, key, "behavior_flags", F.col("flags"))
+                    F.coalesce(F.col("topic.score"), F.lit(0.0)).alias("confidence")), ["processed_at"])
+    attach(flags, key, "behavior_flags", F.col("flags"), ["processed_at"])
     attach(summaries, "id" if summaries is not None and "id" in summaries.columns else key,
-           "generated_summary", F.coalesce(F.col("summary"), F.lit("")))
+           "generated_summary", F.coalesce(F.col("summary"), F.lit("")), ["processed_at"])
     keep = ["post_id", "title", "subreddit", "author", "created_utc", "score", "num_comments",
             "permalink", "url"]
     return out.select(*keep, F.struct(*parts).alias("nlp_results"))

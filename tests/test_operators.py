@@ -293,3 +293,21 @@ def test_histogram_of_values_that_are_not_finite(spark):
     assert EDA.trimmed_histogram(df.where("isnan(x)"), "x").count() == 0
     wide = spark.createDataFrame([(-1.7e308,), (0.0,), (1.0,), (1.7e308,)], "x double")
     assert [EDA.order_statistic(wide, "x", k) for k in range(4)] == [-1.7e308, 0.0, 1.0, 1.7e308]
+
+
+def test_the_latest_record_of_each_part_wins(spark):
+    """JN1: duplicates of a part with different stamps."""
+    from postlens.plans import reporting as RP
+    base = spark.createDataFrame([("a", "t"), ("b", "u")], "post_id string, title string")
+    emotion = spark.sql("""SELECT * FROM VALUES
+        ('a', named_struct('label', 'old', 'score', 0.1D, 'scores', map('x', 0.1D)), TIMESTAMP '2024-01-01'),
+        ('a', named_struct('label', 'new', 'score', 0.9D, 'scores', map('x', 0.9D)), TIMESTAMP '2024-01-03'),
+        ('a', named_struct('label', 'none', 'score', 0.5D, 'scores', map('x', 0.5D)), NULL) t(id, emotion, processed_at)""")
+    topics = spark.sql("""SELECT * FROM VALUES ('a', named_struct('label', 'late', 'score', 0.2D), TIMESTAMP '2024-02-01'),
+        ('a', named_struct('label', 'early', 'score', 0.3D), TIMESTAMP '2024-01-01') t(id, topic, processed_at)""")
+    said = spark.sql("""SELECT * FROM VALUES ('b', 'first', TIMESTAMP '2024-01-01'), ('b', 'second', TIMESTAMP '2024-01-02')
+        t(id, summary, processed_at)""")
+    rows = {r["post_id"]: r["nlp_results"] for r in RP.post_summaries(
+        base, emotion=emotion, topics=topics, summaries=said).collect()}
+    assert rows["a"]["emotion_detection"]["label"] == "new" and rows["a"]["topic_classification"]["label"] == "late"
+    assert rows["b"]["generated_summary"] == "second" and rows["b"]["emotion_detection"] is None
