@@ -41,10 +41,6 @@ LINE_DOCUMENTS = 20
 LEFT_SHARE = 0.2
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def _words(text: Column) -> Column:
     trimmed = F.btrim(text, F.lit(SPACES))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
@@ -53,24 +49,38 @@ def _words(text: Column) -> Column:
 
 def normal_line(line: Column) -> Column:
     """The form in which lines are compared across documents."""
-    return F.regexp_replace(F.translate(F.lower(F.btrim(line, F.lit(SPACES))),
-                                        "123456789", "000000000"), WORD_BREAK, " ")
+    plain = F.regexp_replace(F.lower(F.btrim(line, F.lit(SPACES))), "[1-9]", "0")
+    # most lines have single blanks alone already and are not written anew
+    return F.when(F.rlike(plain, F.lit(r"[\x09-\x0D]|  ")), F.regexp_replace(plain, WORD_BREAK, " ")).otherwise(plain)
+
+
+def _halves(window: int) -> list[int]:
+    """1, 2, 4, ...: the steps that double one word up to a window, whose
+    length is a power of two."""
+    return [1 << k for k in range(window.bit_length() - 1)]
+
+
+def _doubled(hashes: Column, step: int) -> Column:
+    """Each hash together with the one ``step`` places on."""
+    return F.transform(hashes, lambda x, i: F.xxhash64(x, F.get(hashes, i + step)))
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
     """``docs`` with the counts of the base rules and ``base_failed``.
 
-    Words in repeated windows: each window of words is hashed from its
-    words' hashes, the hashes are sorted with their places, those equal to a
-    neighbour are repeated, and the words under them are counted by adding
-    for each place, in order, the words up to the next."""
+    Words in repeated windows: each window of words is hashed by doubling
+    (two words, then two such pairs, then two such fours), the hashes are
+    sorted with their places, those equal to a neighbour are repeated, and the
+    words under them are counted by adding for each place, in order, the words
+    up to the next."""
     text = F.coalesce("text", F.lit(""))
     d = docs.withColumn("_words", _words(text)).withColumn(
         "_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    h, n = F.col("_hashes"), F.size("_words")
-    d = d.withColumn("_windows", F.when(
-        n > WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(
-            *[F.get(h, i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>")))
+    n = F.size("_words")
+    for step in _halves(WINDOW):
+        d = d.withColumn("_hashes", _doubled(F.col("_hashes"), step))
+    d = d.withColumn("_windows", F.when(n > WINDOW, F.slice("_hashes", F.lit(1), n - WINDOW + 1))
+                     .otherwise(F.array().cast("array<bigint>")))
     windows = F.col("_windows")
     d = d.withColumn("_sorted", F.when(
         F.size(F.array_distinct(windows)) < F.size(windows),
@@ -87,8 +97,8 @@ def base_rules(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     d = d.withColumn("_lines", lines)
     d = (d.withColumn("n_words", F.size("_words").cast("long"))
-         .withColumn("word_chars", F.length(_without(text, SPACES)).cast("long"))
-         .withColumn("n_symbols", (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long"))
+         .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
+         .withColumn("n_symbols", F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"))
          .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
          .withColumn("n_repeat_words", repeated))
     return d.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (
@@ -117,10 +127,10 @@ def line_rows(docs: DataFrame, host: str) -> DataFrame:
     with a word of each document, and how many words each line's copies have
     together."""
     lines = F.explode(F.split(F.coalesce("text", F.lit("")), "\n"))
-    return (keyed(docs, host).select(*KEY, lines.alias("line")).withColumn("line", normal_line(F.col("line")))
-            .where("line != ''")
+    return (keyed(docs, host).select(*KEY, lines.alias("line")).where(F.btrim("line", F.lit(SPACES)) != "")
+            .withColumn("line", normal_line(F.col("line")))
             .select(*KEY, F.xxhash64("line").alias("line_hash"),
-                    F.size(F.split("line", " ")).alias("line_words")))
+                    (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("line_words")))
 
 
 def boilerplate(docs: DataFrame, host: str) -> DataFrame:
