@@ -32,6 +32,7 @@ from ..sources import files as FS
 from ..sources import sinks as SK
 from ..streaming import ingest as STREAM
 from . import reporting as RP
+from . import summaries as SM
 from .preprocess import preprocess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -996,28 +997,114 @@ def q_language_detect(spark, sf_dir):
                          (F.col("lang") == F.col("language_detected")).alias("correct"))
 
 
-@register("overview")
-def q_overview(spark, sf_dir):
-    parts = stored_parts(spark, sf_dir, entities=True)
-    o = RP.overview(parts.pop("base"), **parts, generated_at="2024-01-01 00:00:00")
-    return o.select("pipeline_version", F.array_join("data_sources", ",").alias("data_sources"),
-                    "total_posts_in_dataset", _map_str(F.col("sentiment_distribution")).alias("sentiment_distribution"),
-                    _map_str(F.col("emotion_distribution")).alias("emotion_distribution"),
-                    _map_str(F.col("topic_distribution")).alias("topic_distribution"),
-                    _map_str(F.col("behavior_flag_counts")).alias("behavior_flag_counts"),
-                    "keywords_total_keywords", "entities_total_entities_found", "entities_link_success_rate")
-
-
-@register("community_summaries")
-def q_community_summaries(spark, sf_dir):
-    parts = stored_parts(spark, sf_dir, entities=True)
-    c = RP.community_summaries(parts.pop("base"), **parts)
-    return c.select("subreddit", F.col("metadata.total_posts").alias("total_posts"),
-                    F.col("sentiment_analysis.dominant").alias("dominant_sentiment"),
-                    F.col("emotion_detection.dominant").alias("dominant_emotion"),
-                    F.col("topic_detection.dominant").alias("dominant_topic"),
-                    F.col("keywords_hashtags.total_keywords").alias("total_keywords"),
-                    F.col("named_entity_linking.total_entities_found").alias("total_entities"))
+# The reports.  First lines of documents stand in for the (externally
+# produced) summaries.  The ``_core`` queries leave out the entities, whose
+# matching SQL does not express, and show every other measure.
+def _report_parts(spark, sf_dir, entities: bool) -> dict[str, DataFrame]:
+    parts = stored_parts(spark, sf_dir, entities=entities)
+    pre = parts.pop("base")
+    return {"pre": pre, **parts, "summaries": pre.select("post_id", "subreddit", F.col("title").alias("summary"))}
+
+
+_MEASURES = {
+    "sentiment": ("sentiment_analysis", ("total_posts", "distribution", "percentages", "average_confidence", "dominant")),
+    "emotion": ("emotion_detection", ("total_posts", "distribution", "percentages", "average_confidence", "dominant")),
+    "topic": ("topic_detection", ("total_posts", "distribution", "percentages", "dominant")),
+    "behavior_flag": ("behavior_flags", ("total_posts", "counts", "percentages")),
+    "keywords": ("keywords_hashtags", ("total_posts", "total_keywords", "total_hashtags", "avg_keywords_per_post",
+                                       "avg_hashtags_per_post", "top_keywords", "top_hashtags")),
+    "summaries": ("summary_generation", ("total_summaries", "avg_summary_length_words")),
+    "entities": ("named_entity_linking", ("total_posts_with_entities", "total_entities_found", "total_entities_linked",
+                                          "link_success_rate", "avg_entities_per_post", "entity_types"))}
+_MAPS = {"distribution", "percentages", "average_confidence", "counts", "top_keywords", "top_hashtags",
+         "entity_types", "top_entities"}
+
+
+def _measures(at, entities: bool):
+    """The measures of a report as flat columns, maps as text; ``at`` gives a
+    measure's column."""
+    return [(_map_str(at(p, s, m)) if m in _MAPS else at(p, s, m)).alias(f"{p}_{m}")
+            for p, (s, measures) in _MEASURES.items() if entities or p != "entities" for m in measures]
+
+
+def _overview_query(entities: bool):
+    def run(spark, sf_dir):
+        o = SM.overview(**_report_parts(spark, sf_dir, entities), generated_at="2024-01-01 00:00:00")
+        return o.select("pipeline_version", F.array_join("data_sources", ",").alias("data_sources"),
+                        "total_posts_in_dataset", *_measures(lambda p, s, m: F.col(f"{p}_{m}"), entities))
+    return run
+
+
+def _community_query(entities: bool):
+    def run(spark, sf_dir):
+        c = SM.community_summaries(**_report_parts(spark, sf_dir, entities))
+        more = [_map_str(F.col("named_entity_linking.top_entities")).alias("top_entities")] if entities else []
+        return c.select("subreddit", F.col("metadata.total_posts").alias("total_posts"),
+                        *_measures(lambda p, s, m: F.col(f"{s}.{m}"), entities), *more)
+    return run
+
+
+def _sql_report(community: bool, listed: int) -> str:
+    g = "subreddit" if community else "''"
+
+    def scored(x, src, label, score, averaged=None):
+        means = "string_agg(label || ':' || round(sm / n, 3), ',' ORDER BY n DESC, label)"
+        if averaged:
+            means = " || ',' || ".join(f"'{a}:' || coalesce(max(round(sm / n, 3)) FILTER (WHERE label = '{a}'), 0.0)"
+                                       for a in averaged)
+        return f"""
+{x}c AS (SELECT {g} AS g, coalesce({label}, 'Unknown') AS label, count(*) AS n, sum({score}) AS sm
+         FROM {src} GROUP BY ALL),
+{x}t AS (SELECT *, sum(n) OVER (PARTITION BY g) AS total FROM {x}c),
+{x} AS (SELECT g, CAST(max(total) AS BIGINT) AS total,
+        string_agg(label || ':' || n, ',' ORDER BY n DESC, label) AS distribution,
+        string_agg(label || ':' || round(n / total * 100, 2), ',' ORDER BY n DESC, label) AS percentages,
+        first(label ORDER BY n DESC, label) AS dominant, {means} AS means FROM {x}t GROUP BY g)"""
+
+    def top(x, column, k):
+        return f"""
+{x}c AS (SELECT g, term, count(*) AS n FROM (SELECT {g} AS g, unnest({column}) AS term FROM kt)
+         WHERE term <> '' GROUP BY g, term),
+{x}r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, term) AS rk FROM {x}c),
+{x} AS (SELECT g, string_agg(term || ':' || n, ',' ORDER BY rk) AS l FROM {x}r WHERE rk <= {k} GROUP BY g)"""
+    flag = {f: f"count(*) FILTER (WHERE {f})" for f in ST.FLAG_NAMES}
+    counts = " || ',' || ".join(f"'{f}:' || {n}" for f, n in flag.items())
+    shares = " || ',' || ".join(f"'{f}:' || round({n} / count(*) * 100, 2)" for f, n in flag.items())
+    names = """sa.total AS sentiment_total_posts, sa.distribution AS sentiment_distribution,
+  sa.percentages AS sentiment_percentages, sa.means AS sentiment_average_confidence, sa.dominant AS sentiment_dominant,
+  ea.total AS emotion_total_posts, ea.distribution AS emotion_distribution, ea.percentages AS emotion_percentages,
+  ea.means AS emotion_average_confidence, ea.dominant AS emotion_dominant,
+  ta.total AS topic_total_posts, ta.distribution AS topic_distribution, ta.percentages AS topic_percentages,
+  ta.dominant AS topic_dominant,
+  fa.total AS behavior_flag_total_posts, fa.counts AS behavior_flag_counts, fa.shares AS behavior_flag_percentages,
+  ka.n AS keywords_total_posts, ka.kn AS keywords_total_keywords, ka.hn AS keywords_total_hashtags,
+  round(ka.kn / ka.n, 2) AS keywords_avg_keywords_per_post, round(ka.hn / ka.n, 2) AS keywords_avg_hashtags_per_post,
+  coalesce(tk.l, '') AS keywords_top_keywords, coalesce(th.l, '') AS keywords_top_hashtags,
+  ma.n AS summaries_total_summaries, round(ma.words / ma.n, 2) AS summaries_avg_summary_length_words"""
+    first = ("b.g AS subreddit, b.n AS total_posts" if community else
+             f"'1.0' AS pipeline_version, '{','.join(v for k, v in SM.SOURCES.items() if k != 'entities')}' "
+             "AS data_sources, b.n AS total_posts_in_dataset")
+    joins = " ".join(f"LEFT JOIN {x} ON {x}.g = b.g" for x in ("sa", "ea", "ta", "fa", "ka", "tk", "th", "ma"))
+    return f"""WITH {_SQL_PRE}, {SENT_CTES}, {EMO_CTES}, {KW_CTES}, {TOPIC_CTES},{FLAG_CTES},
+sent2 AS (SELECT sent.*, pre.subreddit FROM sent JOIN pre USING (post_id)),
+fl2 AS (SELECT fl.*, pre.subreddit FROM fl JOIN pre USING (post_id)),
+{scored('sa', 'sent2', 'label', 'score', SM.AVERAGED_SENTIMENTS)},
+{scored('ea', 'emo', 'label', 'score')},
+{scored('ta', 'tp', 'topic_label', '0.0')},
+fa AS (SELECT {g} AS g, count(*) AS total, {counts} AS counts, {shares} AS shares FROM fl2 GROUP BY ALL),
+ka AS (SELECT {g} AS g, count(*) AS n, CAST(sum(coalesce(len(keywords), 0)) AS BIGINT) AS kn,
+       CAST(sum(coalesce(len(hashtags), 0)) AS BIGINT) AS hn FROM kt GROUP BY ALL),
+{top('tk', 'keywords', listed)},
+{top('th', 'hashtags', 20)},
+ma AS (SELECT {g} AS g, count(*) AS n, sum({S.word_count('title')}) AS words FROM pre GROUP BY ALL),
+b AS (SELECT {g} AS g, count(*) AS n FROM pre GROUP BY ALL)
+SELECT {first}, {names} FROM b {joins}""" + (" WHERE b.g IS NOT NULL AND b.g NOT IN ('', 'unknown')" if community else "")
+
+
+register("overview")(_overview_query(True))
+register("community_summaries")(_community_query(True))
+register("overview_core", _sql_report(False, 20))(_overview_query(False))
+register("community_summaries_core", _sql_report(True, 30))(_community_query(False))
 
 
 # Summary statistics; assistant turns of `conversations` stand in

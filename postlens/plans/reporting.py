@@ -1,5 +1,5 @@
-"""Reporting tables: per-post summaries (JN1), overview (G8), community
-summaries (G17), dashboard counters (G19).
+"""Reporting tables: per-post summaries (JN1) and dashboard counters (G19);
+overview and community summaries are in ``summaries``.
 
 JN1 is a chain of left equi-joins on ``post_id``.  Every enrichment is
 first reduced to one row per key (last record wins), which hash-partitions
@@ -147,110 +147,3 @@ def dashboard_stats(ps: DataFrame, k: int = 5) -> DataFrame:
     one = F.lit(1)
     return (tot.withColumn("__k", one).join(s.withColumn("__k", one), "__k")
                .join(e.withColumn("__k", one), "__k").join(t.withColumn("__k", one), "__k").drop("__k"))
-
-
-def _label_map(stats: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
-    """Pack per-label rows (bounded by the label set) into one map per group."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("count") * -1, F.col("label"), F.col(value).alias("v"))))
-    return stats.groupBy(*group).agg(F.map_from_entries(F.transform(
-        ordered, lambda x: F.struct(x["label"], x["v"]))).alias(name))
-
-
-def _one_row_join(frames: list[DataFrame]) -> DataFrame:
-    """Join one-row aggregate frames (each has exactly one row)."""
-    out = frames[0].withColumn("__k", F.lit(1))
-    for f in frames[1:]:
-        out = out.join(f.withColumn("__k", F.lit(1)), "__k")
-    return out.drop("__k")
-
-
-def overview(pre: DataFrame, sentiment: DataFrame, emotion: DataFrame, topics: DataFrame,
-             flags: DataFrame, keywords: DataFrame, entities: DataFrame | None = None,
-             generated_at=None) -> DataFrame:
-    """One row -- generation stamp, pipeline version, data sources, total
-    posts, and per part its counts, percentages and mean confidences."""
-    parts = []
-    s = ST.label_stats(sentiment, F.col("sentiment.label"), F.col("sentiment.score"),
-                       avg_labels=("Positive", "Neutral", "Negative"))
-    parts.append(_one_row_join([
-        _label_map(s, [], "count", "sentiment_distribution"),
-        _label_map(s, [], "percentage", "sentiment_percentages"),
-        _label_map(s, [], "average_confidence", "sentiment_average_confidence")]))
-    e = ST.label_stats(emotion, F.col("emotion.label"), F.col("emotion.score"))
-    parts.append(_one_row_join([
-        _label_map(e, [], "count", "emotion_distribution"),
-        _label_map(e, [], "percentage", "emotion_percentages"),
-        _label_map(e, [], "average_confidence", "emotion_average_confidence")]))
-    t = ST.label_stats(topics, F.col("topic.label"))
-    parts.append(_one_row_join([_label_map(t, [], "count", "topic_distribution"),
-                                _label_map(t, [], "percentage", "topic_percentages")]))
-    fl = ST.flag_stats(flags).withColumnRenamed("flag", "label")
-    parts.append(_one_row_join([_label_map(fl, [], "count", "behavior_flag_counts"),
-                                _label_map(fl, [], "percentage", "behavior_flag_percentages")]))
-    parts.append(ST.term_totals(keywords).select(*[F.col(c).alias(f"keywords_{c}") for c in
-                                                   ("total_posts", "total_keywords", "total_hashtags",
-                                                    "avg_keywords_per_post", "avg_hashtags_per_post")]))
-    sources = ["sentiment_analysis", "emotion_detection", "topic_detection", "behavior_flags", "keywords_hashtags"]
-    if entities is not None:
-        parts.append(ST.entity_stats(entities).select(*[F.col(c).alias(f"entities_{c}") for c in
-                                                        ("total_posts_with_entities", "total_entities_found",
-                                                         "total_entities_linked", "link_success_rate",
-                                                         "avg_entities_per_post")]))
-        sources.insert(1, "named_entity_linking")
-    parts.append(pre.agg(F.count(F.lit(1)).alias("total_posts_in_dataset")))
-    row = _one_row_join(parts)
-    at = F.lit(generated_at).cast("timestamp") if generated_at is not None else F.current_timestamp()
-    return row.select(at.alias("generated_at"), F.lit("1.0").alias("pipeline_version"),
-                      F.array(*[F.lit(x) for x in sources]).alias("data_sources"), "*")
-
-
-def community_keys(*tables: DataFrame, group: str = "subreddit") -> DataFrame:
-    """Union of community keys of all tables, minus unknown/empty/null."""
-    keys = None
-    for t in tables:
-        k = t.select(F.col(group).alias(group))
-        keys = k if keys is None else keys.unionByName(k)
-    return keys.where(F.col(group).isNotNull() & (F.col(group) != "") & (F.col(group) != "unknown")).distinct()
-
-
-def community_summaries(pre: DataFrame, sentiment: DataFrame, emotion: DataFrame, topics: DataFrame,
-                        flags: DataFrame, keywords: DataFrame, entities: DataFrame | None = None,
-                        posts: DataFrame | None = None, group: str = "subreddit") -> DataFrame:
-    """G17 (G9-G16, JN3): one row per community.  Every part is an
-    aggregation grouped by community (bounded rows per community), joined
-    on the community key set."""
-    g = [group]
-    keys = community_keys(*[t for t in (pre, sentiment, emotion, topics, flags, keywords, entities)
-                            if t is not None], group=group)
-    meta = ST.community_metadata(posts if posts is not None else pre, group)
-    out = keys.join(meta.select(group, F.struct(*[c for c in meta.columns if c != group]).alias("metadata")), g, "left")
-
-    def scored(df, label, score, name, avg_labels=None):
-        st = ST.label_stats(df, F.col(label), F.col(score) if score else None, group=g, avg_labels=avg_labels)
-        tot = st.groupBy(group).agg(F.first("total").alias("total_posts"))
-        frames = [tot, _label_map(st, g, "count", "distribution"), _label_map(st, g, "percentage", "percentages"),
-                  ST.dominant(st, g)]
-        if score:
-            frames.append(_label_map(st, g, "average_confidence", "average_confidence"))
-        j = frames[0]
-        for f in frames[1:]:
-            j = j.join(f, g)
-        return j.select(group, F.struct(*[c for c in j.columns if c != group]).alias(name))
-
-    out = out.join(scored(sentiment, "sentiment.label", "sentiment.score", "sentiment_analysis",
-                          ("Positive", "Neutral", "Negative")), g, "left")
-    out = out.join(scored(emotion, "emotion.label", "emotion.score", "emotion_detection"), g, "left")
-    out = out.join(scored(topics, "topic.label", None, "topic_detection"), g, "left")
-    fl = ST.flag_stats(flags, group=g).withColumnRenamed("flag", "label")
-    flp = _label_map(fl, g, "count", "behavior_flag_counts").join(
-        _label_map(fl, g, "percentage", "behavior_flag_percentages"), g)
-    out = out.join(flp.select(group, F.struct("behavior_flag_counts", "behavior_flag_percentages")
-                              .alias("behavior_flags")), g, "left")
-    kt = ST.term_totals(keywords, group=g)
-    out = out.join(kt.select(group, F.struct(*[c for c in kt.columns if c != group]).alias("keywords_hashtags")),
-                   g, "left")
-    if entities is not None:
-        et = ST.entity_stats(entities, group=g)
-        out = out.join(et.select(group, F.struct(*[c for c in et.columns if c != group]).alias("named_entity_linking")),
-                       g, "left")
-    return out
