@@ -29,6 +29,7 @@ from ..sources.tables import SQL_DOCUMENT_POSTS, SQL_EVENT_POSTS, document_posts
 from . import sql as S
 from ..session import cut_lineage, scratch_path, stored
 from ..sources import files as FS
+from ..sources import keyed as KT
 from ..sources import sinks as SK
 from ..streaming import ingest as STREAM
 from . import reporting as RP
@@ -817,6 +818,33 @@ def q_score_histogram(spark, sf_dir):
     return EDA.trimmed_histogram(table(spark, sf_dir, "events"), "value")
 
 
+def _sql_density(values: str) -> str:
+    return f"""WITH x AS ({values}),
+c AS (SELECT quantile_cont(x, 0.95) AS cut FROM x),
+k AS (SELECT x FROM x, c WHERE x < cut),
+r AS (SELECT min(x) AS mn, max(x) AS mx, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2) AS bw FROM k),
+b AS (SELECT least({EDA.FINE_BINS - 1}, CAST(floor((x - mn) * {float(EDA.FINE_BINS)} / (mx - mn)) AS INTEGER)) AS bin,
+             count(*) AS c FROM k, r GROUP BY 1),
+g AS (SELECT i, mn + (mx - mn) * i / {float(EDA.GRID - 1)} AS gx FROM r, range({EDA.GRID}) t(i))
+SELECT CAST(i AS BIGINT) AS point, round(gx, 6) AS x,
+       round(sum(c * exp(-0.5 * pow((gx - (mn + (bin + 0.5) * ((mx - mn) / {EDA.FINE_BINS}))) / bw, 2)))
+             / (max(n) * max(bw) * sqrt(2 * pi())), 8) AS density
+FROM b, g, r GROUP BY i, gx"""
+
+
+@register("text_length_density", _sql_density(
+    "SELECT CAST(coalesce(length(title), 0) + coalesce(length(body), 0) AS DOUBLE) AS x "
+    f"FROM ({SQL_DOCUMENT_POSTS})"))
+def q_text_length_density(spark, sf_dir):
+    p = document_posts(spark, sf_dir).select(EDA.text_length(F.col("title"), F.col("body")).alias("len"))
+    return EDA.density_curve(p, "len")
+
+
+@register("score_density", _sql_density("SELECT CAST(value AS DOUBLE) AS x FROM events WHERE value IS NOT NULL"))
+def q_score_density(spark, sf_dir):
+    return EDA.density_curve(table(spark, sf_dir, "events"), "value")
+
+
 @register("title_word_frequencies", f"""WITH p AS ({SQL_DOCUMENT_POSTS}),
 w AS (SELECT unnest({S.tokens('title')}) AS word FROM p),
 n AS (SELECT word, count(*) AS count FROM w WHERE word <> '' GROUP BY word)
@@ -912,6 +940,37 @@ def q_upsert_customers(spark, sf_dir):
     return SK.upsert(c, upd, "c_custkey", ["c_acctbal", "c_mktsegment"])
 
 
+# K1, K3 as writes: a keyed table of customers, an upsert written twice, then
+# whole rows replaced.
+@register("keyed_writes", """
+WITH u AS (SELECT c_custkey, 'DEBTOR' AS c_mktsegment, CAST(NULL AS DOUBLE) AS c_acctbal
+           FROM customer WHERE c_acctbal < 0
+           UNION ALL
+           SELECT s_suppkey + 1000000000, 'SUPPLIER', s_acctbal FROM supplier),
+a AS (SELECT coalesce(c.c_custkey, u.c_custkey) AS c_custkey, c.c_name, c.c_nationkey,
+             CASE WHEN u.c_custkey IS NOT NULL THEN u.c_acctbal ELSE c.c_acctbal END AS c_acctbal,
+             CASE WHEN u.c_custkey IS NOT NULL THEN u.c_mktsegment ELSE c.c_mktsegment END AS c_mktsegment
+      FROM customer c FULL OUTER JOIN u ON c.c_custkey = u.c_custkey),
+r AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, 0.0 AS c_acctbal, 'CLOSED' AS c_mktsegment
+      FROM customer WHERE c_nationkey = 3)
+SELECT * FROM a WHERE c_custkey NOT IN (SELECT c_custkey FROM r) UNION ALL SELECT * FROM r""")
+def q_keyed_writes(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    s = table(spark, sf_dir, "supplier")
+    path = KT.create(c, scratch_path(spark, "customers"), "c_custkey", buckets=16)
+    upd = (c.where(F.col("c_acctbal") < 0)
+            .select("c_custkey", F.lit("DEBTOR").alias("c_mktsegment"), F.lit(None).cast("double").alias("c_acctbal"))
+            .unionByName(s.select((F.col("s_suppkey") + F.lit(1_000_000_000)).alias("c_custkey"),
+                                  F.lit("SUPPLIER").alias("c_mktsegment"), F.col("s_acctbal").alias("c_acctbal"))))
+    for _ in range(2):
+        KT.upsert_into(path, upd, "c_custkey", ["c_acctbal", "c_mktsegment"])
+    closed = c.where("c_nationkey = 3").select(
+        "c_custkey", F.upper("c_name").alias("c_name"), "c_nationkey", F.lit(0.0).alias("c_acctbal"),
+        F.lit("CLOSED").alias("c_mktsegment"))
+    KT.replace_into(path, closed, "c_custkey")
+    return KT.read(spark, path).drop("last_updated")
+
+
 @register("replace_suppliers", """
 WITH u AS (SELECT s_suppkey, upper(s_name) AS s_name, s_nationkey, round(s_acctbal, 0) AS s_acctbal
            FROM supplier WHERE s_nationkey < 5)
