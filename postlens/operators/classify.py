@@ -13,6 +13,10 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,6 +124,51 @@ def sentiment(df: DataFrame, model: Model, key: str = "post_id",
     return out.select(*keep, "text_analyzed", "sentiment")
 
 
+def fit_sentiment_pipeline(train: DataFrame, text: str = "text", label: str = "label",
+                           labels: tuple[str, ...] = SENTIMENT_LABELS, features: int = 1 << 16,
+                           rounds: int = 50, penalty: float = 0.01) -> PipelineModel:
+    """C7 (b): words -> hashed counts -> inverse document frequencies ->
+    multinomial logistic regression (L-BFGS), over whole texts.  Rows with
+    another label don't count, a null text has no words.  The optimiser's passes
+    read the featurised rows, which are written once; the model has
+    ``features x labels`` weights at every corpus size."""
+    rows = train.select(F.coalesce(F.col(text), F.lit("")).alias("__t"), F.col(label).alias("__label")) \
+        .where(F.col("__label").isin(*labels))
+    features_of = Pipeline(stages=[
+        RegexTokenizer(inputCol="__t", outputCol="__words", pattern=r"[^\p{L}\p{N}]+"),
+        HashingTF(inputCol="__words", outputCol="__counts", numFeatures=features),
+        IDF(inputCol="__counts", outputCol="__weighted")]).fit(rows)
+    index = StringIndexerModel.from_labels(list(labels), inputCol="__label", outputCol="__y")
+    ready = stored(index.transform(features_of.transform(rows)).select("__weighted", "__y"), "featurised")
+    fitted = LogisticRegression(featuresCol="__weighted", labelCol="__y", probabilityCol="__p", rawPredictionCol="__raw",
+                                predictionCol="__best", family="multinomial", maxIter=rounds,
+                                regParam=penalty).fit(ready)
+    return PipelineModel(stages=[*features_of.stages, fitted])
+
+
+def load_pipeline(path: str) -> PipelineModel:
+    """A model that ``fit_sentiment_pipeline(...).write().save(path)`` saved."""
+    return PipelineModel.load(path)
+
+
+def sentiment_by_pipeline(df: DataFrame, model: PipelineModel, key: str = "post_id",
+                          labels: tuple[str, ...] = SENTIMENT_LABELS) -> DataFrame:
+    """C7 (b): ``sentiment`` with a fitted pipeline, same rules for short texts;
+    a class that training never met has probability zero.  No shuffle."""
+    keep = [c for c in ("_id", key, "subreddit", "author", "created_utc", "permalink", "title") if c in df.columns]
+    base = df.select(*keep, sentiment_text(df).alias("__t")).where(F.length("__t") >= SHORT_TEXT_CHARS)
+    p = model.transform(base).withColumn("__p", vector_to_array("__p"))
+    known = F.size("__p")
+    probs = F.transform(F.sequence(F.lit(0), F.lit(len(labels) - 1)),
+                        lambda i: F.when(i < known, F.get("__p", i)).otherwise(F.lit(0.0)))
+    p = p.withColumn("__probs", probs)
+    names = F.array(*[F.lit(x) for x in labels])
+    best = F.array_max("__probs")
+    return p.select(*keep, T.snippet(F.col("__t")).alias("text_analyzed"), F.struct(
+        F.element_at(names, F.array_position("__probs", best).cast("int")).alias("label"),
+        best.alias("score"), F.map_from_arrays(names, "__probs").alias("scores")).alias("sentiment"))
+
+
 def emotion(df: DataFrame, model: Model, labels: tuple[str, ...], title: str = "title",
             body: str = "body") -> DataFrame:
     """Emotion struct (4 decimals) per post; text = title + ' ' + body;

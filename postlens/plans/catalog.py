@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions import emoji as EM
 from ..functions import text as T
 from ..operators import classify as CL
 from ..operators import eda as EDA
@@ -397,6 +398,23 @@ def q_sentiment(spark, sf_dir):
                       for x in CL.SENTIMENT_LABELS])
 
 
+# C7(b): a Spark ML pipeline fitted on the labelled documents outside the
+# held-out sixteenths; the model is saved, loaded and applied to all posts.
+@register("sentiment_pipeline")
+def q_sentiment_pipeline(spark, sf_dir):
+    pre = stored(_preprocessed(spark, sf_dir), "preprocessed")
+    lab = table(spark, sf_dir, "labels")
+    held = _sixteenth(F.col("post_id")).isin(*HELD_OUT)
+    train = (pre.select("post_id", CL.sentiment_text(pre).alias("text"))
+                .join(lab.select(F.col("doc_id").cast("string").alias("post_id"),
+                                 _sentiment_class(lab).alias("label")), "post_id").where(~held))
+    path = scratch_path(spark, "sentiment-model")
+    CL.fit_sentiment_pipeline(train).write().save(path)
+    scored = CL.sentiment_by_pipeline(pre, CL.load_pipeline(path))
+    return scored.select("post_id", F.col("sentiment.label").alias("label"),
+                         F.round("sentiment.score", 4).alias("score"), held.alias("held_out"))
+
+
 EMO_CTES = f"""
 et AS (
   SELECT id AS post_id, subreddit,
@@ -673,6 +691,36 @@ def q_post_summaries_core(spark, sf_dir):
     return _flat_summary(core_post_summaries(spark, sf_dir))
 
 
+# JN1 over bucketed tables.  Each part also gets an older record of every
+# post with another label, which must lose.
+STAMPS = ("2024-01-01 00:00:00", "2024-01-02 00:00:00")
+
+
+def _with_older_records(df, stamp: str, changed: dict):
+    at = [F.lit(x).cast("timestamp").alias(stamp) for x in STAMPS]
+    plain = [F.col(c) for c in df.columns if c != stamp]
+    older = [changed[c].alias(c) if c in changed else F.col(c) for c in df.columns if c != stamp]
+    return df.select(*plain, at[1]).unionByName(df.select(*older, at[0]))
+
+
+def bucketed_parts(spark, sf_dir) -> dict[str, DataFrame]:
+    parts = {name: df.withColumnRenamed("id", "post_id") if "post_id" not in df.columns else df
+             for name, df in stored_parts(spark, sf_dir).items()}
+    old = F.lit("older")
+    changed = {"base": ("preprocessed_at", {"title": old}),
+               "sentiment": ("processed_at", {"sentiment": F.col("sentiment").withField("label", old)}),
+               "emotion": ("processed_at", {"emotion": F.col("emotion").withField("label", old)}),
+               "topics": ("processed_at", {"topic": F.col("topic").withField("label", old)}),
+               "flags": ("processed_at", {"flags": F.col("flags").withField("spam", ~F.col("flags.spam"))}),
+               "keywords": ("enriched_at", {"keywords": F.array(old), "hashtags": F.array(old)})}
+    return {name: RP.bucketed(_with_older_records(df, *changed[name]), name) for name, df in parts.items()}
+
+
+@register("post_summaries_bucketed", f"WITH {CORE_PS_CTES} SELECT * FROM ps")
+def q_post_summaries_bucketed(spark, sf_dir):
+    return _flat_summary(RP.post_summaries(**bucketed_parts(spark, sf_dir)))
+
+
 @register("post_summaries")
 def q_post_summaries(spark, sf_dir):
     named = "nlp_results.named_entities"
@@ -1039,6 +1087,66 @@ def q_json_roundtrip_documents(spark, sf_dir):
     return d.select("doc_id", "source", F.length("text").cast("long").alias("chars"))
 
 
+# Documents landed as JSON, grouped into one array per language for
+# the array branch, and as lines, some of them malformed.
+def _landed_json(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang")
+    arrays, lines = scratch_path(spark, "json-arrays"), scratch_path(spark, "json-lines")
+    item = F.to_json(F.struct("doc_id", "source", "text"))
+    part = d.withColumn("file", F.concat_ws("-", F.coalesce("lang", F.lit("none")), F.pmod(F.xxhash64("doc_id"), F.lit(16))))
+    (part.groupBy("file").agg(F.array_join(F.collect_list(item), ",\n").alias("items"))
+         .repartition("file").select(F.concat(F.lit("[\n"), "items", F.lit(", 7]")).alias("value"), "file")
+         .write.partitionBy("file").text(arrays))
+    d.select(F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("{broken "), "source")).otherwise(item).alias("value")) \
+        .write.text(lines)
+    return arrays, lines
+
+
+@register("json_variant_documents", """
+SELECT doc_id, source, CAST(length(text) AS BIGINT) AS chars, 'array' AS format FROM documents
+UNION ALL
+SELECT doc_id, source, CAST(length(text) AS BIGINT) AS chars, 'jsonl' AS format FROM documents WHERE doc_id % 10 <> 3""")
+def q_json_variant_documents(spark, sf_dir):
+    arrays, lines = _landed_json(spark, sf_dir)
+    schema = StructType.fromDDL("doc_id long, source string, text string")
+    found = [FS.read_items(spark, path, schema).withColumn("format", F.lit(name))
+             for path, name in ((arrays, "array"), (lines, "jsonl"))]
+    return found[0].unionByName(found[1]).select("doc_id", "source", F.length("text").cast("long").alias("chars"), "format")
+
+
+@register("json_source_profile", """
+SELECT 'array' AS format, count(*) AS item_count, count(DISTINCT coalesce(lang, 'none')) AS languages,
+       'doc_id,source,text' AS keys FROM documents
+UNION ALL
+SELECT 'jsonl', count(*) FILTER (WHERE doc_id % 10 <> 3), 0, 'doc_id,source,text' FROM documents""")
+def q_json_source_profile(spark, sf_dir):
+    arrays, lines = _landed_json(spark, sf_dir)
+    by_language = F.regexp_extract("file", "file=([a-z]+)-", 1)
+    files = [FS.profile_source(spark, path).select("format", "item_count", "first_item_keys", f.alias("language"))
+             for path, f in ((arrays, by_language), (lines, F.lit(None).cast("string")))]
+    return files[0].unionByName(files[1]).groupBy("format").agg(
+        F.sum("item_count").alias("item_count"), F.countDistinct("language").alias("languages"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("first_item_keys")))), ",").alias("keys"))
+
+
+# T4: documents with emoji put between their first words, by id.
+EMOJI_TEXTS = ("\U0001F600", "\U0001F468\u200D\U0001F469\u200D\U0001F467", "\U0001F44D\U0001F3FD", "\u2764\uFE0F",
+               "\U0001F1EB\U0001F1F7", "1\uFE0F\u20E3", "\U0001F469\u200D\U0001F4BB")
+
+
+@register("emoji_aliases", f"""
+WITH e AS (SELECT doc_id, text, list_extract([{', '.join(S.q(x) for x in EMOJI_TEXTS)}], CAST(doc_id % 7 + 1 AS INTEGER)) AS e,
+                  list_extract([{', '.join(S.q(EM.aliases()[x]) for x in EMOJI_TEXTS)}], CAST(doc_id % 7 + 1 AS INTEGER)) AS a
+           FROM documents)
+SELECT doc_id, md5(a || replace(coalesce(text, ''), ' ', a || ' ')) AS aliased_md5 FROM e""")
+def q_emoji_aliases(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    e = F.get(F.array(*[F.lit(x) for x in EMOJI_TEXTS]), (F.col("doc_id") % 7).cast("int"))
+    t = d.select("doc_id", F.concat(e, F.replace(F.coalesce("text", F.lit("")), F.lit(" "),
+                                                 F.concat(e, F.lit(" ")))).alias("t"))
+    return t.select("doc_id", F.md5(EM.to_aliases(F.col("t"))).alias("aliased_md5"))
+
+
 @register("language_trigram_counts", f"""
 WITH t AS (SELECT lang, ' ' || regexp_replace(lower(text), '\\s+', ' ', 'g') || ' ' AS t FROM documents),
 g AS (SELECT lang, substr(t, i, 3) AS gram FROM (SELECT lang, t, unnest(range(1, length(t) - 1)) AS i FROM t))
@@ -1047,13 +1155,87 @@ def q_language_trigram_counts(spark, sf_dir):
     return LG.trigram_counts(table(spark, sf_dir, "documents"))
 
 
-@register("language_detect")
+# C9 by exact trigrams: three sixteenths of the documents, by the md5 of
+# their id, are held out of training; all are scored.
+HELD_OUT = ("0", "1", "2")
+
+
+def _sixteenth(key) -> Column:
+    return F.substring(F.md5(key), 1, 1)
+
+
+def _sql_language(train: str, score: str) -> str:
+    """``train(lang, t)`` and ``score(id, t)`` CTE names; ends in
+    ``lg(id, language_detected)``."""
+    unit = LG.WEIGHT_UNIT
+    pad = "' ' || regexp_replace(lower(t), '\\s+', ' ', 'g') || ' '"
+    return f"""
+lk AS (SELECT lang, {pad} AS t FROM {train} WHERE lang IS NOT NULL AND {S.strip_ws("coalesce(t, '')")} <> ''),
+ln1 AS (SELECT lang, count(*) AS n FROM lk GROUP BY lang),
+lc AS (SELECT lang, substr(t, i, 3) AS gram, count(*) AS c
+       FROM (SELECT lang, t, unnest(range(1, length(t) - 1)) AS i FROM lk) GROUP BY lang, gram),
+lt AS (SELECT lang, sum(c) + (SELECT count(DISTINCT gram) FROM lc) + 1 AS below FROM lc GROUP BY lang),
+lw AS (SELECT lang, gram, CAST(round(ln(CAST(c + 1 AS DOUBLE) / below) * {unit}) AS BIGINT) AS w FROM lc JOIN lt USING (lang)),
+lp AS (SELECT lang, CAST(round(ln(1.0 / below) * {unit}) AS BIGINT) AS unseen,
+              CAST(round(ln(CAST(n AS DOUBLE) / (SELECT sum(n) FROM ln1)) * {unit}) AS BIGINT) AS prior
+       FROM lt JOIN ln1 USING (lang)),
+ls AS (SELECT id, {pad} AS t FROM {score} WHERE {S.strip_ws("coalesce(t, '')")} <> ''),
+lg1 AS (SELECT id, substr(t, i, 3) AS gram, count(*) AS c
+        FROM (SELECT id, t, unnest(range(1, length(t) - 1)) AS i FROM ls) GROUP BY id, gram),
+l2 AS (SELECT id, lp.lang, any_value(prior) + sum(c * coalesce(w, unseen)) AS total
+       FROM lg1 CROSS JOIN lp LEFT JOIN lw ON lw.lang = lp.lang AND lw.gram = lg1.gram GROUP BY id, lp.lang),
+l3 AS (SELECT id, lang, row_number() OVER (PARTITION BY id ORDER BY total DESC, lang) AS r FROM l2),
+lg AS (SELECT s.id, coalesce(l3.lang, 'unknown') AS language_detected
+       FROM {score} s LEFT JOIN l3 ON l3.id = s.id AND l3.r = 1)"""
+
+
+_SQL_HELD = "substr(md5(CAST(doc_id AS VARCHAR)), 1, 1)"
+
+
+@register("language_detect", f"""
+WITH tr AS (SELECT lang, text AS t FROM documents WHERE {_SQL_HELD} NOT IN ('0', '1', '2')),
+al AS (SELECT doc_id AS id, text AS t FROM documents), {_sql_language('tr', 'al')}
+SELECT doc_id, lang, language_detected, lang = language_detected AS correct, {_SQL_HELD} IN ('0', '1', '2') AS held_out
+FROM documents JOIN lg ON lg.id = doc_id""")
 def q_language_detect(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    model = LG.fit_language_model(d)  # whole table; held-out accuracy is a test
-    scored = LG.detect_language(d, model)
+    d = table(spark, sf_dir, "documents").withColumn(
+        "held_out", _sixteenth(F.col("doc_id").cast("string")).isin(*HELD_OUT))
+    model = LG.fit_trigrams(d.where(~F.col("held_out")))
+    scored = LG.detect_trigrams(d, model)
     return scored.select("doc_id", "lang", "language_detected",
-                         (F.col("lang") == F.col("language_detected")).alias("correct"))
+                         (F.col("lang") == F.col("language_detected")).alias("correct"), "held_out")
+
+
+# The whole preprocessing job.  One document in sixteen stands for a
+# post without text; the memory holds every other document's text with a
+# translation (its id and first line), so copies give several entries.
+def _translation_inputs(spark, sf_dir):
+    posts = document_posts(spark, sf_dir)
+    part = _sixteenth(F.col("doc_id").cast("string"))
+    memory = posts.where(part < "8").select(F.col("language").alias("lang"), T.strip_ws(F.col("content")).alias("text"),
+                                            F.concat_ws(" ", F.lit("EN"), "id", "title").alias("translation"))
+    empty = part == "f"
+    return posts.select("id", "doc_id", "subreddit", "language", *[
+        F.when(~empty, F.col(c)).alias(c) for c in ("content", "title", "body")]), memory
+
+
+@register("preprocess_translated", f"""
+WITH q AS (SELECT *, {_SQL_HELD} AS part, {S.strip_ws("coalesce(content, '')")} AS whole FROM ({SQL_DOCUMENT_POSTS})),
+tr AS (SELECT language AS lang, whole AS t FROM q WHERE part NOT IN ('0', '1', '2', 'f')),
+al AS (SELECT id, CASE WHEN part = 'f' THEN '' ELSE whole END AS t FROM q), {_sql_language('tr', 'al')},
+tm AS (SELECT language AS lang, whole AS t, min(concat_ws(' ', 'EN', id, title)) AS translation
+       FROM q WHERE part < '8' GROUP BY ALL),
+j AS (SELECT al.id, language_detected,
+             CASE WHEN language_detected NOT IN ('en', 'unknown') THEN coalesce(translation, al.t) ELSE al.t END AS translated_text
+      FROM al JOIN lg USING (id) LEFT JOIN tm ON tm.lang = language_detected AND tm.t = al.t)
+SELECT id AS post_id, language_detected, translated_text, {S.clean_text('translated_text')} AS cleaned_text FROM j""")
+def q_preprocess_translated(spark, sf_dir):
+    posts, memory = _translation_inputs(spark, sf_dir)
+    part = _sixteenth(F.col("doc_id").cast("string"))
+    model = LG.fit_trigrams(posts.where(~part.isin(*HELD_OUT, "f"))
+                                 .withColumn("text", T.strip_ws(F.col("content"))), lang="language")
+    return preprocess(posts, model, memory, stamp="2024-01-01 00:00:00").select(
+        "post_id", "language_detected", "translated_text", "cleaned_text")
 
 
 # The reports.  First lines of documents stand in for the (externally

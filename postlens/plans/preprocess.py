@@ -1,5 +1,6 @@
 """Preprocessing job: P2 text -> language -> translation ->
-cleaning, in one projection plus at most one join (translation memory)."""
+cleaning.  A language model adds a join by text digest, a translation memory
+another; everything else is one projection."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ from ..functions import text as T
 from ..operators import language as L
 
 
-def preprocess(posts: DataFrame, language_model: PipelineModel | None = None,
+def preprocess(posts: DataFrame, language_model: PipelineModel | L.TrigramModel | None = None,
                memory: DataFrame | None = None, lang_col: str | None = "language",
                stamp=None) -> DataFrame:
     """One output row per post: identity columns, ``language_detected``,
@@ -26,7 +27,9 @@ def preprocess(posts: DataFrame, language_model: PipelineModel | None = None,
         F.col("title") if "title" in cols else F.lit(None).cast("string"),
         F.col("body") if "body" in cols else F.lit(None).cast("string")))
     blank = F.coalesce(T.strip_ws(F.col("__text")), F.lit("")) == ""
-    if language_model is not None:
+    if isinstance(language_model, L.TrigramModel):
+        df = L.detect_trigrams(df, language_model, text="__text", out="language_detected")
+    elif language_model is not None:
         df = L.detect_language(df, language_model, text="__text", out="language_detected")
     elif lang_col and lang_col in cols:
         df = df.withColumn("language_detected",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators import stats as ST
+from ..session import scratch_path
 
 _SCORED = "struct<label:string,confidence:double,all_scores:map<string,double>>"
 PART_TYPES = {
@@ -40,6 +41,21 @@ def last_by_key(df: DataFrame, key: str, order: list[str] | None = None) -> Data
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def bucketed(df: DataFrame, name: str, key: str = "post_id", buckets: int = 32) -> DataFrame:
+    """``df`` written once as a table bucketed and sorted by ``key`` (as a
+    string) under the shared checkpoint folder.  Parts with the same number of
+    buckets meet in ``post_summaries`` without an exchange; at 100 TB take the
+    number of buckets so that one is about the size of a file."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    at = f"{name}_{path.rsplit('-', 1)[1]}"
+    df = df.withColumn(key, F.col(key).cast("string"))
+    # rows meet their bucket's writer first, so that each bucket is one file
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+       .option("path", path).option("compression", "zstd").saveAsTable(at))
+    return spark.table(at)
+
+
 def post_summaries(base: DataFrame, sentiment: DataFrame | None = None,
                    entities: DataFrame | None = None, emotion: DataFrame | None = None,
                    keywords: DataFrame | None = None, topics: DataFrame | None = None,
