@@ -105,5 +105,6 @@ def profile_source(spark: SparkSession, path: str) -> DataFrame:
     entries = json_items(spark, path).groupBy("file").agg(
         F.count("item").alias("item_count"), F.count_if(F.col("item").isNull()).alias("malformed"),
         F.min_by(F.json_object_keys(F.to_json("item")), F.when(F.col("item").isNotNull(), F.col("place"))).alias("first_item_keys"))
-    return _file_formats(spark, path).join(entries, "file").select(
-        "file", "size_bytes", "format", "item_count", "malformed", "first_item_keys")
+    return _file_formats(spark, path).join(entries, "file", "left").select(
+        "file", "size_bytes", "format", F.coalesce("item_count", F.lit(0)).alias("item_count"),
+        F.coalesce("malformed", F.lit(0)).alias("malformed"), "first_item_keys")
