@@ -498,17 +498,17 @@ def topics_table(spark, sf_dir):
     return TP.topic_detect(document_posts(spark, sf_dir))
 
 
-def flags_table(spark, sf_dir, pre=None):
-    return FL.behaviour_flags(pre if pre is not None else _preprocessed(spark, sf_dir))
+def flags_table(spark, sf_dir, pre=None, patterns=FL.FLAG_PATTERNS):
+    return FL.behaviour_flags(pre if pre is not None else _preprocessed(spark, sf_dir), patterns=patterns)
 
 
-def stored_parts(spark, sf_dir, entities: bool = False) -> dict[str, DataFrame]:
+def stored_parts(spark, sf_dir, entities: bool = False, patterns=FL.FLAG_PATTERNS) -> dict[str, DataFrame]:
     """Every enrichment, run once and written as Parquet to the shared
     checkpoint folder; the reports read the columns that they need."""
     pre = stored(_preprocessed(spark, sf_dir), "preprocessed")
     parts = {"base": pre, "sentiment": sentiment_table(spark, sf_dir, pre),
              "emotion": emotion_table(spark, sf_dir), "topics": topics_table(spark, sf_dir),
-             "flags": flags_table(spark, sf_dir, pre), "keywords": _keyword_table(spark, sf_dir)}
+             "flags": flags_table(spark, sf_dir, pre, patterns), "keywords": _keyword_table(spark, sf_dir)}
     if entities:
         parts["entities"] = entities_table(spark, sf_dir, pre)
     return {name: df if name == "base" else stored(df, name) for name, df in parts.items()}
@@ -646,9 +646,9 @@ def q_community_metadata(spark, sf_dir):
     return m.withColumn("total_score", F.round("total_score", 2))
 
 
-def core_post_summaries(spark, sf_dir):
+def core_post_summaries(spark, sf_dir, patterns=FL.FLAG_PATTERNS):
     """JN1 over the six SQL-checkable parts (entities excluded)."""
-    return stored(RP.post_summaries(**stored_parts(spark, sf_dir)), "summaries")
+    return stored(RP.post_summaries(**stored_parts(spark, sf_dir, patterns=patterns)), "summaries")
 
 
 def full_post_summaries(spark, sf_dir):
@@ -927,9 +927,9 @@ SEARCHES = {  # kind -> query text (frequent fragments of the driver data)
 }
 
 
-def _search_query(kind: str, q: str):
+def _search_query(kind: str, q: str, patterns=FL.FLAG_PATTERNS):
     def run(spark, sf_dir):
-        page, total = SR.search_page(core_post_summaries(spark, sf_dir), q, kind)
+        page, total = SR.search_page(core_post_summaries(spark, sf_dir, patterns), q, kind)
         return page.select("post_id", "title", "subreddit", "sentiment_label", "sentiment_confidence",
                            "emotion_label", "emotion_confidence", "topic",
                            F.array_join("keywords", ",").alias("keywords"),
@@ -967,6 +967,74 @@ FROM hits, tot ORDER BY subreddit, title, post_id LIMIT 100"""
 for _kind, _q in SEARCHES.items():
     register(f"search_{_kind}", _sql_search(_kind, _q))(_search_query(_kind, _q))
 
+# the flag searches over the lexicon that the documents' words fire
+for _kind in ("spam", "offensive"):
+    register(f"search_{_kind}_data_lexicon", _sql_search(_kind, "").replace(
+        FLAG_CTES, _SQL_FLAG_TEXT + _sql_flags(DATA_PATTERNS, "ft")))(_search_query(_kind, "", DATA_PATTERNS))
+
+
+# Conversation turns stand for the stored searches; two more are logged.
+@register("recent_searches", f"""
+WITH l AS (SELECT text AS query, role AS type, turn AS result_count, to_timestamp(conv_id * 1000 + turn) AS logged FROM conversations
+           UNION ALL SELECT 'Water', 'keyword', 7, to_timestamp(4000000000) UNION ALL SELECT '', 'spam', 0, to_timestamp(4000000001))
+SELECT query, type, CAST(result_count AS BIGINT) AS result_count, row_number() OVER (ORDER BY logged DESC, query) AS position
+FROM l QUALIFY position <= {SR.LOG_SHOW}""")
+def q_recent_searches(spark, sf_dir):
+    path = scratch_path(spark, "search-log")
+    table(spark, sf_dir, "conversations").select(
+        F.col("text").alias("query"), F.col("role").alias("type"), F.col("turn").alias("result_count"),
+        F.timestamp_seconds(F.col("conv_id") * 1000 + F.col("turn")).alias("timestamp")).write.parquet(path)
+    SR.log_search(spark, path, SR.check_query(" Water ", "keyword"), "keyword", 7, "2096-10-02 07:06:40")
+    SR.log_search(spark, path, SR.check_query(None, "spam"), "spam", 0, "2096-10-02 07:06:41")
+    return SR.recent_searches(spark.read.parquet(path)).select(
+        "query", "type", F.col("result_count").cast("long").alias("result_count"),
+        F.col("position").cast("long").alias("position"))
+
+
+# One JSON folder per community, keyed by _id where there is one;
+# the keys of one community are read back.
+@register("community_json_files", f"""
+SELECT CASE WHEN doc_id % 3 = 0 THEN 'm' || id ELSE id END AS key, subreddit, title,
+       subreddit = (SELECT max(source) FROM documents) AS in_last FROM ({SQL_DOCUMENT_POSTS})""")
+def q_community_json_files(spark, sf_dir):
+    posts = document_posts(spark, sf_dir).select(
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("m"), "id")).alias("_id"), F.col("id").alias("post_id"),
+        "title", "subreddit")
+    path = scratch_path(spark, "communities")
+    SK.write_partitioned(SK.with_key(posts), path)
+    back = spark.read.schema("key string, title string, subreddit string").json(path)
+    last = back.agg(F.max("subreddit")).first()[0]
+    known = FS.existing_ids(back, "key", "subreddit", last).distinct().withColumn("in_last", F.lit(True))
+    return back.join(known, "key", "left").select("key", "subreddit", "title",
+                                                  F.coalesce("in_last", F.lit(False)).alias("in_last"))
+
+
+# D3: events of the 36 hours before a given time
+@register("recent_events", """
+SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-29 12:00:00' AND ts <= TIMESTAMP '2024-01-31 00:00:00'""")
+def q_recent_events(spark, sf_dir):
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    ts = F.col("created_utc").cast("timestamp")
+    return event_posts(spark, sf_dir).where((ts >= EDA.cutoff(36, now)) & (ts <= now)).select(
+        "event_id", F.col("subreddit").alias("event_type"))
+
+
+# The words of the benchmark passages, cut to four letters, as lemmas
+@register("lemmatized_documents", f"""
+WITH b AS (SELECT DISTINCT unnest(regexp_split_to_array({S.strip_ws('lower(text)')}, '\\s+')) AS tok FROM benchmark),
+lem AS (SELECT tok, substr(tok, 1, 4) AS lemma FROM b WHERE length(tok) > 4),
+w AS (SELECT doc_id, regexp_split_to_array({S.strip_ws("lower(coalesce(text, ''))")}, '\\s+') AS l FROM documents),
+t AS (SELECT doc_id, unnest(l) AS tok, unnest(range(len(l))) AS pos FROM w),
+o AS (SELECT doc_id, string_agg(coalesce(lemma, tok), ' ' ORDER BY pos) FILTER (WHERE tok <> '') AS lemmatized
+      FROM t LEFT JOIN lem USING (tok) GROUP BY doc_id)
+SELECT doc_id, md5(coalesce(lemmatized, '')) AS lemmatized_md5 FROM documents LEFT JOIN o USING (doc_id)""")
+def q_lemmatized_documents(spark, sf_dir):
+    words = table(spark, sf_dir, "benchmark").select(
+        F.explode(F.split(T.strip_ws(F.lower("text")), r"\s+")).alias("token")).where(F.length("token") > 4)
+    lemmas = words.select("token", F.substring("token", 1, 4).alias("lemma"))
+    out = TP.lemmatize(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", lemmas)
+    return out.select("doc_id", F.md5("lemmatized").alias("lemmatized_md5"))
+
 
 @register("upsert_customers", """
 WITH u AS (SELECT c_custkey, 'DEBTOR' AS c_mktsegment, CAST(NULL AS DOUBLE) AS c_acctbal
@@ -1134,17 +1202,29 @@ EMOJI_TEXTS = ("\U0001F600", "\U0001F468\u200D\U0001F469\u200D\U0001F467", "\U00
                "\U0001F1EB\U0001F1F7", "1\uFE0F\u20E3", "\U0001F469\u200D\U0001F4BB")
 
 
+def _with_emoji(spark, sf_dir):
+    e = F.get(F.array(*[F.lit(x) for x in EMOJI_TEXTS]), (F.col("doc_id") % 7).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(e, F.replace(
+        F.coalesce("text", F.lit("")), F.lit(" "), F.concat(e, F.lit(" ")))).alias("t"))
+
+
 @register("emoji_aliases", f"""
 WITH e AS (SELECT doc_id, text, list_extract([{', '.join(S.q(x) for x in EMOJI_TEXTS)}], CAST(doc_id % 7 + 1 AS INTEGER)) AS e,
                   list_extract([{', '.join(S.q(EM.aliases()[x]) for x in EMOJI_TEXTS)}], CAST(doc_id % 7 + 1 AS INTEGER)) AS a
            FROM documents)
 SELECT doc_id, md5(a || replace(coalesce(text, ''), ' ', a || ' ')) AS aliased_md5 FROM e""")
 def q_emoji_aliases(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    e = F.get(F.array(*[F.lit(x) for x in EMOJI_TEXTS]), (F.col("doc_id") % 7).cast("int"))
-    t = d.select("doc_id", F.concat(e, F.replace(F.coalesce("text", F.lit("")), F.lit(" "),
-                                                 F.concat(e, F.lit(" ")))).alias("t"))
-    return t.select("doc_id", F.md5(EM.to_aliases(F.col("t"))).alias("aliased_md5"))
+    return _with_emoji(spark, sf_dir).select("doc_id", F.md5(EM.to_aliases(F.col("t"))).alias("aliased_md5"))
+
+
+# T2 on the same texts; the key cap leaves its digit
+@register("clean_emoji_documents", f"""
+WITH e AS (SELECT doc_id, text, list_extract([{', '.join(S.q(x) for x in EMOJI_TEXTS)}], CAST(doc_id % 7 + 1 AS INTEGER)) AS e
+           FROM documents),
+t AS (SELECT doc_id, e || replace(coalesce(text, ''), ' ', e || ' ') AS t FROM e)
+SELECT doc_id, md5({S.clean_text('t')}) AS cleaned_md5 FROM t""")
+def q_clean_emoji_documents(spark, sf_dir):
+    return _with_emoji(spark, sf_dir).select("doc_id", F.md5(T.clean_text(F.col("t"))).alias("cleaned_md5"))
 
 
 @register("language_trigram_counts", f"""
