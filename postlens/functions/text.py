@@ -1,17 +1,20 @@
 """Column -> Column text functions.
 
-Everything here is a composition of built-in expressions, so it stays in
-the JVM and runs where the rows are: no shuffle, no Python per row.
+Compositions of built-in expressions, and for cleaning and tokens the batch
+functions of ``arrow``: all run where the rows are, with no shuffle.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import arrow as AR
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for equal results.
 # ---------------------------------------------------------------------------
@@ -89,21 +92,24 @@ def transliterate(c: Column) -> Column:
     return out
 
 
+def _letters() -> dict[int, str | None]:
+    """Code point -> transliteration of T2 and T3 together."""
+    src, dst = _translit_one_to_one()
+    out = dict(zip(map(ord, src + UNICODE_SPACES), dst + " " * len(UNICODE_SPACES)))
+    out |= {ord(a): b for a, b in TRANSLIT_MULTI}
+    ranges = re.findall(r"\\x\{(\w+)\}(?:-\\x\{(\w+)\})?", EMOJI_CLASS)
+    return out | {c: None for a, b in ranges for c in range(int(a, 16), int(b or a, 16) + 1)}
+
+
 def clean_text(c: Column) -> Column:
     """Emoji, transliteration, URLs, mentions, hashtags, non-alphanumerics,
     whitespace collapse -- in this order.  Null -> ''."""
-    s = remove_emoji(F.coalesce(c, F.lit("")))
-    s = transliterate(s)
-    s = F.regexp_replace(s, r"http\S+", "")
-    s = F.regexp_replace(s, r"@\w+", "")
-    s = F.regexp_replace(s, r"#\w+", "")
-    s = F.regexp_replace(s, r"[^A-Za-z0-9\s]+", "")
-    return F.trim(F.regexp_replace(s, r"\s+", " "))
+    return AR.cleaner(_letters())(c)
 
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: all leading/trailing whitespace."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit("\t\n\x0b\f\r " + UNICODE_SPACES))
 
 
 def nonblank(c: Column) -> Column:
@@ -165,17 +171,17 @@ def mentions_b(c: Column) -> Column:
 
 def tokens(c: Column, stopwords=STOPWORDS) -> Column:
     """Lower-cased keyword tokens, stop words removed, text order."""
-    toks = F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(TOKEN_PATTERN), 0),
-                       lambda x: F.lower(x))
-    if not stopwords:
-        return toks
-    stop = F.array(*[F.lit(w) for w in sorted(set(stopwords))])
-    return F.filter(toks, lambda x: ~F.array_contains(stop, x))
+    return AR.tokens(c, TOKEN_PATTERN, stopwords or ())
 
 
 def word_count(c: Column) -> Column:
     """Number of whitespace-separated words (Python ``len(s.split())``)."""
-    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"(?U)\S+")).cast("long")
+    return AR.word_count(c)
+
+
+def has_words(c: Column, n: int) -> Column:
+    """Whether there are at least ``n`` such words: reads no further."""
+    return F.coalesce(c, F.lit("")).rlike(rf"(?U)^\s*+(?:\S++\s++){{{n - 1}}}\S")
 
 
 def icontains(c: Column, q: str) -> Column:

@@ -2,8 +2,9 @@
 
 The reference calls a pretrained transformer once per post.  Here a model
 is a *table* ``weights(term, w0, w1, ...)`` aligned to a label list, and the
-class priors.  Scoring is: counted terms of each post -> equi-join on term
--> per-post sums by hash aggregation -> priors added -> softmax -> arg-max.
+class priors.  Scoring is: terms of each post -> equi-join on term (with the
+frequent terms by broadcast) -> per-post sums by hash aggregation -> priors
+added -> softmax -> arg-max.
 
 ``fit_naive_bayes`` builds such a table from labelled posts with Spark
 aggregations (multinomial Naive Bayes, Laplace smoothing).
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import cut_lineage, stored
+from ..session import stored
 
 # Fixed label sets of the reference: sentiment classes in index order, and
 # the seven emotion classes.
@@ -29,6 +30,9 @@ SENTIMENT_LABELS = ("Negative", "Neutral", "Positive")
 EMOTION_LABELS = ("joy", "sadness", "anger", "fear", "surprise", "disgust", "neutral")
 SHORT_TEXT_CHARS = 3
 MIN_EMOTION_WORDS = 3
+# Terms whose weights every task holds, and their length at most; all other
+# terms meet their weights in a join.
+FREQUENT, FREQUENT_CHARS = 1 << 18, 32
 
 
 # term weights (term, w0, w1, ...) and the class priors
@@ -46,8 +50,8 @@ def fit_naive_bayes(train: DataFrame, toks: str, label: str, labels: tuple[str,
     t = train.select(idx.alias("y"), F.col(toks).alias("toks")).where(F.col("y") >= 0)
     terms = (t.select("y", F.explode_outer("toks").alias("term"))
               .where(F.col("term").isNotNull()))
-    counts = cut_lineage(terms.groupBy("term").agg(
-        *[F.count_if(F.col("y") == i).alias(f"c{i}") for i in range(k)]))
+    counts = stored(terms.groupBy("term").agg(
+        *[F.count_if(F.col("y") == i).alias(f"c{i}") for i in range(k)]), "terms")
     tot = counts.agg(F.count(F.lit(1)).alias("v"),
                      *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"t{i}") for i in range(k)]).first()
     docs = t.agg(F.count(F.lit(1)).alias("n"),
@@ -65,23 +69,41 @@ def score_terms(df: DataFrame, toks: str, model: Model, out: str = "logits") ->
     multiplicity) plus the class priors; unknown terms are skipped.
 
     The rows are numbered and written once, so their texts are parsed once and
-    repeated or null post keys cannot mix posts.  Only ``(row, term)`` is
-    exploded and counted; the numeric sums are hash aggregates, and the other
-    columns are joined back on the row's number.  A post without known terms
-    has the priors.
+    repeated or null post keys cannot mix posts.  The most frequent terms'
+    weights are broadcast and summed where the post is; only the others' tokens
+    move to meet their weights.  The other columns are joined back on the row's
+    number.  A post without known terms has the priors.
     """
     weights, prior = model
     k = len(prior)
     rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "scored")
-    terms = rows.select("__row", F.explode(toks).alias("term")).groupBy("__row", "term").agg(
-        F.count(F.lit(1)).alias("times"))
-    sums = terms.join(weights, "term").groupBy("__row").agg(
-        *[F.sum(F.col("times") * F.col(f"w{i}")).alias(f"__l{i}") for i in range(k)])
+    terms = rows.select("__row", F.explode(toks).alias("term"))
+    often, others = _by_frequency(weights, k)
+    met = terms.join(F.broadcast(often), "term").select("__row", *[f"w{i}" for i in range(k)])
+    if others is not None:
+        rest = terms.join(F.broadcast(often.select("term")), "term", "left_anti").join(others, "term")
+        met = met.unionByName(rest.select("__row", *[f"w{i}" for i in range(k)]))
+    sums = met.groupBy("__row").agg(*[F.sum(f"w{i}").alias(f"__l{i}") for i in range(k)])
     return rows.drop(toks).join(sums, "__row", "left").withColumn(out, F.array(*[
         F.coalesce(F.col(f"__l{i}"), F.lit(0.0)) + F.lit(float(prior[i])) for i in range(k)])).drop(
         "__row", *[f"__l{i}" for i in range(k)])
 
 
+def _by_frequency(weights: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
+    """The about ``FREQUENT`` terms with the largest weight in any class (it
+    grows with the term's count) of bounded length, and all others, if any."""
+    short = F.length("term") <= FREQUENT_CHARS
+    n, longest = weights.agg(F.count(F.lit(1)), F.max(F.length("term"))).first()
+    if n <= FREQUENT and (longest or 0) <= FREQUENT_CHARS:
+        return weights, None
+    weight = F.greatest(*[F.col(f"w{i}") for i in range(k)])
+    often = short
+    if n > FREQUENT:
+        cut = weights.agg(F.percentile_approx(weight, 1 - FREQUENT / n, 10_000)).first()[0]
+        often = short & F.coalesce(weight > F.lit(cut), F.lit(False))
+    return weights.where(often), weights.where(~often)
+
+
 def with_softmax(df: DataFrame, logits: str, labels: tuple[str, ...], out: str,
                  decimals: int | None = None) -> DataFrame:
     """M1: ``struct<label, score, scores map>`` from a logit array:
@@ -170,12 +192,13 @@ def sentiment_by_pipeline(df: DataFrame, model: PipelineModel, key: str = "post_
 
 
 def emotion(df: DataFrame, model: Model, labels: tuple[str, ...], title: str = "title",
-            body: str = "body") -> DataFrame:
+            body: str = "body", passed: list[str] | None = None) -> DataFrame:
     """Emotion struct (4 decimals) per post; text = title + ' ' + body;
-    posts with fewer than 3 words are dropped (P13 passthrough)."""
+    posts with fewer than 3 words are dropped (P13 passthrough, of the columns
+    ``passed`` where given)."""
     base = df.withColumn("__t", T.strip_ws(T.join_parts(F.coalesce(F.col(title), F.lit("")),
                                                         F.coalesce(F.col(body), F.lit("")))))
-    base = base.where(T.word_count(F.col("__t")) >= MIN_EMOTION_WORDS) \
-        .withColumn("__toks", T.tokens(F.col("__t"))).drop("__t")
+    base = base.where(T.has_words(F.col("__t"), MIN_EMOTION_WORDS)).select(
+        *(df.columns if passed is None else passed), T.tokens(F.col("__t")).alias("__toks"))
     out = score_terms(base, "__toks", model)
     return with_softmax(out, "logits", labels, "emotion", decimals=4).drop("logits")

@@ -6,11 +6,11 @@ tables: a gazetteer ``(alias, type, kb_id)`` and a knowledge base
 ``(name, rank, title, page_id, snippet)``.
 
 Recognition numbers the rows and writes them once.  The words of a text meet
-the index of the aliases' first words (first word, longest alias); only at the
-words that start some alias are n-grams built, up to that length, and looked
-up in the gazetteer by an equi-join.  The longest leftmost non-overlapping
-matches win.  Texts without such a word never leave their partition, the
-others move once, and what is regrouped afterwards is a few short spans.
+the index of the aliases' first words (first word, longest alias), which every
+task holds up to ``FIRST_WORDS`` of them; only at the words that start some
+alias are n-grams built, up to that length, and looked up in the gazetteer by
+an equi-join.  The longest leftmost non-overlapping matches win.  Texts never
+leave their partition, and what is regrouped is a few short spans.
 Linking is an equi-join of the entity's normal form with the knowledge base's
 names.  Spark picks broadcast joins by size.
 """
@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow as AR
 from ..functions import text as T
 from ..session import stored
 
@@ -28,6 +29,9 @@ from ..session import stored
 MIN_TEXT_CHARS = 3
 MIN_JOB_TEXT_CHARS = 10
 MIN_ENTITY_CHARS = 2
+# First words of aliases that every task holds; with more of them the words of
+# the texts meet them in a join.
+FIRST_WORDS = 1 << 18
 LINK_URL_PREFIX = "https://en.wikipedia.org/?curid="
 
 WORD_RE = r"(\s*)(\S+)"
@@ -113,15 +117,27 @@ def first_words(gaz: DataFrame) -> DataFrame:
     return gaz.groupBy(F.get(words, 0).alias("first")).agg(F.max(F.size(words)).alias("longest"))
 
 
-def recognise(rows: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
-    """(key, entities) of the rows that have any; ``key`` is unique."""
-    gaz = prepare_gazetteer(gazetteer)
-    words = rows.where(F.length(T.strip_ws(F.col(text))) >= MIN_TEXT_CHARS).select(
-        key, F.posexplode(_normal_words(F.col(text))).alias("i", "first")).where(F.col("first") != "")
-    hits = words.join(first_words(gaz), "first").groupBy(key).agg(
+def _candidates_by_join(rows: DataFrame, key: str, text: str, starts: DataFrame) -> DataFrame:
+    """(key, i, n, gram, start, entity) where ``starts`` is too large to be held
+    by every task."""
+    words = rows.select(key, F.posexplode(_normal_words(F.col(text))).alias("i", "first")).where(F.col("first") != "")
+    hits = words.join(starts, "first").groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("i", "longest"))).alias("__hits"))
     met = _with_words(rows.select(key, text).join(hits, key), text).withColumn("__at", _hits_with_offsets())
-    cand = met.select(key, F.explode(_candidates()).alias("c")).select(key, "c.*")
+    return met.select(key, F.explode(_candidates()).alias("c")).select(key, "c.*")
+
+
+def recognise(rows: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
+    """(key, entities) of the rows that have any; ``key`` is unique."""
+    gaz = stored(prepare_gazetteer(gazetteer), "gazetteer")
+    starts = first_words(gaz)
+    rows = rows.where(F.length(T.strip_ws(F.col(text))) >= MIN_TEXT_CHARS)
+    known = starts.limit(FIRST_WORDS + 1).collect()
+    if len(known) <= FIRST_WORDS:
+        longest = rows.sparkSession.sparkContext.broadcast({r["first"]: r["longest"] for r in known})
+        cand = rows.select(key, F.explode(AR.grams_at(F.col(text), longest)).alias("c")).select(key, "c.*")
+    else:
+        cand = _candidates_by_join(rows, key, text, starts)
     matches = cand.join(gaz, "gram").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
         "i", (-F.col("n")).alias("neg_n"), "type", "kb_id", "entity", "start"))).alias("__m"))
     kept = F.filter(_longest_leftmost(F.col("__m")), lambda m: F.length(m["entity"]) >= MIN_ENTITY_CHARS)
@@ -190,7 +206,7 @@ def entity_table(posts: DataFrame, gazetteer: DataFrame, kb: DataFrame, key: str
     keep = [x for x in ("_id", key, "subreddit", "author", "created_utc", "permalink", "title") if x in cols]
     base = posts.select(*keep, text.alias("__t")).where(F.length("__t") >= MIN_JOB_TEXT_CHARS)
     rows = stored(base.withColumn("__row", F.monotonically_increasing_id()), "posts")
-    found = recognise(rows, "__row", "__t", gazetteer)
+    found = stored(recognise(rows, "__row", "__t", gazetteer), "found")
     linked = link_entities(dedup_entities(found, "entities", "__d"), "__d", kb, "__row")
     both = found.select("__row", F.size("entities").cast("int").alias("entity_count")).join(linked, "__row")
     return rows.select(*keep, "__row", T.snippet(F.col("__t")).alias("text_analyzed")).join(both, "__row").select(

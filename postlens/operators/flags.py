@@ -1,8 +1,8 @@
 """Behaviour scoring and boolean flags.
 
 One projection per row: each category's score is ``greatest`` over its
-patterns of ``regexp_count`` on the lower-cased text, so the job is a
-single map-only stage with no shuffle and no Python.
+patterns of the matches in the lower-cased text, counted a batch at a time, so
+the job is a single map-only stage with no shuffle.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow as AR
 from ..functions import text as T
 
 # ---------------------------------------------------------------------------
@@ -60,8 +61,9 @@ def category_scores(text: Column, patterns=FLAG_PATTERNS, thresholds=THRESHOLDS,
     lc = F.lower(F.coalesce(text, F.lit("")))
     wc = words if words is not None else T.word_count(lc)
     out = []
+    found = iter(AR.pattern_counts(lc, [p for _, pats in patterns for p in pats]))
     for cat, pats in patterns:
-        counts = [F.regexp_count(lc, F.lit("(?i)" + p)) for p in pats]
+        counts = [next(found) for _ in pats]
         m = counts[0] if len(counts) == 1 else F.greatest(*counts)
         s = F.least(F.lit(CAP), F.lit(BASE) + m * F.lit(STEP))
         s = F.when(wc < SHORT_WORDS, F.least(F.lit(1.0), s + F.lit(SHORT_BONUS))).otherwise(s)

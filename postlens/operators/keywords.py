@@ -1,8 +1,7 @@
 """Keyword, hashtag and mention extraction.
 
-Per-document work (top-k keywords of one post) is done *inside the row*
-with higher-order array functions: a document is already one row, so no
-shuffle is needed to count its tokens.  Only corpus-level statistics
+Per-document work (top-k keywords of one post) is done *inside the row*: a
+document is already one row, so no shuffle is needed to count its tokens.  Only corpus-level statistics
 (term counts over many posts) shuffle, and they pre-aggregate map-side.
 """
 
@@ -12,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import arrow as AR
 from ..functions import text as T
 
 
-
 def with_topk(df: DataFrame, values: Column, k: int, out: str) -> DataFrame:
     """Add ``out``: the ``k`` most frequent entries of the array ``values``,
     most frequent first, ties by first appearance (Python
@@ -56,11 +55,14 @@ def null_if_empty(a: Column) -> Column:
     return F.when(F.size(a) > 0, a)
 
 
+def _top_tokens(text: Column, k: int) -> Column:
+    return AR.top_tokens(text, T.TOKEN_PATTERN, T.STOPWORDS, k)
+
+
 def keywords_topk(df: DataFrame, text: str = "content", k: int = 10,
                   out: str = "keywords") -> DataFrame:
     """Top-``k`` non-stop-word tokens of ``text`` (null when none)."""
-    df = with_topk(df, T.tokens(F.col(text)), k, out)
-    return df.withColumn(out, null_if_empty(F.col(out)))
+    return df.withColumn(out, _top_tokens(F.col(text), k)).withColumn(out, null_if_empty(F.col(out)))
 
 
 def enrich_keywords(posts: DataFrame, title: str = "title", body: str = "body",
@@ -75,7 +77,7 @@ def enrich_keywords(posts: DataFrame, title: str = "title", body: str = "body",
         T.build_content(F.col(title), F.col(body)).alias("__content"),
         null_if_empty(tags).alias("hashtags"),
     )
-    base = with_topk(base, T.tokens(F.col("__content")), k, "keywords")
+    base = base.withColumn("keywords", _top_tokens(F.col("__content"), k))
     return (base.withColumn("mentions", null_if_empty(T.mentions_a(F.col("__content"))))
                 .withColumn("keywords", null_if_empty(F.col("keywords")))
                 .drop("__content"))

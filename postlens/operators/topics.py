@@ -1,9 +1,9 @@
 """Topic by keyword hits and lemmatisation.
 
 The topic lexicon is a bounded configuration (tens to a few thousand
-keywords), so it is compiled into one projection: per topic
-``size(filter(keywords, k -> contains(text, k)))`` and an ``array_max``
-over ``(hits, -ordinal, label)`` structs.  Map-only, no shuffle.
+keywords), so it is one projection: per topic the keywords that the text
+contains, counted a batch at a time, and an ``array_max`` over
+``(hits, -ordinal, label)`` structs.  Map-only, no shuffle.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow as AR
 from ..functions import text as T
 
 # ---------------------------------------------------------------------------
@@ -52,16 +53,15 @@ def with_topic(df: DataFrame, text: str, lexicon=TOPIC_LEXICON, out: str = "topi
     topic; no hit or blank text -> ('other', 0.0).
 
     The lower-cased text and the winning candidate are projected columns,
-    so lambdas and the CASE branches only reference attributes.
+    so the CASE branches only reference attributes.
     """
-    lc, best = f"__{out}_lc", f"__{out}_best"
+    lc, found, best = f"__{out}_lc", f"__{out}_found", f"__{out}_best"
     df = df.withColumn(lc, F.lower(F.coalesce(F.col(text), F.lit(""))))
+    df = df.withColumn(found, AR.keyword_hits(F.col(lc), [kws for _, kws in lexicon]))
     max_len = max(len(k) for _, k in lexicon)
     cands = []
-    for ordinal, (label, kws) in enumerate(lexicon):
-        hits = F.size(F.filter(F.array(*[F.lit(k) for k in kws]),
-                               lambda k: F.contains(F.col(lc), k)))
-        cands.append(F.struct(hits.alias("hits"), F.lit(-ordinal).alias("neg_ord"),
+    for ordinal, (label, _) in enumerate(lexicon):
+        cands.append(F.struct(F.get(found, ordinal).alias("hits"), F.lit(-ordinal).alias("neg_ord"),
                               F.lit(label).alias("label")))
     df = df.withColumn(best, F.array_max(F.array(*cands)))
     b = F.col(best)
@@ -71,7 +71,7 @@ def with_topic(df: DataFrame, text: str, lexicon=TOPIC_LEXICON, out: str = "topi
         .otherwise(F.struct(b["label"].alias("label"),
                             F.round(F.least(F.lit(1.0), b["hits"] / F.lit(float(max_len))),
                                     SCORE_DECIMALS).alias("score")))
-    return df.withColumn(out, topic).drop(lc, best)
+    return df.withColumn(out, topic).drop(lc, found, best)
 
 
 def topic_detect(posts: DataFrame, title: str = "title", body: str = "body",
