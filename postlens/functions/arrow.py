@@ -12,6 +12,7 @@ import re
 import sys
 import unicodedata
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -156,13 +157,13 @@ GRAM = pa.struct([("i", pa.int32()), ("n", pa.int32()), ("gram", pa.string()), (
                   ("entity", pa.string())])
 
 
-def grams_at(text: Column, longest) -> Column:
-    """The n-grams, in normal form, that start at a word of the broadcast map
-    ``longest`` (word, most words), with the place of the first letter and the
-    surface form."""
+def grams_at(text: Column, index) -> Column:
+    """The n-grams, in normal form, with the place of the first letter and the
+    surface form.  The broadcast ``index`` is a map of the words that they start
+    with (word, most words) and the set of those wanted, or None for all."""
     find = re.compile(f"[^{SPACES}]+").finditer
 
-    def grams(s: str, longest: dict[str, int]) -> list[tuple]:
+    def grams(s: str, longest: dict[str, int], wanted: frozenset[str] | None) -> list[dict]:
         words = []
         for m in find(s):
             w = m.group()
@@ -175,11 +176,63 @@ def grams_at(text: Column, longest) -> Column:
                 if not word:
                     break
                 gram = f"{gram} {word}" if gram else word
-                out.append((i, n, gram, start, s[start:end]))
+                if wanted is None or gram in wanted:
+                    out.append({"i": i, "n": n, "gram": gram, "start": start, "entity": s[start:end]})
         return out
 
     @F.arrow_udf("array<struct<i:int,n:int,gram:string,start:int,entity:string>>")
     def found(v: pa.Array) -> pa.Array:
-        known = longest.value
-        return _by_row(lambda s: [dict(zip(GRAM.names, g)) for g in grams(s, known)], v, pa.list_(GRAM))
+        longest, wanted = index.value
+        return _by_row(lambda s: grams(s, longest, wanted), v, pa.list_(GRAM))
     return found(text)
+
+
+def replaced_words(text: Column, lemmas) -> Column:
+    """The words of a text by the broadcast map ``lemmas`` (others as they
+    are), with single spaces."""
+    find = re.compile(f"[^{SPACES}]+").findall
+
+    @F.arrow_udf("string")
+    def replaced(v: pa.Array) -> pa.Array:
+        known = lemmas.value
+        return _by_row(lambda s: " ".join([known.get(w, w) for w in find(s)]), v, pa.string())
+    return replaced(text)
+
+
+def trigram_sums(lowered: Column, model) -> Column:
+    """array<long>: over the trigrams of a padded text, with single spaces, the
+    sums of the weights of the broadcast ``model``: the trigrams' places, and a
+    row of weights per place; the last row is that of all other trigrams."""
+    space = re.compile(f"[{SPACES}]+")
+
+    @F.arrow_udf("array<bigint>")
+    def sums(v: pa.Array) -> pa.Array:
+        places, weights = model.value
+        other = len(weights) - 1
+
+        def of(s: str) -> list[int]:
+            s = f" {space.sub(' ', s)} "
+            met = Counter(zip(s, s[1:], s[2:]))
+            at = [places.get("".join(g), other) for g in met]
+            return (np.array(list(met.values()), np.int64) @ weights[at]).tolist()
+        return _by_row(of, v, pa.list_(pa.int64()))
+    return sums(lowered)
+
+
+def replaced_matches(text: Column, pattern: str, names: Callable[[str], str]) -> Column:
+    """Every match of a pattern by ``names`` of it; null stays null, and texts of
+    ASCII alone, which the pattern doesn't match, stay as they are."""
+    find = re.compile(pattern)
+
+    @F.arrow_udf("string")
+    def replaced(v: pa.Array) -> pa.Array:
+        known: dict[str, str] = {}
+
+        def name(m):
+            found = m.group()
+            if found not in known:
+                known[found] = names(found)
+            return known[found]
+        done = _by_row(lambda s: s if s.isascii() else find.sub(name, s), v, pa.string())
+        return pc.if_else(pc.is_valid(v), done, pa.scalar(None, pa.string()))
+    return replaced(text)

@@ -9,7 +9,7 @@ Recognition numbers the rows and writes them once.  The words of a text meet
 the index of the aliases' first words (first word, longest alias), which every
 task holds up to ``FIRST_WORDS`` of them; only at the words that start some
 alias are n-grams built, up to that length, and looked up in the gazetteer by
-an equi-join.  The longest leftmost non-overlapping matches win.  Texts never
+an equi-join (those of a gazetteer of up to ``ALIASES`` are picked before).  The longest leftmost non-overlapping matches win.  Texts never
 leave their partition, and what is regrouped is a few short spans.
 Linking is an equi-join of the entity's normal form with the knowledge base's
 names.  Spark picks broadcast joins by size.
@@ -29,9 +29,9 @@ from ..session import stored
 MIN_TEXT_CHARS = 3
 MIN_JOB_TEXT_CHARS = 10
 MIN_ENTITY_CHARS = 2
-# First words of aliases that every task holds; with more of them the words of
-# the texts meet them in a join.
-FIRST_WORDS = 1 << 18
+# First words of aliases, and aliases, that every task holds; with more of them
+# the words or the n-grams of the texts all meet them in a join.
+FIRST_WORDS = ALIASES = 1 << 18
 LINK_URL_PREFIX = "https://en.wikipedia.org/?curid="
 
 WORD_RE = r"(\s*)(\S+)"
@@ -134,8 +134,10 @@ def recognise(rows: DataFrame, key: str, text: str, gazetteer: DataFrame) -> Dat
     rows = rows.where(F.length(T.strip_ws(F.col(text))) >= MIN_TEXT_CHARS)
     known = starts.limit(FIRST_WORDS + 1).collect()
     if len(known) <= FIRST_WORDS:
-        longest = rows.sparkSession.sparkContext.broadcast({r["first"]: r["longest"] for r in known})
-        cand = rows.select(key, F.explode(AR.grams_at(F.col(text), longest)).alias("c")).select(key, "c.*")
+        aliases = gaz.select("gram").limit(ALIASES + 1).collect()
+        wanted = frozenset(r["gram"] for r in aliases) if len(aliases) <= ALIASES else None
+        index = rows.sparkSession.sparkContext.broadcast(({r["first"]: r["longest"] for r in known}, wanted))
+        cand = rows.select(key, F.explode(AR.grams_at(F.col(text), index)).alias("c")).select(key, "c.*")
     else:
         cand = _candidates_by_join(rows, key, text, starts)
     matches = cand.join(gaz, "gram").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(

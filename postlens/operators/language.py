@@ -24,12 +24,14 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, IndexToString, NGram, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow as AR
 from ..functions import text as T
 from ..session import stored
 
@@ -89,6 +91,8 @@ def trigram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> Dat
                  .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("count")))
 
 
+# Trigrams that every task holds; with more of them texts' trigrams meet them in a join.
+GRAMS = 1 << 18
 WEIGHT_UNIT = 1_000_000      # a weight of 1 is a millionth of a natural log
 
 
@@ -141,12 +145,23 @@ def detect_trigrams(df: DataFrame, model: TrigramModel, text: str = "text",
     the whole text's trigrams (ties: first in the alphabet); a blank or null
     text, and any text if the model knows no language, is ``unknown``.
 
-    The label depends on the text alone: each distinct text is scored once and
-    rows meet their label by the text's digest, so keys may repeat or be null.
+    A model of up to ``GRAMS`` trigrams is held by every task: a text is scored
+    where it is.  With a larger one each distinct text is scored once and rows meet
+    their label by the text's digest, so keys may repeat or be null.
     Blank texts, which can be many, are spread by row number."""
     if not model.languages:
         return df.withColumn(out, F.lit(UNKNOWN))
     at = range(len(model.languages))
+    names = F.array(*[F.lit(x) for x in model.languages])
+    held = model.weights.limit(GRAMS + 1).toArrow() if GRAMS else None
+    if held is not None and len(held) <= GRAMS:
+        places = {g: i for i, g in enumerate(held["gram"].to_pylist())}
+        rows = [np.append(held[f"w{i}"].to_numpy(), model.unseen[i]) for i in at]
+        table = df.sparkSession.sparkContext.broadcast((places, np.stack(rows, axis=1).astype(np.int64)))
+        df = df.withColumn("__sums", AR.trigram_sums(F.lower(F.coalesce(F.col(text), F.lit(""))), table))
+        df = df.withColumn("__t", F.array(*[F.get("__sums", i) + F.lit(model.prior[i]) for i in at]))
+        best = F.element_at(names, F.array_position("__t", F.array_max("__t")).cast("int"))
+        return df.withColumn(out, F.when(_is_blank(F.col(text)), F.lit(UNKNOWN)).otherwise(best)).drop("__sums", "__t")
     digest = text_digest(F.col(text))
     once = (df.where(~_is_blank(F.col(text))).select(digest.alias("__digest"), F.col(text).alias("text"))
               .dropDuplicates(["__digest"]))
@@ -154,7 +169,6 @@ def detect_trigrams(df: DataFrame, model: TrigramModel, text: str = "text",
     sums = counts.join(model.weights, "gram", "left").groupBy("__digest").agg(*[
         F.sum(F.col("count") * F.coalesce(F.col(f"w{i}"), F.lit(model.unseen[i]))).alias(f"s{i}") for i in at])
     total = F.array(*[F.col(f"s{i}") + F.lit(model.prior[i]) for i in at])
-    names = F.array(*[F.lit(x) for x in model.languages])
     labels = sums.select("__digest", total.alias("t")).select(
         "__digest", F.element_at(names, F.array_position("t", F.array_max("t")).cast("int")).alias(out))
     keyed = df.drop(out).withColumn("__digest", F.when(_is_blank(F.col(text)), _row_key()).otherwise(digest))

@@ -42,6 +42,8 @@ TOPIC_LEXICON: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 NO_TOPIC = "other"
 SCORE_DECIMALS = 3
+# Lemmas that every task holds; with more of them the words meet them in a join.
+LEMMAS = 1 << 18
 # ---------------------------------------------------------------------------
 
 
@@ -92,13 +94,17 @@ def lemmatize(df: DataFrame, text: str, lemmas: DataFrame, out: str = "lemmatize
     (``lemmas(token, lemma)``, the smallest lemma of a repeated token),
     re-join with single spaces.
 
-    The result depends on the text alone, so distinct texts are looked up,
-    by a digest of the text: repeated or null post keys cannot mix posts,
-    and copies of one text are exploded once.
+    A table of up to ``LEMMAS`` tokens is held by every task, and no word moves.
+    With a larger one, distinct texts are looked up, by a digest of the text:
+    repeated or null post keys cannot mix posts, and copies of one text are
+    exploded once.
     """
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    df = df.withColumn("__digest", digest)
     lem = lemmas.groupBy(F.col("token").alias("__tok")).agg(F.min("lemma").alias("__lem"))
+    known = lem.where(F.col("__lem").isNotNull()).limit(LEMMAS + 1).collect()
+    if len(known) <= LEMMAS:
+        held = df.sparkSession.sparkContext.broadcast({r["__tok"]: r["__lem"] for r in known})
+        return df.withColumn(out, AR.replaced_words(T.strip_ws(F.lower(F.col(text))), held))
+    df = df.withColumn("__digest", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
     words = F.split(T.strip_ws(F.lower(F.coalesce(F.col("__text"), F.lit("")))), r"\s+")
     toks = (df.select("__digest", F.col(text).alias("__text")).dropDuplicates(["__digest"])
               .select("__digest", F.posexplode(words).alias("__pos", "__tok"))

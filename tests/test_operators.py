@@ -5,10 +5,13 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from postlens.functions import arrow as AR
 from postlens.functions import text as T
+from postlens.operators import classify as CL
 from postlens.operators import eda as EDA
 from postlens.operators import entities as EN
 from postlens.operators import keywords as K
+from postlens.operators import language as LG
 from postlens.operators import topics as TP
 from postlens.sources import sinks as SK
 
@@ -311,3 +314,85 @@ def test_the_latest_record_of_each_part_wins(spark):
         base, emotion=emotion, topics=topics, summaries=said).collect()}
     assert rows["a"]["emotion_detection"]["label"] == "new" and rows["a"]["topic_classification"]["label"] == "late"
     assert rows["b"]["generated_summary"] == "second" and rows["b"]["emotion_detection"] is None
+
+
+def _gazetteer_case(spark):
+    posts = spark.createDataFrame(
+        [(1, "p", 'He saw «New  York» and New Jersey, then "York".'), (2, "p", "É new york! Škoda works"), (3, None, "nothing"),
+         (4, None, None), (4, None, "york  new - york new york city")], "n int, post_id string, t string")
+    gaz = spark.createDataFrame([("New York", "GPE", "1"), ("york", "GPE", "2"), ("škoda", "ORG", "3"), ("new york city", "GPE", "4")],
+                                "alias string, type string, kb_id string")
+    return posts, gaz
+
+
+def test_entities_alike_by_broadcast_and_by_joins(spark, monkeypatch):
+    posts, gaz = _gazetteer_case(spark)
+
+    def run():
+        rows = EN.extract_entities(posts, "t", gaz).collect()
+        return sorted((r["n"], r["t"] or "", [tuple(e) for e in r["entities"]]) for r in rows)
+    held = run()
+    assert [e[0] for e in held[0][2]] == ["New  York", "York"]
+    assert [e[:1] + e[2:4] for r in held if r[0] == 2 for e in r[2]] == [("new york", 2, 10), ("Škoda", 12, 17)]
+    monkeypatch.setattr(EN, "ALIASES", 1)
+    assert run() == held
+    monkeypatch.setattr(EN, "FIRST_WORDS", 1)
+    assert run() == held
+
+
+def test_scores_alike_by_broadcast_and_by_join(spark, monkeypatch):
+    weights = spark.createDataFrame([("aaa", 1.0, -1.0), ("bbb", -2.0, 0.5), ("c" * 40, 4.0, 0.0), ("ddd", 0.5, 0.25)],
+                                    "term string, w0 double, w1 double")
+    docs = spark.createDataFrame([(1, ["aaa", "aaa", "bbb"]), (1, ["c" * 40, "zzz"]), (None, []), (2, ["ddd", "bbb"])],
+                                 "post_id int, toks array<string>")
+
+    def run():
+        rows = CL.score_terms(docs, "toks", (weights, [0.0, 0.25])).collect()
+        return sorted((r["post_id"] or 0, list(r["logits"])) for r in rows)
+    want = [(0, [0.0, 0.25]), (1, [0.0, -1.25]), (1, [4.0, 0.25]), (2, [-1.5, 1.0])]
+    assert run() == want
+    monkeypatch.setattr(CL, "FREQUENT", 2)
+    assert run() == want
+
+
+def test_batch_functions_read_texts_as_java_does(spark):
+    """Vertical tabs, Unicode spaces and letters, and patterns that RE2 lacks."""
+    texts = ["a http://x\u000by @me #té ❤ßœ! b-c", "fi\u0001x\u001cy　z", "kill ékill you\u000bkill u", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    pats = [r"\bkill\b", r"\bkill\s+u\b", r"ki(?=ll)"]
+    t = F.coalesce("t", F.lit(""))
+    old = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
+        T.transliterate(T.remove_emoji(t)), r"http\S+", ""), r"@\w+", ""), r"#\w+", ""), r"[^A-Za-z0-9\s]+", ""), r"\s+", " "))
+    got = df.select("i", T.clean_text(F.col("t")).alias("c"), old.alias("c0"), T.word_count(F.col("t")).alias("n"),
+                    F.regexp_count(t, F.lit(r"(?U)\S+")).alias("n0"), T.strip_ws(t).alias("s"),
+                    F.regexp_replace(t, r"(?U)^\s+|\s+$", "").alias("s0"), F.array(*AR.pattern_counts(t, pats)).alias("p"),
+                    F.array(*[F.regexp_count(t, F.lit("(?i)" + p)) for p in pats]).alias("p0")).collect()
+    for r in got:
+        assert (r["c"], r["n"], r["s"], r["p"]) == (r["c0"], r["n0"], r["s0"], r["p0"])
+
+
+def test_lemmas_and_languages_alike_held_and_joined(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, " The Cats\u000bran  home "), (1, None), (2, ""), (None, "Dogs ran"), (3, "Dogs ran")], "n int, t string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), ("cats", "cats"), ("ran", "run")], "token string, lemma string")
+    train = spark.createDataFrame([("the cats ran", "en"), ("die katzen  liefen", "de"), ("les chats \u00e9t\u00e9", "fr")], "text string, lang string")
+    more = spark.createDataFrame([(1, "the Cats"), (2, "DIE katzen"), (3, "xyz\u00e9t\u00e9"), (4, None), (5, " \n"), (6, "a")], "n int, text string")
+
+    def run():
+        a = TP.lemmatize(docs, "t", lemmas).collect()
+        b = LG.detect_trigrams(more, LG.fit_trigrams(train)).collect()
+        return sorted((r["n"] or 0, r["t"] or "", r["lemmatized"]) for r in a), sorted((r["n"], r["language_detected"]) for r in b)
+    held = run()
+    assert [x[2] for x in held[0]] == ["dog run", "", "the cat run home", "", "dog run"]
+    assert [x[1] for x in held[1]][:5] == ["en", "de", "fr", "unknown", "unknown"]
+    monkeypatch.setattr(TP, "LEMMAS", 0)
+    monkeypatch.setattr(LG, "GRAMS", 0)
+    assert run() == held
+
+
+def test_held_tables_need_no_exchange_of_words(spark):
+    docs = spark.createDataFrame([(1, "the cats")], "n int, text string")
+    lemmas = spark.createDataFrame([("cats", "cat")], "token string, lemma string")
+    model = LG.fit_trigrams(spark.createDataFrame([("the cats", "en")], "text string, lang string"))
+    for df in (TP.lemmatize(docs, "text", lemmas), LG.detect_trigrams(docs, model)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "Join" not in plan and "Aggregate" not in plan
