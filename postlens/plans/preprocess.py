@@ -1,6 +1,6 @@
 """Preprocessing job: P2 text -> language -> translation ->
-cleaning.  A language model adds a join by text digest, a translation memory
-another; everything else is one projection."""
+cleaning.  A language model too large to be held by every task adds a join by
+text digest, a translation memory another; everything else is one projection."""
 
 from __future__ import annotations
 
