@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # the UDFs carry this module's functions along, so that workers need no package
@@ -28,6 +28,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACES = " \t\n\x0b\f\r"
 # the rows of one step, so that what a batch makes stays small
 STEP = 512
+# letters to transliterate that are replaced one after the other
+MANY = 64
+# tokens that are counted together
+COUNTED = 1 << 20
+# normal forms of words that a task remembers, emptied when full
+NORMAL = 1 << 17
+# texts whose tokens are scored together
+SCORED = 4096
 
 # Patterns that RE2 and Java read alike over ASCII texts
 _ALIKE = re.compile(r"(?:[A-Za-z0-9 _,'-]|\\[bsw.]|\(\?:|[()|+*?\[\]])*")
@@ -47,17 +55,26 @@ def cleaner(letters: dict[int, str | None]):
     url, mention, hashtag = (re.compile(p) for p in (f"http[^{SPACES}]+", "@[A-Za-z0-9_]+", "#[A-Za-z0-9_]+"))
     kept = set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + SPACES.encode())
     dropped = bytes(c for c in range(256) if c not in kept)
+    spaced = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
 
     def clean(s: str) -> str:
         if not s.isascii():
-            s = s.translate(letters)
+            met = letters.keys() & set(map(ord, set(s)))
+            if len(met) > MANY:
+                s = s.translate(letters)
+            else:           # no replacement is replaced again: they are of ASCII
+                for c in met:
+                    s = s.replace(chr(c), letters[c] or "")
         if "http" in s:
             s = url.sub("", s)
         if "@" in s:
             s = mention.sub("", s)
         if "#" in s:
             s = hashtag.sub("", s)
-        return b" ".join(s.encode("ascii", "ignore").translate(None, dropped).split()).decode("ascii")
+        b = s.encode("ascii", "ignore").translate(spaced, dropped).strip(b" ")
+        while b"  " in b:
+            b = b.replace(b"  ", b" ")
+        return b.decode("ascii")
 
     @F.arrow_udf("string")
     def cleaned(v: pa.Array) -> pa.Array:
@@ -91,13 +108,47 @@ def pattern_counts(text: Column, patterns: list[str]) -> list[Column]:
     return out
 
 
+# Classes of bytes of which four make a number below 2 ** 20: letters have one each
+_CLASS = bytes((c & 31) if 97 <= c <= 122 else 27 + (c >> 6) if c > 32 else 0 for c in range(256))
+
+
+def _fours(b: bytes) -> np.ndarray:
+    """The numbers of all runs of four bytes."""
+    c = np.frombuffer(b.translate(_CLASS), np.uint8).astype(np.int32)
+    two = c[:-1] << 5 | c[1:]
+    return two[:-2] << 10 | two[2:]
+
+
 def keyword_hits(text: Column, lexicon: list[list[str]]) -> Column:
-    """array<int>: of each list the keywords that the text has, as substrings."""
+    """array<int>: of each list the keywords that the text has, as substrings.
+    Those of four bytes and more are sought only where the text has all their
+    runs of four."""
     lists = [list(words) for words in lexicon]
+    sought = [(w, i) for i, words in enumerate(lists) for w in words]
+    short = [(w, i) for w, i in sought if len(w.encode()) < 4]
+    long = [(w, i) for w, i in sought if len(w.encode()) >= 4]
+    runs = [_fours(w.encode()) for w, _ in long]
+    flat = np.concatenate(runs) if runs else np.zeros(0, np.int32)
+    starts = np.cumsum([0, *map(len, runs)])[:-1]
 
     @F.arrow_udf("array<int>")
     def hits(v: pa.Array) -> pa.Array:
-        return _by_row(lambda s: [sum(w in s for w in words) for words in lists], v, pa.list_(pa.int32()))
+        has = np.zeros(1 << 20, bool)
+
+        def of(s: str) -> list[int]:
+            out = [0] * len(lists)
+            for w, i in short:
+                out[i] += w in s
+            b = s.encode()
+            if runs and len(b) >= 4:
+                fours = _fours(b)
+                has[fours] = True
+                for j in np.flatnonzero(np.logical_and.reduceat(has[flat], starts)):
+                    w, i = long[j]
+                    out[i] += w in s
+                has[fours] = False
+            return out
+        return _by_row(of, v, pa.list_(pa.int32()))
     return hits(text)
 
 
@@ -108,44 +159,124 @@ def word_count(text: Column) -> Column:
     """The words between Unicode white space."""
     word, other = re.compile(f"[^{_WHITE}]+"), re.compile("[\x1c-\x1f]")   # those split() also takes as spaces
 
+    def count(s: str) -> int:
+        if s.isascii() and s.isprintable() and "  " not in s:       # words between single spaces
+            s = s.strip(" ")
+            return s.count(" ") + 1 if s else 0
+        return len(word.findall(s)) if other.search(s) else len(s.split())
+
     @F.arrow_udf("bigint")
     def words(v: pa.Array) -> pa.Array:
-        return _by_row(lambda s: len(word.findall(s)) if other.search(s) else len(s.split()), v, pa.int64())
+        return _by_row(count, v, pa.int64())
     return words(text)
 
 
-def _tokens_of(pattern: str, stopwords):
-    stop, find = frozenset(stopwords), re.compile(pattern).findall
+_LETTERS = bytes(c | 32 if 65 <= c & 223 <= 90 and c < 128 else c if c == 45 else 32 for c in range(256))
+
 
-    def of(s: str) -> list[str]:
-        words = find(s.lower()) if s.isascii() else [w.lower() for w in find(s)]
-        return [w for w in words if w not in stop]
-    return of
+def _token_lists(v: pa.Array, stop: pa.Array) -> pa.ListArray:
+    """T13's words: runs of ASCII letters and hyphens from a letter on, of three
+    characters at least, in lower case; all other bytes part them."""
+    plain = [x.encode().translate(_LETTERS) if x else b"" for x in v.to_pylist()]
+    lists = pc.split_pattern(pa.array(plain, pa.binary()).view(pa.string()), " ")
+    words, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+    if any(b"-" in b for b in plain):
+        words = pc.ascii_ltrim(words, "-")
+    kept = pc.and_(pc.greater(pc.binary_length(words), 2), pc.invert(pc.is_in(words, value_set=stop)))
+    before = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(before[np.concatenate([[0], ends])].astype(np.int32), words.filter(kept))
 
 
-def tokens(text: Column, pattern: str, stopwords) -> Column:
-    """Lower-cased ASCII words of ``pattern`` but the stop words."""
-    of = _tokens_of(pattern, stopwords)
+def tokens(text: Column, stopwords) -> Column:
+    """Lower-cased ASCII words but the stop words."""
+    stop = list(stopwords)
 
     @F.arrow_udf("array<string>")
     def toks(v: pa.Array) -> pa.Array:
-        return _by_row(of, v, pa.list_(pa.string()))
+        known = pa.array(stop, pa.string())
+        parts = [_token_lists(v[i:i + STEP], known) for i in range(0, len(v), STEP)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
     return toks(text)
 
 
-def top_tokens(text: Column, pattern: str, stopwords, k: int) -> Column:
+def top_tokens(text: Column, stopwords, k: int) -> Column:
     """The ``k`` most frequent ``tokens``, ties by first appearance."""
-    of = _tokens_of(pattern, stopwords)
+    stop = list(stopwords)
 
     @F.arrow_udf("array<string>")
     def top(v: pa.Array) -> pa.Array:
-        return _by_row(lambda s: [w for w, _ in Counter(of(s)).most_common(k)], v, pa.list_(pa.string()))
+        known, out = pa.array(stop, pa.string()), []
+        for i in range(0, len(v), STEP):
+            lists = _token_lists(v[i:i + STEP], known)
+            words, at = lists.flatten().to_numpy(zero_copy_only=False).tolist(), lists.offsets.to_pylist()
+            out.append(pa.array([[w for w, _ in Counter(words[a:b]).most_common(k)] for a, b in zip(at, at[1:])],
+                                pa.list_(pa.string())))
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.string()))
     return top(text)
 
 
+def term_counts(df: DataFrame, y: str, toks: str) -> DataFrame:
+    """(y, term, n): the tokens of each class ``y``, counted in each task by
+    ``COUNTED`` of them or a batch, to be summed up.  Null tokens don't count."""
+    def counted(parts: list[pa.Table]) -> pa.RecordBatch:
+        n = pa.concat_tables(parts).group_by(["y", "term"], use_threads=False).aggregate([([], "count_all")])
+        n = n.select(["y", "term", "count_all"]).combine_chunks()
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in n.columns], names=["y", "term", "n"])
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            lists = b.column("toks")
+            t = pa.table({"y": b.column("y").take(pc.list_parent_indices(lists)), "term": pc.list_flatten(lists)})
+            t = t.filter(pc.is_valid(t["term"]))
+            held.append(t)
+            size += len(t)
+            if size >= COUNTED:
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
+    return df.select(F.col(y).cast("int").alias("y"), F.col(toks).alias("toks")).mapInArrow(run, "y int, term string, n bigint")
+
+
+def weight_sums(toks: Column, held, k: int, rest: bool) -> Column:
+    """struct(sums array<double>, rest array<string>): the sums of the tokens'
+    ``k`` weights by the broadcast ``held`` (the terms, a row of weights per term
+    and a last one of zeros), and the tokens that are none of the terms (where
+    asked for)."""
+    kind = pa.struct([("sums", pa.list_(pa.float64())), ("rest", pa.list_(pa.string()))])
+
+    def step(v: pa.Array) -> pa.Array:
+        terms, weights = held.value
+        flat, sizes = v.flatten(), pc.fill_null(pc.list_value_length(v), 0).to_numpy()
+        at = pc.fill_null(pc.index_in(flat, value_set=terms, skip_nulls=True), len(terms)).to_numpy()
+        ends = np.cumsum(sizes)
+        # one row of zeros more, so that every text begins somewhere
+        sums = np.add.reduceat(np.concatenate([weights[at], np.zeros((1, k))]), ends - sizes, axis=0)
+        sums[sizes == 0] = 0.0
+        lists = pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * k, sums.ravel())
+        if rest:
+            unknown = (at == len(terms)) & ~pc.is_null(flat).to_numpy(zero_copy_only=False)
+            before = np.concatenate([[0], np.cumsum(unknown)])
+            more = pa.ListArray.from_arrays(before[np.concatenate([[0], ends])].astype(np.int32),
+                                            flat.filter(pa.array(unknown)))
+        else:
+            more = pa.nulls(len(v), pa.list_(pa.string()))
+        return pa.StructArray.from_arrays([lists, more], fields=list(kind))
+
+    @F.arrow_udf("struct<sums:array<double>,rest:array<string>>")
+    def sums(v: pa.Array) -> pa.Array:
+        # the terms are hashed once a step
+        parts = [step(v.slice(i, SCORED)) for i in range(0, len(v), SCORED)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+    return sums(toks)
+
+
 def _inner(w: str) -> tuple[int, int]:
     """Where a word's first letter or digit is and where its last one ends."""
     a, b = 0, len(w)
+    if w.isascii() and w and w[0].isalnum() and w[-1].isalnum():
+        return a, b
     while a < b and unicodedata.category(w[a])[0] not in "LN":
         a += 1
     while b > a and unicodedata.category(w[b - 1])[0] not in "LN":
@@ -161,29 +292,39 @@ def grams_at(text: Column, index) -> Column:
     """The n-grams, in normal form, with the place of the first letter and the
     surface form.  The broadcast ``index`` is a map of the words that they start
     with (word, most words) and the set of those wanted, or None for all."""
-    find = re.compile(f"[^{SPACES}]+").finditer
-
-    def grams(s: str, longest: dict[str, int], wanted: frozenset[str] | None) -> list[dict]:
-        words = []
-        for m in find(s):
-            w = m.group()
-            a, b = (0, len(w)) if w.isascii() and w[0].isalnum() and w[-1].isalnum() else _inner(w)
-            words.append((w[a:b].lower(), m.start() + a, m.start() + b))
-        out = []
-        for i, (first, start, _) in enumerate(words):
+    word = re.compile(f"[^{SPACES}]+")
+
+    def grams(s: str, longest: dict[str, int], wanted: frozenset[str] | None, normal: dict[str, str]) -> list[dict]:
+        words = word.findall(s)
+        for w in words:
+            if w not in normal:
+                a, b = _inner(w)
+                normal[w] = w[a:b].lower()
+        forms = [normal[w] for w in words]
+        out, starts = [], None
+        for i in [i for i, w in enumerate(forms) if w in longest]:
             gram = ""
-            for n, (word, _, end) in enumerate(words[i:i + longest.get(first, 0)], 1):
-                if not word:
+            for n, form in enumerate(forms[i:i + longest[forms[i]]], 1):
+                if not form:
                     break
-                gram = f"{gram} {word}" if gram else word
+                gram = f"{gram} {form}" if gram else form
                 if wanted is None or gram in wanted:
+                    if starts is None:
+                        starts = [m.start() for m in word.finditer(s)]
+                    start, end = starts[i] + _inner(words[i])[0], starts[i + n - 1] + _inner(words[i + n - 1])[1]
                     out.append({"i": i, "n": n, "gram": gram, "start": start, "entity": s[start:end]})
         return out
 
     @F.arrow_udf("array<struct<i:int,n:int,gram:string,start:int,entity:string>>")
     def found(v: pa.Array) -> pa.Array:
         longest, wanted = index.value
-        return _by_row(lambda s: grams(s, longest, wanted), v, pa.list_(GRAM))
+        normal: dict[str, str] = {}
+
+        def of(s: str) -> list[dict]:
+            if len(normal) > NORMAL:
+                normal.clear()
+            return grams(s, longest, wanted, normal)
+        return _by_row(of, v, pa.list_(GRAM))
     return found(text)
 
 

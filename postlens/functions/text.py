@@ -108,8 +108,11 @@ def clean_text(c: Column) -> Column:
 
 
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()``: all leading/trailing whitespace."""
-    return F.btrim(c, F.lit("\t\n\x0b\f\r " + UNICODE_SPACES))
+    """Python ``str.strip()``: all leading/trailing whitespace.  Texts that
+    neither begin nor end with any are not read character by character."""
+    white = F.lit("\t\n\x0b\f\r " + UNICODE_SPACES)
+    edge = F.contains(white, F.substring(c, 1, 1)) | F.contains(white, F.substring(c, -1, 1))
+    return F.when(edge, F.btrim(c, white)).otherwise(c)
 
 
 def nonblank(c: Column) -> Column:
@@ -145,33 +148,40 @@ def pick_text(chain: list[Column], title: Column, body: Column,
     return F.coalesce(*[F.when(c != "", c) for c in chain], fallback)
 
 
+def _extract_all(c: Column, mark: str, pattern: str, group: int) -> Column:
+    """All matches of a pattern that begins with ``mark``; only texts that have
+    the mark are searched."""
+    found = F.regexp_extract_all(c, F.lit(pattern), group)
+    return F.when(F.contains(c, F.lit(mark)), found).otherwise(F.array().cast("array<string>"))
+
+
 def hashtags_a(c: Column) -> Column:
     """Distinct '#'+lower(tag), as a sorted array (a set has no order)."""
-    tags = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(HASHTAG_A_PATTERN), 1)
+    tags = _extract_all(c, "#", HASHTAG_A_PATTERN, 1)
     return F.array_sort(F.array_distinct(F.transform(tags, lambda x: F.concat(F.lit("#"), F.lower(x)))))
 
 
 def hashtags_b(c: Column) -> Column:
     """lower(tag) without '#', duplicates kept, in text order."""
-    tags = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(HASHTAG_B_PATTERN), 1)
+    tags = _extract_all(c, "#", HASHTAG_B_PATTERN, 1)
     return F.transform(tags, lambda x: F.lower(x))
 
 
 def mentions_a(c: Column) -> Column:
     """T10: '@name' lower-cased, duplicates kept, in text order."""
-    return F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(MENTION_A_PATTERN), 0),
+    return F.transform(_extract_all(c, "@", MENTION_A_PATTERN, 0),
                        lambda x: F.lower(x))
 
 
 def mentions_b(c: Column) -> Column:
     """T11: 'name' lower-cased, without '@'."""
-    return F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(MENTION_B_PATTERN), 1),
+    return F.transform(_extract_all(c, "@", MENTION_B_PATTERN, 1),
                        lambda x: F.lower(x))
 
 
 def tokens(c: Column, stopwords=STOPWORDS) -> Column:
     """Lower-cased keyword tokens, stop words removed, text order."""
-    return AR.tokens(c, TOKEN_PATTERN, stopwords or ())
+    return AR.tokens(c, stopwords or ())
 
 
 def word_count(c: Column) -> Column:

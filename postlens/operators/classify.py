@@ -2,9 +2,9 @@
 
 The reference calls a pretrained transformer once per post.  Here a model
 is a *table* ``weights(term, w0, w1, ...)`` aligned to a label list, and the
-class priors.  Scoring is: terms of each post -> equi-join on term (with the
-frequent terms by broadcast) -> per-post sums by hash aggregation -> priors
-added -> softmax -> arg-max.
+class priors.  Scoring is: terms of each post -> sums of the frequent terms'
+weights, which every task holds, and of the others' by equi-join on term ->
+priors added -> softmax -> arg-max.
 
 ``fit_naive_bayes`` builds such a table from labelled posts with Spark
 aggregations (multinomial Naive Bayes, Laplace smoothing).
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StringIndexerModel
@@ -21,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow as AR
 from ..functions import text as T
 from ..session import stored
 
@@ -48,10 +51,8 @@ def fit_naive_bayes(train: DataFrame, toks: str, label: str, labels: tuple[str,
     k = len(labels)
     idx = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label)) - 1
     t = train.select(idx.alias("y"), F.col(toks).alias("toks")).where(F.col("y") >= 0)
-    terms = (t.select("y", F.explode_outer("toks").alias("term"))
-              .where(F.col("term").isNotNull()))
-    counts = stored(terms.groupBy("term").agg(
-        *[F.count_if(F.col("y") == i).alias(f"c{i}") for i in range(k)]), "terms")
+    counts = stored(AR.term_counts(t, "y", "toks").groupBy("term").agg(
+        *[F.coalesce(F.sum(F.when(F.col("y") == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(k)]), "terms")
     tot = counts.agg(F.count(F.lit(1)).alias("v"),
                      *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"t{i}") for i in range(k)]).first()
     docs = t.agg(F.count(F.lit(1)).alias("n"),
@@ -68,25 +69,33 @@ def score_terms(df: DataFrame, toks: str, model: Model, out: str = "logits") ->
     """Per-post logit vector: sum of the weights of the post's tokens (with
     multiplicity) plus the class priors; unknown terms are skipped.
 
-    The rows are numbered and written once, so their texts are parsed once and
-    repeated or null post keys cannot mix posts.  The most frequent terms'
-    weights are broadcast and summed where the post is; only the others' tokens
-    move to meet their weights.  The other columns are joined back on the row's
-    number.  A post without known terms has the priors.
+    The weights of the most frequent terms are held by every task and summed
+    where the post is.  With more terms the rows are numbered and written once
+    with these sums, so repeated or null post keys cannot mix posts, and only the
+    other tokens move to meet their weights, whose sums are joined back on the
+    row's number.  A post without known terms has the priors.
     """
     weights, prior = model
     k = len(prior)
-    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "scored")
-    terms = rows.select("__row", F.explode(toks).alias("term"))
     often, others = _by_frequency(weights, k)
-    met = terms.join(F.broadcast(often), "term").select("__row", *[f"w{i}" for i in range(k)])
+    rows = df.withColumn("__met", AR.weight_sums(F.col(toks), _held(often, k), k, others is not None)).drop(toks)
     if others is not None:
-        rest = terms.join(F.broadcast(often.select("term")), "term", "left_anti").join(others, "term")
-        met = met.unionByName(rest.select("__row", *[f"w{i}" for i in range(k)]))
-    sums = met.groupBy("__row").agg(*[F.sum(f"w{i}").alias(f"__l{i}") for i in range(k)])
-    return rows.drop(toks).join(sums, "__row", "left").withColumn(out, F.array(*[
-        F.coalesce(F.col(f"__l{i}"), F.lit(0.0)) + F.lit(float(prior[i])) for i in range(k)])).drop(
-        "__row", *[f"__l{i}" for i in range(k)])
+        rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "scored")
+        rest = rows.select("__row", F.explode("__met.rest").alias("term")).join(others, "term")
+        sums = rest.groupBy("__row").agg(*[F.sum(f"w{i}").alias(f"__l{i}") for i in range(k)])
+        rows = rows.join(sums, "__row", "left")
+    return rows.withColumn(out, F.array(*[
+        F.get("__met.sums", F.lit(i)) + (F.coalesce(F.col(f"__l{i}"), F.lit(0.0)) if others is not None else F.lit(0.0))
+        + F.lit(float(prior[i])) for i in range(k)])).drop("__met", "__row", *[f"__l{i}" for i in range(k)])
+
+
+def _held(weights: DataFrame, k: int):
+    """The broadcast terms and weights, of bounded number; a term's rows add up."""
+    held = weights.where(F.col("term").isNotNull()).groupBy("term").agg(
+        *[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"w{i}") for i in range(k)]).toArrow().combine_chunks()
+    rows = np.stack([held.column(f"w{i}").to_numpy() for i in range(k)], axis=1)
+    terms = pa.array(held.column("term").to_pylist(), pa.string())
+    return weights.sparkSession.sparkContext.broadcast((terms, np.concatenate([rows, np.zeros((1, k))])))
 
 
 def _by_frequency(weights: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:

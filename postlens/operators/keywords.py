@@ -56,7 +56,7 @@ def null_if_empty(a: Column) -> Column:
 
 
 def _top_tokens(text: Column, k: int) -> Column:
-    return AR.top_tokens(text, T.TOKEN_PATTERN, T.STOPWORDS, k)
+    return AR.top_tokens(text, T.STOPWORDS, k)
 
 
 def keywords_topk(df: DataFrame, text: str = "content", k: int = 10,

@@ -50,7 +50,8 @@ def _first_line(text: Column) -> Column:
 
 def _after_first_line(text: Column) -> Column:
     # everything after the first newline, '' when there is none
-    return F.regexp_replace(text, r"^[^\n]*\n?", "")
+    at = F.instr(text, "\n")
+    return F.when(at > 0, F.substr(text, at + 1)).when(text.isNotNull(), F.lit(""))
 
 
 def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
