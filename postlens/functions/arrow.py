@@ -32,7 +32,7 @@ STEP = 512
 MANY = 64
 # tokens that are counted together
 COUNTED = 1 << 20
-# normal forms of words that a task remembers, emptied when full
+# normal forms of words beyond ASCII that a batch remembers, emptied when full
 NORMAL = 1 << 17
 # texts whose tokens are scored together
 SCORED = 4096
@@ -292,15 +292,17 @@ def grams_at(text: Column, index) -> Column:
     """The n-grams, in normal form, with the place of the first letter and the
     surface form.  The broadcast ``index`` is a map of the words that they start
     with (word, most words) and the set of those wanted, or None for all."""
-    word = re.compile(f"[^{SPACES}]+")
+    word, other = re.compile(f"[^{SPACES}]+"), re.compile("[\x1c-\x1f]")   # those split() also takes as spaces
+    edges = "".join(c for c in map(chr, range(128)) if not c.isalnum())
+
+    def form_of(w: str, normal: dict[str, str]) -> str:
+        a, b = _inner(w)
+        normal[w] = w[a:b].lower()
+        return normal[w]
 
     def grams(s: str, longest: dict[str, int], wanted: frozenset[str] | None, normal: dict[str, str]) -> list[dict]:
-        words = word.findall(s)
-        for w in words:
-            if w not in normal:
-                a, b = _inner(w)
-                normal[w] = w[a:b].lower()
-        forms = [normal[w] for w in words]
+        words = s.split() if s.isascii() and not other.search(s) else word.findall(s)
+        forms = [w.lower().strip(edges) if w.isascii() else normal.get(w) or form_of(w, normal) for w in words]
         out, starts = [], None
         for i in [i for i, w in enumerate(forms) if w in longest]:
             gram = ""
