@@ -22,9 +22,10 @@ shingle's centre; the links found make components.  The first centre is the
 node whose shingles are the commonest on average, which in a family of edited
 copies is close to their original; later ones, several for a popular shingle,
 are drawn by hash, while many pairs across components are left.  Then all nodes that meet and lie in
-different components are compared, popular shingles in pairs of blocks of
-bounded size, if the last shared place leaves room for enough shared
-shingles.  Comparisons inside a component are left out, since they cannot
+different components are compared, if the last shared place leaves room for
+enough shared shingles.  The nodes of a popular shingle meet in pairs of
+blocks of bounded size, where their whole prefixes are counted at once: a
+group puts out the pairs to compare, never the meetings.  Comparisons inside a component are left out, since they cannot
 change it: no link between components is lost.
 
 Hashes stand for shingles: two different shingles of a compared pair count as
@@ -43,17 +44,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_in_arrow, materialize, texts
+from .common import map_in_arrow, materialize, ship, texts
 from .golay_simhash import star_forest
 
 COUNTED = 1 << 62               # hashes below are counted over all rows: a quarter
 RARE = 32                       # rows that a rare shingle has at most
 MOST = 16                       # longest demand for shared prefix shingles
 COMPARE = 16                    # a comparison costs one meeting per so many shingles
-BLOCK = 256                     # nodes of a popular shingle compared at once
+POPULAR = 64                    # nodes of a shingle that put out each of their meetings, at most
+BLOCK = 512                     # nodes of a popular shingle compared with as many at once
+COLUMNS = 1024                  # shingles, and pairs, looked at together in a block
 ROUNDS = 4                      # rounds with centres before the rest, at most
 FEW = 2                         # pairs per prefix row that need no more such rounds
 GAIN = 0.9                      # nor if a round leaves more than this of the pairs
@@ -334,16 +338,89 @@ def with_centres(rooted: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def across(rooted: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that meet often enough.  A shingle of
-    many nodes is dealt into blocks, and each pair of blocks is a group."""
-    size = rooted.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rooted.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = dealt.select("token", *PREFIX, F.col("own").alias("x"),
-                        F.explode(F.sequence("own", F.col("blocks") - 1)).alias("y"))
-    right = dealt.select("token", *[F.col(c).alias(f"{c}2") for c in PREFIX],
-                         F.explode(F.sequence(F.lit(0), "own")).alias("x"), F.col("own").alias("y"))
-    met = left.join(right, ["token", "x", "y"]).where("root != root2 AND (x < y OR node < node2)")
-    return _pairs(met, percent, every=True)
+    """All pairs of different components that meet often enough.  The shingles of
+    few nodes put out every meeting; the nodes of a popular one meet in its
+    groups, which put out the pairs alone."""
+    size = rooted.groupBy("token").agg(F.count("*").alias("k"))
+    sized = rooted.join(size, "token")
+    few = sized.where(F.col("k") <= POPULAR)
+    met = few.join(few.select("token", *[F.col(c).alias(f"{c}2") for c in PREFIX]), "token")
+    alone = _pairs(met.where("root != root2 AND node < node2"), percent, every=True)
+    return alone.unionByName(popular_pairs(sized, percent)).distinct()
+
+
+def popular_pairs(sized: DataFrame, percent: int) -> DataFrame:
+    """The pairs that meet often enough, and at a popular shingle.  Its nodes are
+    dealt into blocks, and each pair of blocks is a group; a node comes with its
+    whole prefix, so that a pair is counted once, at its first popular shingle."""
+    whole = sized.groupBy("node").agg(
+        *[F.first(c).alias(c) for c in ("asked", "n", "root")],
+        F.collect_list(F.struct("token", "at", (F.col("k") > POPULAR).alias("popular"))).alias("met"),
+        F.collect_list(F.when(F.col("k") > POPULAR, F.struct("token", "k"))).alias("meets"))
+    dealt = whole.select("*", F.inline("meets")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = dealt.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node",
+                        "asked", "n", "root", "met")
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        token, x, y = (k.as_py() for k in key)
+        one = _Block(group.filter(pc.equal(group["own"], x)))
+        return _meeting(token, one, one if x == y else _Block(group.filter(pc.equal(group["own"], y))), percent)
+
+    ship(sized.sparkSession)
+    return rows.groupBy("token", "x", "y").applyInArrow(run, "u bigint, v bigint")
+
+
+class _Block:
+    """Nodes with their prefixes, as columns."""
+
+    def __init__(self, rows: pa.Table):
+        self.node, self.asked, self.n, self.root = (rows[c].to_numpy() for c in ("node", "asked", "n", "root"))
+        met = rows["met"].combine_chunks()
+        self.row = np.repeat(np.arange(len(rows)), met.value_lengths().to_numpy(zero_copy_only=False))
+        self.token, self.at, self.popular = (c.to_numpy(zero_copy_only=False) for c in met.flatten().flatten())
+
+    def places(self, tokens: np.ndarray) -> np.ndarray:
+        """A row per node, a column per token (ascending): its place from 1, or 0."""
+        column = np.minimum(np.searchsorted(tokens, self.token), len(tokens) - 1)
+        has = tokens[column] == self.token
+        out = np.zeros((len(self.node), len(tokens)), np.int32)
+        out[self.row[has], column[has]] = self.at[has] + 1
+        return out
+
+
+def _meeting(token: int, a: _Block, b: _Block, percent: int) -> pa.Table:
+    """Pairs (u, v), u > v, of nodes of both blocks whose first popular shingle
+    is ``token``, as in ``_pairs`` with every meeting."""
+    common = np.intersect1d(a.token, b.token)
+    hot = np.intersect1d(a.token[a.popular], b.token[b.popular])
+    parts = [common[i:i + COLUMNS] for i in range(0, len(common), COLUMNS)]
+    k, before = (np.zeros((len(a.node), len(b.node)), np.float32) for _ in range(2))
+    for part in parts:
+        p, q = ((x.places(part) > 0).astype(np.float32) for x in (a, b))
+        k += p @ q.T
+        sooner = np.isin(part, hot[hot < token])
+        before += p[:, sooner] @ q[:, sooner].T
+    n, n2 = a.n[:, None].astype(np.int64), b.n[None, :].astype(np.int64)
+    fits = (k >= np.minimum(a.asked[:, None], b.asked[None, :])) & (before == 0) & (
+        a.root[:, None] != b.root[None, :]) & (np.minimum(n, n2) * 100 >= np.maximum(n, n2) * percent)
+    if a is b:
+        fits = np.triu(fits, 1)
+    i, j = np.nonzero(fits)
+    last, last2 = (np.zeros(len(i), np.int32) for _ in range(2))
+    for part in parts if len(i) else []:
+        p, q = a.places(part), b.places(part)
+        for at in range(0, len(i), COLUMNS):
+            here = slice(at, at + COLUMNS)
+            one, other = p[i[here]], q[j[here]]
+            both = (one > 0) & (other > 0)
+            last[here] = np.maximum(last[here], (one * both).max(axis=1))
+            last2[here] = np.maximum(last2[here], (other * both).max(axis=1))
+    most = k[i, j].astype(np.int64) + np.minimum(a.n[i] - last, b.n[j] - last2)
+    kept = most * (100 + percent) >= (a.n[i].astype(np.int64) + b.n[j]) * percent
+    u, v = a.node[i[kept]], b.node[j[kept]]
+    return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
 
 def open_pairs(rooted: DataFrame) -> tuple[int, int]:

@@ -93,6 +93,44 @@ def test_all_candidates_without_centres(spark, monkeypatch):
     same(map(tuple, got.collect()), components_by_hand(docs))
 
 
+def test_popular_shingles_put_out_pairs_not_meetings(spark, monkeypatch):
+    """Nodes that share popular shingles and rare ones: the meetings put out grow
+    with the rows, and each pair that meets often enough comes out once."""
+    r, met, pairs = random.Random(3), [], jaccard_join._pairs
+
+    def counting(rows, percent, every):
+        met.append(rows.count())
+        return pairs(rows, percent, every)
+
+    monkeypatch.setattr(jaccard_join, "_pairs", counting)
+    monkeypatch.setattr(jaccard_join, "POPULAR", 16, raising=False)
+    prefixes = {node: sorted(r.sample(range(30), r.randint(3, 20))) + [100 + node // 5] for node in range(200)}
+    rows = [(t, node, 6, 60, at, at, 1.0, node // 7) for node, tokens in prefixes.items() for at, t in enumerate(tokens)]
+    rooted = spark.createDataFrame(rows, jaccard_join.PREFIX_ROWS + ", root bigint")
+    got = jaccard_join.across(rooted, 80)
+    assert met[0] <= 16 * len(rows) / 2
+    want = []
+    for v, u in itertools.combinations(prefixes, 2):
+        a, b = prefixes[v], prefixes[u]
+        both = set(a) & set(b)
+        if both and v // 7 != u // 7 and len(both) >= 6:
+            left = 59 - max(max(x.index(t) for t in both) for x in (a, b))
+            if (len(both) + left) * 180 >= 120 * 80 and all(
+                    (min(a.index(t), b.index(t)) + 60 - max(a.index(t), b.index(t))) * 180 >= 120 * 80 for t in both):
+                want.append((u, v))
+    assert len(want) > 100
+    same(map(tuple, got.collect()), want)
+
+
+@pytest.mark.parametrize("popular,block,columns", [(4, 8, 16), (2, 512, 1024)])
+def test_near_copies_at_popular_shingles(spark, monkeypatch, popular, block, columns):
+    for name, value in (("POPULAR", popular), ("BLOCK", block), ("COLUMNS", columns), ("ROUNDS", 1)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    docs = near_copies(7)
+    got = jaccard_join.components(spark.createDataFrame(docs, "doc_id bigint, text string"), 5, 80)
+    same(map(tuple, got.collect()), components_by_hand(docs))
+
+
 def test_demands_hold_for_all_similar_sets():
     """Whatever the demands, similar sets share as many prefix places."""
     r = np.random.default_rng(0)
