@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,17 +30,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .chunked import byte_level_chunks
 from .common import map_in_arrow, texts, vocabulary
 
 NEVER = 1 << 62
 FITS_ENTRIES = 300_000      # remembered answers of Ranks.fits
-MEMO_ENTRIES = 150_000      # remembered chunks and pieces each, emptied when full
+MEMO_ENTRIES = 150_000      # chunks, and pieces, in one of a worker's two generations
 MEMO_CHUNK_CHARS = 64       # longer ones are not remembered
+LAZY_BYTES = 256            # longer matches have all their prefixes filled from left to right
 SLICE_CHARS = 1 << 21       # characters of texts encoded at once
 
-_HARD_SPACE = re.compile(r" (?=\s|\Z)")
-_WORD_SPACE = re.compile(r" (?=\S)")
-
 
 class Ranks:
     """A rank file (base64 token, rank per line) and what follows from it."""
@@ -53,6 +51,7 @@ class Ranks:
         for token, rank in self.rank.items():
             self.bytes_of[rank] = token
         self.longest = max(map(len, self.rank))
+        self.raw = [*map(bytes, np.arange(len(self.bytes_of), dtype="<u4").reshape(-1, 1).view(np.uint8))]
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.known_fits: dict[int, bool] = {}
 
@@ -106,7 +105,8 @@ class Ranks:
 
 class Prefixes:
     """The last token of each prefix of a byte string, which may grow and
-    change.  ``last[i]`` belongs to the first ``i`` bytes."""
+    change.  ``last[i]`` belongs to the first ``i`` bytes; None: not asked for
+    so far."""
 
     def __init__(self, ranks: Ranks, data: bytes = b""):
         self.ranks, self.data, self.last = ranks, b"", [-1]
@@ -123,9 +123,12 @@ class Prefixes:
                 if ranks.made_by_merging(token):
                     return token
             else:
-                fit = known.get(last[start] << 32 | token)
+                before = last[start]
+                if before is None:
+                    before = last[start] = self._fill(start)
+                fit = known.get(before << 32 | token)
                 if fit is None:
-                    fit = fits(last[start], token)
+                    fit = fits(before, token)
                 if fit:
                     return token
         raise ValueError("no token ends here")
@@ -137,13 +140,18 @@ class Prefixes:
             self.last.append(self._fill(i))
 
     def become(self, data: bytes) -> None:
-        """Hold ``data`` instead; the entries of the common prefix stay."""
+        """Hold ``data`` instead; the entries of the common prefix stay, and of a
+        short string the others are filled when they are asked for."""
         n, most = 0, min(len(data), len(self.data))
         while n < most and data[n] == self.data[n]:
             n += 1
-        self.data = data[:n]
         del self.last[n + 1:]
-        self.append(data[n:])
+        if len(data) > LAZY_BYTES:
+            self.data = data[:n]
+            self.append(data[n:])
+        else:
+            self.data = data
+            self.last += [None] * (len(data) - n)
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Put ``data`` in place of bytes ``start`` to ``stop``; returns how
@@ -165,11 +173,36 @@ class Prefixes:
     def tokens(self) -> list[int]:
         out, i = [], len(self.data)
         while i:
+            if self.last[i] is None:
+                self.last[i] = self._fill(i)
             out.append(self.last[i])
             i -= len(self.ranks.bytes_of[out[-1]])
         return out[::-1]
 
 
+class Memo:
+    """A bounded dictionary of two generations: when the younger one is full it
+    becomes the older one, and what is met again moves back."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of the keys that are not known; the others are in ``young``."""
+        if len(self.young) > MEMO_ENTRIES:
+            self.young, self.old = {}, self.young
+        new = keys.difference(self.young)
+        again = new.intersection(self.old)
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        return new - again
+
+    def drop_long(self, keys) -> None:
+        for k in keys:
+            if len(k) > MEMO_CHUNK_CHARS:
+                del self.young[k]
+
+
 class Encoder:
     """Ids of whole texts: each match of the split pattern separately, a
     match that is a token at once, any other by its prefixes."""
@@ -181,8 +214,7 @@ class Encoder:
         # \s of the pattern is the Unicode white space property
         self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(
             r"(?!\S)", r"(?!\P{White_Space})").replace(r"\s", r"\p{White_Space}"))
-        self.piece_ids: dict[str, bytes] = {}
-        self.memo: dict[str, bytes] = {}
+        self.piece_ids, self.memo = Memo(), Memo()
 
     def piece(self, piece: str) -> list[int]:
         data = piece.encode("utf-8", "surrogatepass")
@@ -194,43 +226,28 @@ class Encoder:
         may be cut there; chunks and matches met before are looked up.  New
         matches are taken in byte order: each keeps the prefix entries that
         it has in common with the one before."""
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo = {}
-        if len(self.piece_ids) > MEMO_ENTRIES:
-            self.piece_ids = {}
-        memo, ids = self.memo, self.piece_ids
-        cut = [(_WORD_SPACE if _HARD_SPACE.search(t) else _SPACE).split(t) for t in texts]
-        firsts = {parts[0]: self.pieces.findall(parts[0]) for parts in cut}
-        chunks = {c: self.pieces.findall(" " + c)
-                  for c in {c for parts in cut for c in parts[1:]}.difference(memo)}
-        new = {p for part in (firsts, chunks) for ps in part.values() for p in ps}.difference(ids)
+        rank, raw = self.ranks.rank, self.ranks.raw
+        cut = [byte_level_chunks(t) for t in texts]
+        chunks = {c: self.pieces.findall(c[1:] if c[:1] == " " else " " + c)
+                  for c in self.memo.missing(set().union(*cut))}
+        new = self.piece_ids.missing(set().union(*chunks.values()))
+        memo, ids = self.memo.young, self.piece_ids.young
         table = Prefixes(self.ranks)
         for data, p in sorted((p.encode("utf-8", "surrogatepass"), p) for p in new):
-            token = self.ranks.rank.get(data)
+            token = rank.get(data)
             if token is None:
                 table.become(data)
-            ids[p] = np.asarray(table.tokens() if token is None else [token], "<u4").tobytes()
+                ids[p] = b"".join(map(raw.__getitem__, table.tokens()))
+            else:
+                ids[p] = raw[token]
         for c, ps in chunks.items():
-            memo[c] = b"".join(map(ids.__getitem__, ps))
-        out = [b"".join([*map(ids.__getitem__, firsts[parts[0]]),
-                         *map(memo.__getitem__, parts[1:])]) for parts in cut]
-        for known, keys in ((ids, new), (memo, chunks)):
-            for k in keys:
-                if len(k) > MEMO_CHUNK_CHARS:
-                    del known[k]
+            memo[c] = b"".join(map(ids.__getitem__, ps)) if len(ps) != 1 else ids[ps[0]]
+        out = [b"".join(map(memo.__getitem__, parts)) for parts in cut]
+        self.piece_ids.drop_long(new)
+        self.memo.drop_long(chunks)
         return out
 
 
-class _Blank:
-    """``str.split`` with the interface of a pattern."""
-
-    def split(self, text: str) -> list[str]:
-        return text.split(" ")
-
-
-_SPACE = _Blank()
-
-
 class EditableText:
     """An encoded text that takes appends and edits.  Only the matches of
     the pattern near an edit are found and encoded again."""
@@ -338,17 +355,18 @@ def digests(df: DataFrame, vocab: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab, pattern)
-        table = enc.ranks.bytes_of
+        table = pa.array(enc.ranks.bytes_of, pa.large_binary())
         for b in batches:
             lengths = [n or 0 for n in pc.utf8_length(b.column("text")).to_pylist()]
             for at, n in _slices(lengths):
                 part = b.slice(at, n)
-                counts, hashes, back = [], [], []
-                for ids in enc(texts(part.column("text"))):
-                    tokens = np.frombuffer(ids, "<u4")
-                    counts.append(len(tokens))
-                    hashes.append(hashlib.sha256(ids).hexdigest())
-                    back.append(hashlib.sha256(b"".join(map(table.__getitem__, tokens.tolist()))).hexdigest())
+                ids = enc(texts(part.column("text")))
+                counts = [len(x) // 4 for x in ids]
+                hashes = [hashlib.sha256(x).hexdigest() for x in ids]
+                decoded = table.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+                raw = memoryview(decoded.buffers()[2] or b"")
+                ends = np.frombuffer(decoded.buffers()[1], np.int64)[np.cumsum([0, *counts])].tolist()
+                back = [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(back)],
                     names=schema.names)

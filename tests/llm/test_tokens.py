@@ -178,3 +178,33 @@ def test_linear_program_is_feasible_and_tight():
     assert all(used[a] <= count[a] * (1 + 1e-9) for a in used)
     covered = sum(a * x for a, x in used.items())
     assert sum(x for _, x in uses) <= covered / 2048 * 1.01
+
+
+def test_what_is_met_again_is_not_encoded_anew_when_the_memo_is_full(monkeypatch):
+    monkeypatch.setattr(prefix_bpe, "MEMO_ENTRIES", 50)
+    encode = prefix_bpe.Encoder(prefix_bpe.Ranks(P.path(MULTI)),
+                                P.PATTERN)
+    filled, become = [], prefix_bpe.Prefixes.become
+
+    def counting(self, data):
+        filled.append(data)
+        return become(self, data)
+
+    monkeypatch.setattr(prefix_bpe.Prefixes, "become", counting)
+    out = [encode([" ".join(["start", "qzxwvkjq", *(f"zq{i}xw{k}v" for k in range(80))])])[0] for i in range(6)]
+    assert filled.count(b" qzxwvkjq") == 1
+    assert len({ids[:ids.index(np.asarray(encode.piece(" qzxwvkjq"), "<u4").tobytes())] for ids in out}) == 1
+    assert len(encode.memo.young) + len(encode.memo.old) < 400
+
+
+def test_prefixes_filled_when_asked_for():
+    ranks = prefix_bpe.Ranks(P.path(MULTI))
+    table = prefix_bpe.Prefixes(ranks)
+    for data in sorted([b"", b"th", b"thereinthe", b"thereintheand", b"zqzqther", b"a" * 300, b"a" * 300 + b"the"]):
+        table.become(data)
+        assert table.tokens() == prefix_bpe.Prefixes(ranks, data).tokens()
+    table.become(b"thereintheandthere")
+    table.tokens()
+    assert None in table.last
+    table.append(b"the")
+    assert table.tokens() == prefix_bpe.Prefixes(ranks, b"thereintheandtherethe").tokens()
