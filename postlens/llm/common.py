@@ -18,13 +18,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back:
-    the lineage is cut and a lost executor loses nothing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the lineage is cut and a lost executor loses nothing.  The shuffle files of
+    the write have no reader after it, and Spark removes them at its end."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def texts(column: pa.Array) -> list[str]:

@@ -276,8 +276,7 @@ def open_prefixes(counted: DataFrame, whole: DataFrame, words: int, percent: int
                      pa.array(np.concatenate(sets).view(np.int64))], names=["node", "token"])
 
     asked = counted.where("open").select("node", "n", "counted", "items")
-    put_out = map_in_arrow(whole.join(asked.select("node"), "node", "left_semi").select("node", "text"), others,
-                           "node bigint, token bigint")
+    put_out = map_in_arrow(whole.where("open").select("node", "text"), others, "node bigint, token bigint")
     both = asked.join(_shared(put_out, "node", "others"), "node", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -447,7 +446,7 @@ def similar(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> Dat
                 keep.append(100 * both >= percent * (len(mine) + len(other) - both))
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    one = pairs.join(whole.withColumnRenamed("node", "u"), "u")
+    one = pairs.join(whole.select(F.col("node").alias("u"), "text"), "u")
     both = one.join(whole.select(F.col("node").alias("v"), F.col("text").alias("text2")), "v")
     return map_in_arrow(both.sortWithinPartitions("v"), run, "v bigint, u bigint").select("u", "v")
 
@@ -455,11 +454,17 @@ def similar(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> Dat
 # -- components -------------------------------------------------------------------------
 
 def _texts_of(docs: DataFrame, counted: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that may have prefix shingles to put out."""
-    asked = counted.select("node", "doc_id", "text_key")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    same = rows["doc_id"].eqNullSafe(asked["doc_id"]) & (rows["text_key"] == asked["text_key"])
-    return materialize(rows.join(asked, same).select("node", "text").dropDuplicates(["node"]), "texts")
+    """(node, open, text) of the nodes that may have prefix shingles to put out.
+    Texts are dealt once, by the columns that the join and the distinct rows
+    share."""
+    def keyed(df: DataFrame, *more) -> DataFrame:
+        return df.select(F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("id"), F.col("doc_id").isNull().alias("no_id"),
+                         "text_key", *more)
+
+    asked = keyed(counted, "node", "open")
+    rows = keyed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), "text")
+    key = ["id", "no_id", "text_key"]
+    return materialize(rows.join(asked, key).dropDuplicates([*key, "node"]).select("node", "open", "text"), "texts")
 
 
 def prefixes(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:

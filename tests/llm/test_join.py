@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from postlens.llm import jaccard_join
+from postlens.llm.common import materialize
 
 from llm_help import WORD, awkward, none, same, texts_of  # noqa: F401
 
@@ -151,3 +152,42 @@ def test_the_demand_grows_where_comparisons_cost_more():
     assert jaccard_join.demand(100, places, met, 40, 80) > 1
     assert jaccard_join.demand(100, np.zeros(0, int), np.zeros(0, int), 40, 80) == 1
     assert jaccard_join.demand(1, places[:1], met[:1], 1, 80) == 1
+
+
+def test_shuffle_files_go_with_their_write(spark):
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while files.hasNext():
+            names.add(files.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = left()
+    rows = spark.range(20000, numPartitions=4).selectExpr("id % 5000 AS k", "id")
+    out = materialize(rows.groupBy("k").count().join(rows, "k"), "counted")
+    assert left() <= before
+    assert out.count() == 20000 and out.where("count = 4").count() == 20000
+
+
+def test_texts_are_dealt_once(spark, monkeypatch):
+    """Repeated rows and null ids: one text a node, and no exchange after the join."""
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(jaccard_join, "materialize", seen)
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c"), (None, "d"), (0, "d"), (2, None)],
+                                     "doc_id long, text string")
+        counted = docs.selectExpr("doc_id", "xxhash64(text) AS text_key", "text AS t").distinct().selectExpr(
+            "doc_id", "text_key", "monotonically_increasing_id() AS node", "t = 'c' AS open")
+        out = jaccard_join._texts_of(docs, counted)
+        got = sorted((str(r.open), str(r.text)) for r in out.collect())
+        assert got == [("False", "a b"), ("False", "d"), ("False", "d"), ("None", "None"), ("True", "c")]
+        assert "hashpartitioning(node" not in plans[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
