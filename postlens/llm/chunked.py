@@ -46,6 +46,8 @@ class ChunkEncoder:
     the older one, and what is met again moves back.  New chunks are encoded
     many to a text and their ids cut apart again (``join`` and ``ends``)."""
 
+    MANY = 2000             # new chunks in one text
+
     def __init__(self, file: str, split):
         import os
 
@@ -80,8 +82,8 @@ class ChunkEncoder:
     def _encode(self, new: set[str]) -> None:
         memo = self.memo
         some = self.together([c for c in new if len(c) <= MEMO_CHUNK_CHARS])
-        for at in range(0, len(some), 2000):
-            part = some[at:at + 2000]
+        for at in range(0, len(some), self.MANY):
+            part = some[at:at + self.MANY]
             text = self.join(part)
             if text is not None:
                 ids = self.ids(text)
@@ -113,6 +115,8 @@ class ByteLevel(ChunkEncoder):
     """Chunks that hold their only space in front are written one after the
     other; a token with a space in front begins the next."""
 
+    MANY = 100              # the library takes less time a chunk on short texts
+
     def __init__(self, file: str):
         super().__init__(file, byte_level_chunks)
         names = self.model.get_vocab()

@@ -39,6 +39,7 @@ from .chunked import byte_level
 from .common import map_in_arrow, texts
 
 BLOCK_TOKENS = 1 << 21
+TABLE_IDS = 1 << 22             # blocks whose ids are all below have a table over them
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 BLOCK_SCHEMA = ("file int, block int, n_tokens bigint, doc_ids array<bigint>, "
@@ -48,10 +49,16 @@ DOCUMENT_SCHEMA = "file int, block int, in_block bigint, doc_id bigint, ids bina
 
 def pack_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """(ranked, control, data) of one block of ids."""
-    distinct, inverse, count = np.unique(ids, return_inverse=True, return_counts=True)
+    if ids.max(initial=0) < TABLE_IDS:         # counted in a table, without a sort of the ids
+        count = np.bincount(ids)
+        distinct, inverse = np.flatnonzero(count), ids
+        count = count[distinct]
+    else:
+        distinct, inverse, count = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.lexsort((distinct, -count))
-    place = np.empty(len(order), "<u4")
-    place[order] = np.arange(len(order), dtype="<u4")
+    at = distinct if inverse is ids else np.arange(len(distinct))
+    place = np.zeros(at.max(initial=0) + 1, "<u4")
+    place[at[order]] = np.arange(len(order), dtype="<u4")
     ranks = place[inverse]
     code = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     four = np.zeros(-(-len(code) // 4) * 4, np.uint8)

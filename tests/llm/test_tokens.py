@@ -81,6 +81,17 @@ def library_ids(file, texts, end):
     return [np.asarray([*e.ids, end], "<u4") for e in model.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_blocks_of_small_ids_are_ranked_without_a_sort(monkeypatch):
+    r = np.random.default_rng(4)
+    blocks = [(r.zipf(1.3, 5000) % 50000).astype("<u4"), np.zeros(0, "<u4"), np.array([7], "<u2"),
+              np.arange(300, dtype="<u4")]
+    with monkeypatch.context() as m:
+        m.setattr(token_file, "TABLE_IDS", 0)
+        sorted_out = [token_file.pack_ids(ids) for ids in blocks]
+    monkeypatch.delattr(np, "unique")
+    assert [token_file.pack_ids(ids) for ids in blocks] == sorted_out
+
+
 @pytest.mark.parametrize("file,make", [("byte_bpe_50k.json", chunked.byte_level),
                                        ("word_bpe_49k.json", chunked.word_level)])
 def test_chunks_encode_as_whole_texts(file, make):
