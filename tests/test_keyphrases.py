@@ -1,9 +1,11 @@
 """Keyphrases against a plain Python version of the published method."""
 
 import math
+import random
 import statistics
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import regex
 
@@ -100,3 +102,50 @@ def test_keyphrases_of_documents(spark):
 
 def test_no_rows(spark):
     assert KP.keyphrases(spark.createDataFrame([], "t string"), "t").count() == 0
+
+
+def test_texts_are_worked_on_where_they_are(spark):
+    df = spark.createDataFrame([(1, TEXTS[0])], "id long, t string")
+    plan = KP.keyphrases(df, "t")._jdf.queryExecution().executedPlan().toString()
+    assert not [step for step in ("Exchange", "Window", "Generate", "Sort", "Join") if step in plan], plan
+
+
+def test_texts_that_share_a_batch(spark):
+    r = random.Random(3)
+    words = ["data", "Data", "DATA", "the", "lake", "lakes", "spark-stream", "spark-streams", "don't", "’tis", "12", "of", "ΟΔΟΣ",
+             "ΟΔΟΣ’", "σίγμας", "İstanbul", "Straße", "STRASSE", "ǅabc", "数据", "١٢٣", "½", "Ⅷth", "𐐀𐐨x", "É", "ét", "abcdefghijkl", "abcdefghijkm"]
+    parts = [" "] * 9 + ["\t", "\r\n", ". ", "! ", ", ", " - ", "\x0b", "\u00ad", "\u0301", "_", ":", "\x00"]
+    texts = ["".join(r.choice(words) + r.choice(parts) for _ in range(r.choice([0, 1, 4, 15, 60]))) for _ in range(3 * KP.STEP)]
+    texts[7] = texts[8] = None
+    texts[9] = "one long text of many words. " * (KP.STEP_BYTES // 25)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").coalesce(1)
+    got = {x["id"]: x["keyphrases"] for x in KP.keyphrases(df, "t").collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        want = by_hand(t)
+        assert [p["phrase"] for p in got[i]] == [p for p, _ in want], t
+        assert [p["score"] for p in got[i]] == pytest.approx([s for _, s in want])
+
+
+def test_edits_within_a_bound():
+    r = random.Random(5)
+    for _ in range(3000):
+        a = "".join(r.choice("abé𐐨") for _ in range(r.randint(1, 80)))
+        b = list(a)
+        for _ in range(r.randint(0, 8)):
+            b[r.randrange(len(b) + 1):r.randrange(len(b) + 1)] = r.choice(["", "a", "x", "éb"])
+        b = "".join(b) or "a"
+        d, far = r.randint(1, 9), distance(a, b)
+        assert KP._distance(a, b) == far
+        assert abs(len(a) - len(b)) > d or KP._within(a, b, d) == (far <= d), (a, b, d)
+    for dedup in (0.9, 0.5, 1.0, 0.0, -0.5):
+        edits = KP._Edits(dedup)
+        assert all((d <= edits[n]) == (1.0 - d / n > dedup) for n in range(1, 90) for d in range(n + 1))
+
+
+def test_groups_and_rounding():
+    keys = np.array([5, 2, 5, 2, 9, 5])
+    for k in (keys, keys << 59):            # the second ones leave no bits for the places
+        order, start, group = KP._groups(k)
+        assert order.tolist() == [1, 3, 0, 2, 5, 4] and start.tolist() == [0, 2, 5] and group.tolist() == [1, 0, 1, 0, 2, 1]
+    assert KP._rounded(np.array([2.0 ** -10, 0.1234567885, 0.1234567884, 3e-10])).tolist() == [0.000976563, 0.123456789, 0.123456788, 0.0]
